@@ -55,6 +55,7 @@ def histogram(df: DataFrame, columns: Sequence[str] = EXTERNAL_FACTORS, *, bins:
             continue
         width = (hi - lo) / bins or 1.0
         at = F.least(F.floor((F.col(c) - F.lit(lo)) / F.lit(width)), F.lit(bins - 1))
+        at = F.when(F.col(c).isNotNull(), at)  # least() skips nulls
         cells.append(F.struct(F.lit(c).alias("column_name"), at.cast("int").alias("bin"),
                               F.lit(lo).alias("__lo"), F.lit(width).alias("__width")))
     if not cells:

@@ -91,3 +91,15 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select(F.col("l_orderkey").alias("OrderKey"), "Dept",
                     (F.col("l_extendedprice") * (1 - F.col("l_discount")))
                     .cast("decimal(18,4)").cast("double").alias("Weekly_Sales")))
+
+
+def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(Store, Dept, Date, Weekly_Sales) with one row per order line, so that
+    keys repeat."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_partkey", "l_suppkey", _friday(F.col("l_shipdate")).alias("Date"),
+        F.col("l_extendedprice").alias("Weekly_Sales"))
+    return (lines
+            .join(_dept_of(spark, sf_dir), F.col("l_partkey") == F.col("p_partkey"))
+            .join(_store_of(spark, sf_dir, "nation"), F.col("l_suppkey") == F.col("s_suppkey"))
+            .select("Store", "Dept", "Date", "Weekly_Sales"))
