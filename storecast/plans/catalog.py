@@ -55,6 +55,13 @@ def shown(df: DataFrame, **digits: int) -> DataFrame:
     return df.select(*out)
 
 
+def off_ties(df: DataFrame, *columns: str) -> DataFrame:
+    """Shift means of four-decimal amounts by a hair before they are rounded to
+    four digits: many are exact halves of the last digit, where the last bit of
+    the sum, which depends on the order of addition, would decide."""
+    return df.withColumns({c: F.col(c) + F.lit(1.3e-6) for c in columns})
+
+
 # ---- shared inputs -------------------------------------------------------
 
 def _sales(s, d):
@@ -266,9 +273,14 @@ def q_triage(s, d):
 
 # ---- exploration ---------------------------------------------------------
 
+def q_store_ranking(entity: str) -> Query:
+    return lambda s, d: shown(off_ties(explore.store_ranking(_kept(s, d, entity)), "avg_sales"),
+                              avg_sales=4)
+
+
 def q_holiday_lift(s, d):
     df = features.add_temporal_features(_kept(s, d))
-    return shown(explore.holiday_lift(df), holiday_avg=4, regular_avg=4, lift=6)
+    return shown(off_ties(explore.holiday_lift(df), "holiday_avg", "regular_avg"), holiday_avg=4, regular_avg=4, lift=6)
 
 
 def q_run_summary(s, d):
@@ -277,7 +289,7 @@ def q_run_summary(s, d):
 
 def q_holiday_effect(s, d):
     df = features.add_temporal_features(_kept(s, d))
-    return shown(explore.holiday_effect(df), avg_sales=4, sd_sales=4)
+    return shown(off_ties(explore.holiday_effect(df), "avg_sales"), avg_sales=4, sd_sales=4)
 
 
 # ---- segmentation --------------------------------------------------------
@@ -497,16 +509,17 @@ QUERIES: dict[str, Query] = {
                                           anomaly_rate=8, holiday_share_among_anomalies=8),
     "anomaly_drilldown": q_drilldown,
     "anomaly_triage": q_triage,
-    "store_ranking": lambda s, d: shown(explore.store_ranking(_kept(s, d)), avg_sales=4),
-    "seasonality": lambda s, d: shown(explore.seasonality(features.add_temporal_features(
-        _kept(s, d))), avg_sales=4),
+    "store_ranking": q_store_ranking("nation"),
+    "seasonality": lambda s, d: shown(off_ties(explore.seasonality(
+        features.add_temporal_features(_kept(s, d))), "avg_sales"), avg_sales=4),
     "macro_histogram": lambda s, d: shown(explore.histogram(bridge.features(s, d)),
                                           lower=6, upper=6),
     "holiday_lift": q_holiday_lift,
     "holiday_effect": q_holiday_effect,
     "run_summary": q_run_summary,
     "table_profile": lambda s, d: explore.table_profile(bridge.features(s, d)),
-    "store_profiles": lambda s, d: shown(_profiles(s, d), Weekly_Sales=4, Total_MD_Value=4,
+    "store_profiles": lambda s, d: shown(off_ties(_profiles(s, d), "Weekly_Sales",
+                                                  "Total_MD_Value"), Weekly_Sales=4, Total_MD_Value=4,
                                          Unemployment=6),
     "segment_summary": q_segment_summary,
     "attach_segments": q_attach,
@@ -546,8 +559,7 @@ QUERIES: dict[str, Query] = {
     "flag_anomalies_suppliers": lambda s, d: _flag_columns(_flagged(s, d, "supplier")),
     "sales_lag_suppliers": lambda s, d: shown(features.add_sales_lag(_kept(s, d, "supplier")),
                                               Weekly_Sales=4, Sales_Lag_1=4),
-    "store_ranking_suppliers": lambda s, d: shown(explore.store_ranking(
-        _kept(s, d, "supplier")), avg_sales=4),
+    "store_ranking_suppliers": q_store_ranking("supplier"),
 }
 
 

