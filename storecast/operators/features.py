@@ -24,12 +24,15 @@ def add_temperature_band(df: DataFrame, *, column: str = "Temperature",
         F.col(column), config.freezing, config.cold, config.moderate))
 
 
-def add_sales_lag(df: DataFrame, *, keys: Keys = Keys(), chunk: Column | None = None) -> DataFrame:
+def add_sales_lag(df: DataFrame, *, keys: Keys = Keys(), chunk: Column | None = None,
+                  unique: bool = False) -> DataFrame:
     """Sales of the series' previous row by date; 0 where there is none or it is
-    missing. `chunk` sets how a series is cut over tasks (default: by year)."""
+    missing. `chunk` sets how a series is cut over tasks (default: by year);
+    `unique` says that no (entity, item, time) repeats."""
     lagged = previous_value(
         df, by=keys.series, order=[time_order(keys.time)], value=keys.value,
-        out="Sales_Lag_1", chunk=year_chunk(keys.time) if chunk is None else chunk)
+        out="Sales_Lag_1", chunk=year_chunk(keys.time) if chunk is None else chunk,
+        unique=unique)
     return lagged.withColumn("Sales_Lag_1", F.coalesce("Sales_Lag_1", F.lit(0.0)))
 
 

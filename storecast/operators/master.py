@@ -10,12 +10,12 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import MACRO_COLUMNS, MARKDOWNS, Keys
 from ..functions.scalar import is_negative
-from .ordered import forward_fill, time_order, year_chunk
+from .ordered import forward_fill, time_order
 
 
 def _left(left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe: bool) -> DataFrame:
@@ -70,33 +70,37 @@ def impute_markdowns(df: DataFrame, columns: Sequence[str] = MARKDOWNS) -> DataF
 
 
 def ffill_macro(df: DataFrame, columns: Sequence[str] = MACRO_COLUMNS, *,
-                keys: Keys = Keys()) -> DataFrame:
+                keys: Keys = Keys(), unique: bool = False) -> DataFrame:
     """Forward fill within the entity over rows ordered by (item, time): the
     order of a file sorted by entity, item and date. Each item is one chunk of
-    its entity, so the work spreads over (entity, item)."""
+    its entity, so the work spreads over (entity, item). `unique` says that no
+    (entity, item, time) repeats."""
     return forward_fill(df, by=[keys.entity], order=[time_order(keys.time)],
-                        columns=columns, chunk=F.col(keys.item))
+                        columns=columns, chunk=F.col(keys.item), unique=unique)
 
 
 def ffill_features(features: DataFrame, columns: Sequence[str] = MACRO_COLUMNS, *,
-                   keys: Keys = Keys()) -> DataFrame:
+                   keys: Keys = Keys(), chunk: Column | None = None) -> DataFrame:
     """Forward fill of the features table by date, before it meets the sales:
-    no value comes from a later week."""
+    no value comes from a later week. A store has one features row per date and
+    holiday flag, so a plain window over the store is short; give a chunk, such
+    as the year, where that does not hold."""
     return forward_fill(features, by=[keys.entity], order=[time_order(keys.time)],
-                        columns=columns, chunk=year_chunk(keys.time))
+                        columns=columns, chunk=chunk)
 
 
 def clean_master(master: DataFrame, *, markdowns: Sequence[str] = MARKDOWNS,
                  macro: Sequence[str] = MACRO_COLUMNS,
                  max_negative_share: float | None = 0.01,
-                 fill: str | None = "input", keys: Keys = Keys()) -> DataFrame:
+                 fill: str | None = "input", keys: Keys = Keys(),
+                 unique: bool = False) -> DataFrame:
     """Gate on the negative share (an action; None skips it), drop negative
     rows, zero missing markdowns, forward-fill the macro series."""
     if max_negative_share is not None:
         check_negative_share(master, max_negative_share, value=keys.value)
     df = impute_markdowns(drop_negative_sales(master, value=keys.value), markdowns)
     if fill == "input":
-        return ffill_macro(df, macro, keys=keys)
+        return ffill_macro(df, macro, keys=keys, unique=unique)
     if fill is None:
         return df
     raise ValueError("clean_master fills in 'input' order or not at all (None)")
@@ -105,7 +109,7 @@ def clean_master(master: DataFrame, *, markdowns: Sequence[str] = MARKDOWNS,
 def build_master(sales: DataFrame, stores: DataFrame, features: DataFrame, *,
                  markdowns: Sequence[str] = MARKDOWNS, macro: Sequence[str] = MACRO_COLUMNS,
                  max_negative_share: float | None = 0.01, fill: str = "chronological",
-                 keys: Keys = Keys()) -> DataFrame:
+                 keys: Keys = Keys(), unique: bool = False) -> DataFrame:
     """Merge and clean. `fill` is 'chronological' (features filled by date before
     the join) or 'input' (rows filled in (item, time) order after it). The
     negative-share gate looks at the sales alone, before any join."""
@@ -118,7 +122,8 @@ def build_master(sales: DataFrame, stores: DataFrame, features: DataFrame, *,
     kept = drop_negative_sales(sales, value=keys.value)
     return clean_master(
         merge_datasets(kept, stores, features, keys=keys), markdowns=markdowns, macro=macro,
-        max_negative_share=None, fill="input" if fill == "input" else None, keys=keys)
+        max_negative_share=None, fill="input" if fill == "input" else None, keys=keys,
+        unique=unique)
 
 
 def split_by_date(df: DataFrame, cutoff: str | dt.date, *,

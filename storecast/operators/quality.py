@@ -105,39 +105,78 @@ def check_negative(df: DataFrame, table: str, limit: float, *, value: str) -> Da
                                           F.col("s") * 100))
 
 
-def check_keys_present(df: DataFrame, table: str, keys: Sequence[str]) -> DataFrame:
-    """Join keys must not be missing: a missing key joins nothing."""
+def key_statistics(df: DataFrame, keys: Sequence[str], value: str | None = None) -> DataFrame:
+    """One row for all checks of a table: rows, rows whose key repeats, rows with
+    a missing key, and rows with a negative `value`. One shuffle of partial
+    counts per key."""
+    neg = is_negative(F.col(value)) if value else F.lit(False)
+    groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("c"), F.count_if(neg).alias("neg"))
     absent = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    n = df.agg(F.count_if(absent).alias("n"))
-    return _check(n, table, "key_nulls", severity="warn", passed=F.col("n") == 0,
-                  observed=F.col("n"), limit=0,
-                  message=F.concat(F.lit(f"{table}: "), F.col("n").cast("string"),
-                                   F.lit(" rows with a missing key")))
+
+    def total(c: Column) -> Column:
+        return F.coalesce(F.sum(c), F.lit(0))
+
+    return groups.agg(total(F.col("c")).alias("n"),
+                      total(F.when(F.col("c") > 1, F.col("c"))).alias("dup"),
+                      total(F.when(absent, F.col("c"))).alias("absent"),
+                      total(F.col("neg")).alias("neg"))
+
+
+def _row(table: str, check: str, passed: Column, observed: Column, limit: float, message: Column,
+         severity: str = "error") -> Column:
+    return F.struct(F.lit(table).alias("table_name"), F.lit(check).alias("check"),
+                    passed.alias("passed"), F.lit(severity).alias("severity"),
+                    observed.cast("double").alias("observed"),
+                    F.lit(float(limit)).alias("limit"), message.alias("message"))
+
+
+def _table_checks(df: DataFrame, table: str, required: Sequence[str], keys: Sequence[str], *,
+                  minimum: int | None = None, value: str | None = None,
+                  max_negative: float | None = None) -> DataFrame:
+    """All checks of one table as rows, from one pass over it."""
+    absent = missing_columns(df, required)
+    keyed, valued = _has(df, *keys), value is not None and value in df.columns
+    stats = (key_statistics(df, keys, value if valued else None) if keyed else
+             df.agg(F.count(F.lit(1)).alias("n"),
+                    F.count_if(is_negative(F.col(value)) if valued else F.lit(False))
+                    .alias("neg")))
+    n, pct = F.format_number("n", 0), F.col("neg") / F.greatest(F.col("n"), F.lit(1))
+    rows = [_row(table, "schema", F.lit(not absent), F.lit(len(absent)), 0,
+                 F.lit(f"{table}: missing columns {absent}") if absent else
+                 F.concat(F.lit(f"{table}: schema OK ("), n, F.lit(" rows)")))]
+    if minimum is not None:
+        rows.append(_row(table, "min_rows", F.col("n") >= minimum, F.col("n"), minimum,
+                         F.concat(F.lit(f"{table}: count "), n, F.lit(f", min {minimum:,}"))))
+    if keyed:
+        rows.append(_row(table, "unique_key", F.col("dup") == 0, F.col("dup"), 0, F.concat(
+            F.lit(f"{table}: "), F.col("dup").cast("string"),
+            F.lit(f" duplicate {'-'.join(keys)} keys"))))
+        rows.append(_row(table, "key_nulls", F.col("absent") == 0, F.col("absent"), 0, F.concat(
+            F.lit(f"{table}: "), F.col("absent").cast("string"),
+            F.lit(" rows with a missing key")), "warn"))
+    if valued and max_negative is not None:
+        rows.append(_row(table, "negative_share", pct <= max_negative, pct, max_negative,
+                         F.format_string(f"{table}: negative {value} %.2f%%, limit "
+                                         f"{max_negative:.2%}%", pct * 100), "warn"))
+    return stats.select(F.inline(F.array(*rows)))
 
 
 def validate_raw_tables(sales: DataFrame, stores: DataFrame, features: DataFrame,
                         quality: QualityConfig = QualityConfig(), *,
                         keys: Keys = Keys()) -> DataFrame:
-    """The check table of the three raw tables."""
+    """The check table of the three raw tables: one pass over each, and the
+    orphan join."""
     parts = [
-        check_schema({"sales": (sales, quality.required_sales_columns),
-                      "stores": (stores, quality.required_stores_columns),
-                      "features": (features, quality.required_features_columns)}),
-        check_row_count(stores, "stores", quality.min_stores),
-        check_row_count(sales, "sales", quality.min_rows),
+        _table_checks(sales, "sales", quality.required_sales_columns, keys.grain,
+                      minimum=quality.min_rows, value=keys.value,
+                      max_negative=quality.max_negative_sales_pct),
+        _table_checks(stores, "stores", quality.required_stores_columns, [keys.entity],
+                      minimum=quality.min_stores),
+        _table_checks(features, "features", quality.required_features_columns,
+                      [keys.entity, keys.time, keys.holiday]),
     ]
-    if _has(sales, *keys.grain):
-        parts += [check_unique(sales, "sales", keys.grain),
-                  check_keys_present(sales, "sales", keys.grain)]
-    if _has(stores, keys.entity):
-        parts.append(check_unique(stores, "stores", [keys.entity]))
-    if _has(features, keys.entity, keys.time, keys.holiday):
-        parts.append(check_unique(features, "features", [keys.entity, keys.time, keys.holiday]))
     if _has(sales, keys.entity) and _has(stores, keys.entity):
         parts.append(check_orphans(sales, stores, "sales", keys.entity, "stores"))
-    if _has(sales, keys.value):
-        parts.append(check_negative(sales, "sales", quality.max_negative_sales_pct,
-                                    value=keys.value))
     return _union(parts)
 
 

@@ -3,6 +3,10 @@
 Store = supplier nation (or the supplier itself), Dept = part brand number,
 Date = Friday of the ship week. The formulas for holidays, types, sizes, CPI
 and unemployment are invented test data.
+
+Lines without a store, department or date are no sales. Saying so here also
+keeps both branches of a later self-join alike (a join on these keys would
+filter one side only), so that Spark reuses one shuffle of the order lines.
 """
 
 from __future__ import annotations
@@ -24,12 +28,13 @@ def _friday(c: Column) -> Column:
 def _store_of(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
     column = {"nation": "s_nationkey", "supplier": "s_suppkey"}[entity]
     return table(spark, sf_dir, "supplier").select(
-        "s_suppkey", F.col(column).cast("int").alias("Store"))
+        "s_suppkey", F.col(column).cast("int").alias("Store")).where("Store IS NOT NULL")
 
 
 def _dept_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select(
-        "p_partkey", F.expr("CAST(substr(p_brand, 7) AS INT)").alias("Dept"))
+        "p_partkey", F.expr("CAST(substr(p_brand, 7) AS INT)").alias("Dept")) \
+        .where("Dept IS NOT NULL")
 
 
 def sales(spark: SparkSession, sf_dir: str, entity: str = "nation") -> DataFrame:
@@ -38,7 +43,7 @@ def sales(spark: SparkSession, sf_dir: str, entity: str = "nation") -> DataFrame
         F.when((F.col("l_returnflag") == "R") & (F.col("l_quantity") <= 1),
                -F.col("l_extendedprice"))
         .otherwise(F.col("l_extendedprice") * (1 - F.col("l_discount")))
-        .cast("decimal(18,4)").alias("amount"))
+        .cast("decimal(18,4)").alias("amount")).where("Date IS NOT NULL")
     return (lines
             .join(_dept_of(spark, sf_dir), F.col("l_partkey") == F.col("p_partkey"))
             .join(_store_of(spark, sf_dir, entity), F.col("l_suppkey") == F.col("s_suppkey"))
@@ -60,7 +65,8 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_suppkey", _friday(F.col("l_shipdate")).alias("Date"),
         F.col("l_quantity").cast("decimal(18,4)").alias("quantity"),
         F.col("l_tax").cast("decimal(18,4)").alias("tax"),
-        (F.col("l_extendedprice") * F.col("l_discount")).cast("decimal(18,4)").alias("off"))
+        (F.col("l_extendedprice") * F.col("l_discount")).cast("decimal(18,4)").alias("off")) \
+        .where("Date IS NOT NULL")
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", F.substring("o_orderpriority", 1, 1).alias("priority"))
     n = F.count(F.lit(1))

@@ -77,19 +77,20 @@ def _tables(s, d):
 
 
 def _master(s, d, fill: str = "chronological"):
-    return master.build_master(*_tables(s, d), fill=fill, max_negative_share=None)
+    return master.build_master(*_tables(s, d), fill=fill, max_negative_share=None, unique=True)
 
 
 def _engineered(s, d, anomalies: bool = True):
-    return engineered_master(*_tables(s, d), gate=False, anomalies=anomalies)
+    # The bridge groups by the sales key, so no key repeats.
+    return engineered_master(*_tables(s, d), gate=False, anomalies=anomalies, unique=True)
 
 
 def _flagged(s, d, entity: str = "nation"):
     return anomaly.flag_anomalies(_kept(s, d, entity))
 
 
-def _lagged(s, d):
-    return features.add_sales_lag(_kept(s, d))
+def _lagged(s, d, entity: str = "nation"):
+    return features.add_sales_lag(_kept(s, d, entity), unique=True)
 
 
 def _profiles(s, d):
@@ -557,8 +558,8 @@ QUERIES: dict[str, Query] = {
     "association_rules_k3": lambda s, d: _rules(_itemsets(s, d, 3)),
     "association_rules_orders": lambda s, d: _rules(_order_itemsets(s, d)),
     "flag_anomalies_suppliers": lambda s, d: _flag_columns(_flagged(s, d, "supplier")),
-    "sales_lag_suppliers": lambda s, d: shown(features.add_sales_lag(_kept(s, d, "supplier")),
-                                              Weekly_Sales=4, Sales_Lag_1=4),
+    "sales_lag_suppliers": lambda s, d: shown(_lagged(s, d, "supplier"), Weekly_Sales=4,
+                                              Sales_Lag_1=4),
     "store_ranking_suppliers": q_store_ranking("supplier"),
 }
 

@@ -14,18 +14,19 @@ from ..operators.master import (clean_master, check_negative_share, drop_negativ
 
 def engineered_master(sales: DataFrame, stores: DataFrame, features: DataFrame,
                       config: Config = Config(), *, keys: Keys = Keys(), gate: bool = True,
-                      anomalies: bool = True) -> DataFrame:
+                      anomalies: bool = True, unique: bool = False) -> DataFrame:
     """Merge, clean, engineer and flag.
 
     Lag and z-score depend on the sales rows alone. They are computed before the
     wide joins: the ordered shuffle then moves five columns instead of twenty,
     and no join is repeated for the statistics. With unique dimension keys, which
-    the quality checks demand, a left join changes neither.
+    the quality checks demand, a left join changes neither. `unique` says that
+    the sales key has been checked.
     """
     if gate:
         check_negative_share(sales, config.quality.max_negative_sales_pct, value=keys.value)
     kept = drop_negative_sales(sales, value=keys.value)
-    rows = add_sales_lag(kept, keys=keys)
+    rows = add_sales_lag(kept, keys=keys, unique=unique)
     if anomalies:
         rows = flag_anomalies(rows, threshold=config.anomaly.zscore_threshold, keys=keys,
                               fit_on=kept)
@@ -35,7 +36,8 @@ def engineered_master(sales: DataFrame, stores: DataFrame, features: DataFrame,
     markdowns = config.features.markdown_columns
     master = clean_master(merge_datasets(rows, stores, features, keys=keys),
                           markdowns=markdowns, max_negative_share=None,
-                          fill=None if chronological else "input", keys=keys)
+                          fill=None if chronological else "input", keys=keys,
+                          unique=unique)
     return (master.transform(add_temporal_features, time=keys.time)
             .transform(add_temperature_band, config=config.features)
             .transform(add_markdown_signals, markdowns))

@@ -80,8 +80,8 @@ def train(tables: Tables, out_dir: str, config: Config = Config(), *, keys: Keys
     spark, run_id, base = sales.sparkSession, new_run_id(), out_dir.rstrip("/")
     checks = raise_if_failed(validate(tables, config, keys=keys))
 
-    engineered = stage(engineered_master(sales, stores, features, config, keys=keys),
-                       "engineered")
+    engineered = stage(engineered_master(sales, stores, features, config, keys=keys,
+                                         unique=True), "engineered")
     checks += raise_if_failed(validate_master(
         engineered, required=config.quality.required_master_columns,
         max_null_share=config.quality.max_null_share))

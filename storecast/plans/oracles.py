@@ -291,6 +291,9 @@ _VALIDATE = " UNION ALL ".join([
     _check("sales", "key_nulls", "SELECT count(*) = 0 FROM sales WHERE Store IS NULL OR "
            "Dept IS NULL OR Date IS NULL", "warn"),
     _check("stores", "unique_key", _unique("stores", "Store")),
+    _check("stores", "key_nulls", "SELECT count(*) = 0 FROM stores WHERE Store IS NULL", "warn"),
+    _check("features", "key_nulls", "SELECT count(*) = 0 FROM features WHERE Store IS NULL OR "
+           "Date IS NULL OR IsHoliday IS NULL", "warn"),
     _check("features", "unique_key", _unique("features", "Store, Date, IsHoliday")),
     _check("sales", "orphans", "SELECT count(*) = 0 FROM sales WHERE Store NOT IN "
            "(SELECT Store FROM stores)"),
