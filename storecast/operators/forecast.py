@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import MARKDOWNS, ForecastConfig
+from ..session import shared_dir
 from .features import encode_type
 from .master import impute_markdowns, split_by_date
 from .metrics import regression_metrics
@@ -97,6 +98,7 @@ def train_forecaster(master: DataFrame, config: ForecastConfig = ForecastConfig(
     ('holdout'). Trees are the same for the same seed and data, so the model is
     refitted with the chosen number of trees on all training rows.
     """
+    shared_dir(master.sparkSession)  # boosting checkpoints its growing lineage there
     features = list(config.feature_columns)
     frame, mapping = model_frame(master)
     train, test = split_by_date(frame, split_date, time=time)

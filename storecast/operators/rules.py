@@ -31,6 +31,7 @@ RULE_SCHEMA = ("antecedents array<string>, consequents array<string>, support do
                "confidence double, lift double")
 MASK_BITS = 62
 CANDIDATES_PER_PASS = 20_000
+DRIVER_ITEMSETS = 1_000_000
 
 
 def top_departments(sales: DataFrame, n: int = 40, *, keys: Keys = Keys()) -> DataFrame:
@@ -66,15 +67,23 @@ def basket_matrix(sales: DataFrame, items: Sequence, *,
         F.max(F.col(item) == F.lit(x)).alias(f"item_{x}") for x in items])
 
 
-def _masks(sales: DataFrame, items: Sequence[str], basket_keys: Sequence[str], item: str
+def _present_rows(sales: DataFrame, basket_keys: Sequence[str], item: str) -> DataFrame:
+    """(basket keys..., item as text) of the rows without a missing key."""
+    rows = sales.select(*basket_keys, F.col(item).cast("string").alias(item))
+    for k in (*basket_keys, item):
+        rows = rows.where(F.col(k).isNotNull())
+    return rows
+
+
+def _masks(rows: DataFrame, items: Sequence[str], basket_keys: Sequence[str], item: str
            ) -> DataFrame:
     """(mask, weight): the distinct baskets as bit masks, and how often each
-    occurs. Bits and counts are combined per task before each shuffle."""
-    bit = F.lit(None).cast("long")
-    code = F.create_map(*[F.lit(x) for i, name in enumerate(items) for x in (name, 1 << i)])
-    bit = F.coalesce(F.try_element_at(code.cast("map<string,bigint>"),
-                                      F.col(item).cast("string")), F.lit(0).cast("long"))
-    baskets = sales.groupBy(*basket_keys).agg(F.bit_or(bit).alias("mask"))
+    occurs; other items set no bit. Bits and counts are combined per task before
+    each shuffle. The item table has at most 62 rows."""
+    bits = rows.sparkSession.createDataFrame(
+        [(name, 1 << i) for i, name in enumerate(items)], f"`{item}` string, bit bigint")
+    baskets = (rows.join(F.broadcast(bits), item, "left").groupBy(*basket_keys)
+               .agg(F.bit_or(F.coalesce("bit", F.lit(0))).alias("mask")))
     return baskets.groupBy("mask").agg(F.count(F.lit(1)).alias("weight"))
 
 
@@ -121,6 +130,11 @@ def _join_level(frequent: set[int]) -> list[int]:
     return sorted(out)
 
 
+def _least_count(min_support: float, n_baskets: int) -> int:
+    """The smallest count whose share of the baskets reaches min_support."""
+    return max(1, math.ceil(min_support * n_baskets - 1e-9))
+
+
 def frequent_itemsets(sales: DataFrame, *, min_support: float = 0.011,
                       max_len: int | None = None,
                       basket_keys: Sequence[str] = ("Store", "Date"), item: str = "Dept",
@@ -128,52 +142,71 @@ def frequent_itemsets(sales: DataFrame, *, min_support: float = 0.011,
     """(items, size, n, support) of all itemsets with support >= min_support, of
     at most `max_len` items where that is given.
 
-    `engine`: 'masks' (at most 62 frequent items), 'fpgrowth', or 'auto'. The
-    items that reach the support are few, at most the mean basket size divided by
-    the support; only they and the frequent itemsets themselves reach the driver
-    in the masks engine.
+    `engine`: 'masks', 'fpgrowth', or 'auto': masks while the items fit, all of
+    them or else those that reach the support, and while the itemsets of a level
+    stay below a million; FP-growth, whose results stay distributed, otherwise.
     """
-    spark = sales.sparkSession
-    rows = sales.select(*basket_keys, item)
-    for k in (*basket_keys, item):
-        rows = rows.where(F.col(k).isNotNull())
+    rows = _present_rows(sales, basket_keys, item)
+    if engine != "fpgrowth":
+        found = [r[0] for r in rows.select(item).distinct().limit(MASK_BITS + 1).collect()]
+        if len(found) <= MASK_BITS:
+            mined = _mine_masks(rows, sorted(found), min_support, max_len, basket_keys, item)
+            if mined is not None:
+                return mined
     distinct = rows.distinct().persist()
     try:
         n_baskets = distinct.select(*basket_keys).distinct().count()
         if n_baskets == 0:
-            return spark.createDataFrame([], ITEMSET_SCHEMA)
-        # The smallest count whose share reaches min_support.
-        least = max(1, math.ceil(min_support * n_baskets - 1e-9))
-        singles = {r["item"]: r["n"] for r in
-                   distinct.groupBy(F.col(item).cast("string").alias("item"))
-                   .agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least).collect()}
-        if engine == "fpgrowth" or (engine == "auto" and len(singles) > MASK_BITS):
-            return _fpgrowth(distinct, min_support, max_len, basket_keys, item, n_baskets)
-        if len(singles) > MASK_BITS:
-            raise ValueError(f"{len(singles)} frequent items; masks hold {MASK_BITS}")
-        names = sorted(singles)
-        counts = {1 << i: singles[name] for i, name in enumerate(names)}
-        level, size = set(counts), 1
-        masks = _masks(distinct, names, basket_keys, item).persist()
-        try:
-            while level and (max_len is None or size < max_len):
-                candidates = _join_level(level)
-                level, size = set(), size + 1
-                for start in range(0, len(candidates), CANDIDATES_PER_PASS):
-                    part = np.array(candidates[start:start + CANDIDATES_PER_PASS], dtype=np.int64)
-                    for r in (_count_level(masks, part, len(names))
-                              .where(F.col("n") >= least).collect()):
-                        counts[int(part[r["at"]])] = r["n"]
-                        level.add(int(part[r["at"]]))
-        finally:
-            masks.unpersist()
+            return sales.sparkSession.createDataFrame([], ITEMSET_SCHEMA)
+        if engine != "fpgrowth" and len(found) > MASK_BITS:
+            frequent = [r[0] for r in distinct.groupBy(item).agg(F.count(F.lit(1)).alias("n"))
+                        .where(F.col("n") >= _least_count(min_support, n_baskets))
+                        .select(item).limit(MASK_BITS + 1).collect()]
+            if len(frequent) <= MASK_BITS:
+                mined = _mine_masks(distinct, sorted(frequent), min_support, max_len,
+                                    basket_keys, item)
+                if mined is not None:
+                    return mined
+        if engine == "masks":
+            raise ValueError("too many items or itemsets for the masks engine")
+        return _fpgrowth(distinct, min_support, max_len, basket_keys, item, n_baskets)
     finally:
         distinct.unpersist()
-    rows = []
+
+
+def _mine_masks(rows: DataFrame, names: Sequence[str], min_support: float, max_len: int | None,
+                basket_keys: Sequence[str], item: str) -> DataFrame | None:
+    """Level by level over the bit masks; None where a level grows too large for
+    its itemsets to be kept on the driver."""
+    spark = rows.sparkSession
+    masks = _masks(rows, names, basket_keys, item).persist()
+    try:
+        n_baskets = masks.agg(F.coalesce(F.sum("weight"), F.lit(0))).first()[0]
+        if n_baskets == 0:
+            return spark.createDataFrame([], ITEMSET_SCHEMA)
+        least = _least_count(min_support, n_baskets)
+        counts: dict[int, int] = {}
+        candidates, size = [1 << i for i in range(len(names))], 1
+        while candidates:
+            if len(candidates) > DRIVER_ITEMSETS:
+                return None
+            level = set()
+            for start in range(0, len(candidates), CANDIDATES_PER_PASS):
+                part = np.array(candidates[start:start + CANDIDATES_PER_PASS], dtype=np.int64)
+                for r in (_count_level(masks, part, len(names))
+                          .where(F.col("n") >= least).collect()):
+                    counts[int(part[r["at"]])] = r["n"]
+                    level.add(int(part[r["at"]]))
+            if size == max_len:
+                break
+            candidates, size = _join_level(level), size + 1
+    finally:
+        masks.unpersist()
+    out = []
     for mask, n in counts.items():
         members = [name for i, name in enumerate(names) if mask >> i & 1]
-        rows.append((members, len(members), n, n / n_baskets))
-    return spark.createDataFrame(rows, ITEMSET_SCHEMA)
+        out.append((members, len(members), n, n / n_baskets))
+    return spark.createDataFrame(out, ITEMSET_SCHEMA)
 
 
 def _fpgrowth(distinct: DataFrame, min_support: float, max_len: int | None,

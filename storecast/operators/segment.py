@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from ..config import Keys, SegmentationConfig
 from ..functions.scalar import yeo_johnson
+from ..session import materialize
 
 # Functions shipped to Python workers travel by value: executors need no copy
 # of this package.
@@ -376,7 +377,7 @@ def fit_segmentation(master: DataFrame, config: SegmentationConfig = Segmentatio
                      ) -> SegmentationResult:
     """Profiles -> clusters. Labels are ordered by mean sales, so that a label
     means the same from run to run."""
-    profiles = store_profiles(master, keys=keys).persist()
+    profiles = materialize(store_profiles(master, keys=keys), "profiles")
     n = profiles.count()
     if n == 0:
         raise ValueError("no store profiles to segment")

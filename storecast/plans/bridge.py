@@ -22,7 +22,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _friday(c: Column) -> Column:
-    return F.date_add(F.date_trunc("week", c).cast("date"), 4)
+    """Friday of the week, Monday first: day arithmetic only."""
+    day = c.cast("date")
+    return F.date_add(day, F.lit(4) - F.weekday(day))
+
+
+def _units(c: Column) -> Column:
+    """An amount of at most four decimals as a whole number of ten-thousandths.
+    Sums of whole numbers are exact in any order, and cheaper than decimals."""
+    return F.rint(c * 10000).cast("long")
+
+
+def _total(c: str | Column) -> Column:
+    return F.sum(c).cast("double") / 10000
 
 
 def _store_of(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
@@ -40,15 +52,14 @@ def _dept_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sales(spark: SparkSession, sf_dir: str, entity: str = "nation") -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select(
         "l_partkey", "l_suppkey", _friday(F.col("l_shipdate")).alias("Date"),
-        F.when((F.col("l_returnflag") == "R") & (F.col("l_quantity") <= 1),
-               -F.col("l_extendedprice"))
-        .otherwise(F.col("l_extendedprice") * (1 - F.col("l_discount")))
-        .cast("decimal(18,4)").alias("amount")).where("Date IS NOT NULL")
+        _units(F.when((F.col("l_returnflag") == "R") & (F.col("l_quantity") <= 1),
+                      -F.col("l_extendedprice"))
+               .otherwise(F.col("l_extendedprice") * (1 - F.col("l_discount")))).alias("amount")).where("Date IS NOT NULL")
     return (lines
             .join(_dept_of(spark, sf_dir), F.col("l_partkey") == F.col("p_partkey"))
             .join(_store_of(spark, sf_dir, entity), F.col("l_suppkey") == F.col("s_suppkey"))
             .groupBy("Store", "Dept", "Date")
-            .agg(F.sum("amount").cast("double").alias("Weekly_Sales"))
+            .agg(_total("amount").alias("Weekly_Sales"))
             .withColumn("IsHoliday", F.weekofyear("Date").isin(*HOLIDAY_WEEKS)))
 
 
@@ -63,9 +74,8 @@ def stores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_suppkey", _friday(F.col("l_shipdate")).alias("Date"),
-        F.col("l_quantity").cast("decimal(18,4)").alias("quantity"),
-        F.col("l_tax").cast("decimal(18,4)").alias("tax"),
-        (F.col("l_extendedprice") * F.col("l_discount")).cast("decimal(18,4)").alias("off")) \
+        _units(F.col("l_quantity")).alias("quantity"), _units(F.col("l_tax")).alias("tax"),
+        _units(F.col("l_extendedprice") * F.col("l_discount")).alias("off")) \
         .where("Date IS NOT NULL")
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", F.substring("o_orderpriority", 1, 1).alias("priority"))
@@ -74,9 +84,9 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
               .join(_store_of(spark, sf_dir, "nation"), F.col("l_suppkey") == F.col("s_suppkey"))
               .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
               .groupBy("Store", "Date")
-              .agg((F.sum("quantity").cast("double") / n * 2).alias("Temperature"),
-                   (F.sum("tax").cast("double") / n * 20 + 2).alias("Fuel_Price"),
-                   *[F.sum(F.when(F.col("priority") == str(i), F.col("off"))).cast("double")
+              .agg((_total("quantity") / n * 2).alias("Temperature"),
+                   (_total("tax") / n * 20 + 2).alias("Fuel_Price"),
+                   *[_total(F.when(F.col("priority") == str(i), F.col("off")))
                      .alias(f"MarkDown{i}") for i in range(1, 6)],
                    n.alias("n")))
     week = F.weekofyear("Date")
@@ -96,7 +106,7 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
             .join(_dept_of(spark, sf_dir), F.col("l_partkey") == F.col("p_partkey"))
             .select(F.col("l_orderkey").alias("OrderKey"), "Dept",
                     (F.col("l_extendedprice") * (1 - F.col("l_discount")))
-                    .cast("decimal(18,4)").cast("double").alias("Weekly_Sales")))
+                    .alias("Weekly_Sales")))
 
 
 def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,7 +20,7 @@ from ..functions.scalar import parse_bool, parse_date
 from ..operators import anomaly, explore, features, forecast, master, metrics, quality, rules
 from ..operators import seasonal, segment
 from ..schemas import BY_NAME
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from ..sources.csv import read_csv, write_raw_csv
 from . import bridge
 from .features_plan import engineered_master
@@ -307,18 +307,18 @@ def q_yeo_johnson(s, d):
 
 
 def q_standardize(s, d):
-    p = _profiles(s, d)
+    p = materialize(_profiles(s, d), "profiles")
     return shown(segment.apply_scaler(p, segment.fit_scaler(p, PROFILE)),
                  **dict.fromkeys(PROFILE, 6))
 
 
 def q_pca(s, d):
-    p = _profiles(s, d).persist()
+    p = materialize(_profiles(s, d), "profiles")
     return segment.fit_projection(p).project(p).select("Store", "pc1", "pc2")
 
 
 def q_elbow(s, d):
-    p = _profiles(s, d).persist()
+    p = materialize(_profiles(s, d), "profiles")
     points = segment.fit_projection(p).project(p)
     curve = segment.elbow_curve(points, ["pc1", "pc2"], max_k=SMALL_SEGMENTS.elbow_max_k,
                                 restarts=SMALL_SEGMENTS.restarts)
@@ -353,7 +353,8 @@ def q_attach(s, d):
 # ---- forecasting ---------------------------------------------------------
 
 def _train(s, d):
-    df = segment.attach_clusters(_engineered(s, d, anomalies=False), _rule_segments(s, d))
+    df = materialize(segment.attach_clusters(_engineered(s, d, anomalies=False),
+                                             _rule_segments(s, d)), "forecast-input")
     return df, forecast.train_forecaster(df, SMALL_FORECAST, split_date=SPLIT)
 
 
@@ -448,7 +449,8 @@ def q_ar1(s, d):
 # ---- rules ---------------------------------------------------------------
 
 def _itemsets(s, d, max_len):
-    return rules.frequent_itemsets(_sales(s, d), min_support=SUPPORT, max_len=max_len)
+    sales = materialize(_sales(s, d).select("Store", "Date", "Dept"), "basket-rows")
+    return rules.frequent_itemsets(sales, min_support=SUPPORT, max_len=max_len)
 
 
 def _order_itemsets(s, d, max_len=None):

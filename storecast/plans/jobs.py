@@ -1,9 +1,4 @@
-"""The batch jobs: validate, ingest, train, score, and all of them in a row.
-
-A table that several steps read is written once to the shared folder and read
-back, which also ends its lineage: a lost executor costs a re-read, not a
-recomputation of everything before it.
-"""
+"""The batch jobs: validate, ingest, train, score, and all of them in a row."""
 
 from __future__ import annotations
 
@@ -22,7 +17,7 @@ from ..operators.quality import raise_if_failed, validate_master, validate_raw_t
 from ..operators.rules import mine_association_rules
 from ..operators.seasonal import best_orders, search_orders, weekly_totals
 from ..operators.segment import attach_clusters, cluster_summary, fit_segmentation
-from ..session import scratch_path
+from ..session import materialize
 from ..sources.bundle import load_bundle, save_bundle
 from ..sources.csv import load_raw_tables
 from ..sources.sinks import (append_run, new_run_id, write_forecasts, write_master, write_report,
@@ -32,16 +27,9 @@ from .features_plan import engineered_master
 Tables = tuple[DataFrame, DataFrame, DataFrame]
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write a table to the shared folder and read it back."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def load_staged(spark: SparkSession, data_dir: str, config: Config = Config()) -> Tables:
     """The raw CSV tables, parsed once."""
-    return tuple(stage(df, name) for df, name in
+    return tuple(materialize(df, name) for df, name in
                  zip(load_raw_tables(spark, data_dir, config.data),
                      ("sales", "stores", "features")))
 
@@ -80,7 +68,7 @@ def train(tables: Tables, out_dir: str, config: Config = Config(), *, keys: Keys
     spark, run_id, base = sales.sparkSession, new_run_id(), out_dir.rstrip("/")
     checks = raise_if_failed(validate(tables, config, keys=keys))
 
-    engineered = stage(engineered_master(sales, stores, features, config, keys=keys,
+    engineered = materialize(engineered_master(sales, stores, features, config, keys=keys,
                                          unique=True), "engineered")
     checks += raise_if_failed(validate_master(
         engineered, required=config.quality.required_master_columns,

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -27,6 +27,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/storecast/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Write a table that several steps read to the shared folder, once, and read
+    it back. This also ends its lineage: a lost executor costs a re-read, not a
+    recomputation of everything before it."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def local_session(cores: int | str = 8, app: str = "storecast") -> SparkSession:
     """A local session with the settings the tests and the bench use."""
     return (
