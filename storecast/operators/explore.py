@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import EXTERNAL_FACTORS, Keys
@@ -36,9 +36,12 @@ def holiday_lift(df: DataFrame, *, keys: Keys = Keys()) -> DataFrame:
     x, h = F.col(keys.value), F.col(keys.holiday)
     weekly = df.groupBy("Week").agg(
         F.avg(F.when(h, x)).alias("holiday_avg"), F.avg(F.when(~h, x)).alias("regular_avg"),
-        F.count(F.when(h, x)).alias("n_holiday"), F.count(F.when(~h, x)).alias("n_regular"))
-    base = df.agg(F.avg(F.when(~h, x)).alias("m")).first()["m"]
-    return weekly.withColumn("lift", F.col("holiday_avg") / F.lit(base).cast("double"))
+        F.count(F.when(h, x)).alias("n_holiday"), F.count(F.when(~h, x)).alias("n_regular"),
+        F.sum(F.when(~h, x)).alias("__regular"))
+    # At most 53 rows by now: one for each ISO week.
+    weeks = Window.partitionBy(F.lit(0))
+    base = F.sum("__regular").over(weeks) / F.sum("n_regular").over(weeks)
+    return weekly.withColumn("lift", F.try_divide(F.col("holiday_avg"), base)).drop("__regular")
 
 
 def histogram(df: DataFrame, columns: Sequence[str] = EXTERNAL_FACTORS, *, bins: int = 20

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..config import MACRO_COLUMNS, MARKDOWNS, Keys
 from ..functions.scalar import is_negative
-from .ordered import forward_fill, time_order
+from .ordered import forward_fill, time_order, year_chunk
 
 
 def _left(left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe: bool) -> DataFrame:
@@ -72,11 +72,12 @@ def impute_markdowns(df: DataFrame, columns: Sequence[str] = MARKDOWNS) -> DataF
 def ffill_macro(df: DataFrame, columns: Sequence[str] = MACRO_COLUMNS, *,
                 keys: Keys = Keys(), unique: bool = False) -> DataFrame:
     """Forward fill within the entity over rows ordered by (item, time): the
-    order of a file sorted by entity, item and date. Each item is one chunk of
-    its entity, so the work spreads over (entity, item). `unique` says that no
-    (entity, item, time) repeats."""
+    order of a file sorted by entity, item and date. Each year of an item is one
+    chunk of its entity, so the work spreads over (entity, item, year). `unique`
+    says that no (entity, item, time) repeats."""
+    chunk = F.struct(F.col(keys.item).alias("item"), year_chunk(keys.time).alias("year"))
     return forward_fill(df, by=[keys.entity], order=[time_order(keys.time)],
-                        columns=columns, chunk=F.col(keys.item), unique=unique)
+                        columns=columns, chunk=chunk, unique=unique)
 
 
 def ffill_features(features: DataFrame, columns: Sequence[str] = MACRO_COLUMNS, *,

@@ -7,6 +7,7 @@ become comma-joined text, so that two engines print the same values.
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
@@ -14,15 +15,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..config import MARKDOWNS, ForecastConfig, QualityConfig
-from ..config import SegmentationConfig
+from ..config import (MARKDOWNS, Config, DataConfig, ForecastConfig, QualityConfig, RulesConfig,
+                      SegmentationConfig)
 from ..functions.scalar import parse_bool, parse_date
 from ..operators import anomaly, explore, features, forecast, master, metrics, quality, rules
 from ..operators import seasonal, segment
 from ..schemas import BY_NAME
 from ..session import materialize, scratch_path
+from ..sources import sinks
 from ..sources.csv import read_csv, write_raw_csv
-from . import bridge
+from . import bridge, jobs
 from .features_plan import engineered_master
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -128,7 +130,7 @@ def q_parse_bool(s, d):
 
 
 def q_parse_dates(s, d):
-    day = F.col("o_orderdate")
+    day = F.col("o_orderdate").cast("date")
     text = (F.when(F.col("o_orderkey") % 3 == 0, F.date_format(day, "d/M/yyyy"))
             .when(F.col("o_orderkey") % 3 == 1, F.date_format(day, "dd/MM/yyyy"))
             .otherwise(F.date_format(day, "yyyy-MM-dd")))
@@ -159,9 +161,9 @@ def q_dq_duplicates(s, d):
 
 
 def q_dq_orphans(s, d):
-    some = bridge.stores(s, d).where("Type <> 'C'")
-    return quality.check_orphans(_sales(s, d), some, "sales", "Store", "stores").select(
-        "check", "passed", "observed")
+    """Suppliers as stores against the nations' store table: most are orphans."""
+    return quality.check_orphans(bridge.sales(s, d, "supplier"), bridge.stores(s, d), "sales",
+                                 "Store", "stores").select("check", "passed", "observed")
 
 
 def q_dq_negative_share(s, d):
@@ -279,6 +281,14 @@ def q_store_ranking(entity: str) -> Query:
                               avg_sales=4)
 
 
+def q_seasonality_wide(s, d):
+    years = range(1995, 2002)
+    df = explore.seasonality(features.add_temporal_features(_kept(s, d)), wide=years)
+    named = df.withColumnsRenamed({str(y): f"y{y}" for y in years})
+    columns = [f"y{y}" for y in years]
+    return shown(off_ties(named, *columns), **dict.fromkeys(columns, 4))
+
+
 def q_holiday_lift(s, d):
     df = features.add_temporal_features(_kept(s, d))
     return shown(off_ties(explore.holiday_lift(df), "holiday_avg", "regular_avg"), holiday_avg=4, regular_avg=4, lift=6)
@@ -352,10 +362,10 @@ def q_attach(s, d):
 
 # ---- forecasting ---------------------------------------------------------
 
-def _train(s, d):
+def _train(s, d, config: ForecastConfig = SMALL_FORECAST):
     df = materialize(segment.attach_clusters(_engineered(s, d, anomalies=False),
                                              _rule_segments(s, d)), "forecast-input")
-    return df, forecast.train_forecaster(df, SMALL_FORECAST, split_date=SPLIT)
+    return df, forecast.train_forecaster(df, config, split_date=SPLIT)
 
 
 def _saved(s, d):
@@ -366,7 +376,8 @@ def _saved(s, d):
 
 
 def q_train_forecast(s, d):
-    return _train(s, d)[1][1].select("Store", "Dept", "Date", "Weekly_Sales",
+    patient = dataclasses.replace(SMALL_FORECAST, early_stopping_rounds=4)
+    return _train(s, d, patient)[1][1].select("Store", "Dept", "Date", "Weekly_Sales",
                                      "predicted_weekly_sales")
 
 
@@ -425,21 +436,23 @@ def q_macro_drift(s, d):
 _BY = ["Store"]
 
 
-def _store_weeks(s, d):
-    return seasonal.densify(seasonal.weekly_totals(_sales(s, d), by=_BY), by=_BY)
+def _store_weeks(s, d, entity: str = "nation"):
+    totals = seasonal.weekly_totals(bridge.sales(s, d, entity), by=_BY)
+    return seasonal.densify(totals, by=_BY)
 
 
-def q_orders(s, d):
-    return seasonal.best_orders(seasonal.search_orders(_store_weeks(s, d), by=_BY), by=_BY)
+def q_orders(entity: str) -> Query:
+    return lambda s, d: seasonal.best_orders(
+        seasonal.search_orders(_store_weeks(s, d, entity), by=_BY), by=_BY)
 
 
 def q_fitted(s, d):
     return shown(seasonal.fit_series(_store_weeks(s, d), by=_BY))
 
 
-def q_naive(s, d):
-    return shown(seasonal.seasonal_naive(_store_weeks(s, d), by=_BY),
-                 y=4, seasonal_naive=4, seasonal_diff=4)
+def q_naive(entity: str) -> Query:
+    return lambda s, d: shown(seasonal.seasonal_naive(_store_weeks(s, d, entity), by=_BY),
+                              y=4, seasonal_naive=4, seasonal_diff=4)
 
 
 def q_ar1(s, d):
@@ -467,6 +480,75 @@ def _rules(itemsets: DataFrame) -> DataFrame:
                  support=8, confidence=8, lift=8)
 
 
+# ---- outputs and jobs: written, read back, compared -----------------------
+
+def q_sink_master(s, d):
+    path = sinks.write_master(features.add_temporal_features(_kept(s, d)),
+                              scratch_path(s, "master"))
+    return s.read.parquet(path).groupBy("Year").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("Weekly_Sales"), 0).alias("total"))
+
+
+def q_sink_forecasts(s, d):
+    df = _lagged(s, d).withColumn("predicted_weekly_sales", F.col("Sales_Lag_1"))
+    path = sinks.write_forecasts(df, scratch_path(s, "forecasts"))
+    return shown(s.read.parquet(path), Weekly_Sales=4, predicted_weekly_sales=4)
+
+
+def q_sink_scores(s, d):
+    df = _lagged(s, d).withColumn("point_forecast", F.col("Sales_Lag_1"))
+    path = sinks.write_scores(df, scratch_path(s, "scores"))
+    return shown(s.read.parquet(path), Weekly_Sales=4, point_forecast=4)
+
+
+def q_sink_export(s, d):
+    df = segment.attach_clusters(_lagged(s, d), _rule_segments(s, d))
+    scored = metrics.forecast_errors(df.withColumn("point_forecast", F.col("Sales_Lag_1")))
+    path = scratch_path(s, "export")
+    sinks.export_forecasts(scored, path, model="lag")
+    back = s.read.option("header", True).csv(path)
+    return shown(back.select(
+        *[F.col(c).cast("int") for c in ("Store", "Dept", "Cluster")], "Date", "model",
+        *[F.col(c).cast("double") for c in ("Weekly_Sales", "point_forecast", "forecast_error")],
+        F.col("scored_at").isNotNull().alias("stamped")),
+        Weekly_Sales=4, point_forecast=4, forecast_error=4)
+
+
+def q_sink_rules(s, d):
+    found = rules.rules_from_itemsets(_itemsets(s, d, 2), min_confidence=CONFIDENCE, min_lift=LIFT)
+    path = sinks.write_rules(rules.sort_rules(found), scratch_path(s, "rules"))
+    return shown(s.read.parquet(path), support=8, confidence=8, lift=8)
+
+
+def q_run_manifest(s, d):
+    """A training and a scoring row in a fresh runs table, metrics from the data."""
+    m = metrics.regression_metrics(_lagged(s, d), forecast="Sales_Lag_1").first().asDict()
+    path = scratch_path(s, "runs")
+    for run_id, stage in (("run-1", "train"), ("run-2", "score")):
+        runs = sinks.append_run(s, path, run_id=run_id, stage=stage, paths={},
+                                metrics=m if stage == "train" else None)
+    return shown(runs.select("run_id", "stage", "mae", "rmse",
+                             F.col("created_at").isNotNull().alias("stamped")), mae=4, rmse=4)
+
+
+def q_ingest(s, d):
+    df = jobs.ingest(_tables(s, d), scratch_path(s, "ingested"))
+    return shown(df.select("Store", "Dept", "Date", "Weekly_Sales", "Type", "CPI"),
+                 Weekly_Sales=4, CPI=6)
+
+
+def q_train_and_score(s, d):
+    """The whole train and score jobs on the driver tables, with small models."""
+    config = Config(data=DataConfig(test_split_date=SPLIT), quality=BRIDGE_QUALITY,
+                    segmentation=SegmentationConfig(restarts=1, elbow_max_k=3),
+                    forecasting=SMALL_FORECAST,
+                    association=RulesConfig(min_confidence=CONFIDENCE, min_lift=LIFT, max_len=2))
+    tables = tuple(materialize(t, "raw") for t in _tables(s, d))
+    out = scratch_path(s, "job")
+    jobs.train(tables, out, config)
+    return jobs.score(tables, out, config)
+
+
 def q_top_departments(s, d):
     return shown(rules.top_departments(_sales(s, d), 15), total_sales=4)
 
@@ -515,6 +597,7 @@ QUERIES: dict[str, Query] = {
     "store_ranking": q_store_ranking("nation"),
     "seasonality": lambda s, d: shown(off_ties(explore.seasonality(
         features.add_temporal_features(_kept(s, d))), "avg_sales"), avg_sales=4),
+    "seasonality_wide": q_seasonality_wide,
     "macro_histogram": lambda s, d: shown(explore.histogram(bridge.features(s, d)),
                                           lower=6, upper=6),
     "holiday_lift": q_holiday_lift,
@@ -544,10 +627,20 @@ QUERIES: dict[str, Query] = {
     "compare_runs": q_compare_runs,
     "macro_drift": q_macro_drift,
     "weekly_totals": lambda s, d: shown(seasonal.weekly_totals(_sales(s, d)), y=4),
-    "seasonal_order_search": q_orders,
+    "seasonal_order_search": q_orders("nation"),
+    "seasonal_order_search_suppliers": q_orders("supplier"),
     "seasonal_fitted": q_fitted,
-    "seasonal_naive": q_naive,
+    "seasonal_naive": q_naive("nation"),
+    "seasonal_naive_suppliers": q_naive("supplier"),
     "ar1_fit": q_ar1,
+    "sink_master": q_sink_master,
+    "sink_forecasts": q_sink_forecasts,
+    "sink_scores": q_sink_scores,
+    "sink_export": q_sink_export,
+    "sink_rules": q_sink_rules,
+    "run_manifest": q_run_manifest,
+    "ingest": q_ingest,
+    "train_and_score": q_train_and_score,
     "top_departments": q_top_departments,
     "top_department_sales": q_top_sales,
     "dept_baskets": lambda s, d: shown(rules.dept_baskets(_sales(s, d))),

@@ -17,7 +17,7 @@ from ..operators.quality import raise_if_failed, validate_master, validate_raw_t
 from ..operators.rules import mine_association_rules
 from ..operators.seasonal import best_orders, search_orders, weekly_totals
 from ..operators.segment import attach_clusters, cluster_summary, fit_segmentation
-from ..session import materialize
+from ..session import materialize, remove_path, scratch_path
 from ..sources.bundle import load_bundle, save_bundle
 from ..sources.csv import load_raw_tables
 from ..sources.sinks import (append_run, new_run_id, write_forecasts, write_master, write_report,
@@ -68,8 +68,10 @@ def train(tables: Tables, out_dir: str, config: Config = Config(), *, keys: Keys
     spark, run_id, base = sales.sparkSession, new_run_id(), out_dir.rstrip("/")
     checks = raise_if_failed(validate(tables, config, keys=keys))
 
-    engineered = materialize(engineered_master(sales, stores, features, config, keys=keys,
-                                         unique=True), "engineered")
+    staged = scratch_path(spark, "engineered")
+    engineered_master(sales, stores, features, config, keys=keys,
+                      unique=True).write.parquet(staged)
+    engineered = spark.read.parquet(staged)
     checks += raise_if_failed(validate_master(
         engineered, required=config.quality.required_master_columns,
         max_null_share=config.quality.max_null_share))
@@ -78,6 +80,7 @@ def train(tables: Tables, out_dir: str, config: Config = Config(), *, keys: Keys
     processed = write_master(attach_clusters(engineered, segments.profiles, keys=keys),
                              f"{base}/processed/master_{run_id}")
     master = spark.read.parquet(processed)
+    remove_path(spark, staged)
 
     forecast, holdout = train_forecaster(master, config.forecasting,
                                          split_date=config.data.test_split_date)

@@ -39,6 +39,16 @@ _BAND = ("CASE WHEN Temperature IS NULL THEN 'Unknown' WHEN Temperature <= 32 TH
 _YMW = ("CAST(year(Date) AS INT) AS Year, CAST(month(Date) AS INT) AS Month, "
         "CAST(weekofyear(Date) AS INT) AS Week")
 
+
+def _weeks(source: str) -> str:
+    return f"""
+  SELECT g.Store, g.Date, coalesce(w.y, 0) AS y
+  FROM (SELECT Store, CAST(unnest(generate_series(min(Date), max(Date), INTERVAL 7 DAY)) AS DATE)
+               AS Date FROM {source} GROUP BY Store) g
+  LEFT JOIN (SELECT Store, Date, sum(Weekly_Sales) AS y FROM {source} GROUP BY Store, Date) w
+    ON w.Store = g.Store AND w.Date = g.Date"""
+
+
 # name -> (names it needs, body)
 _CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "sales": ((), _sales("s.s_nationkey")),
@@ -110,12 +120,8 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
   UNION ALL SELECT 'Size', CAST(Size AS DOUBLE) FROM profiles
   UNION ALL SELECT 'Total_MD_Value', Total_MD_Value FROM profiles
   UNION ALL SELECT 'Unemployment', Unemployment FROM profiles"""),
-    "store_weeks": (("sales",), """
-  SELECT g.Store, g.Date, coalesce(w.y, 0) AS y
-  FROM (SELECT Store, CAST(unnest(generate_series(min(Date), max(Date), INTERVAL 7 DAY)) AS DATE)
-               AS Date FROM sales GROUP BY Store) g
-  LEFT JOIN (SELECT Store, Date, sum(Weekly_Sales) AS y FROM sales GROUP BY Store, Date) w
-    ON w.Store = g.Store AND w.Date = g.Date"""),
+    "store_weeks": (("sales",), _weeks("sales")),
+    "supplier_weeks": (("sales_sup",), _weeks("sales_sup")),
     "store_items": (("sales",), """
   SELECT DISTINCT CAST(Store AS VARCHAR) || '|' || CAST(Date AS VARCHAR) AS basket,
          CAST(Dept AS VARCHAR) AS item FROM sales"""),
@@ -301,6 +307,13 @@ _VALIDATE = " UNION ALL ".join([
            "END) <= 0.01 FROM sales", "warn"),
 ])
 
+
+def _naive(source: str) -> str:
+    back = f"lag(y, 52) OVER (PARTITION BY Store ORDER BY {source}.Date)"
+    return _with(f"SELECT Store, {_DATE}, round(y, 4) AS y, round({back}, 4) AS seasonal_naive, "
+                 f"round(y - {back}, 4) AS seasonal_diff FROM {source}", source)
+
+
 _FEATURE_VALUES = (f"round(Temperature, 6) AS Temperature, round(Fuel_Price, 6) AS Fuel_Price, "
                    f"{', '.join(_MD)}, round(CPI, 6) AS CPI, Unemployment, IsHoliday")
 
@@ -336,8 +349,8 @@ SELECT CAST(coalesce(sum(c), 0) AS BIGINT) AS duplicate_rows,
 FROM (SELECT count(*) AS c FROM lines GROUP BY Store, Dept, Date HAVING count(*) > 1)""", "lines"),
     "dq_orphans": _with("""
 SELECT 'orphans' AS "check", count(DISTINCT Store) = 0 AS passed,
-       CAST(count(DISTINCT Store) AS DOUBLE) AS observed FROM sales
-WHERE Store NOT IN (SELECT Store FROM stores WHERE Type <> 'C')""", "sales", "stores"),
+       CAST(count(DISTINCT Store) AS DOUBLE) AS observed FROM sales_sup
+WHERE Store NOT IN (SELECT Store FROM stores)""", "sales_sup", "stores"),
     "dq_negative_share": _with("""
 SELECT count(*) AS n_rows, count(*) FILTER (Weekly_Sales < 0) AS n_negative,
        round(CAST(count(*) FILTER (Weekly_Sales < 0) AS DOUBLE) / count(*), 8) AS negative_share
@@ -410,6 +423,9 @@ FROM (SELECT Date, count(*) AS n_rows, count(*) FILTER (Is_Anomaly) AS n_anomali
                            "GROUP BY Store", "kept"),
     "seasonality": _with(f"SELECT Year, Week, {_mean('avg(Weekly_Sales)')} AS avg_sales FROM "
                          f"(SELECT *, {_YMW} FROM kept) GROUP BY Year, Week", "kept"),
+    "seasonality_wide": _with("SELECT Week, " + ", ".join(
+        f"{_mean(f'avg(Weekly_Sales) FILTER (Year = {y})')} AS y{y}" for y in range(1995, 2002))
+        + f" FROM (SELECT *, {_YMW} FROM kept) GROUP BY Week", "kept"),
     "macro_histogram": _histogram(),
     "holiday_lift": _with(f"""
 SELECT Week, {_mean('avg(Weekly_Sales) FILTER (IsHoliday)')} AS holiday_avg,
@@ -507,16 +523,30 @@ WINDOW w AS (ORDER BY created_at, run_id)""", "holdout"),
     "macro_drift": _drift(),
     "weekly_totals": _with(f"SELECT {_DATE}, round(sum(Weekly_Sales), 4) AS y FROM sales "
                            "GROUP BY sales.Date", "sales"),
-    "seasonal_naive": _with(f"""
-SELECT Store, {_DATE}, round(y, 4) AS y,
-       round(lag(y, 52) OVER (PARTITION BY Store ORDER BY store_weeks.Date), 4) AS seasonal_naive,
-       round(y - lag(y, 52) OVER (PARTITION BY Store ORDER BY store_weeks.Date), 4)
-       AS seasonal_diff FROM store_weeks""", "store_weeks"),
+    "seasonal_naive": _naive("store_weeks"),
+    "seasonal_naive_suppliers": _naive("supplier_weeks"),
     "ar1_fit": _with("""
 SELECT Store, count(*) AS n, round(regr_slope(y, prev), 6) AS slope,
        round(regr_intercept(y, prev), 3) AS intercept, round(regr_r2(y, prev), 6) AS r2
 FROM (SELECT Store, y, lag(y) OVER (PARTITION BY Store ORDER BY Date) AS prev FROM store_weeks)
 WHERE prev IS NOT NULL GROUP BY Store""", "store_weeks"),
+    "sink_master": _with("SELECT CAST(year(Date) AS INT) AS Year, count(*) AS n_rows, "
+                         "round(sum(Weekly_Sales), 0) AS total FROM kept GROUP BY 1", "kept"),
+    "sink_forecasts": _with(f"SELECT {_KEY}, {_WS}, round(Sales_Lag_1, 4) AS "
+                            "predicted_weekly_sales FROM lagged", "lagged"),
+    "sink_scores": _with(f"SELECT {_KEY}, {_WS}, round(Sales_Lag_1, 4) AS point_forecast "
+                         "FROM lagged", "lagged"),
+    "sink_export": _with("""
+SELECT k.Store, k.Dept, CAST(k.Date AS VARCHAR) AS Date, g.Cluster, 'lag' AS model,
+       round(k.Weekly_Sales, 4) AS Weekly_Sales, round(k.Sales_Lag_1, 4) AS point_forecast,
+       round(k.Weekly_Sales - k.Sales_Lag_1, 4) AS forecast_error, true AS stamped
+FROM lagged k LEFT JOIN segments g ON g.Store = k.Store""", "lagged", "segments"),
+    "sink_rules": _rules("store_items", _SPLITS2),
+    "run_manifest": _with("""
+SELECT 'run-1' AS run_id, 'train' AS stage, round(avg(abs(Weekly_Sales - Sales_Lag_1)), 4) AS mae,
+       round(sqrt(avg(pow(Weekly_Sales - Sales_Lag_1, 2))), 4) AS rmse, true AS stamped FROM lagged
+UNION ALL SELECT 'run-2', 'score', NULL, NULL, true""", "lagged"),
+    "ingest": _with(f"SELECT {_KEY}, {_WS}, Type, round(CPI, 6) AS CPI FROM master", "master"),
     "top_departments": _with("SELECT Dept, round(sum(Weekly_Sales), 4) AS total_sales FROM sales "
                              "GROUP BY Dept ORDER BY sum(Weekly_Sales) DESC, Dept LIMIT 15",
                              "sales"),

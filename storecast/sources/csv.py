@@ -32,7 +32,11 @@ def typed(raw: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """One file or a folder of part files, each with the same header line; quotes
+    inside quoted fields are doubled. A line with too many or too few fields, or
+    a part file with another header, is an error."""
     raw = (spark.read.option("header", True).option("inferSchema", False)
+           .option("enforceSchema", False).option("escape", '"')
            .option("mode", "FAILFAST").csv(path))
     return typed(raw, schema)
 
@@ -64,4 +68,4 @@ def write_raw_csv(df: DataFrame, path: str) -> None:
         else:
             c = c.cast("string")
         out.append(F.coalesce(c, F.lit("NA")).alias(f.name))
-    df.select(*out).write.mode("overwrite").option("header", True).csv(path)
+    df.select(*out).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)

@@ -30,6 +30,11 @@ def _plain(v):
     return str(v)
 
 
+# Spark type -> DuckDB type.
+TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+         "boolean": "BOOLEAN"}
+
+
 def normalised(columns, rows):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     return sorted(columns), sorted(tuple(_plain(r[i]) for i in order) for r in rows)
@@ -43,6 +48,10 @@ def compare(spark, con, sf_dir: str, name: str, query, sql: str) -> str | None:
     want = normalised([d[0] for d in res.description], res.fetchall())
     if got[0] != want[0]:
         return f"columns {got[0]} != {want[0]}"
+    kinds = {d[0]: str(d[1]) for d in con.execute(f"DESCRIBE {sql}").fetchall()}
+    other = {c: (t, kinds[c]) for c, t in df.dtypes if TYPES.get(t) != kinds[c]}
+    if other:
+        return f"types differ: {other}"
     if len(got[1]) != len(want[1]):
         return f"rows {len(got[1])} != {len(want[1])}"
     diff = [(a, b) for a, b in zip(got[1], want[1]) if a != b]
