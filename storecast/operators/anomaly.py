@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import Keys
+from .ordered import CHUNK, last_value, time_order, year_chunk
 
 
 def flag_anomalies(df: DataFrame, *, threshold: float = 3.0, keys: Keys = Keys(),
@@ -28,6 +29,48 @@ def flag_anomalies(df: DataFrame, *, threshold: float = 3.0, keys: Keys = Keys()
                         F.coalesce(F.abs("Sales_ZScore") > threshold, F.lit(False))))
 
 
+def lag_and_flags(df: DataFrame, *, threshold: float = 3.0, keys: Keys = Keys(),
+                  chunk: Column | None = None, unique: bool = False) -> DataFrame:
+    """Sales_Lag_1, Sales_ZScore and Is_Anomaly in one shuffle of the rows.
+
+    The same as `add_sales_lag` and `flag_anomalies` one after the other. One
+    aggregation per (series, chunk) yields the chunk's last value and its
+    moments; over those few rows the value carried into each chunk and the mean
+    and deviation of the whole series are combined, and one join brings all of
+    it back to the rows, which are already partitioned by (series, chunk).
+    """
+    by, x = keys.series, F.col(keys.value)
+    order = time_order(keys.time)
+    rows = df.withColumn(CHUNK, year_chunk(keys.time) if chunk is None else chunk)
+
+    parts = rows.groupBy(*by, CHUNK).agg(
+        last_value(keys.value, [order], [], unique, False).alias("__end"),
+        F.count(x).alias("__n"), F.avg(x).alias("__m"), F.var_pop(x).alias("__v"))
+    series = Window.partitionBy(*by)
+    total, n = F.sum(F.col("__n") * F.col("__m")).over(series), F.sum("__n").over(series)
+    # Squares around the series mean: within each chunk, and of the chunk means.
+    squares = F.col("__n") * (F.col("__v") + F.pow(F.col("__m") - F.col("__mean"), 2))
+    parts = (parts.withColumns({
+                 "__carry": F.lag("__end").over(series.orderBy(CHUNK)),
+                 "__count": n, "__mean": F.try_divide(total, n)})
+             .withColumn("__sq", F.sum(squares).over(series))
+             .select(*by, CHUNK, "__carry", "__mean", F.when(F.col("__count") > 1, F.sqrt(
+                 F.col("__sq") / (F.col("__count") - 1))).alias("__sd")))
+
+    inside = Window.partitionBy(*by, CHUNK).orderBy(*([order] if unique else [order, x]))
+    marked = rows.withColumns({"__prev": F.lag(x).over(inside),
+                               "__first": F.row_number().over(inside) == 1})
+    known = F.col(by[0]).isNotNull() & F.col(by[1]).isNotNull()
+    lag = F.when(known, F.when(F.col("__first"), F.col("__carry")).otherwise(F.col("__prev")))
+    z = (x - F.col("__mean")) / (F.col("__sd") + F.lit(1e-9))
+    made = ("Sales_Lag_1", "Sales_ZScore", "Is_Anomaly")
+    return (marked.join(parts, [*by, CHUNK], "left")
+            .select(*[c for c in df.columns if c not in made],
+                    F.coalesce(lag, F.lit(0.0)).alias("Sales_Lag_1"), z.alias("Sales_ZScore"))
+            .withColumn("Is_Anomaly",
+                        F.coalesce(F.abs("Sales_ZScore") > threshold, F.lit(False))))
+
+
 def anomaly_summary(df: DataFrame, *, keys: Keys = Keys()) -> DataFrame:
     """One row: anomalies, their rate, and the holiday share among them."""
     flag = F.coalesce(F.col("Is_Anomaly"), F.lit(False))

@@ -57,7 +57,7 @@ def check_negative_share(df: DataFrame, limit: float, *, value: str = "Weekly_Sa
     """Action: raises where more than `limit` of the rows are negative."""
     share = negative_share(df, value=value).first()["negative_share"]
     if share > limit:
-        raise ValueError(f"Negative sales exceed threshold: {share:.2%} > {limit:.2%}")
+        raise ValueError(f"{share:.2%} of the rows have negative {value}; the limit is {limit:.2%}")
 
 
 def drop_negative_sales(df: DataFrame, *, value: str = "Weekly_Sales") -> DataFrame:

@@ -22,7 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_CHUNK = "__chunk"
+CHUNK = "__chunk"
 _END_OF_TIME = "9999-12-31"
 
 
@@ -40,7 +40,7 @@ def _present(by: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in by])
 
 
-def _last_value(column: str, order: Sequence[Column], ties: Sequence[str], unique: bool,
+def last_value(column: str, order: Sequence[Column], ties: Sequence[str], unique: bool,
                 skip_missing: bool) -> Column:
     """Aggregate: `column` of the last row, or of the last row that has it."""
     c = F.col(column)
@@ -62,10 +62,10 @@ def previous_value(df: DataFrame, *, by: Sequence[str], order: Sequence[Column],
         prev = F.lag(value).over(Window.partitionBy(*by).orderBy(*sort))
         return df.select(*others, F.when(_present(by), prev).alias(out))
 
-    keys = by + [_CHUNK]
-    rows = df.withColumn(_CHUNK, chunk)
-    ends = rows.groupBy(*keys).agg(_last_value(value, order, [], unique, False).alias("__end"))
-    across = Window.partitionBy(*by).orderBy(_CHUNK)
+    keys = by + [CHUNK]
+    rows = df.withColumn(CHUNK, chunk)
+    ends = rows.groupBy(*keys).agg(last_value(value, order, [], unique, False).alias("__end"))
+    across = Window.partitionBy(*by).orderBy(CHUNK)
     carry = ends.select(*keys, F.lag("__end").over(across).alias("__carry"))
 
     inside = Window.partitionBy(*keys).orderBy(*sort)
@@ -94,11 +94,11 @@ def forward_fill(df: DataFrame, *, by: Sequence[str], order: Sequence[Column],
         filled = {c: F.when(_present(by), f) for c, f in running(by).items()}
         return df.select(*[filled[c].alias(c) if c in filled else F.col(c) for c in df.columns])
 
-    keys = by + [_CHUNK]
-    rows = df.withColumn(_CHUNK, chunk)
+    keys = by + [CHUNK]
+    rows = df.withColumn(CHUNK, chunk)
     ends = rows.groupBy(*keys).agg(*[
-        _last_value(c, order, columns, unique, True).alias(f"__end_{c}") for c in columns])
-    before = (Window.partitionBy(*by).orderBy(_CHUNK)
+        last_value(c, order, columns, unique, True).alias(f"__end_{c}") for c in columns])
+    before = (Window.partitionBy(*by).orderBy(CHUNK)
               .rowsBetween(Window.unboundedPreceding, -1))
     carry = ends.select(*keys, *[
         F.last(f"__end_{c}", ignorenulls=True).over(before).alias(f"__carry_{c}")

@@ -214,11 +214,11 @@ class DataQualityError(ValueError):
 def raise_if_failed(checks: DataFrame) -> list[str]:
     """Action: raises with the messages of all failed error checks; otherwise
     returns the messages of all checks. A check table has a fixed few rows."""
-    rows = checks.collect()
-    failed = [r["message"] for r in rows if r["severity"] == "error" and not r["passed"]]
-    if failed:
-        raise DataQualityError(
-            "Data quality checks failed:\n" + "\n".join(f"  - {m}" for m in failed))
+    rows = checks.select("message", (~F.col("passed") & (F.col("severity") == "error"))
+                         .alias("fatal")).collect()
+    fatal = [r["message"] for r in rows if r["fatal"]]
+    if fatal:
+        raise DataQualityError(f"{len(fatal)} data quality check(s) failed: " + "; ".join(fatal))
     return [r["message"] for r in rows]
 
 

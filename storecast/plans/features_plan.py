@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ..config import Config, Keys
-from ..operators.anomaly import flag_anomalies
+from ..operators.anomaly import lag_and_flags
 from ..operators.features import (add_markdown_signals, add_sales_lag, add_temperature_band,
                                   add_temporal_features)
 from ..operators.master import (clean_master, check_negative_share, drop_negative_sales,
@@ -26,10 +26,9 @@ def engineered_master(sales: DataFrame, stores: DataFrame, features: DataFrame,
     if gate:
         check_negative_share(sales, config.quality.max_negative_sales_pct, value=keys.value)
     kept = drop_negative_sales(sales, value=keys.value)
-    rows = add_sales_lag(kept, keys=keys, unique=unique)
-    if anomalies:
-        rows = flag_anomalies(rows, threshold=config.anomaly.zscore_threshold, keys=keys,
-                              fit_on=kept)
+    rows = (lag_and_flags(kept, threshold=config.anomaly.zscore_threshold, keys=keys,
+                          unique=unique)
+            if anomalies else add_sales_lag(kept, keys=keys, unique=unique))
     chronological = config.data.fill == "chronological"
     if chronological:
         features = ffill_features(features, keys=keys)

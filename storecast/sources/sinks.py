@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
-import uuid
+import secrets
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +19,8 @@ RUN_SCHEMA = ("run_id string, stage string, created_at timestamp, processed_path
 
 
 def new_run_id() -> str:
-    return dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%SZ") + "-" + uuid.uuid4().hex[:8]
+    """UTC stamp and eight hex digits; sorts by time."""
+    return f"{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%SZ}-{secrets.token_hex(4)}"
 
 
 def write_master(df: DataFrame, path: str) -> str:
