@@ -35,6 +35,12 @@ def forecast_errors(df: DataFrame, *, actual: str = "Weekly_Sales",
         "abs_pct_error": abs_pct_error(F.col(actual), F.col(forecast))})
 
 
+def mean_abs_pct_error(df: DataFrame) -> DataFrame:
+    """One row: scored rows and the mean of their abs_pct_error."""
+    return df.agg(F.count("abs_pct_error").alias("n"),
+                  F.avg("abs_pct_error").alias("mean_abs_pct_error"))
+
+
 def compare_runs(runs: DataFrame, *, metric: str = "rmse", time: str = "created_at",
                  run: str = "run_id", lower_is_better: bool = True) -> DataFrame:
     """Each run against the one before it and against the best before it (the

@@ -6,7 +6,9 @@ order, such as the year of the date. A window runs inside each (group, chunk);
 a second, small window over one row per (group, chunk) carries the state across
 chunk borders. The input is shuffled once, by (group, chunk), and the carried
 rows are joined back on that same partitioning. A group that holds a large
-share of all rows is thereby spread over as many tasks as it has chunks.
+share of all rows is thereby spread over as many tasks as it has chunks. Any
+expression that never decreases along the order will do: a month, a date, or a
+struct of item and year.
 
 `unique=True` says that the order has no ties within a group. The last value of
 a chunk is then found by hash aggregation; otherwise ties are broken by value,

@@ -13,6 +13,7 @@ import math
 import sys
 from collections.abc import Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
@@ -21,6 +22,7 @@ from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from ..config import Keys, SegmentationConfig
 from ..functions.scalar import yeo_johnson
@@ -186,33 +188,50 @@ def _assembled(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(columns), outputCol="__x").transform(df)
 
 
-def fit_kmeans(points: DataFrame, columns: Sequence[str], k: int, *, seed: int = 42,
-               restarts: int = 10) -> tuple[KMeansModel, float]:
-    """The best of `restarts` runs by training cost."""
+def _best_fits(points: DataFrame, columns: Sequence[str], ks: Sequence[int], seed: int,
+               restarts: int, parallelism: int) -> dict[int, tuple[KMeansModel, float]]:
+    """{k: (model, cost)}: for each k the best of `restarts` runs. The runs do not
+    depend on each other; a few at a time are submitted, as Spark's own
+    cross-validation does."""
     vectors = _assembled(points, columns).select("__x").persist()
-    best = None
+
+    def fit(task: tuple[int, int]) -> tuple[int, KMeansModel, float]:
+        k, start = task
+        model = KMeans(k=k, seed=start, featuresCol="__x", predictionCol="__raw").fit(vectors)
+        return k, model, model.summary.trainingCost
+
+    best: dict[int, tuple[KMeansModel, float]] = {}
     try:
-        for i in range(restarts):
-            model = KMeans(k=k, seed=seed + i, featuresCol="__x", predictionCol="__raw").fit(vectors)
-            cost = model.summary.trainingCost
-            if best is None or cost < best[1]:
-                best = (model, cost)
+        vectors.count()
+        tasks = [(k, seed + i) for k in ks for i in range(restarts)]
+        with ThreadPool(min(parallelism, len(tasks))) as pool:
+            for k, model, cost in pool.map(inheritable_thread_target(points.sparkSession)(fit),
+                                           tasks):
+                if k not in best or cost < best[k][1]:
+                    best[k] = (model, cost)
     finally:
         vectors.unpersist()
     return best
 
 
+def fit_kmeans(points: DataFrame, columns: Sequence[str], k: int, *, seed: int = 42,
+               restarts: int = 10, parallelism: int = 4) -> tuple[KMeansModel, float]:
+    """The best of `restarts` runs by training cost."""
+    return _best_fits(points, columns, [k], seed, restarts, parallelism)[k]
+
+
 def elbow_curve(points: DataFrame, columns: Sequence[str], *, max_k: int = 10, seed: int = 42,
-                restarts: int = 10) -> list[float]:
+                restarts: int = 10, parallelism: int = 4) -> list[float]:
     """Inertia for k = 1 .. max_k. One cluster needs no search: its inertia is
     the total variance."""
     n = points.count()
     total = points.select(*columns, F.lit(0).alias("__one"))
     curve = [wcss(total, columns, cluster="__one").first()["inertia"]]
-    for k in range(2, min(max_k, n) + 1):
-        cost = fit_kmeans(points, columns, k, seed=seed, restarts=restarts)[1]
+    ks = range(2, min(max_k, n) + 1)
+    fits = _best_fits(points, columns, ks, seed, restarts, parallelism) if ks else {}
+    for k in ks:
         # A larger k can only lose to a smaller one by an unlucky start.
-        curve.append(min(cost, curve[-1]))
+        curve.append(min(fits[k][1], curve[-1]))
     return curve
 
 

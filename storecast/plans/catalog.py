@@ -258,6 +258,11 @@ def q_forecast_errors(s, d):
         forecast_error=4, abs_pct_error=4)
 
 
+def q_mean_error(s, d):
+    scored = metrics.forecast_errors(_lagged(s, d), forecast="Sales_Lag_1")
+    return shown(metrics.mean_abs_pct_error(scored), mean_abs_pct_error=6)
+
+
 # ---- anomalies -----------------------------------------------------------
 
 def _flag_columns(df):
@@ -622,6 +627,7 @@ QUERIES: dict[str, Query] = {
     "score_forecast": q_score_forecast,
     "feature_importance": q_importance,
     "forecast_errors": q_forecast_errors,
+    "mean_abs_pct_error": q_mean_error,
     "regression_metrics": q_metrics,
     "metrics_by_segment": q_metrics_by_segment,
     "compare_runs": q_compare_runs,

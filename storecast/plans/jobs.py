@@ -17,7 +17,7 @@ from ..operators.quality import raise_if_failed, validate_master, validate_raw_t
 from ..operators.rules import mine_association_rules
 from ..operators.seasonal import best_orders, search_orders, weekly_totals
 from ..operators.segment import attach_clusters, cluster_summary, fit_segmentation
-from ..session import materialize, remove_path, scratch_path
+from ..session import remove_path, scratch_path
 from ..sources.bundle import load_bundle, save_bundle
 from ..sources.csv import load_raw_tables
 from ..sources.sinks import (append_run, new_run_id, write_forecasts, write_master, write_report,
@@ -27,11 +27,15 @@ from .features_plan import engineered_master
 Tables = tuple[DataFrame, DataFrame, DataFrame]
 
 
-def load_staged(spark: SparkSession, data_dir: str, config: Config = Config()) -> Tables:
-    """The raw CSV tables, parsed once."""
-    return tuple(materialize(df, name) for df, name in
-                 zip(load_raw_tables(spark, data_dir, config.data),
-                     ("sales", "stores", "features")))
+def load_staged(spark: SparkSession, data_dir: str, path: str, config: Config = Config()
+                ) -> Tables:
+    """The raw CSV tables, parsed once and kept as Parquet below `path`."""
+    out = []
+    for df, name in zip(load_raw_tables(spark, data_dir, config.data),
+                        ("sales", "stores", "features")):
+        df.write.mode("overwrite").parquet(f"{path}/{name}")
+        out.append(spark.read.schema(df.schema).parquet(f"{path}/{name}"))
+    return tuple(out)
 
 
 def validate(tables: Tables, config: Config = Config(), *, keys: Keys = Keys()) -> DataFrame:
@@ -140,6 +144,10 @@ def score(tables: Tables, out_dir: str, config: Config = Config(), *,
 def run_all(spark: SparkSession, data_dir: str, out_dir: str, config: Config = Config()
             ) -> tuple[TrainResult, DataFrame]:
     """Validate, train and score CSV input that is read once."""
-    tables = load_staged(spark, data_dir, config)
-    trained = train(tables, out_dir, config)
-    return trained, score(tables, out_dir, config, model_path=trained.model_path)
+    raw = scratch_path(spark, "raw")
+    tables = load_staged(spark, data_dir, raw, config)
+    try:
+        trained = train(tables, out_dir, config)
+        return trained, score(tables, out_dir, config, model_path=trained.model_path)
+    finally:
+        remove_path(spark, raw)

@@ -500,6 +500,9 @@ FROM engineered e LEFT JOIN segments g ON g.Store = e.Store LEFT JOIN (
 SELECT {_KEY}, round(Weekly_Sales - Sales_Lag_1, 4) AS forecast_error,
        round(abs(Weekly_Sales - Sales_Lag_1) / greatest(Weekly_Sales, 1) * 100, 4)
        AS abs_pct_error FROM lagged""", "lagged"),
+    "mean_abs_pct_error": _with("""
+SELECT count(*) AS n, round(avg(abs(Weekly_Sales - Sales_Lag_1) / greatest(Weekly_Sales, 1)) * 100,
+                            6) AS mean_abs_pct_error FROM lagged""", "lagged"),
     "regression_metrics": _with(f"SELECT {_metric_columns('Weekly_Sales', 'Sales_Lag_1')} "
                                 "FROM lagged", "lagged"),
     "metrics_by_segment": _with(

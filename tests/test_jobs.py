@@ -125,8 +125,9 @@ def test_run_all(spark, tables, tmp_path):
     bundle = load_bundle(spark, trained.model_path)
     assert bundle.type_encoding == {"A": 0, "B": 1, "C": 2}
     assert bundle.profiles.count() == 6
+    assert trained.profiles.count() == 6 and trained.master.where("Is_Anomaly IS NULL").count() == 0
     # A second training run replaces the champion and adds a row.
-    tables2 = jobs.load_staged(spark, data, CONFIG)
+    tables2 = jobs.load_staged(spark, data, f"{tmp_path}/staged", CONFIG)
     jobs.train(tables2, out, CONFIG)
     assert spark.read.parquet(f"{out}/artifacts/runs").count() == 3
 
