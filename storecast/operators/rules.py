@@ -138,19 +138,23 @@ def _least_count(min_support: float, n_baskets: int) -> int:
 def frequent_itemsets(sales: DataFrame, *, min_support: float = 0.011,
                       max_len: int | None = None,
                       basket_keys: Sequence[str] = ("Store", "Date"), item: str = "Dept",
-                      engine: str = "auto") -> DataFrame:
+                      engine: str = "auto", explosion_bits: int = 30) -> DataFrame:
     """(items, size, n, support) of all itemsets with support >= min_support, of
     at most `max_len` items where that is given.
 
     `engine`: 'masks', 'fpgrowth', or 'auto': masks while the items fit, all of
     them or else those that reach the support, and while the itemsets of a level
     stay below a million; FP-growth, whose results stay distributed, otherwise.
+    Without `max_len`, one set of b items that reaches the support brings 2^b
+    itemsets with it. Where b is found to exceed `explosion_bits` this raises,
+    rather than run without end.
     """
     rows = _present_rows(sales, basket_keys, item)
     if engine != "fpgrowth":
         found = [r[0] for r in rows.select(item).distinct().limit(MASK_BITS + 1).collect()]
         if len(found) <= MASK_BITS:
-            mined = _mine_masks(rows, sorted(found), min_support, max_len, basket_keys, item)
+            mined = _mine_masks(rows, sorted(found), min_support, max_len, basket_keys, item,
+                                explosion_bits)
             if mined is not None:
                 return mined
     distinct = rows.distinct().persist()
@@ -164,7 +168,7 @@ def frequent_itemsets(sales: DataFrame, *, min_support: float = 0.011,
                         .select(item).limit(MASK_BITS + 1).collect()]
             if len(frequent) <= MASK_BITS:
                 mined = _mine_masks(distinct, sorted(frequent), min_support, max_len,
-                                    basket_keys, item)
+                                    basket_keys, item, explosion_bits)
                 if mined is not None:
                     return mined
         if engine == "masks":
@@ -175,7 +179,8 @@ def frequent_itemsets(sales: DataFrame, *, min_support: float = 0.011,
 
 
 def _mine_masks(rows: DataFrame, names: Sequence[str], min_support: float, max_len: int | None,
-                basket_keys: Sequence[str], item: str) -> DataFrame | None:
+                basket_keys: Sequence[str], item: str, explosion_bits: int
+                ) -> DataFrame | None:
     """Level by level over the bit masks; None where a level grows too large for
     its itemsets to be kept on the driver."""
     spark = rows.sparkSession
@@ -185,6 +190,12 @@ def _mine_masks(rows: DataFrame, names: Sequence[str], min_support: float, max_l
         if n_baskets == 0:
             return spark.createDataFrame([], ITEMSET_SCHEMA)
         least = _least_count(min_support, n_baskets)
+        if max_len is None:
+            largest = masks.where(F.col("weight") >= least).agg(
+                F.max(F.bit_count("mask"))).first()[0] or 0
+            if largest > explosion_bits:
+                raise ValueError(f"a set of {largest} items reaches the support, and with it "
+                                 f"2^{largest} itemsets: set max_len or raise min_support")
         counts: dict[int, int] = {}
         candidates, size = [1 << i for i in range(len(names))], 1
         while candidates:
@@ -251,7 +262,8 @@ def mine_association_rules(sales: DataFrame, config: RulesConfig = RulesConfig()
     an empty table with the five columns."""
     kept = restrict_to_top(sales, config.max_departments, keys=keys)
     itemsets = frequent_itemsets(kept, min_support=config.min_support, max_len=config.max_len,
-                                 basket_keys=basket_keys, item=keys.item, engine=engine)
+                                 basket_keys=basket_keys, item=keys.item, engine=engine,
+                                 explosion_bits=20)
     return sort_rules(rules_from_itemsets(
         itemsets, min_confidence=config.min_confidence, min_lift=config.min_lift,
         min_length=config.min_length))

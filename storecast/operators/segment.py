@@ -93,7 +93,7 @@ def best_lambda(loglik: DataFrame) -> DataFrame:
 
 
 def fit_yeo_johnson(df: DataFrame, columns: Sequence[str], *, signed: Sequence[str] | None = None,
-                    low: float = -5.0, high: float = 5.0, points: int = 21, tolerance: float = 1e-4,
+                    low: float = -5.0, high: float = 5.0, points: int = 41, tolerance: float = 1e-4,
                     limit: float = 25.0) -> dict[str, float]:
     """Maximum-likelihood lambda per column: a coarse grid, widened while an edge
     wins, then refined around the winner. A constant column gets 1 (identity)."""
@@ -249,42 +249,37 @@ def silhouette(points: DataFrame, columns: Sequence[str], *, cluster: str = "Clu
     spark = points.sparkSession
     data = points.select(F.col(cluster).alias("c"),
                          *[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(columns)])
-    sizes = {r["c"]: r["n"] for r in
-             data.groupBy("c").agg(F.count(F.lit(1)).alias("n")).limit(max_points + 1).collect()}
-    n, k = sum(sizes.values()), len(sizes)
-    if k > max_points:
-        raise ValueError(f"more than {max_points} clusters")
-    schema = "silhouette double, n_points bigint, n_clusters int, metric string"
+    head = data.limit(max_points + 1).toPandas()
+    if len(head) <= max_points:
+        metric, n, k = "euclidean", len(head), head["c"].nunique()
+        per_point = _euclidean(spark, head, len(columns)) if 1 < k < n else None
+    else:
+        metric = "squared_euclidean"
+        per_point, n, k = _squared_euclidean(data, len(columns))
+    described = [F.lit(n).cast("bigint").alias("n_points"), F.lit(k).alias("n_clusters"),
+                 F.lit(metric).alias("metric")]
     if k < 2 or n <= k:
-        return spark.createDataFrame([(None, n, k, "euclidean")], schema)
-    per_point = (_euclidean(data, len(columns)) if n <= max_points
-                 else _squared_euclidean(data, len(columns)))
-    metric = "euclidean" if n <= max_points else "squared_euclidean"
-    return per_point.agg(F.avg("s").alias("silhouette")).select(
-        "silhouette", F.lit(n).cast("bigint").alias("n_points"), F.lit(k).alias("n_clusters"),
-        F.lit(metric).alias("metric"))
+        return spark.range(1).select(F.lit(None).cast("double").alias("silhouette"), *described)
+    return per_point.agg(F.avg("s").alias("silhouette")).select("silhouette", *described)
 
 
-def _euclidean(data: DataFrame, dims: int) -> DataFrame:
-    everyone = data.toPandas()
+def _euclidean(spark: SparkSession, everyone: pd.DataFrame, dims: int) -> DataFrame:
     labels, code = np.unique(everyone["c"].to_numpy(), return_inverse=True)
     xs = everyone[[f"x{i}" for i in range(dims)]].to_numpy()
-    onehot = np.eye(len(labels))[code]
-    shared = data.sparkSession.sparkContext.broadcast((labels, xs, onehot))
+    shared = spark.sparkContext.broadcast((xs, np.eye(len(labels))[code], code))
 
     def score(batches):
-        labels, xs, onehot = shared.value
+        xs, onehot, code = shared.value
         size = onehot.sum(axis=0)
+        block = max(1, 2_000_000 // len(xs))
         for pdf in batches:
-            block = max(1, 2_000_000 // len(xs))
             for start in range(0, len(pdf), block):
-                part = pdf.iloc[start:start + block]
-                own = np.searchsorted(labels, part["c"].to_numpy())
-                squared = np.zeros((len(part), len(xs)))
+                at = pdf["id"].to_numpy()[start:start + block]
+                squared = np.zeros((len(at), len(xs)))
                 for i in range(xs.shape[1]):
-                    squared += np.subtract.outer(part[f"x{i}"].to_numpy(), xs[:, i]) ** 2
+                    squared += np.subtract.outer(xs[at, i], xs[:, i]) ** 2
                 total = np.sqrt(squared) @ onehot
-                rows = np.arange(len(part))
+                own, rows = code[at], np.arange(len(at))
                 a = total[rows, own] / np.maximum(size[own] - 1, 1)
                 mean = total / size
                 mean[rows, own] = np.inf
@@ -293,18 +288,20 @@ def _euclidean(data: DataFrame, dims: int) -> DataFrame:
                 s = np.where(top > 0, (b - a) / np.where(top > 0, top, 1.0), 0.0)
                 yield pd.DataFrame({"s": np.where(size[own] == 1, 0.0, s)})
 
-    return data.mapInPandas(score, "s double")
+    return spark.range(len(xs)).mapInPandas(score, "s double")
 
 
-def _squared_euclidean(data: DataFrame, dims: int) -> DataFrame:
-    """Mean squared distance to a cluster = |x - centre|^2 + the cluster's
-    variance, so per-cluster sums suffice."""
+def _squared_euclidean(data: DataFrame, dims: int) -> tuple[DataFrame, int, int]:
+    """(scores, points, clusters). Mean squared distance to a cluster =
+    |x - centre|^2 + the cluster's variance, so per-cluster sums suffice."""
     axes = [f"x{i}" for i in range(dims)]
     spread = F.lit(0.0)
     for x in axes:
         spread = spread + F.var_pop(x)
     stats = data.groupBy("c").agg(F.count(F.lit(1)).alias("n"), spread.alias("v"),
-                                  *[F.avg(x).alias(x) for x in axes]).collect()
+                                  *[F.avg(x).alias(x) for x in axes]).limit(10_001).collect()
+    if len(stats) > 10_000:
+        raise ValueError("more than 10000 clusters")
 
     def mean_distance(r) -> Column:
         d = F.lit(float(r["v"]))
@@ -320,8 +317,9 @@ def _squared_euclidean(data: DataFrame, dims: int) -> DataFrame:
     b = F.array_min(F.array(*[F.when(~is_own, mean_distance(r))
                               for is_own, r in zip(own, stats)]))
     top = F.greatest(a, b)
-    return data.select(F.when((n_own == 1) | (top == 0), F.lit(0.0))
-                       .otherwise((b - a) / top).alias("s"))
+    scores = data.select(F.when((n_own == 1) | (top == 0), F.lit(0.0))
+                         .otherwise((b - a) / top).alias("s"))
+    return scores, sum(r["n"] for r in stats), len(stats)
 
 
 @dataclass

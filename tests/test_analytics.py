@@ -335,6 +335,14 @@ def test_more_items_than_mask_bits(spark):
     assert got.count() == 210 and got.where("size = 2").count() == 70
 
 
+def test_explosion_is_refused(spark):
+    baskets = [list(range(1, 41))] * 3
+    with pytest.raises(ValueError, match="2.40 itemsets"):
+        rules.frequent_itemsets(basket_sales(spark, baskets), basket_keys=["Store"])
+    assert rules.frequent_itemsets(basket_sales(spark, baskets), basket_keys=["Store"],
+                                   max_len=3).count() == 40 + 780 + 9880
+
+
 def test_rules_against_brute_force(spark):
     baskets = random_baskets(7)
     sets = brute(baskets, 0.03)
@@ -348,7 +356,7 @@ def test_rules_against_brute_force(spark):
                 if conf >= 0.1 and lift >= 0.5:
                     want[left, right] = (hit / n, conf, lift)
     got = rules.mine_association_rules(
-        basket_sales(spark, baskets), RulesConfig(min_support=0.03, min_confidence=0.1, min_lift=0.5),
+        basket_sales(spark, baskets), RulesConfig(min_support=0.03, min_confidence=0.1, min_lift=0.5, max_len=None),
         basket_keys=["Store"]).collect()
     assert {(tuple(r[0]), tuple(r[1])): pytest.approx(tuple(r[2:])) for r in got} == want
     assert any(len(r["consequents"]) > 1 for r in got)
