@@ -65,16 +65,16 @@ def _preparation(features: Sequence[str], impute: Sequence[str]) -> list:
     return stages
 
 
-def first_stall(errors: Sequence[float], patience: int) -> int:
-    """Number of trees at the best error, looking no further than `patience`
-    rounds beyond each best."""
+def first_stall(errors: Sequence[float], patience: int) -> tuple[int, bool]:
+    """(number of trees at the best error, whether `patience` rounds followed it
+    without a better one). Rounds after the first such stall do not count."""
     best, at = float("inf"), 0
     for i, e in enumerate(errors):
         if e < best:
             best, at = e, i
         elif i - at >= patience:
-            break
-    return at + 1
+            return at + 1, True
+    return at + 1, False
 
 
 def _tail_cutoff(train: DataFrame, time: str, share: float) -> dt.date | None:
@@ -119,6 +119,19 @@ def train_forecaster(master: DataFrame, config: ForecastConfig = ForecastConfig(
                 subsamplingRate=config.subsample, featureSubsetStrategy=str(config.colsample),
                 seed=config.random_state).fit(rows)
 
+        def grow(rows: DataFrame, valid: DataFrame):
+            """Twice as many trees each time until the error stalls. The first
+            trees of a longer run are those of a shorter one, so nothing is
+            missed, and a model that stalls early never trains all its rounds."""
+            size = min(config.n_estimators, 2 * config.early_stopping_rounds)
+            while True:
+                model = fit(rows, size)
+                best, stalled = first_stall(model.evaluateEachIteration(valid, "squared"),
+                                            config.early_stopping_rounds)
+                if stalled or size == config.n_estimators:
+                    return model, best
+                size = min(config.n_estimators, 2 * size)
+
         trees = config.n_estimators
         if config.early_stopping_rounds and config.early_stopping_rounds < trees:
             if config.validation == "holdout":
@@ -129,14 +142,9 @@ def train_forecaster(master: DataFrame, config: ForecastConfig = ForecastConfig(
                 fit_rows, valid = ((ready, None) if at is None
                                    else split_by_date(ready, at, time=time))
             if valid is not None and not valid.isEmpty():
-                candidate = fit(fit_rows, trees)
-                stop = first_stall(candidate.evaluateEachIteration(valid, "squared"),
-                                   config.early_stopping_rounds)
-                if fit_rows is ready and stop == trees:
-                    booster = candidate
-                else:
-                    booster = fit(ready, stop)
-                trees = stop
+                booster, trees = grow(fit_rows, valid)
+                if fit_rows is not ready or booster.getNumTrees != trees:
+                    booster = fit(ready, trees)
             else:
                 booster = fit(ready, trees)
         else:

@@ -84,7 +84,7 @@ def _difference(y: np.ndarray, d: int, D: int, m: int) -> np.ndarray:
 def _choose_differences(y: np.ndarray, m: int) -> tuple[int, int]:
     """Difference (seasonally, then plainly) where that lowers the variance, and
     only where enough points stay."""
-    D = int(len(y) > 3 * m and np.var(_difference(y, 0, 1, m)) < np.var(y))
+    D = int(len(y) >= 2 * m + 10 and np.var(_difference(y, 0, 1, m)) < np.var(y))
     w = _difference(y, 0, D, m)
     d = int(len(w) > 10 and np.var(np.diff(w)) < np.var(w))
     return d, D
@@ -130,7 +130,7 @@ def _fit_order(w: np.ndarray, e: np.ndarray, order: tuple[int, ...], m: int, sta
 def _candidates(cfg: SeasonalConfig, n: int) -> list[tuple[int, ...]]:
     """All (p, q, P, Q) within the limits that a series of n points can carry."""
     m = cfg.seasonal_period
-    seasonal = n > 3 * m
+    seasonal = n >= m + 30
     grid = itertools.product(range(cfg.max_p + 1), range(cfg.max_q + 1),
                              range(cfg.max_P * seasonal + 1), range(cfg.max_Q * seasonal + 1))
     return list(grid)
