@@ -41,7 +41,7 @@ def add_markdown_signals(df: DataFrame, markdowns: Sequence[str] = MARKDOWNS) ->
                            "Total_MD_Value": sum_present(markdowns)})
 
 
-def add_retail_signals(df: DataFrame, markdowns: Sequence[str] = MARKDOWNS, *,
+def add_sales_signals(df: DataFrame, markdowns: Sequence[str] = MARKDOWNS, *,
                        keys: Keys = Keys()) -> DataFrame:
     return add_markdown_signals(add_sales_lag(df, keys=keys), markdowns)
 
@@ -50,7 +50,7 @@ def engineer_features(df: DataFrame, *, config: FeaturesConfig = FeaturesConfig(
                       keys: Keys = Keys()) -> DataFrame:
     return (df.transform(add_temporal_features, time=keys.time)
             .transform(add_temperature_band, config=config)
-            .transform(add_retail_signals, config.markdown_columns, keys=keys))
+            .transform(add_sales_signals, config.markdown_columns, keys=keys))
 
 
 def type_encoding(df: DataFrame, *, column: str = "Type", limit: int = 100_000) -> dict[str, int]:

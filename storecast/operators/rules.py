@@ -12,19 +12,16 @@ from __future__ import annotations
 
 import itertools
 import math
-import sys
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark import cloudpickle
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import Keys, RulesConfig
 
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ITEMSET_SCHEMA = "items array<string>, size int, n bigint, support double"
 RULE_SCHEMA = ("antecedents array<string>, consequents array<string>, support double, "

@@ -9,20 +9,16 @@ side. Its numbers differ from a state-space maximum-likelihood fit.
 from __future__ import annotations
 
 import itertools
-import sys
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import Keys, SeasonalConfig
 
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 
 def weekly_totals(sales: DataFrame, *, by: Sequence[str] = (), keys: Keys = Keys()) -> DataFrame:
     """(by..., Date, y): sales per week, of the whole chain or per `by`. Missing

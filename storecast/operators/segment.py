@@ -10,14 +10,12 @@ from __future__ import annotations
 import dataclasses
 import json
 import math
-import sys
 from collections.abc import Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
-from pyspark import cloudpickle
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,10 +26,6 @@ from ..config import Keys, SegmentationConfig
 from ..functions.scalar import yeo_johnson
 from ..session import materialize
 
-# Functions shipped to Python workers travel by value: executors need no copy
-# of this package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 
 def store_profiles(master: DataFrame, *, keys: Keys = Keys()) -> DataFrame:
     """Per store: mean sales, size, mean markdown value, mean unemployment.

@@ -54,7 +54,8 @@ def sales(spark: SparkSession, sf_dir: str, entity: str = "nation") -> DataFrame
         "l_partkey", "l_suppkey", _friday(F.col("l_shipdate")).alias("Date"),
         _units(F.when((F.col("l_returnflag") == "R") & (F.col("l_quantity") <= 1),
                       -F.col("l_extendedprice"))
-               .otherwise(F.col("l_extendedprice") * (1 - F.col("l_discount")))).alias("amount")).where("Date IS NOT NULL")
+               .otherwise(F.col("l_extendedprice") * (1 - F.col("l_discount")))).alias("amount")) \
+        .where("Date IS NOT NULL")
     return (lines
             .join(_dept_of(spark, sf_dir), F.col("l_partkey") == F.col("p_partkey"))
             .join(_store_of(spark, sf_dir, entity), F.col("l_suppkey") == F.col("s_suppkey"))

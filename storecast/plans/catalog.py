@@ -296,7 +296,8 @@ def q_seasonality_wide(s, d):
 
 def q_holiday_lift(s, d):
     df = features.add_temporal_features(_kept(s, d))
-    return shown(off_ties(explore.holiday_lift(df), "holiday_avg", "regular_avg"), holiday_avg=4, regular_avg=4, lift=6)
+    lift = off_ties(explore.holiday_lift(df), "holiday_avg", "regular_avg")
+    return shown(lift, holiday_avg=4, regular_avg=4, lift=6)
 
 
 def q_run_summary(s, d):

@@ -43,6 +43,9 @@ def normalised(columns, rows):
 def compare(spark, con, sf_dir: str, name: str, query, sql: str) -> str | None:
     """None where equal, else a description of the difference."""
     df = query(spark, sf_dir)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    if "CartesianProduct" in plan or "NestedLoopJoin" in plan:
+        return "the plan holds a cross join"
     got = normalised(df.columns, df.collect())
     res = con.execute(sql)
     want = normalised([d[0] for d in res.description], res.fetchall())

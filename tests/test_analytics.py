@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from conftest import W1, W2, day, rows
 from storecast import schemas
-from storecast.config import RulesConfig, SeasonalConfig, SegmentationConfig
+from storecast.config import RulesConfig, SegmentationConfig
 from storecast.operators import anomaly, explore, metrics, rules, seasonal, segment
 from storecast.operators.features import engineer_features
 from storecast.operators.master import build_master
@@ -356,7 +356,8 @@ def test_rules_against_brute_force(spark):
                 if conf >= 0.1 and lift >= 0.5:
                     want[left, right] = (hit / n, conf, lift)
     got = rules.mine_association_rules(
-        basket_sales(spark, baskets), RulesConfig(min_support=0.03, min_confidence=0.1, min_lift=0.5, max_len=None),
+        basket_sales(spark, baskets),
+        RulesConfig(min_support=0.03, min_confidence=0.1, min_lift=0.5, max_len=None),
         basket_keys=["Store"]).collect()
     assert {(tuple(r[0]), tuple(r[1])): pytest.approx(tuple(r[2:])) for r in got} == want
     assert any(len(r["consequents"]) > 1 for r in got)

@@ -32,7 +32,10 @@ def test_equals_sql(spark, con, name):
     assert parity.compare(spark, con, SF_DIR, name, QUERIES[name], ORACLES[name]) is None
 
 
-@pytest.mark.parametrize("name", sorted(MODELS - {"score_forecast", "feature_importance", "train_and_score"}))
+SLOW = {"score_forecast", "feature_importance", "train_and_score"}
+
+
+@pytest.mark.parametrize("name", sorted(MODELS - SLOW))
 def test_model_queries_give_rows(spark, name):
     assert QUERIES[name](spark, SF_DIR).count() > 0
 
