@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import Keys, RulesConfig
+from ..session import materialize
 
 
 ITEMSET_SCHEMA = "items array<string>, size int, n bigint, support double"
@@ -223,7 +224,9 @@ def _fpgrowth(distinct: DataFrame, min_support: float, max_len: int | None,
     found = FPGrowth(itemsCol="items", minSupport=min_support).fit(baskets).freqItemsets
     out = found.select(F.array_sort("items").alias("items"), F.size("items").alias("size"),
                        F.col("freq").alias("n"), (F.col("freq") / n_baskets).alias("support"))
-    return out if max_len is None else out.where(F.col("size") <= max_len)
+    # The model's itemsets are recomputed on each use: keep them as a table.
+    return materialize(out if max_len is None else out.where(F.col("size") <= max_len),
+                       "itemsets")
 
 
 def rules_from_itemsets(itemsets: DataFrame, *, min_confidence: float = 0.8,

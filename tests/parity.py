@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 from pathlib import Path
@@ -67,7 +68,8 @@ def main() -> int:
     from storecast.session import local_session
 
     sf_dir, names = sys.argv[1], sys.argv[2:] or list(QUERIES)
-    spark = local_session()
+    spark = local_session(os.environ.get("PARITY_CPUS", "8"))
+    spark.conf.set("spark.sql.shuffle.partitions", os.environ.get("PARITY_PARTITIONS", "8"))
     spark.sparkContext.setLogLevel("ERROR")
     con, bad = connect(sf_dir), 0
     for name in names:
