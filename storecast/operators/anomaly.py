@@ -10,20 +10,24 @@ from .ordered import CHUNK, last_value, time_order, year_chunk
 
 
 def flag_anomalies(df: DataFrame, *, threshold: float = 3.0, keys: Keys = Keys(),
-                   fit_on: DataFrame | None = None) -> DataFrame:
+                   fit_on: DataFrame | None = None, salts: int = 8) -> DataFrame:
     """Adds Sales_ZScore and Is_Anomaly (|z| > threshold, strictly).
 
     Mean and sample deviation are aggregated per series first, so a series of
-    any length shrinks to one row before the shuffle, and joined back.
-    `fit_on` takes the statistics from other rows, for instance the training
-    period. A series of one row has no z-score and no anomaly.
+    any length shrinks to one row before the shuffle, and joined back. Where the
+    statistics are too many to broadcast, the join meets each series under
+    `salts` salts, and so in as many tasks; adaptive execution can split those
+    further. `fit_on` takes the statistics from other rows, for instance the
+    training period. A series of one row has no z-score and no anomaly.
     """
     by, x = keys.series, F.col(keys.value)
     stats = (df if fit_on is None else fit_on).groupBy(*by).agg(
         F.avg(x).alias("__mean"), F.stddev_samp(x).alias("__sd"))
+    salt = F.pmod(F.hash(keys.time, keys.value), F.lit(salts))
+    stats = stats.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     z = (x - F.col("__mean")) / (F.col("__sd") + F.lit(1e-9))
     kept = [c for c in df.columns if c not in ("Sales_ZScore", "Is_Anomaly")]
-    return (df.join(stats, by, "left")
+    return (df.withColumn("__salt", salt).join(stats, [*by, "__salt"], "left")
             .select(*kept, z.alias("Sales_ZScore"))
             .withColumn("Is_Anomaly",
                         F.coalesce(F.abs("Sales_ZScore") > threshold, F.lit(False))))

@@ -54,6 +54,13 @@ def test_lag_and_flags_shuffle_the_rows_once(tables, shuffled):
     assert "Cartesian" not in text and "NestedLoop" not in text
 
 
+def test_statistics_join_is_salted(tables, shuffled):
+    text = plan(anomaly.flag_anomalies(tables[0]))
+    # Rows and statistics meet by (series, salt); the statistics are made by series.
+    assert exchanges(text, "Store", "Dept", "__salt") == 2
+    assert exchanges(text, "Store", "Dept") == 1
+
+
 def test_engineered_master_scans_and_joins(tables, shuffled):
     text = plan(engineered_master(*tables, gate=False, unique=True))
     assert text.count("FileScan") == 4
