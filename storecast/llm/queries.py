@@ -56,12 +56,12 @@ QUERIES = {f.__name__: f for f in (op1_pii, op2_lm_score, op3_secrets, op4_bit_s
 ORACLES = {
     "op4_bit_sliced_top_k": """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(64 * x::DOUBLE)::BIGINT) AS q FROM embeddings
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS q FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (
   SELECT a.vec_id AS query_id, b.vec_id AS vec_id,
-         list_sum(list_transform(list_zip(a.q, b.q), p -> p[1] * p[2]))::BIGINT AS score
+         list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1] * p[2]))::BIGINT AS score
   FROM (SELECT DISTINCT * FROM v WHERE vec_id % 20 = 0) a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q))
 SELECT query_id, rank, vec_id, coalesce(score, 0) AS score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s) WHERE rank <= 20
@@ -70,10 +70,10 @@ SELECT query_id, rank, vec_id, coalesce(score, 0) AS score FROM (
 WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(regexp_split_to_array(
            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-           '[ \t\n\x0B\f\r]+'), x -> x <> '') AS w FROM documents),
+           '[ \t\n\x0B\f\r]+'), lambda x: x <> '') AS w FROM documents),
 s AS (
   SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-    ELSE list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' ')) END) AS s FROM w),
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM w),
 e AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
 pairs AS (
   SELECT a.doc_id AS u, b.doc_id AS v FROM e a JOIN e b ON a.g = b.g AND a.doc_id <> b.doc_id
