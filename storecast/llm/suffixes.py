@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .tables import staged
-from .text import Prints, slices
+from .text import Prints, bit_table, marked, mix, slices
 
 GRAM, WINDOW, STEP = 16, 128, 16
 #: Prefix lengths whose ranks the anchors go through before whole strings are compared.
@@ -47,18 +47,48 @@ def anchors(data: np.ndarray, offs: np.ndarray, prints: Prints, least: int) -> n
     return np.flatnonzero(gram == reach)
 
 
-def _first_ranks(least: int):
-    """(k, a, r, nx): at each anchor the ranks of the first FIRST bytes and of the next."""
+def _ranks(least: int, tables: list):
+    """(r): the rank of the first FIRST bytes at each anchor; with one bit table the
+    rank of SECOND bytes, at the anchors whose shorter rank it marks."""
     def run(batches):
         for batch in batches:
+            for _, _, data, offs in slices(batch.column(0)):
+                prints = Prints(data)
+                at = anchors(data, offs, prints, least)
+                rank = prints.of(at, at + FIRST)
+                if tables:
+                    on = marked(tables[0].value, rank)
+                    rank = _pair(rank[on], prints.of(at[on] + FIRST, at[on] + SECOND))
+                if len(rank):
+                    yield pa.RecordBatch.from_pydict({"r": rank.view(np.int64)})
+    return run
+
+
+def _pair(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """The rank of a string whose halves have these ranks."""
+    return mix(one * np.uint64(0x9FB21C651E98DF25) + two)
+
+
+def _marked_texts(least: int, tables: list):
+    """(k, text, at): the texts with anchors that both tables mark, and those anchors."""
+    def run(batches):
+        for batch in batches:
+            rows, found = [], []
             for i, _, data, offs in slices(batch.column(1)):
                 prints = Prints(data)
                 at = anchors(data, offs, prints, least)
-                if len(at):
-                    doc = np.searchsorted(offs, at, "right") - 1
-                    yield pa.RecordBatch.from_pydict({
-                        "k": batch.column(0).take(pa.array(i + doc)), "a": (at - offs[doc]).astype(np.int32),
-                        "r": prints.of(at, at + FIRST).view(np.int64), "nx": prints.of(at + FIRST, at + SECOND).view(np.int64)})
+                rank = prints.of(at, at + FIRST)
+                on = marked(tables[0].value, rank)
+                at, rank = at[on], rank[on]
+                at = at[marked(tables[1].value, _pair(rank, prints.of(at + FIRST, at + SECOND)))]
+                doc = np.searchsorted(offs, at, "right") - 1
+                own, first = np.unique(doc, return_index=True)
+                rows += (i + own).tolist()
+                found += [(x - offs[d]).astype(np.int32) for d, x in zip(own, np.split(at, first[1:]), strict=True)] if len(own) else []
+            if rows:
+                take = pa.array(rows)
+                yield pa.RecordBatch.from_pydict({"k": batch.column(0).take(take), "text": batch.column(1).take(take),
+                                                  "at": pa.array(found, pa.list_(pa.int32()))})
     return run
 
 
@@ -92,79 +122,82 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def repeat_spans(base: DataFrame, least: int = 400) -> tuple[DataFrame, DataFrame]:
+def repeat_spans(base: DataFrame, least: int = 400, table_bits: int = 27) -> tuple[DataFrame, DataFrame]:
     """(texts, spans): the texts (k, text) that may hold repeats, and (k, lo, hi)
-    whose union is what strings of `least` bytes that also start elsewhere cover.
-    base: (k, text as binary); rows of one k are copies of one another.
-
-    Prefix doubling over position and rank pairs: each anchor starts with the rank
-    of its first 128 bytes; anchors of a unique rank leave; the others get the rank
-    of the pair (own rank, rank 128 bytes on), and so on past the doubled length.
-    Ranks are 64-bit names, so that a round is one shuffle. For the survivors the
-    rest of the length is settled by the same step over growing strings: whole
-    surroundings of an anchor first, of which equal ones are settled together;
-    then, only where equal and unequal surroundings meet, 385-byte strings that
-    16 neighbouring starts share, and in the end single starts.
+    whose union is what strings of `least` bytes that also start elsewhere cover;
+    lo and hi may lie outside of the text. base: (k, text as binary); rows of one k
+    are copies of one another.
+
+    Prefix doubling over position and rank pairs: an anchor starts with the rank of
+    its first 128 bytes; those of a unique rank leave, the others get the rank of
+    the pair (own rank, rank 128 bytes on). Ranks are 64-bit names: a round is one
+    shuffle of ranks, and the ranks that occur twice go to the workers as a bit
+    table of fixed size (2**table_bits bits). An anchor that the table marks by
+    mistake is found to be unique later. For the survivors the rest of the length is
+    settled exactly by the same step over longer strings: whole surroundings of an
+    anchor, of which equal ones are settled together; then, where equal and unequal
+    surroundings meet, 385-byte strings that 16 neighbouring starts share, and in
+    the end single starts.
     """
     reach = WINDOW - 1
-    now = base.mapInArrow(_first_ranks(least), "k long, a int, r long, nx long")
-    for last in (False, True):
-        again = now.groupBy("r").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("r")
-        now = now.join(again, "r", "left_semi")
-        if not last:
-            now = now.select("k", "a", F.xxhash64("r", "nx").alias("r"))
-    lists = (now.groupBy("k", "a").agg(F.count(F.lit(1)).alias("w")).groupBy("k")
-             .agg(F.max("w").alias("w"), F.collect_list("a").alias("at")))
-    texts = staged(base.join(lists, "k").dropDuplicates(["k"]), "repeat-texts")
+    tables: list = []
+    for _ in (FIRST, SECOND):
+        again = base.select("text").mapInArrow(_ranks(least, list(tables)), "r long").groupBy("r").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        tables.append(bit_table(again, "r", table_bits))
+    texts = staged(base.mapInArrow(_marked_texts(least, tables), "k long, text binary, at array<int>"), "repeat-texts")
 
     def surroundings(data, prints, row):
-        a = np.sort(np.array(row["at"], np.int64))
+        a = np.array(row["at"], np.int64)
         lo, hi = np.maximum(a - reach, 0), np.minimum(a + least, len(data))
         name = prints.of(lo, hi) * np.uint64(0x9FB21C651E98DF25) + (a - lo).astype(np.uint64)
-        return {"k": _fill(row["k"], len(a)), "a": a, "f": _signed(prints.of(a, a + SECOND)), "c": _signed(name),
-                "w": _fill(row["w"], len(a)), "lo": lo, "hi": hi}
+        return {"k": _fill(row["k"], len(a)), "a": a, "f": _signed(prints.of(a, a + SECOND)), "c": _signed(name)}
 
-    around = staged(texts.mapInArrow(_per_text(surroundings, ["k", "at", "w"]), "k long, a long, f long, c long, w long, lo long, hi long"), "repeat-around")
-    kinds = staged(around.groupBy("f", "c").agg(F.sum("w").alias("cw"), F.min(F.struct("k", "a")).alias("rep")), "repeat-kinds")
-    closed = around.join(kinds.where("cw > 1").select("f", "c"), ["f", "c"], "left_semi").select("k", "lo", "hi")
+    around = staged(texts.mapInArrow(_per_text(surroundings, ["k", "at"]), "k long, a long, f long, c long")
+                    .select("k", F.col("a").cast("int").alias("a"), "f", "c"), "repeat-around")
+    kinds = staged(around.groupBy("c").agg(F.min("f").alias("f"), F.count(F.lit(1)).alias("cw"), F.min("k").alias("k"), F.min_by("a", F.struct("k", "a")).alias("a")), "repeat-kinds")
+    closed = (around.select("k", "a", "c").join(kinds.where("cw > 1").select("c"), "c", "left_semi")
+              .select("k", (F.col("a") - reach).alias("lo"), (F.col("a") + least).alias("hi")))
     mixed = kinds.groupBy("f").agg(F.count(F.lit(1)).alias("nc"), F.min("cw").alias("low")).where("nc > 1 and low = 1").select("f")
-    taking = kinds.join(mixed, "f", "left_semi").select("f", "c", "cw", "rep.k", "rep.a")
+    taking = kinds.join(mixed, "f", "left_semi").select("k", "a", F.least("cw", F.lit(2)).cast("int").alias("cw"))
 
     def ranges(data, prints, row):
-        a, f, c, cw = (np.array([x[n] for x in row["own"]], np.int64) for n in ("a", "f", "c", "cw"))
+        a, cw = (np.array([x[n] for x in row["own"]], np.int64) for n in ("a", "cw"))
         g = np.tile(np.arange(WINDOW // STEP), len(a))
-        a, f, c, cw = (np.repeat(x, WINDOW // STEP) for x in (a, f, c, cw))
+        a, cw = (np.repeat(x, WINDOW // STEP) for x in (a, cw))
         low, high = np.maximum(g * STEP, a + least - len(data)), np.minimum(g * STEP + STEP - 1, a)
         on = low <= high
-        a, f, c, cw, g, low, high = (x[on] for x in (a, f, c, cw, g, low, high))
+        a, cw, g, low, high = (x[on] for x in (a, cw, g, low, high))
         start = a - g * STEP
-        inner = prints.of(start, start + least - STEP + 1)
-        outer = prints.of(a - high, a - low + least) * np.uint64(0x9FB21C651E98DF25) + (low * 1024 + high).astype(np.uint64)
-        return {"k": _fill(row["k"], len(a)), "a": a, "f": f, "c": c, "cw": cw, "g": g, "i": _signed(inner), "u": _signed(outer), "low": low, "high": high}
-
-    own = taking.groupBy("k").agg(F.collect_list(F.struct("a", "f", "c", "cw")).alias("own"))
-    parts = staged(texts.select("k", "text").join(own, "k").mapInArrow(
-        _per_text(ranges, ["k", "own"]), "k long, a long, f long, c long, cw long, g long, i long, u long, low long, high long"), "repeat-ranges")
-    outer = staged(parts.groupBy("g", "i", "u").agg(F.sum("cw").alias("uw"), F.min(F.struct("k", "a", "low", "high")).alias("rep")), "repeat-outer")
-    several = outer.groupBy("g", "i").agg(F.count(F.lit(1)).alias("nu"), F.min("uw").alias("least")).where("nu > 1 and least = 1").select("g", "i")
-    single = outer.join(several, ["g", "i"], "left_semi").select("g", "i", "u", "rep.k", "rep.a", "rep.low", "rep.high")
+        inner = mix(prints.of(start, start + least - STEP + 1) + g.astype(np.uint64))
+        outer = mix(prints.of(a - high, a - low + least) + (low * 1024 + high).astype(np.uint64))
+        return {"k": _fill(row["k"], len(a)), "at": (a << 17) | (low << 9) | (high << 1) | (cw > 1), "i": _signed(inner), "u": _signed(outer)}
+
+    # at: position, least and largest distance of a start before it, and whether it counts twice.
+    own = taking.groupBy("k").agg(F.collect_list(F.struct("a", "cw")).alias("own"))
+    parts = staged(texts.select("k", "text").join(own, "k").mapInArrow(_per_text(ranges, ["k", "own"]), "k long, at long, i long, u long"), "repeat-ranges")
+    twin = F.col("at").bitwiseAND(1)
+    outer = staged(parts.groupBy("u").agg(F.min("i").alias("i"), F.sum(twin + 1).alias("uw"), F.min("k").alias("k"), F.min_by("at", F.struct("k", "at")).alias("at")), "repeat-outer")
+    several = outer.groupBy("i").agg(F.count(F.lit(1)).alias("nu"), F.min("uw").alias("least")).where("nu > 1 and least = 1").select("i")
+    single = outer.join(several, "i", "left_semi").select("u", "k", "at")
 
     def starts(data, prints, row):
-        a, g, i, u, low, high = (np.array([x[n] for x in row["own"]], np.int64) for n in ("a", "g", "i", "u", "low", "high"))
+        at, u = (np.array([x[n] for x in row["own"]], np.int64) for n in ("at", "u"))
+        a, low, high = at >> 17, (at >> 9) & 255, (at >> 1) & 255
         n = high - low + 1
-        a, g, i, u, low = (np.repeat(x, n) for x in (a, g, i, u, low))
+        a, u, low = (np.repeat(x, n) for x in (a, u, low))
         d = low + np.arange(len(a)) - np.repeat(np.cumsum(n) - n, n)
-        return {"k": _fill(row["k"], len(a)), "g": g, "i": i, "u": u, "d": d, "s": _signed(prints.of(a - d, a - d + least))}
+        return {"k": _fill(row["k"], len(a)), "u": u, "d": d, "s": _signed(mix(prints.of(a - d, a - d + least) + d.astype(np.uint64)))}
 
-    asked = single.groupBy("k").agg(F.collect_list(F.struct("a", "g", "i", "u", "low", "high")).alias("own"))
+    asked = single.groupBy("k").agg(F.collect_list(F.struct("at", "u")).alias("own"))
     tested = staged(texts.select("k", "text").join(asked, "k").mapInArrow(
-        _per_text(starts, ["k", "own"]), "k long, g long, i long, u long, d long, s long").drop("k"), "repeat-starts")
-    twice = tested.groupBy("d", "s").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("d", "s")
-    met = tested.join(twice, ["d", "s"], "left_semi").select("g", "i", "u", F.col("d").alias("low"), F.col("d").alias("high"))
-    sure = outer.where("uw > 1").select("g", "i", "u", "rep.low", "rep.high")
-    bounds = sure.unionByName(met).groupBy("g", "i", "u").agg(F.min("low").alias("dmin"), F.max("high").alias("dmax"))
-    opened = (parts.where("cw = 1").select("k", "a", "g", "i", "u").join(bounds, ["g", "i", "u"])
-              .groupBy("k", "a").agg(F.max("dmax").alias("dmax"), F.min("dmin").alias("dmin"))
+        _per_text(starts, ["k", "own"]), "k long, u long, d long, s long").select("u", F.col("d").cast("int").alias("d"), "s"), "repeat-starts")
+    twice = tested.groupBy("s").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("s")
+    met = tested.join(twice, "s", "left_semi").groupBy("u").agg(F.min("d").alias("low"), F.max("d").alias("high"))
+    low, high = F.shiftright("at", 9).bitwiseAND(255).cast("int"), F.shiftright("at", 1).bitwiseAND(255).cast("int")
+    sure = outer.where("uw > 1").select("u", low.alias("low"), high.alias("high"))
+    bounds = sure.unionByName(met).groupBy("u").agg(F.min("low").alias("dmin"), F.max("high").alias("dmax"))
+    a = F.shiftright("at", 17)
+    opened = (parts.where(twin == 0).select("k", a.cast("int").alias("a"), "u").join(bounds, "u")
               .select("k", (F.col("a") - F.col("dmax")).alias("lo"), (F.col("a") - F.col("dmin") + least).alias("hi")))
     return texts, closed.unionByName(opened)
 
@@ -176,7 +209,7 @@ def _cut(with_text: bool):
             kept_texts = []
             for text, spans in zip(batch.column("text"), batch.column("spans"), strict=True):
                 data = text.as_py()
-                at = np.array([(s["lo"], s["hi"]) for s in spans.as_py()], np.int64)
+                at = np.array([(s["lo"], s["hi"]) for s in spans.as_py()], np.int64).clip(0, len(data))
                 at = at[np.argsort(at[:, 0], kind="stable")]
                 end = np.maximum.accumulate(at[:, 1])
                 new = np.flatnonzero(np.concatenate(([True], at[1:, 0] > end[:-1])))
@@ -208,9 +241,9 @@ def remove_repeats(docs: DataFrame, least: int = 400, with_text: bool = False) -
     raw = F.encode(F.coalesce("text", F.lit("")), "utf-8")
     whole = docs.select("doc_id", key.alias("k"), raw.alias("text"))
     texts, spans = repeat_spans(whole.select("k", "text"), least)
-    joined = spans.distinct().groupBy("k").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
+    joined = spans.groupBy("k").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
     columns = "k long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
-    cut = texts.select("k", "text").join(joined, "k").mapInArrow(_cut(with_text), columns)
+    cut = texts.select("k", "text").join(joined, "k").mapInArrow(_cut(with_text), columns).dropDuplicates(["k"])
     base = whole.select("doc_id", "k", F.length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha"), *["text"] * with_text)
     return base.join(cut, "k", "left").select(
         "doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"), F.coalesce("n_spans", F.lit(0)).cast("long").alias("n_spans"),

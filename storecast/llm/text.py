@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import functions as F
@@ -124,19 +125,22 @@ def runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first, np.diff(np.append(first, len(keys)))
 
 
-#: Size of the bit table that workers hold, whatever the number of names: 2 MB.
-TABLE_BITS = 24
 
+def bit_table(rows, column: str, bits: int = 24):
+    """A broadcast of fixed size, 2**bits bits, that marks the upper bits of the names
+    in a long column. Names that are not marked do not occur. Made in pieces of 4 KB."""
+    def piece(frame: pd.DataFrame) -> pd.DataFrame:
+        marks = np.zeros(1 << 15, bool)
+        marks[frame["s"].to_numpy() & 0x7FFF] = True
+        return pd.DataFrame({"c": [int(frame["s"].iloc[0]) >> 15], "b": [np.packbits(marks, bitorder="little").tobytes()]})
 
-def bit_table(rows, column: str):
-    """A broadcast of fixed size that marks the upper bits of the names in a long
-    column. Names that are not marked do not occur; an exact join settles the rest."""
-    spots = rows.select(F.shiftrightunsigned(column, 64 - TABLE_BITS).cast("int").alias("s")).distinct().toPandas()["s"]
-    marks = np.zeros(1 << TABLE_BITS, bool)
-    marks[spots.to_numpy(np.int64)] = True
-    return rows.sparkSession.sparkContext.broadcast(np.packbits(marks, bitorder="little").tobytes())
+    spots = rows.select(F.shiftrightunsigned(column, 64 - bits).cast("int").alias("s")).distinct()
+    table = np.zeros(1 << (bits - 3), np.uint8)
+    for row in spots.groupBy(F.shiftright("s", 15)).applyInPandas(piece, "c int, b binary").toLocalIterator():
+        table[row["c"] << 12:(row["c"] + 1) << 12] = np.frombuffer(row["b"], np.uint8)
+    return rows.sparkSession.sparkContext.broadcast(table.tobytes())
 
 
-def marked(bits: bytes, names: np.ndarray) -> np.ndarray:
-    spot = (names >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
-    return (np.frombuffer(bits, np.uint8)[spot >> 3] >> (spot & 7).astype(np.uint8)) & 1 == 1
+def marked(table: bytes, names: np.ndarray) -> np.ndarray:
+    spot = (names >> np.uint64(62 - len(table).bit_length())).astype(np.int64)
+    return (np.frombuffer(table, np.uint8)[spot >> 3] >> (spot & 7).astype(np.uint8)) & 1 == 1
