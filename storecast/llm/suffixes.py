@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import staged
+from .tables import dropped, staged
 from .text import Prints, bit_table, marked, mix, slices
 
 GRAM, WINDOW, STEP = 16, 128, 16
@@ -123,8 +123,8 @@ def _signed(x: np.ndarray) -> np.ndarray:
 
 
 def repeat_spans(base: DataFrame, least: int = 400, table_bits: int = 27) -> tuple[DataFrame, DataFrame]:
-    """(texts, spans): the texts (k, text) that may hold repeats, and (k, lo, hi)
-    whose union is what strings of `least` bytes that also start elsewhere cover;
+    """(texts, spans): the texts (k, text) that may hold repeats, and (k, spans)
+    with an array of (lo, hi) whose union is what strings of `least` bytes that also start elsewhere cover;
     lo and hi may lie outside of the text. base: (k, text as binary); rows of one k
     are copies of one another.
 
@@ -195,11 +195,14 @@ def repeat_spans(base: DataFrame, least: int = 400, table_bits: int = 27) -> tup
     met = tested.join(twice, "s", "left_semi").groupBy("u").agg(F.min("d").alias("low"), F.max("d").alias("high"))
     low, high = F.shiftright("at", 9).bitwiseAND(255).cast("int"), F.shiftright("at", 1).bitwiseAND(255).cast("int")
     sure = outer.where("uw > 1").select("u", low.alias("low"), high.alias("high"))
-    bounds = sure.unionByName(met).groupBy("u").agg(F.min("low").alias("dmin"), F.max("high").alias("dmax"))
+    bounds = staged(sure.unionByName(met).groupBy("u").agg(F.min("low").alias("dmin"), F.max("high").alias("dmax")), "repeat-bounds")
+    dropped(tested, outer)
     a = F.shiftright("at", 17)
     opened = (parts.where(twin == 0).select("k", a.cast("int").alias("a"), "u").join(bounds, "u")
               .select("k", (F.col("a") - F.col("dmax")).alias("lo"), (F.col("a") - F.col("dmin") + least).alias("hi")))
-    return texts, closed.unionByName(opened)
+    spans = staged(closed.unionByName(opened).groupBy("k").agg(F.collect_set(F.struct("lo", "hi")).alias("spans")), "repeat-spans")
+    dropped(around, kinds, parts, bounds)
+    return texts, spans
 
 
 def _cut(with_text: bool):
@@ -241,9 +244,8 @@ def remove_repeats(docs: DataFrame, least: int = 400, with_text: bool = False) -
     raw = F.encode(F.coalesce("text", F.lit("")), "utf-8")
     whole = docs.select("doc_id", key.alias("k"), raw.alias("text"))
     texts, spans = repeat_spans(whole.select("k", "text"), least)
-    joined = spans.groupBy("k").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
     columns = "k long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
-    cut = texts.select("k", "text").join(joined, "k").mapInArrow(_cut(with_text), columns).dropDuplicates(["k"])
+    cut = texts.select("k", "text").join(spans, "k").mapInArrow(_cut(with_text), columns).dropDuplicates(["k"])
     base = whole.select("doc_id", "k", F.length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha"), *["text"] * with_text)
     return base.join(cut, "k", "left").select(
         "doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"), F.coalesce("n_spans", F.lit(0)).cast("long").alias("n_spans"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storecast.session import materialize
+from storecast.session import materialize, remove_path
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,14 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return materialize(df, f"llm-{label}")
 
 
+def dropped(*tables: DataFrame) -> None:
+    """Delete staged tables that nothing will read again."""
+    for df in tables:
+        files = df.inputFiles()
+        if files:
+            remove_path(df.sparkSession, files[0].rsplit("/", 1)[0])
+
+
 def text_bytes(df: DataFrame, text: str = "text") -> int:
     """Bytes of all texts, one narrow aggregate; sizes partitions, never results."""
     return int(df.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0)
