@@ -103,39 +103,54 @@ class Filter:
 
 def _emit_counts(blocks: int, chunk_tokens: int):
     """For each block of n-gram keys and chunk of documents: how often each token is
-    in each document, and how often each bigram is in the training documents."""
+    in each document, and how often each bigram is in the training documents. The
+    row of block 0 also names the chunk's documents."""
     def emit(batches):
-        held, size = [], 0
+        from pyspark import TaskContext
+        held, size, chunk = [], 0, TaskContext.get().partitionId() << 32
 
-        def flush():
-            doc_id = pa.concat_arrays([h[0] for h in held])
+        def flush(chunk):
+            ids = pa.concat_arrays([h[0] for h in held])
+            empty = np.asarray(ids.is_null())
+            doc_id = np.asarray(ids.fill_null(0)).astype(np.int64)
             fp = np.concatenate([h[1] for h in held]).astype(np.int64)
             learn = np.concatenate([h[2] for h in held])
             shift = np.cumsum([0] + [len(h[1]) for h in held])
             doc = np.concatenate([h[3] + s for h, s in zip(held, shift, strict=False)])
             token = np.concatenate([h[4] for h in held])
-            before = np.concatenate([h[5] for h in held])
+            taught = learn[doc]
+            pair = bigram_key(np.concatenate([h[5] for h in held])[taught], token[taught])
             held.clear()
-            key = unigram_key(token)
-            name, at = np.unique(key, return_inverse=True)
-            post = (at.astype(np.uint64) << np.uint64(32)) | doc.astype(np.uint64)
+            name, at = np.unique(unigram_key(token), return_inverse=True)
+            del token, taught
+            pair, pairs = np.unique(pair, return_counts=True)
+
+            def by_block(key):
+                block = block_of(key, blocks)
+                order = np.argsort(block, kind="stable")
+                return order, np.searchsorted(block[order], np.arange(blocks + 1))
+
+            order, cut = by_block(name)
+            place = np.empty(len(order), np.int64)
+            place[order] = np.arange(len(order))
+            post = (place[at].astype(np.uint64) << np.uint64(32)) | doc.astype(np.uint64)
+            del at, doc, place
             post.sort()
             first, n = runs(post)
-            at, doc_of = (post[first] >> np.uint64(32)).astype(np.int64), (post[first] & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-            taught = learn[doc]
-            pair, pairs = np.unique(bigram_key(before[taught], token[taught]), return_counts=True)
-            by_name, by_pair = block_of(name, blocks), block_of(pair, blocks)
-            by_post = by_name[at]
-            starts = int(learn.sum())
+            post = post[first]
+            at, doc_of = (post >> np.uint64(32)).astype(np.int64), post.astype(np.uint32)
+            name, post_cut = name[order], np.searchsorted(at, cut)
+            order, pair_cut = by_block(pair)
+            pair, pairs = pair[order], pairs[order]
             for b in range(blocks):
-                mine, own, two = by_name == b, by_post == b, by_pair == b
-                local = np.cumsum(mine) - 1
+                own, posts, two = (slice(c[b], c[b + 1]) for c in (cut, post_cut, pair_cut))
                 yield pa.RecordBatch.from_pydict({
-                    "block": pa.array([b], pa.int32()), "doc_id": pa.array([doc_id.to_pylist()], pa.list_(pa.int64())),
-                    "fp": pa.array([fp.tobytes()]), "learn": pa.array([learn.tobytes()]), "name": pa.array([name[mine].tobytes()]),
-                    "post_name": pa.array([local[at[own]].astype(np.uint32).tobytes()]), "post_doc": pa.array([doc_of[own].tobytes()]),
-                    "post_n": pa.array([n[own].astype(np.uint32).tobytes()]), "pair": pa.array([pair[two].tobytes()]),
-                    "pairs": pa.array([pairs[two].astype(np.uint32).tobytes()]), "starts": pa.array([starts], pa.int64())})
+                    "block": pa.array([b], pa.int32()), "chunk": pa.array([chunk], pa.int64()),
+                    "doc_id": pa.array([None if b else doc_id.tobytes() + empty.tobytes()], pa.binary()), "fp": pa.array([None if b else fp.tobytes()], pa.binary()),
+                    "learn": pa.array([learn.tobytes()]), "name": pa.array([name[own].tobytes()]),
+                    "post_name": pa.array([(at[posts] - cut[b]).astype(np.uint32).tobytes()]), "post_doc": pa.array([doc_of[posts].tobytes()]),
+                    "post_n": pa.array([n[posts].astype(np.uint32).tobytes()]), "pair": pa.array([pair[two].tobytes()]),
+                    "pairs": pa.array([pairs[two].astype(np.uint32).tobytes()])})
 
         for batch in batches:
             ids = batch.column(0).cast(pa.int64())
@@ -145,57 +160,72 @@ def _emit_counts(blocks: int, chunk_tokens: int):
                 held.append((ids[i:j], fp[i:j], learn[i:j], doc, token, before))
                 size += len(token)
                 if size >= chunk_tokens:
-                    yield from flush()
-                    size = 0
+                    yield from flush(chunk)
+                    size, chunk = 0, chunk + 1
         if held:
-            yield from flush()
+            yield from flush(chunk)
     return emit
 
 
-COUNTS = ("block int, doc_id array<long>, fp binary, learn binary, name binary, post_name binary, post_doc binary, "
-          "post_n binary, pair binary, pairs binary, starts long")
-BLOCK = "block int, doc_id long, fp long, part double, known long, bits binary, n long, v long"
+COUNTS = ("block int, chunk long, doc_id binary, fp binary, learn binary, name binary, post_name binary, post_doc binary, "
+          "post_n binary, pair binary, pairs binary")
+BLOCK = "block int, chunk long, doc_id binary, fp binary, part binary, known binary, bits binary, n long, v long"
 
 
 def _close_block(bits: int, blocks: int):
-    """Of one block: its documents' parts of the base score, its filter bitmap, its token totals."""
+    """Of one block: for each chunk its documents' parts of the base score, and once
+    its filter bitmap and token totals."""
     def close(frame: pd.DataFrame) -> pd.DataFrame:
-        import numpy as np
         block = int(frame["block"].iloc[0])
         names = [np.frombuffer(x, np.uint64) for x in frame["name"]]
-        posts = [tuple(np.frombuffer(x, np.uint32) for x in row) for row in zip(frame["post_name"], frame["post_doc"], frame["post_n"], strict=True)]
-        learns = [np.frombuffer(x, bool) for x in frame["learn"]]
         every, at = np.unique(np.concatenate(names), return_inverse=True)
         cut = np.cumsum([0] + [len(x) for x in names])
-        count = np.zeros(len(every))
-        for k, (name, doc, n) in enumerate(posts):
-            taught = learns[k][doc]
-            count += np.bincount(at[cut[k]:cut[k + 1]][name[taught]], n[taught], len(every))
-        out = []
+        count, starts, out = np.zeros(len(every)), 0, []
+
+        def postings(k):
+            row = frame.iloc[k]
+            name, doc, n = (np.frombuffer(row[c], np.uint32) for c in ("post_name", "post_doc", "post_n"))
+            return at[cut[k]:cut[k + 1]][name], doc, n, np.frombuffer(row["learn"], bool)
+
+        for k in range(len(frame)):
+            place, doc, n, learn = postings(k)
+            taught = learn[doc]
+            count += np.bincount(place[taught], n[taught], len(every))
+            starts += int(learn.sum())
         worth, seen = np.log10(count + 1), count > 0
-        for k, (name, doc, n) in enumerate(posts):
-            place = at[cut[k]:cut[k + 1]][name]
-            size = len(learns[k])
-            known = np.bincount(doc, n * seen[place], size)
-            has = known > 0
-            out.append(pd.DataFrame({
-                "doc_id": pd.array(list(frame["doc_id"].iloc[k]), "Int64")[has], "fp": pd.array(np.frombuffer(frame["fp"].iloc[k], np.int64)[has], "Int64"),
-                "part": np.bincount(doc, n * worth[place], size)[has], "known": pd.array(known[has].astype(np.int64), "Int64")}))
+        for k in range(len(frame)):
+            place, doc, n, learn = postings(k)
+            out.append({"block": block, "chunk": frame["chunk"].iloc[k], "doc_id": frame["doc_id"].iloc[k], "fp": frame["fp"].iloc[k],
+                        "part": np.bincount(doc, n * worth[place], len(learn)).tobytes(),
+                        "known": np.bincount(doc, n * seen[place], len(learn)).astype(np.int64).tobytes()})
         pair, where = np.unique(np.concatenate([np.frombuffer(x, np.uint64) for x in frame["pair"]]), return_inverse=True)
         pairs = np.bincount(where, np.concatenate([np.frombuffer(x, np.uint32) for x in frame["pairs"]]), len(pair))
         key, n = np.concatenate((every[seen], pair)), np.concatenate((count[seen], pairs))
         start = unigram_key(np.array([_START]))
-        if block_of(start, blocks)[0] == block and frame["starts"].sum():
-            key, n = np.append(key, start), np.append(n, frame["starts"].sum())
-        own = pd.DataFrame({"bits": [filter_block(key, n, bits).tobytes()], "n": pd.array([int(count.sum())], "Int64"), "v": pd.array([int(seen.sum())], "Int64")})
-        res = pd.concat([*out, own], ignore_index=True)
-        res["block"] = block
-        return res.reindex(columns=["block", "doc_id", "fp", "part", "known", "bits", "n", "v"])
+        if block_of(start, blocks)[0] == block and starts:
+            key, n = np.append(key, start), np.append(n, starts)
+        out.append({"block": block, "bits": filter_block(key, n, bits).tobytes(), "n": int(count.sum()), "v": int(seen.sum())})
+        res = pd.DataFrame(out, columns=["block", "chunk", "doc_id", "fp", "part", "known", "bits", "n", "v"])
+        binary = ["doc_id", "fp", "part", "known", "bits"]
+        res[binary] = res[binary].astype(object).where(res[binary].notna(), None)
+        return res.astype({"chunk": "Int64", "n": "Int64", "v": "Int64"})
     return close
 
 
+def _close_chunk(frame: pd.DataFrame) -> pd.DataFrame:
+    """Of one chunk: its documents' sums over all blocks."""
+    head = frame[frame["fp"].notna()].iloc[0]
+    fp = np.frombuffer(head["fp"], np.int64)
+    ids, empty = np.frombuffer(head["doc_id"], np.int64, len(fp)), np.frombuffer(head["doc_id"], bool, offset=8 * len(fp))
+    return pd.DataFrame({
+        "doc_id": pd.array(np.where(empty, 0, ids), "Int64").copy() if not empty.any() else pd.array([None if e else i for i, e in zip(ids, empty, strict=True)], "Int64"),
+        "fp": fp,
+        "part": np.sum([np.frombuffer(x, np.float64) for x in frame["part"]], axis=0),
+        "known": np.sum([np.frombuffer(x, np.int64) for x in frame["known"]], axis=0)})
+
+
 def score_documents(docs: DataFrame, held_mod: int = 7, held: int = 2, bits: int = 10, prior: float = 60.0,
-                    block_bytes: int = 32 << 20, broadcast_bytes: int = 256 << 20, chunk_tokens: int = 2_000_000) -> DataFrame:
+                    block_bytes: int = 8 << 20, broadcast_bytes: int = 256 << 20, chunk_tokens: int = 2_000_000) -> DataFrame:
     """Base and model scores of every document.
 
     Training documents have crc32(doc_id) % held_mod != held. Their unigrams and
@@ -240,7 +270,9 @@ def score_documents(docs: DataFrame, held_mod: int = 7, held: int = 2, bits: int
         if k < len(parts) - 1:
             now = staged(now, "lm-levels")
     rows = now.withColumn("rows", F.lit(1)).withColumn("part", F.lit(0.0)).withColumn("known", F.lit(0).cast("long"))
-    parts_of = table.where("fp is not null").select(
+    sums = table.where("chunk is not null").select("chunk", "doc_id", "fp", "part", "known").groupBy("chunk").applyInPandas(
+        _close_chunk, "doc_id long, fp long, part double, known long")
+    parts_of = sums.select(
         "doc_id", "fp", F.lit(0).cast("long").alias("n_tokens"), F.lit(0.0).alias("score"), F.lit(0).alias("rows"), "part", "known")
     per = F.sum("rows")  # equal rows give equal sums; each takes its share
     whole = rows.unionByName(parts_of).groupBy("doc_id", "fp").agg(
