@@ -53,14 +53,11 @@ def engineer_features(df: DataFrame, *, config: FeaturesConfig = FeaturesConfig(
             .transform(add_sales_signals, config.markdown_columns, keys=keys))
 
 
-def type_encoding(df: DataFrame, *, column: str = "Type", limit: int = 100_000) -> dict[str, int]:
+def type_encoding(df: DataFrame, *, column: str = "Type") -> dict[str, int]:
     """Label -> rank in alphabetical order. An action that brings the distinct
-    labels of a category column to the driver; more than `limit` is an error."""
+    labels of a category column to the driver."""
     labels = df.select(column).where(F.col(column).isNotNull()).distinct()
-    found = sorted(r[0] for r in labels.limit(limit + 1).collect())
-    if len(found) > limit:
-        raise ValueError(f"{column} has more than {limit} labels; it is no category column")
-    return {label: i for i, label in enumerate(found)}
+    return {label: i for i, label in enumerate(sorted(r[0] for r in labels.collect()))}
 
 
 def encode_type(df: DataFrame, mapping: dict[str, int] | None = None, *,

@@ -43,17 +43,21 @@ def mean_abs_pct_error(df: DataFrame) -> DataFrame:
 
 def compare_runs(runs: DataFrame, *, metric: str = "rmse", time: str = "created_at",
                  run: str = "run_id", lower_is_better: bool = True) -> DataFrame:
-    """Each run against the one before it and against the best before it (the
-    champion). `promote` is true for a first run and for one that beats the
-    champion. A runs table has one row per run."""
+    """Each run against the last one before it that has the metric and against the
+    best before it (the champion). `promote` is true for the first run with the
+    metric and for one that beats the champion; a run without the metric, such as
+    a score run, is never promoted and nothing is compared with it. A runs table
+    has one row per run."""
     order = Window.orderBy(time, run)
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     best = (F.min if lower_is_better else F.max)(metric).over(before)
     better: Column = (F.col(metric) < best) if lower_is_better else (F.col(metric) > best)
+    previous = F.last(metric, ignorenulls=True).over(before)
     return runs.select(
-        "*", F.lag(metric).over(order).alias("previous"), best.alias("champion"),
-        (F.col(metric) - F.lag(metric).over(order)).alias("change"),
-        F.when(best.isNull(), True).otherwise(better).alias("promote"))
+        "*", previous.alias("previous"), best.alias("champion"),
+        (F.col(metric) - previous).alias("change"),
+        F.when(F.col(metric).isNull(), False).when(best.isNull(), True).otherwise(better)
+        .alias("promote"))
 
 
 def macro_drift(reference: DataFrame, current: DataFrame,

@@ -1,11 +1,9 @@
 """Association rules over baskets.
 
-The items of a basket become bits of one 64-bit mask as long as no more than 62
-items are in play (the default keeps the 40 best-selling departments). Equal
-baskets then collapse to one row with a count before the shuffle, a basket never
-becomes a list of its pairs, and each task counts a whole level of candidate
-itemsets over its masks and emits one row per candidate. More items than that
-go to Spark's FP-growth.
+Itemsets of any size come from Spark's FP-growth and stay distributed. Where the
+caller limits the size, as for dense baskets, the items become bits of one 64-bit
+mask, equal baskets collapse before the shuffle, and each task counts a whole
+level of candidate itemsets. Both give the same itemsets.
 """
 
 from __future__ import annotations
@@ -29,7 +27,6 @@ RULE_SCHEMA = ("antecedents array<string>, consequents array<string>, support do
                "confidence double, lift double")
 MASK_BITS = 62
 CANDIDATES_PER_PASS = 20_000
-DRIVER_ITEMSETS = 1_000_000
 
 
 def top_departments(sales: DataFrame, n: int = 40, *, keys: Keys = Keys()) -> DataFrame:
@@ -136,69 +133,43 @@ def _least_count(min_support: float, n_baskets: int) -> int:
 def frequent_itemsets(sales: DataFrame, *, min_support: float = 0.011,
                       max_len: int | None = None,
                       basket_keys: Sequence[str] = ("Store", "Date"), item: str = "Dept",
-                      engine: str = "auto", explosion_bits: int = 30) -> DataFrame:
+                      engine: str = "auto") -> DataFrame:
     """(items, size, n, support) of all itemsets with support >= min_support, of
     at most `max_len` items where that is given.
 
-    `engine`: 'masks', 'fpgrowth', or 'auto': masks while the items fit, all of
-    them or else those that reach the support, and while the itemsets of a level
-    stay below a million; FP-growth, whose results stay distributed, otherwise.
-    Without `max_len`, one set of b items that reaches the support brings 2^b
-    itemsets with it. Where b is found to exceed `explosion_bits` this raises,
-    rather than run without end.
+    `engine` decides how, never what: 'fpgrowth' keeps its itemsets distributed;
+    'masks' counts level by level and ends at `max_len`, for dense baskets of at
+    most 62 frequent items, whose larger itemsets nobody asks for; 'auto' takes
+    masks where a `max_len` is given and the items fit, FP-growth otherwise.
     """
     rows = _present_rows(sales, basket_keys, item)
-    if engine != "fpgrowth":
-        found = [r[0] for r in rows.select(item).distinct().limit(MASK_BITS + 1).collect()]
-        if len(found) <= MASK_BITS:
-            mined = _mine_masks(rows, sorted(found), min_support, max_len, basket_keys, item,
-                                explosion_bits)
-            if mined is not None:
-                return mined
     distinct = rows.distinct().persist()
     try:
         n_baskets = distinct.select(*basket_keys).distinct().count()
         if n_baskets == 0:
             return sales.sparkSession.createDataFrame([], ITEMSET_SCHEMA)
-        if engine != "fpgrowth" and len(found) > MASK_BITS:
+        least = _least_count(min_support, n_baskets)
+        if engine == "masks" or (engine == "auto" and max_len is not None):
             frequent = [r[0] for r in distinct.groupBy(item).agg(F.count(F.lit(1)).alias("n"))
-                        .where(F.col("n") >= _least_count(min_support, n_baskets))
-                        .select(item).limit(MASK_BITS + 1).collect()]
+                        .where(F.col("n") >= least).select(item).limit(MASK_BITS + 1).collect()]
             if len(frequent) <= MASK_BITS:
-                mined = _mine_masks(distinct, sorted(frequent), min_support, max_len,
-                                    basket_keys, item, explosion_bits)
-                if mined is not None:
-                    return mined
-        if engine == "masks":
-            raise ValueError("too many items or itemsets for the masks engine")
-        return _fpgrowth(distinct, min_support, max_len, basket_keys, item, n_baskets)
+                return _mine_masks(distinct, sorted(frequent), least, n_baskets, max_len,
+                                   basket_keys, item)
+            if engine == "masks":
+                raise ValueError("too many frequent items for the masks engine")
+        return _fpgrowth(distinct, least, max_len, basket_keys, item, n_baskets)
     finally:
         distinct.unpersist()
 
 
-def _mine_masks(rows: DataFrame, names: Sequence[str], min_support: float, max_len: int | None,
-                basket_keys: Sequence[str], item: str, explosion_bits: int
-                ) -> DataFrame | None:
-    """Level by level over the bit masks; None where a level grows too large for
-    its itemsets to be kept on the driver."""
-    spark = rows.sparkSession
+def _mine_masks(rows: DataFrame, names: Sequence[str], least: int, n_baskets: int,
+                max_len: int | None, basket_keys: Sequence[str], item: str) -> DataFrame:
+    """Level by level over the bit masks."""
     masks = _masks(rows, names, basket_keys, item).persist()
     try:
-        n_baskets = masks.agg(F.coalesce(F.sum("weight"), F.lit(0))).first()[0]
-        if n_baskets == 0:
-            return spark.createDataFrame([], ITEMSET_SCHEMA)
-        least = _least_count(min_support, n_baskets)
-        if max_len is None:
-            largest = masks.where(F.col("weight") >= least).agg(
-                F.max(F.bit_count("mask"))).first()[0] or 0
-            if largest > explosion_bits:
-                raise ValueError(f"a set of {largest} items reaches the support, and with it "
-                                 f"2^{largest} itemsets: set max_len or raise min_support")
         counts: dict[int, int] = {}
         candidates, size = [1 << i for i in range(len(names))], 1
         while candidates:
-            if len(candidates) > DRIVER_ITEMSETS:
-                return None
             level = set()
             for start in range(0, len(candidates), CANDIDATES_PER_PASS):
                 part = np.array(candidates[start:start + CANDIDATES_PER_PASS], dtype=np.int64)
@@ -215,13 +186,15 @@ def _mine_masks(rows: DataFrame, names: Sequence[str], min_support: float, max_l
     for mask, n in counts.items():
         members = [name for i, name in enumerate(names) if mask >> i & 1]
         out.append((members, len(members), n, n / n_baskets))
-    return spark.createDataFrame(out, ITEMSET_SCHEMA)
+    return rows.sparkSession.createDataFrame(out, ITEMSET_SCHEMA)
 
 
-def _fpgrowth(distinct: DataFrame, min_support: float, max_len: int | None,
+def _fpgrowth(distinct: DataFrame, least: int, max_len: int | None,
               basket_keys: Sequence[str], item: str, n_baskets: int) -> DataFrame:
     baskets = dept_baskets(distinct, basket_keys=basket_keys, item=item)
-    found = FPGrowth(itemsCol="items", minSupport=min_support).fit(baskets).freqItemsets
+    # The model rounds a share up to a count; half a basket below asks for exactly `least`.
+    found = (FPGrowth(itemsCol="items", minSupport=(least - 0.5) / n_baskets).fit(baskets)
+             .freqItemsets.where(F.col("freq") >= least))
     out = found.select(F.array_sort("items").alias("items"), F.size("items").alias("size"),
                        F.col("freq").alias("n"), (F.col("freq") / n_baskets).alias("support"))
     # The model's itemsets are recomputed on each use: keep them as a table.
@@ -262,8 +235,7 @@ def mine_association_rules(sales: DataFrame, config: RulesConfig = RulesConfig()
     an empty table with the five columns."""
     kept = restrict_to_top(sales, config.max_departments, keys=keys)
     itemsets = frequent_itemsets(kept, min_support=config.min_support, max_len=config.max_len,
-                                 basket_keys=basket_keys, item=keys.item, engine=engine,
-                                 explosion_bits=20)
+                                 basket_keys=basket_keys, item=keys.item, engine=engine)
     return sort_rules(rules_from_itemsets(
         itemsets, min_confidence=config.min_confidence, min_lift=config.min_lift,
         min_length=config.min_length))

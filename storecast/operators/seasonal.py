@@ -165,7 +165,8 @@ def _grouped(series: DataFrame, by: Sequence[str]):
 def search_orders(series: DataFrame, *, by: Sequence[str] = (), time: str = "Date", y: str = "y",
                   config: SeasonalConfig = SeasonalConfig()) -> DataFrame:
     """(by..., p, d, q, sp, sd, sq, m, n, aicc): every candidate order of every
-    series. One task call holds one series, whose length is its number of
+    series; a series too short for any has one row of zeros without an AICc. One
+    task call holds one series, whose length is its number of
     weeks; the candidates share its differenced values."""
     by = list(by)
 
@@ -174,6 +175,9 @@ def search_orders(series: DataFrame, *, by: Sequence[str] = (), time: str = "Dat
         ranked, _ = _rank_orders(values, config)
         rows = [(*(pdf[c].iloc[0] for c in by), o[0], d, o[1], o[2], D, o[3],
                  config.seasonal_period, len(values), aicc) for o, d, D, aicc, _ in ranked]
+        if not rows:  # too short for any order: a row that says so
+            rows = [(*(pdf[c].iloc[0] for c in by), 0, 0, 0, 0, 0, 0, config.seasonal_period,
+                     len(values), None)]
         return pd.DataFrame(rows, columns=[*by, "p", "d", "q", "sp", "sd", "sq", "m", "n", "aicc"])
 
     schema = T.StructType([*_by_fields(series, by), *_ORDER_FIELDS,

@@ -113,6 +113,9 @@ def fit_yeo_johnson(df: DataFrame, columns: Sequence[str], *, signed: Sequence[s
             else:
                 found[c] = lam
         span = following
+    beyond = [c for c in columns if abs(found[c]) >= limit - tolerance]
+    if beyond:
+        raise ValueError(f"no lambda within {limit} maximises the likelihood of {beyond}")
     return {c: found[c] for c in columns}
 
 
@@ -223,33 +226,30 @@ def elbow_curve(points: DataFrame, columns: Sequence[str], *, max_k: int = 10, s
     curve = [wcss(total, columns, cluster="__one").first()["inertia"]]
     ks = range(2, min(max_k, n) + 1)
     fits = _best_fits(points, columns, ks, seed, restarts, parallelism) if ks else {}
-    for k in ks:
-        # A larger k can only lose to a smaller one by an unlucky start.
-        curve.append(min(fits[k][1], curve[-1]))
-    return curve
+    return curve + [fits[k][1] for k in ks]
 
 
 def silhouette(points: DataFrame, columns: Sequence[str], *, cluster: str = "Cluster",
-               max_points: int = 50_000) -> DataFrame:
-    """One row: (silhouette, n_points, n_clusters, metric).
-
-    Up to `max_points` points, the Euclidean silhouette: the point table (a few
-    numbers per point, its count checked first) goes to every task, and each
-    task sums the distances of its own points in blocks. Beyond that, the
-    silhouette under squared Euclidean distance, which is exact from per-cluster
-    sums alone; `metric` says which one it is. Null with one cluster only, or
-    with no more points than clusters.
+               metric: str = "squared_euclidean") -> DataFrame:
+    """One row: (silhouette, n_points, n_clusters, metric) of the labelled points.
+
+    The caller names the metric; no size changes it. 'squared_euclidean' is exact
+    from per-cluster sums, for any number of points. 'euclidean' compares all pairs:
+    the point table (a few numbers per point) goes to every task, for small inputs.
+    Null with one cluster only, or with no more points than clusters. Points
+    without a label are left out.
     """
     spark = points.sparkSession
-    data = points.select(F.col(cluster).alias("c"),
-                         *[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(columns)])
-    head = data.limit(max_points + 1).toPandas()
-    if len(head) <= max_points:
-        metric, n, k = "euclidean", len(head), head["c"].nunique()
+    data = points.where(F.col(cluster).isNotNull()).select(
+        F.col(cluster).alias("c"), *[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(columns)])
+    if metric == "euclidean":
+        head = data.toPandas()
+        n, k = len(head), head["c"].nunique()
         per_point = _euclidean(spark, head, len(columns)) if 1 < k < n else None
-    else:
-        metric = "squared_euclidean"
+    elif metric == "squared_euclidean":
         per_point, n, k = _squared_euclidean(data, len(columns))
+    else:
+        raise ValueError(f"unknown metric {metric}")
     described = [F.lit(n).cast("bigint").alias("n_points"), F.lit(k).alias("n_clusters"),
                  F.lit(metric).alias("metric")]
     if k < 2 or n <= k:

@@ -355,7 +355,7 @@ def q_wcss(s, d):
 def q_silhouette(s, d):
     p = _ruled(_profiles(s, d)).select(
         "Cluster", (F.col("Weekly_Sales") / 1000).alias("a"), (F.col("Size") / 1000).alias("b"))
-    return shown(segment.silhouette(p, ["a", "b"]), silhouette=6)
+    return shown(segment.silhouette(p, ["a", "b"], metric="euclidean"), silhouette=6)
 
 
 def q_segment_summary(s, d):

@@ -11,11 +11,13 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors see. A machine-local folder is made only where
-    the session names none, as in local tests."""
+    """The folder all executors see. A machine-local folder is made only in local
+    mode, where the session names none; on a cluster that is an error."""
     sc = spark.sparkContext
     path = spark.conf.get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
     if not path:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="storecast-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
@@ -48,7 +50,7 @@ def local_session(cores: int | str = 8, app: str = "storecast") -> SparkSession:
     return (
         SparkSession.builder.master(f"local[{cores}]").appName(app)
         .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")

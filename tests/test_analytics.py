@@ -99,6 +99,14 @@ def test_forecast_errors_floor_and_null(spark):
     assert got == [100.0, 50.0, None]
 
 
+def test_compare_runs_without_the_metric(spark):
+    df = spark.createDataFrame([("a", 1, None), ("b", 2, 5.0), ("c", 3, None), ("d", 4, 4.0)],
+                               "run_id string, created_at int, rmse double")
+    got = rows(metrics.compare_runs(df).select("run_id", "previous", "champion", "promote"), "run_id")
+    assert got == [("a", None, None, False), ("b", None, None, True), ("c", 5.0, 5.0, False),
+                   ("d", 5.0, 5.0, True)]
+
+
 def test_compare_runs(spark):
     df = spark.createDataFrame([("a", "1", 5.0), ("b", "2", 6.0), ("c", "3", 4.0)],
                                "run_id string, created_at string, rmse double")
@@ -210,16 +218,17 @@ def _silhouette(xs, labels, power):
     return total / n
 
 
-@pytest.mark.parametrize("cap,power", [(50_000, 0.5), (5, 1.0)])
-def test_silhouette_against_all_pairs(spark, cap, power):
+@pytest.mark.parametrize("metric,power", [("euclidean", 0.5), ("squared_euclidean", 1.0)])
+def test_silhouette_against_all_pairs(spark, metric, power):
     rng = np.random.default_rng(1)
     xs = rng.normal(size=(40, 2)) + np.repeat([[0, 0], [3, 1], [0, 4], [9, 9]], 10, axis=0)
     labels = [i // 10 for i in range(39)] + [7]
     df = spark.createDataFrame([(float(a), float(b), c) for (a, b), c in zip(xs, labels)],
                                "a double, b double, Cluster int")
-    got = segment.silhouette(df, ["a", "b"], max_points=cap).first()
+    unlabelled = spark.createDataFrame([(0.0, 0.0, None)], df.schema)
+    got = segment.silhouette(df.union(unlabelled), ["a", "b"], metric=metric).first()
     assert got["silhouette"] == pytest.approx(_silhouette(xs.tolist(), labels, power))
-    assert got["metric"] == ("euclidean" if cap > 40 else "squared_euclidean")
+    assert (got["metric"], got["n_points"], got["n_clusters"]) == (metric, 40, 5)
     one = df.withColumn("Cluster", F.lit(1))
     assert segment.silhouette(one, ["a", "b"]).first()["silhouette"] is None
 
@@ -335,10 +344,23 @@ def test_more_items_than_mask_bits(spark):
     assert got.count() == 210 and got.where("size = 2").count() == 70
 
 
-def test_explosion_is_refused(spark):
+@pytest.mark.parametrize("engine", ["masks", "fpgrowth"])
+def test_itemset_on_the_threshold(spark, engine):
+    baskets = [[1]] * 7 + [[2]] * 93
+    got = rules.frequent_itemsets(basket_sales(spark, baskets), min_support=0.07,
+                                  basket_keys=["Store"], engine=engine)
+    assert {tuple(r["items"]): r["n"] for r in got.collect()} == {("1",): 7, ("2",): 93}
+
+
+def test_seventy_items_lose_nothing(spark):
+    baskets = [[i, 70] for i in range(70) for _ in range(1 + (i < 30))]
+    got = rules.frequent_itemsets(basket_sales(spark, baskets), min_support=0.02,
+                                  basket_keys=["Store"])
+    assert {tuple(r["items"]): r["n"] for r in got.collect()} == brute(baskets, 0.02, 2)
+
+
+def test_dense_baskets_with_a_limit(spark):
     baskets = [list(range(1, 41))] * 3
-    with pytest.raises(ValueError, match="2.40 itemsets"):
-        rules.frequent_itemsets(basket_sales(spark, baskets), basket_keys=["Store"])
     assert rules.frequent_itemsets(basket_sales(spark, baskets), basket_keys=["Store"],
                                    max_len=3).count() == 40 + 780 + 9880
 
