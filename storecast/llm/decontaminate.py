@@ -176,6 +176,6 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.5, n: i
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """The documents, all columns, that hold no copy of a test item."""
-    bad = contaminated(docs, items, **options).select("k").distinct()
+    bad = contaminated(docs, items, **options).select(F.col("k").alias("__leak")).distinct()
     key = F.xxhash64(F.col("doc_id").isNull(), "doc_id", "text")
-    return docs.join(bad, key == F.col("k"), "left_anti")
+    return docs.join(bad, key == F.col("__leak"), "left_anti")
