@@ -4,7 +4,8 @@ import sys
 
 from pyspark import cloudpickle
 
-from .config import Config, Keys, load_config
+from .config import Keys
+from .plans.settings import Config, load_config
 
 # Functions and settings shipped to Python workers travel by value: executors
 # need no copy of this package.

@@ -15,11 +15,14 @@ def store_ranking(df: DataFrame, *, keys: Keys = Keys()) -> DataFrame:
             .orderBy(F.desc("avg_sales"), keys.entity))
 
 
-def seasonality(df: DataFrame, *, keys: Keys = Keys(), wide: Sequence[int] | None = None
+def seasonality(df: DataFrame, *, keys: Keys = Keys(), wide: Sequence[int] | bool = False
                 ) -> DataFrame:
     """Mean sales per (Year, Week); with `wide`, one row per week and one column
-    per listed year."""
-    grouped = df.groupBy("Week").pivot("Year", list(wide)) if wide else df.groupBy("Year", "Week")
+    per listed year, or, if true, per year that occurs."""
+    if not wide:
+        grouped = df.groupBy("Year", "Week")
+    else:
+        grouped = df.groupBy("Week").pivot("Year", None if wide is True else list(wide))
     return grouped.agg(F.avg(keys.value).alias("avg_sales"))
 
 

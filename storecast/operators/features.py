@@ -7,10 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..config import FeaturesConfig, Keys, MARKDOWNS
+from ..config import MARKDOWNS, Keys
 from ..functions.scalar import count_positive, lookup, sum_present, temperature_band
 from .ordered import previous_value, time_order, year_chunk
 
+#: Upper limits of the freezing, cold and moderate bands, in degrees Fahrenheit.
+BANDS = (32.0, 52.0, 78.0)
+
 
 def add_temporal_features(df: DataFrame, *, time: str = "Date") -> DataFrame:
     """Calendar year and month with the ISO week number."""
@@ -19,9 +22,8 @@ def add_temporal_features(df: DataFrame, *, time: str = "Date") -> DataFrame:
 
 
 def add_temperature_band(df: DataFrame, *, column: str = "Temperature",
-                         config: FeaturesConfig = FeaturesConfig()) -> DataFrame:
-    return df.withColumn("Temp_Category", temperature_band(
-        F.col(column), config.freezing, config.cold, config.moderate))
+                         bands: Sequence[float] = BANDS) -> DataFrame:
+    return df.withColumn("Temp_Category", temperature_band(F.col(column), *bands))
 
 
 def add_sales_lag(df: DataFrame, *, keys: Keys = Keys(), chunk: Column | None = None,
@@ -46,11 +48,11 @@ def add_sales_signals(df: DataFrame, markdowns: Sequence[str] = MARKDOWNS, *,
     return add_markdown_signals(add_sales_lag(df, keys=keys), markdowns)
 
 
-def engineer_features(df: DataFrame, *, config: FeaturesConfig = FeaturesConfig(),
-                      keys: Keys = Keys()) -> DataFrame:
+def engineer_features(df: DataFrame, *, bands: Sequence[float] = BANDS,
+                      markdowns: Sequence[str] = MARKDOWNS, keys: Keys = Keys()) -> DataFrame:
     return (df.transform(add_temporal_features, time=keys.time)
-            .transform(add_temperature_band, config=config)
-            .transform(add_sales_signals, config.markdown_columns, keys=keys))
+            .transform(add_temperature_band, bands=bands)
+            .transform(add_sales_signals, markdowns, keys=keys))
 
 
 def type_encoding(df: DataFrame, *, column: str = "Type") -> dict[str, int]:

@@ -12,7 +12,7 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import MARKDOWNS, ForecastConfig
+from ..config import FORECAST_FEATURES, MARKDOWNS
 from ..session import shared_dir
 from .features import encode_type
 from .master import impute_markdowns, split_by_date
@@ -21,6 +21,22 @@ from .metrics import regression_metrics
 _MODEL_VECTOR = "__features"
 
 
+@dataclass(frozen=True)
+class ForecastParams:
+    """The boosted trees: shares are of rows per tree and of columns per node. Patience
+    counts rounds without a better validation error; 0 grows all trees."""
+
+    feature_columns: tuple[str, ...] = FORECAST_FEATURES
+    max_depth: int = 7
+    learning_rate: float = 0.05
+    subsample: float = 0.8
+    colsample: float = 0.8
+    n_estimators: int = 1000
+    early_stopping_rounds: int = 50
+    validation: str = "train_tail"
+    random_state: int = 42
+
+
 def model_frame(master: DataFrame, mapping: dict[str, int] | None = None, *,
                 markdowns: Sequence[str] = MARKDOWNS) -> tuple[DataFrame, dict[str, int]]:
     """Type encoded (by a saved mapping, or one made here) and markdowns filled."""
@@ -86,7 +102,7 @@ def _tail_cutoff(train: DataFrame, time: str, share: float) -> dt.date | None:
     return row["hi"] - dt.timedelta(days=max(int(days * share) - 1, 0))
 
 
-def train_forecaster(master: DataFrame, config: ForecastConfig = ForecastConfig(), *,
+def train_forecaster(master: DataFrame, config: ForecastParams = ForecastParams(), *,
                      split_date: str = "2012-01-01", label: str = "Weekly_Sales",
                      time: str = "Date", tail_share: float = 0.1
                      ) -> tuple[ForecastResult, DataFrame]:

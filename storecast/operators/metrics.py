@@ -28,6 +28,13 @@ def regression_metrics(df: DataFrame, *, actual: str = "Weekly_Sales",
     return agg.select(*by, "n", r2.alias("r2"), "mae", "rmse", "mape")
 
 
+def stacked(df: DataFrame, forecasts: Sequence[str], *, actual: str = "Weekly_Sales") -> DataFrame:
+    """(model, actual, forecast): a row for each forecast column, named by it. The
+    metrics of several forecasts then take one pass, by model."""
+    each = F.array(*[F.struct(F.lit(c).alias("model"), F.col(c).cast("double").alias("forecast")) for c in forecasts])
+    return df.select(actual, F.inline(each))
+
+
 def forecast_errors(df: DataFrame, *, actual: str = "Weekly_Sales",
                     forecast: str = "point_forecast") -> DataFrame:
     return df.withColumns({

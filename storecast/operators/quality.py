@@ -7,17 +7,38 @@ A check whose columns are absent is left out; the schema check names them.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..config import Keys, MASTER_REQUIRED, QualityConfig
+from ..config import MACRO_COLUMNS, MARKDOWNS, MASTER_REQUIRED, Keys
 from ..functions.scalar import is_negative
 
 CHECK_COLUMNS = ("table_name", "check", "passed", "severity", "observed", "limit", "message")
 
+# Columns that the tables must have.
+REQUIRED = {
+    "sales": ("Store", "Dept", "Date", "Weekly_Sales", "IsHoliday"),
+    "stores": ("Store", "Type", "Size"),
+    "features": ("Store", "Date", "Temperature", "Fuel_Price", *MARKDOWNS, *MACRO_COLUMNS,
+                 "IsHoliday"),
+    "master": MASTER_REQUIRED,
+}
+
+
+@dataclass(frozen=True)
+class Limits:
+    """What the gates let through."""
+
+    min_rows: int = 400_000
+    min_stores: int = 40
+    max_null_share: float = 0.05
+    max_negative_share: float = 0.01
+    required: Mapping[str, tuple[str, ...]] = field(default_factory=lambda: dict(REQUIRED))
+
 
 def _check(df: DataFrame, table: str, check: str, *, passed: Column, observed: Column,
            limit: float | None, message: Column, severity: str = "error") -> DataFrame:
@@ -46,9 +67,8 @@ def check_schema(tables: dict[str, tuple[DataFrame, Sequence[str]]]) -> DataFram
     for name, (df, required) in tables.items():
         absent = missing_columns(df, required)
         counted = df.agg(F.count(F.lit(1)).alias("n"))
-        message = (F.lit(f"{name}: missing columns {absent}") if absent else
-                   F.concat(F.lit(f"{name}: schema OK ("), F.format_number("n", 0),
-                            F.lit(" rows)")))
+        message = (F.lit(f"{name} lacks the columns {absent}") if absent else
+                   F.concat(F.lit(f"{name} has all its columns; rows: "), F.format_number("n", 0)))
         parts.append(_check(counted, name, "schema", passed=F.lit(not absent),
                             observed=F.lit(len(absent)), limit=0, message=message))
     return _union(parts)
@@ -57,9 +77,8 @@ def check_schema(tables: dict[str, tuple[DataFrame, Sequence[str]]]) -> DataFram
 def check_row_count(df: DataFrame, table: str, minimum: int) -> DataFrame:
     counted = df.agg(F.count(F.lit(1)).alias("n"))
     return _check(counted, table, "min_rows", passed=F.col("n") >= minimum, observed=F.col("n"),
-                  limit=minimum, message=F.concat(F.lit(f"{table}: count "),
-                                                  F.format_number("n", 0),
-                                                  F.lit(f", min {minimum:,}")))
+                  limit=minimum, message=F.concat(F.lit(f"{table} needs {minimum:,} rows and has "),
+                                                  F.format_number("n", 0)))
 
 
 def duplicate_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -76,8 +95,8 @@ def check_unique(df: DataFrame, table: str, keys: Sequence[str]) -> DataFrame:
     dup = duplicate_counts(df, keys)
     return _check(dup, table, "unique_key", passed=F.col("duplicate_rows") == 0,
                   observed=F.col("duplicate_rows"), limit=0,
-                  message=F.concat(F.lit(f"{table}: "), F.col("duplicate_rows").cast("string"),
-                                   F.lit(f" duplicate {'-'.join(keys)} keys")))
+                  message=F.concat(F.lit(f"{table}: rows that share ({', '.join(keys)}) with another: "),
+                                   F.col("duplicate_rows").cast("string")))
 
 
 def orphan_keys(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
@@ -92,8 +111,8 @@ def check_orphans(fact: DataFrame, dim: DataFrame, table: str, key: str, dim_tab
                   ) -> DataFrame:
     n = orphan_keys(fact, dim, key).agg(F.count(F.lit(1)).alias("n"))
     return _check(n, table, "orphans", passed=F.col("n") == 0, observed=F.col("n"), limit=0,
-                  message=F.concat(F.lit(f"{table}: "), F.col("n").cast("string"),
-                                   F.lit(f" {key} keys missing from {dim_table} table")))
+                  message=F.concat(F.lit(f"{table}: values of {key} that {dim_table} does not list: "),
+                                   F.col("n").cast("string")))
 
 
 def check_negative(df: DataFrame, table: str, limit: float, *, value: str) -> DataFrame:
@@ -101,7 +120,7 @@ def check_negative(df: DataFrame, table: str, limit: float, *, value: str) -> Da
     share = df.agg(F.coalesce(F.avg(is_negative(F.col(value)).cast("int")), F.lit(0.0)).alias("s"))
     return _check(share, table, "negative_share", severity="warn", passed=F.col("s") <= limit,
                   observed=F.col("s"), limit=limit,
-                  message=F.format_string(f"{table}: negative {value} %.2f%%, limit {limit:.2%}%",
+                  message=F.format_string(f"{table}: %.2f%% of {value} lie below zero; {limit:.2%}% may",
                                           F.col("s") * 100))
 
 
@@ -142,37 +161,37 @@ def _table_checks(df: DataFrame, table: str, required: Sequence[str], keys: Sequ
                     .alias("neg")))
     n, pct = F.format_number("n", 0), F.col("neg") / F.greatest(F.col("n"), F.lit(1))
     rows = [_row(table, "schema", F.lit(not absent), F.lit(len(absent)), 0,
-                 F.lit(f"{table}: missing columns {absent}") if absent else
-                 F.concat(F.lit(f"{table}: schema OK ("), n, F.lit(" rows)")))]
+                 F.lit(f"{table} lacks the columns {absent}") if absent else
+                 F.concat(F.lit(f"{table} has all its columns; rows: "), n))]
     if minimum is not None:
         rows.append(_row(table, "min_rows", F.col("n") >= minimum, F.col("n"), minimum,
-                         F.concat(F.lit(f"{table}: count "), n, F.lit(f", min {minimum:,}"))))
+                         F.concat(F.lit(f"{table} needs {minimum:,} rows and has "), n)))
     if keyed:
         rows.append(_row(table, "unique_key", F.col("dup") == 0, F.col("dup"), 0, F.concat(
-            F.lit(f"{table}: "), F.col("dup").cast("string"),
-            F.lit(f" duplicate {'-'.join(keys)} keys"))))
+            F.lit(f"{table}: rows that share ({', '.join(keys)}) with another: "),
+            F.col("dup").cast("string"))))
         rows.append(_row(table, "key_nulls", F.col("absent") == 0, F.col("absent"), 0, F.concat(
             F.lit(f"{table}: "), F.col("absent").cast("string"),
             F.lit(" rows with a missing key")), "warn"))
     if valued and max_negative is not None:
         rows.append(_row(table, "negative_share", pct <= max_negative, pct, max_negative,
-                         F.format_string(f"{table}: negative {value} %.2f%%, limit "
-                                         f"{max_negative:.2%}%", pct * 100), "warn"))
+                         F.format_string(f"{table}: %.2f%% of {value} lie below zero; "
+                                         f"{max_negative:.2%}% may", pct * 100), "warn"))
     return stats.select(F.inline(F.array(*rows)))
 
 
 def validate_raw_tables(sales: DataFrame, stores: DataFrame, features: DataFrame,
-                        quality: QualityConfig = QualityConfig(), *,
+                        limits: Limits = Limits(), *,
                         keys: Keys = Keys()) -> DataFrame:
     """The check table of the three raw tables: one pass over each, and the
     orphan join."""
     parts = [
-        _table_checks(sales, "sales", quality.required_sales_columns, keys.grain,
-                      minimum=quality.min_rows, value=keys.value,
-                      max_negative=quality.max_negative_sales_pct),
-        _table_checks(stores, "stores", quality.required_stores_columns, [keys.entity],
-                      minimum=quality.min_stores),
-        _table_checks(features, "features", quality.required_features_columns,
+        _table_checks(sales, "sales", limits.required["sales"], keys.grain,
+                      minimum=limits.min_rows, value=keys.value,
+                      max_negative=limits.max_negative_share),
+        _table_checks(stores, "stores", limits.required["stores"], [keys.entity],
+                      minimum=limits.min_stores),
+        _table_checks(features, "features", limits.required["features"],
                       [keys.entity, keys.time, keys.holiday]),
     ]
     if _has(sales, keys.entity) and _has(stores, keys.entity):

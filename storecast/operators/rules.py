@@ -11,6 +11,7 @@ from __future__ import annotations
 import itertools
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -18,7 +19,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import Keys, RulesConfig
+from ..config import Keys
 from ..session import materialize
 
 
@@ -29,6 +30,18 @@ MASK_BITS = 62
 CANDIDATES_PER_PASS = 20_000
 
 
+@dataclass(frozen=True)
+class RuleParams:
+    """Which items enter, and which itemsets and rules stay. `max_len` None: any size."""
+
+    max_departments: int = 40
+    max_len: int | None = None
+    min_support: float = 0.011
+    min_confidence: float = 0.8
+    min_length: int = 2
+    min_lift: float = 3.0
+
+
 def top_departments(sales: DataFrame, n: int = 40, *, keys: Keys = Keys()) -> DataFrame:
     """The n items of largest total sales; ties go to the smaller item."""
     return (sales.where(F.col(keys.item).isNotNull()).groupBy(keys.item)
@@ -52,12 +65,15 @@ def dept_baskets(sales: DataFrame, *, basket_keys: Sequence[str] = ("Store", "Da
         F.array_sort(F.collect_set(F.col(item).cast("string"))).alias("items"))
 
 
-def basket_matrix(sales: DataFrame, items: Sequence, *,
+def basket_matrix(sales: DataFrame, items: Sequence | None = None, *,
                   basket_keys: Sequence[str] = ("Store", "Date"), item: str = "Dept") -> DataFrame:
-    """One row per basket, one boolean column `item_<x>` per listed item."""
+    """One row per basket, one boolean column `item_<x>` per listed item; without a
+    list, per item that occurs, so as many as a row can hold."""
     rows = sales
     for k in (*basket_keys, item):
         rows = rows.where(F.col(k).isNotNull())
+    if items is None:
+        items = [r[0] for r in rows.select(item).distinct().orderBy(item).collect()]
     return rows.groupBy(*basket_keys).agg(*[
         F.max(F.col(item) == F.lit(x)).alias(f"item_{x}") for x in items])
 
@@ -228,7 +244,7 @@ def sort_rules(rules: DataFrame) -> DataFrame:
     return rules.orderBy(F.desc("lift"), "antecedents", "consequents")
 
 
-def mine_association_rules(sales: DataFrame, config: RulesConfig = RulesConfig(), *,
+def mine_association_rules(sales: DataFrame, config: RuleParams = RuleParams(), *,
                            basket_keys: Sequence[str] = ("Store", "Date"), keys: Keys = Keys(),
                            engine: str = "auto") -> DataFrame:
     """Rules among the best-selling items, by falling lift; an empty input gives

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import itertools
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -17,7 +18,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..config import Keys, SeasonalConfig
+from ..config import Keys
+
+
+@dataclass(frozen=True)
+class SeasonalParams:
+    """Season length in weeks, and the largest orders that the search tries."""
+
+    seasonal_period: int = 52
+    max_p: int = 2
+    max_P: int = 1
+    max_q: int = 2
+    max_Q: int = 1
 
 
 def weekly_totals(sales: DataFrame, *, by: Sequence[str] = (), keys: Keys = Keys()) -> DataFrame:
@@ -123,7 +135,7 @@ def _fit_order(w: np.ndarray, e: np.ndarray, order: tuple[int, ...], m: int, sta
             fitted)
 
 
-def _candidates(cfg: SeasonalConfig, n: int) -> list[tuple[int, ...]]:
+def _candidates(cfg: SeasonalParams, n: int) -> list[tuple[int, ...]]:
     """All (p, q, P, Q) within the limits that a series of n points can carry."""
     m = cfg.seasonal_period
     seasonal = n >= m + 30
@@ -132,7 +144,7 @@ def _candidates(cfg: SeasonalConfig, n: int) -> list[tuple[int, ...]]:
     return list(grid)
 
 
-def _rank_orders(y: np.ndarray, cfg: SeasonalConfig):
+def _rank_orders(y: np.ndarray, cfg: SeasonalParams):
     """[(order, d, D, aicc, fitted w)], all on the same points, plus their start."""
     m = cfg.seasonal_period
     d, D = _choose_differences(y, m)
@@ -163,7 +175,7 @@ def _grouped(series: DataFrame, by: Sequence[str]):
 
 
 def search_orders(series: DataFrame, *, by: Sequence[str] = (), time: str = "Date", y: str = "y",
-                  config: SeasonalConfig = SeasonalConfig()) -> DataFrame:
+                  config: SeasonalParams = SeasonalParams()) -> DataFrame:
     """(by..., p, d, q, sp, sd, sq, m, n, aicc): every candidate order of every
     series; a series too short for any has one row of zeros without an AICc. One
     task call holds one series, whose length is its number of
@@ -194,7 +206,7 @@ def best_orders(candidates: DataFrame, *, by: Sequence[str] = ()) -> DataFrame:
 
 
 def fit_series(series: DataFrame, *, by: Sequence[str] = (), time: str = "Date", y: str = "y",
-               config: SeasonalConfig = SeasonalConfig()) -> DataFrame:
+               config: SeasonalParams = SeasonalParams()) -> DataFrame:
     """(by..., Date, y, fitted, p, d, q, sp, sd, sq, m, aicc): the best order of
     each series and its one-step in-sample values; null over the start-up."""
     by = list(by)

@@ -22,11 +22,23 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
-from ..config import Keys, SegmentationConfig
+from ..config import PROFILE_FEATURES, Keys
 from ..functions.scalar import yeo_johnson
 from ..session import materialize
 
 
+@dataclass(frozen=True)
+class SegmentParams:
+    """Profile columns, projection and K-Means; the elbow curve runs to `elbow_max_k`."""
+
+    features: tuple[str, ...] = PROFILE_FEATURES
+    pca_components: int = 2
+    n_clusters: int = 4
+    elbow_max_k: int = 10
+    restarts: int = 10
+    random_state: int = 42
+
+
 def store_profiles(master: DataFrame, *, keys: Keys = Keys()) -> DataFrame:
     """Per store: mean sales, size, mean markdown value, mean unemployment.
     Size is constant within a store once store keys are unique."""
@@ -370,7 +382,7 @@ class SegmentationResult:
     wcss: list[float]
 
 
-def fit_projection(profiles: DataFrame, config: SegmentationConfig = SegmentationConfig()
+def fit_projection(profiles: DataFrame, config: SegmentParams = SegmentParams()
                    ) -> SegmentModel:
     """Yeo-Johnson, scaling and PCA of the profiles; no clusters yet."""
     cols = list(config.features)
@@ -383,7 +395,7 @@ def fit_projection(profiles: DataFrame, config: SegmentationConfig = Segmentatio
     return SegmentModel(cols, signed, lambdas, scaler, loadings, explained, [])
 
 
-def fit_segmentation(master: DataFrame, config: SegmentationConfig = SegmentationConfig(), *,
+def fit_segmentation(master: DataFrame, config: SegmentParams = SegmentParams(), *,
                      keys: Keys = Keys(), elbow: bool = True, score: bool = True
                      ) -> SegmentationResult:
     """Profiles -> clusters. Labels are ordered by mean sales, so that a label

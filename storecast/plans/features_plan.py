@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from ..config import Config, Keys
+from ..config import Keys
 from ..operators.anomaly import lag_and_flags
 from ..operators.features import (add_markdown_signals, add_sales_lag, add_temperature_band,
                                   add_temporal_features)
 from ..operators.master import (clean_master, check_negative_share, drop_negative_sales,
                                 ffill_features, merge_datasets)
+from .settings import Config
 
 
 def engineered_master(sales: DataFrame, stores: DataFrame, features: DataFrame,
@@ -24,19 +25,19 @@ def engineered_master(sales: DataFrame, stores: DataFrame, features: DataFrame,
     the sales key has been checked.
     """
     if gate:
-        check_negative_share(sales, config.quality.max_negative_sales_pct, value=keys.value)
+        check_negative_share(sales, config.limits.max_negative_share, value=keys.value)
     kept = drop_negative_sales(sales, value=keys.value)
-    rows = (lag_and_flags(kept, threshold=config.anomaly.zscore_threshold, keys=keys,
+    rows = (lag_and_flags(kept, threshold=config.zscore, keys=keys,
                           unique=unique)
             if anomalies else add_sales_lag(kept, keys=keys, unique=unique))
-    chronological = config.data.fill == "chronological"
+    chronological = config.fill == "chronological"
     if chronological:
         features = ffill_features(features, keys=keys)
-    markdowns = config.features.markdown_columns
+    markdowns = config.markdowns
     master = clean_master(merge_datasets(rows, stores, features, keys=keys),
                           markdowns=markdowns, max_negative_share=None,
                           fill=None if chronological else "input", keys=keys,
                           unique=unique)
     return (master.transform(add_temporal_features, time=keys.time)
-            .transform(add_temperature_band, config=config.features)
+            .transform(add_temperature_band, bands=config.bands)
             .transform(add_markdown_signals, markdowns))

@@ -8,14 +8,14 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import Config, Keys
+from ..config import Keys
 from ..operators.anomaly import anomaly_summary
 from ..operators.explore import run_summary
 from ..operators.forecast import score_forecasts, train_forecaster
 from ..operators.master import build_master
 from ..operators.quality import raise_if_failed, validate_master, validate_raw_tables
 from ..operators.rules import mine_association_rules
-from ..operators.seasonal import best_orders, search_orders, weekly_totals
+from ..operators.seasonal import best_orders, densify, search_orders, weekly_totals
 from ..operators.segment import attach_clusters, cluster_summary, fit_segmentation
 from ..session import remove_path, scratch_path
 from ..sources.bundle import load_bundle, save_bundle
@@ -23,6 +23,7 @@ from ..sources.csv import load_raw_tables
 from ..sources.sinks import (append_run, new_run_id, write_forecasts, write_master, write_report,
                              write_rules, write_scores)
 from .features_plan import engineered_master
+from .settings import Config
 
 Tables = tuple[DataFrame, DataFrame, DataFrame]
 
@@ -31,7 +32,7 @@ def load_staged(spark: SparkSession, data_dir: str, path: str, config: Config =
                 ) -> Tables:
     """The raw CSV tables, parsed once and kept as Parquet below `path`."""
     out = []
-    for df, name in zip(load_raw_tables(spark, data_dir, config.data),
+    for df, name in zip(load_raw_tables(spark, data_dir, config.files),
                         ("sales", "stores", "features")):
         df.write.mode("overwrite").parquet(f"{path}/{name}")
         out.append(spark.read.schema(df.schema).parquet(f"{path}/{name}"))
@@ -39,16 +40,16 @@ def load_staged(spark: SparkSession, data_dir: str, path: str, config: Config =
 
 
 def validate(tables: Tables, config: Config = Config(), *, keys: Keys = Keys()) -> DataFrame:
-    return validate_raw_tables(*tables, config.quality, keys=keys)
+    return validate_raw_tables(*tables, config.limits, keys=keys)
 
 
 def ingest(tables: Tables, path: str, config: Config = Config(), *, keys: Keys = Keys()
            ) -> DataFrame:
     """The cleaned master table, written as Parquet; no other gate runs."""
     sales, stores, features = tables
-    master = build_master(sales, stores, features, markdowns=config.features.markdown_columns,
-                          max_negative_share=config.quality.max_negative_sales_pct,
-                          fill=config.data.fill, keys=keys)
+    master = build_master(sales, stores, features, markdowns=config.markdowns,
+                          max_negative_share=config.limits.max_negative_share,
+                          fill=config.fill, keys=keys)
     write_master(master.withColumn("Year", F.year(keys.time)), path)
     return sales.sparkSession.read.parquet(path)
 
@@ -77,22 +78,22 @@ def train(tables: Tables, out_dir: str, config: Config = Config(), *, keys: Keys
                       unique=True).write.parquet(staged)
     engineered = spark.read.parquet(staged)
     checks += raise_if_failed(validate_master(
-        engineered, required=config.quality.required_master_columns,
-        max_null_share=config.quality.max_null_share))
+        engineered, required=config.limits.required["master"],
+        max_null_share=config.limits.max_null_share))
 
-    segments = fit_segmentation(engineered, config.segmentation, keys=keys)
+    segments = fit_segmentation(engineered, config.segments, keys=keys)
     processed = write_master(attach_clusters(engineered, segments.profiles, keys=keys),
                              f"{base}/processed/master_{run_id}")
     master = spark.read.parquet(processed)
     remove_path(spark, staged)
 
-    forecast, holdout = train_forecaster(master, config.forecasting,
-                                         split_date=config.data.test_split_date)
+    forecast, holdout = train_forecaster(master, config.forecast,
+                                         split_date=config.split_date)
     forecasts_path = write_forecasts(holdout, f"{base}/outputs/forecasts_{run_id}")
 
-    weekly = weekly_totals(sales, keys=keys)
+    weekly = densify(weekly_totals(sales, keys=keys), time=keys.time)
     order = best_orders(search_orders(weekly, config=config.seasonal)).first()
-    rules = mine_association_rules(sales, config.association, keys=keys)
+    rules = mine_association_rules(sales, config.rules, keys=keys)
     rules_path = write_rules(rules, f"{base}/outputs/association_rules_{run_id}")
     rules = spark.read.parquet(rules_path)
 

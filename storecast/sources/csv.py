@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..config import DataConfig
 from ..functions.scalar import missing_text_to_null, nan_to_null, parse_bool, parse_date
 from ..schemas import BY_NAME
 
+# Names of the raw files.
+FILES = {"sales": "sales data-set.csv", "stores": "stores data-set.csv",
+         "features": "Features data set.csv"}
+
 
 def typed(raw: DataFrame, schema: T.StructType) -> DataFrame:
     """Text columns to the types of `schema`. Columns the input lacks stay
@@ -42,17 +47,13 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 
 def load_raw_tables(
-    spark: SparkSession, data_dir: str, data_config: DataConfig | None = None,
+    spark: SparkSession, data_dir: str, files: Mapping[str, str] = FILES,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The sales, stores and features tables of a folder of CSV files. Each may
     be one file or a folder of part files."""
-    cfg = data_config or DataConfig()
     base = data_dir.rstrip("/")
-    return (
-        read_csv(spark, f"{base}/{cfg.sales_file}", BY_NAME["sales"]),
-        read_csv(spark, f"{base}/{cfg.stores_file}", BY_NAME["stores"]),
-        read_csv(spark, f"{base}/{cfg.features_file}", BY_NAME["features"]),
-    )
+    return tuple(read_csv(spark, f"{base}/{files[t]}", BY_NAME[t])
+                 for t in ("sales", "stores", "features"))
 
 
 def write_raw_csv(df: DataFrame, path: str) -> None:

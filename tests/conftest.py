@@ -32,24 +32,26 @@ W1, W2 = day("2010-02-05"), day("2010-02-12")
 
 @pytest.fixture(scope="session")
 def sales(spark):
+    """Per store one series of two weeks, a falling and a rising one, and one of a single week."""
     return spark.createDataFrame([
-        (1, 1, W1, 100.0, False), (1, 2, W1, 80.0, False), (1, 1, W2, 120.0, True),
-        (2, 1, W1, 90.0, False), (2, 2, W1, 70.0, False), (2, 1, W2, 110.0, True),
+        (1, 1, W1, 64.0, False), (1, 1, W2, 40.0, True), (1, 2, W1, 36.0, False),
+        (2, 1, W1, 52.0, False), (2, 2, W1, 20.0, False), (2, 2, W2, 28.0, True),
     ], schemas.SALES)
 
 
 @pytest.fixture(scope="session")
 def stores(spark):
-    return spark.createDataFrame([(1, "A", 150000), (2, "B", 40000)], schemas.STORES)
+    return spark.createDataFrame([(1, "B", 90000), (2, "C", 61000)], schemas.STORES)
 
 
 @pytest.fixture(scope="session")
 def features(spark):
-    def row(store, date, temp, fuel, md1, cpi, unemp, holiday):
-        return (store, date, temp, fuel, md1, 0.0, 0.0, 0.0, 0.0, cpi, unemp, holiday)
+    """A week in each temperature band; one markdown per store, in different weeks."""
     return spark.createDataFrame([
-        row(1, W1, 40.0, 2.5, 0.0, 210.0, 8.0, False), row(1, W2, 38.0, 2.5, 5.0, 210.5, 8.0, True),
-        row(2, W1, 45.0, 2.6, 0.0, 211.0, 7.5, False), row(2, W2, 42.0, 2.6, 0.0, 211.5, 7.5, True),
+        (1, W1, 30.0, 3.0, 0.0, 0.0, 0.0, 0.0, 0.0, 150.0, 6.0, False),
+        (1, W2, 52.0, 3.1, 0.0, 0.0, 9.0, 0.0, 0.0, 151.0, 6.0, True),
+        (2, W1, 60.0, 2.8, 4.0, 0.0, 0.0, 0.0, 0.0, 160.0, 9.0, False),
+        (2, W2, 80.0, 2.9, 0.0, 0.0, 0.0, 0.0, 0.0, 162.0, 9.0, True),
     ], schemas.FEATURES)
 
 

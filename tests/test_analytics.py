@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from conftest import W1, W2, day, rows
 from storecast import schemas
-from storecast.config import RulesConfig, SegmentationConfig
 from storecast.operators import anomaly, explore, metrics, rules, seasonal, segment
 from storecast.operators.features import engineer_features
 from storecast.operators.master import build_master
@@ -60,11 +59,12 @@ def test_drilldown_reads_one_series(spark):
 
 def test_exploration(spark, sales, stores, features):
     m = engineer_features(build_master(sales, stores, features))
-    assert rows(explore.store_ranking(m), "Store") == [(1, 100.0), (2, 90.0)]
+    assert rows(explore.store_ranking(m), "Store") == [
+        (1, pytest.approx(140 / 3)), (2, pytest.approx(100 / 3))]
     wide = explore.seasonality(m, wide=[2010]).where("Week = 5").first()
-    assert wide["2010"] == pytest.approx(85.0)
+    assert wide["2010"] == pytest.approx(43.0)
     lift = explore.holiday_lift(m).where("Week = 6").first()
-    assert lift["lift"] == pytest.approx(115 / 85)
+    assert lift["lift"] == pytest.approx(34 / 43)
     h = explore.histogram(m, ["Temperature", "CPI"], bins=2)
     assert sum(r["n"] for r in h.where("column_name = 'CPI'").collect()) == 6
     assert explore.histogram(m.withColumn("x", F.lit(3.0)), ["x"]).first()["n"] == 6
@@ -134,8 +134,8 @@ def profiles(spark, n=24):
 def test_profiles_golden(sales, stores, features):
     m = engineer_features(build_master(sales, stores, features))
     got = rows(segment.store_profiles(m), "Store")
-    assert got[0] == (1, 100.0, 150000, pytest.approx(5 / 3), 8.0)
-    assert got[1] == (2, 90.0, 40000, 0.0, 7.5)
+    assert got[0] == (1, pytest.approx(140 / 3), 90000, 3.0, 6.0)
+    assert got[1] == (2, pytest.approx(100 / 3), 61000, pytest.approx(8 / 3), 9.0)
 
 
 def _psi(x, lam):
@@ -180,7 +180,7 @@ def test_scaler_uses_population_deviation(spark):
 
 def test_segmentation(spark):
     m = profiles(spark).withColumns({"Dept": F.lit(1), "Date": F.lit("2010-02-05").cast("date")})
-    cfg = SegmentationConfig(restarts=2, elbow_max_k=4)
+    cfg = segment.SegmentParams(restarts=2, elbow_max_k=4)
     r = segment.fit_segmentation(m, cfg)
     got = rows(r.profiles.select("Store", "Cluster"), "Store")
     assert len(got) == 24 and {c for _, c in got} == {0, 1, 2, 3}
@@ -201,7 +201,7 @@ def test_segmentation(spark):
 
 def test_fewer_stores_than_clusters(spark):
     m = profiles(spark, 2)
-    r = segment.fit_segmentation(m, SegmentationConfig(restarts=1, elbow_max_k=3))
+    r = segment.fit_segmentation(m, segment.SegmentParams(restarts=1, elbow_max_k=3))
     assert r.profiles.count() == 2 and r.silhouette is None
 
 
@@ -236,7 +236,7 @@ def test_silhouette_against_all_pairs(spark, metric, power):
 # ---- seasonal ------------------------------------------------------------
 
 def test_weekly_totals_and_gaps(spark, sales):
-    assert rows(seasonal.weekly_totals(sales), "Date") == [(W1, 340.0), (W2, 230.0)]
+    assert rows(seasonal.weekly_totals(sales), "Date") == [(W1, 172.0), (W2, 68.0)]
     odd = spark.createDataFrame([(1, 1, W1, None, False), (None, 1, W1, 4.0, False),
                                  (1, 1, day("2010-02-26"), 3.0, False)], schemas.SALES)
     w = seasonal.weekly_totals(odd, by=["Store"])
@@ -379,7 +379,7 @@ def test_rules_against_brute_force(spark):
                     want[left, right] = (hit / n, conf, lift)
     got = rules.mine_association_rules(
         basket_sales(spark, baskets),
-        RulesConfig(min_support=0.03, min_confidence=0.1, min_lift=0.5, max_len=None),
+        rules.RuleParams(min_support=0.03, min_confidence=0.1, min_lift=0.5, max_len=None),
         basket_keys=["Store"]).collect()
     assert {(tuple(r[0]), tuple(r[1])): pytest.approx(tuple(r[2:])) for r in got} == want
     assert any(len(r["consequents"]) > 1 for r in got)
@@ -397,8 +397,8 @@ def test_empty_and_single_item_baskets(spark, sales):
 
 def test_baskets_and_top(spark, sales):
     got = rows(rules.dept_baskets(sales), "Store", "Date")
-    assert [r[2] for r in got] == [["1", "2"], ["1"], ["1", "2"], ["1"]]
+    assert [r[2] for r in got] == [["1", "2"], ["1"], ["1", "2"], ["2"]]
     m = rows(rules.basket_matrix(sales, [1, 2]), "Store", "Date")
-    assert [r[2:] for r in m] == [(True, True), (True, False), (True, True), (True, False)]
-    assert rows(rules.top_departments(sales, 1), "Dept") == [(1, 420.0)]
-    assert rules.restrict_to_top(sales, 1).count() == 4
+    assert [r[2:] for r in m] == [(True, True), (True, False), (True, True), (False, True)]
+    assert rows(rules.top_departments(sales, 1), "Dept") == [(1, 156.0)]
+    assert rules.restrict_to_top(sales, 1).count() == 3

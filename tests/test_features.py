@@ -9,14 +9,15 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import W1, W2, day, rows
-from storecast.config import Config, QualityConfig
+from storecast import Config
 from storecast.functions import scalar
 from storecast.operators import features as fe
 from storecast.operators import master as ma
+from storecast.operators.quality import Limits
 from storecast.operators.ordered import forward_fill, previous_value
 from storecast.plans.features_plan import engineered_master
 
-LOOSE = Config(quality=QualityConfig(min_stores=1, min_rows=1))
+LOOSE = Config(limits=Limits(min_stores=1, min_rows=1))
 
 
 def test_parse_bool(spark):
@@ -61,12 +62,12 @@ def test_golden_rows(sales, stores, features, unique):
                "Store", "Dept", "Date")
     z = 0.707107
     assert got == [
-        (1, 1, W1, 5, "Cold", 0.0, 0, 0.0, -z, False),
-        (1, 1, W2, 6, "Cold", 100.0, 1, 5.0, z, False),
-        (1, 2, W1, 5, "Cold", 0.0, 0, 0.0, None, False),
-        (2, 1, W1, 5, "Cold", 0.0, 0, 0.0, -z, False),
-        (2, 1, W2, 6, "Cold", 90.0, 0, 0.0, z, False),
-        (2, 2, W1, 5, "Cold", 0.0, 0, 0.0, None, False),
+        (1, 1, W1, 5, "Freezing", 0.0, 0, 0.0, z, False),
+        (1, 1, W2, 6, "Cold", 64.0, 1, 9.0, -z, False),
+        (1, 2, W1, 5, "Freezing", 0.0, 0, 0.0, None, False),
+        (2, 1, W1, 5, "Moderate", 0.0, 1, 4.0, None, False),
+        (2, 2, W1, 5, "Moderate", 0.0, 1, 4.0, -z, False),
+        (2, 2, W2, 6, "Hot", 20.0, 0, 0.0, z, False),
     ]
 
 
@@ -160,8 +161,8 @@ def test_markdown_signals_skip_missing(spark):
 
 def test_encode_type_and_saved_mapping(spark, stores):
     df, mapping = fe.encode_type(stores)
-    assert mapping == {"A": 0, "B": 1}
-    unseen = spark.createDataFrame([("B",), ("Z",), (None,)], "Type string")
+    assert mapping == {"B": 0, "C": 1}
+    unseen = spark.createDataFrame([("C",), ("Z",), (None,)], "Type string")
     got = [r[0] for r in fe.encode_type(unseen, mapping)[0].select("Type_Encoded").collect()]
     assert got == [1, None, None]
 
@@ -185,8 +186,8 @@ def test_fill_orders_differ(spark, sales, stores, features):
     chrono = rows(ma.build_master(sales, stores, gap).select(*key, "CPI").where("Store = 1"), *key)
     as_read = rows(ma.build_master(sales, stores, gap, fill="input").select(*key, "CPI")
                    .where("Store = 1"), *key)
-    assert [r[3] for r in chrono] == [None, 210.5, None]
-    assert [r[3] for r in as_read] == [None, 210.5, 210.5]
+    assert [r[3] for r in chrono] == [None, 151.0, None]
+    assert [r[3] for r in as_read] == [None, 151.0, 151.0]
 
 
 def test_holiday_mismatch_gives_null_features(sales, stores, features):

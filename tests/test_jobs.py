@@ -11,9 +11,8 @@ from pyspark.sql import functions as F
 
 from conftest import day, rows
 from storecast import schemas
-from storecast.config import (Config, DataConfig, ForecastConfig, QualityConfig, RulesConfig,
-                              SegmentationConfig, load_config)
-from storecast.operators import forecast, metrics, segment
+from storecast import Config, load_config
+from storecast.operators import forecast, metrics, quality, rules, segment
 from storecast.plans import jobs
 from storecast.plans.features_plan import engineered_master
 from storecast.sources import sinks
@@ -21,12 +20,12 @@ from storecast.sources.bundle import load_bundle
 from storecast.sources.csv import write_raw_csv
 
 CONFIG = Config(
-    data=DataConfig(test_split_date="2011-06-03"),
-    quality=QualityConfig(min_stores=6, min_rows=1000),
-    segmentation=SegmentationConfig(restarts=1, elbow_max_k=3),
-    forecasting=ForecastConfig(n_estimators=12, learning_rate=0.3, max_depth=4,
-                               early_stopping_rounds=4),
-    association=RulesConfig(max_len=2, min_confidence=0.1, min_lift=1.0))
+    split_date="2011-06-03",
+    limits=quality.Limits(min_stores=6, min_rows=1000),
+    segments=segment.SegmentParams(restarts=1, elbow_max_k=3),
+    forecast=forecast.ForecastParams(n_estimators=12, learning_rate=0.3, max_depth=4,
+                                     early_stopping_rounds=4),
+    rules=rules.RuleParams(max_len=2, min_confidence=0.1, min_lift=1.0))
 
 
 @pytest.fixture(scope="module")
@@ -58,13 +57,13 @@ def tables(spark):
 @pytest.fixture(scope="module")
 def master(spark, tables):
     df = engineered_master(*tables, CONFIG, unique=True)
-    seg = segment.fit_segmentation(df, CONFIG.segmentation, elbow=False, score=False)
+    seg = segment.fit_segmentation(df, CONFIG.segments, elbow=False, score=False)
     return segment.attach_clusters(df, seg.profiles).persist()
 
 
 def test_forecaster_beats_the_lag_and_survives_a_round_trip(spark, master, tmp_path):
-    split = CONFIG.data.test_split_date
-    result, holdout = forecast.train_forecaster(master, CONFIG.forecasting, split_date=split)
+    split = CONFIG.split_date
+    result, holdout = forecast.train_forecaster(master, CONFIG.forecast, split_date=split)
     lag = metrics.regression_metrics(holdout, forecast="Sales_Lag_1").first()
     assert result.metrics["r2"] > 0.5 and result.metrics["r2"] > lag["r2"]
     assert result.metrics["mae"] >= 0 and 1 <= result.n_trees <= 12
@@ -83,8 +82,8 @@ def test_forecaster_beats_the_lag_and_survives_a_round_trip(spark, master, tmp_p
 
 def test_unseen_type_store_and_missing_values_are_scored(spark, master):
     result, _ = forecast.train_forecaster(
-        master, ForecastConfig(n_estimators=2, max_depth=3, early_stopping_rounds=0),
-        split_date=CONFIG.data.test_split_date)
+        master, forecast.ForecastParams(n_estimators=2, max_depth=3, early_stopping_rounds=0),
+        split_date=CONFIG.split_date)
     odd = master.limit(3).withColumns({"Type": F.lit("Z"), "Store": F.lit(77),
                                        "Cluster": F.lit(None).cast("int"),
                                        "CPI": F.lit(None).cast("double")})
@@ -93,9 +92,9 @@ def test_unseen_type_store_and_missing_values_are_scored(spark, master):
 
 
 def test_holdout_validation_and_patience(master):
-    cfg = ForecastConfig(n_estimators=6, max_depth=3, early_stopping_rounds=2, validation="holdout",
+    cfg = forecast.ForecastParams(n_estimators=6, max_depth=3, early_stopping_rounds=2, validation="holdout",
                          learning_rate=0.3)
-    result, _ = forecast.train_forecaster(master, cfg, split_date=CONFIG.data.test_split_date)
+    result, _ = forecast.train_forecaster(master, cfg, split_date=CONFIG.split_date)
     assert 1 <= result.n_trees <= 6
     assert forecast.first_stall([5, 4, 4.5, 4.2, 3], 2) == (2, True)
     assert forecast.first_stall([5, 4, 4.5, 3], 2) == (4, False)
@@ -104,8 +103,8 @@ def test_holdout_validation_and_patience(master):
 
 def test_growing_in_steps_equals_one_long_run(master):
     """The stop found while doubling the rounds is the one a full run would give."""
-    split = CONFIG.data.test_split_date
-    cfg = ForecastConfig(n_estimators=11, max_depth=3, early_stopping_rounds=1, learning_rate=1.0,
+    split = CONFIG.split_date
+    cfg = forecast.ForecastParams(n_estimators=11, max_depth=3, early_stopping_rounds=1, learning_rate=1.0,
                          validation="holdout", subsample=1.0, colsample=1.0)
     stepped, rows_a = forecast.train_forecaster(master, cfg, split_date=split)
     fixed = dataclasses.replace(cfg, n_estimators=stepped.n_trees, early_stopping_rounds=0)
@@ -116,8 +115,7 @@ def test_growing_in_steps_equals_one_long_run(master):
 
 def test_run_all(spark, tables, tmp_path):
     data, out = f"{tmp_path}/raw", f"{tmp_path}/out"
-    cfg = CONFIG.data
-    for df, name in zip(tables, (cfg.sales_file, cfg.stores_file, cfg.features_file)):
+    for df, name in zip(tables, CONFIG.files.values()):
         write_raw_csv(df, f"{data}/{name}")
     trained, scored = jobs.run_all(spark, data, out, CONFIG)
     assert tuple(scored.columns) == sinks.SCORE_COLUMNS
@@ -149,7 +147,7 @@ def test_validate_job_stops_a_bad_run(spark, tables, tmp_path):
     sales, stores, feats = tables
     with pytest.raises(ValueError, match="orphan|missing from stores"):
         jobs.train((sales, stores.where("Store < 6"), feats), str(tmp_path),
-                   Config(quality=QualityConfig(min_stores=1, min_rows=1)))
+                   Config(limits=quality.Limits(min_stores=1, min_rows=1)))
 
 
 def test_ingest_writes_by_year(spark, tables, tmp_path):
@@ -168,12 +166,15 @@ def test_export(spark, master, tmp_path):
 
 def test_config(tmp_path):
     path = tmp_path / "c.yaml"
-    path.write_text("quality: {min_stores: 3}\nfeatures: {markdown_columns: [MarkDown1]}\n")
+    path.write_text("limits: {min_stores: 3}\nmarkdowns: [MarkDown1]\nfiles: {sales: s.csv}\n")
     cfg = load_config(str(path))
-    assert cfg.quality.min_stores == 3 and cfg.features.markdown_columns == ("MarkDown1",)
-    assert cfg.anomaly.zscore_threshold == 3.0 and load_config().association.max_departments == 40
-    with pytest.raises(ValueError, match="unknown config sections"):
-        Config.from_dict({"nope": {}})
+    assert cfg.limits.min_stores == 3 and cfg.limits.min_rows == 400_000
+    assert cfg.markdowns == ("MarkDown1",) and cfg.files["stores"] == Config().files["stores"]
+    assert cfg.files["sales"] == "s.csv" and cfg.zscore == 3.0
+    assert load_config().rules.max_departments == 40
+    for bad in ({"nope": {}}, {"limits": {"nope": 1}}):
+        with pytest.raises(ValueError, match="nope"):
+            Config.from_dict(bad)
 
 
 def test_bad_split_leaves_holdout_empty(master):

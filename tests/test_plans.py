@@ -103,7 +103,7 @@ def test_dedupe_needs_no_window(tables):
 
 
 def test_workers_need_no_package(tmp_path):
-    blob = cloudpickle.dumps((seasonal._rank_orders, seasonal.SeasonalConfig(seasonal_period=4)))
+    blob = cloudpickle.dumps((seasonal._rank_orders, seasonal.SeasonalParams(seasonal_period=4)))
     (tmp_path / "f.pkl").write_bytes(blob)
     code = ("import pickle, numpy as np; f, cfg = pickle.load(open('f.pkl', 'rb')); "
             "print(len(f(np.arange(40.0) % 7, cfg)[0]))")

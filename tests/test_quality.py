@@ -6,12 +6,11 @@ import pytest
 
 from conftest import W1, W2, rows
 from storecast import schemas
-from storecast.config import DataConfig, QualityConfig
 from storecast.operators import quality as qa
 from storecast.operators.master import build_master
-from storecast.sources.csv import load_raw_tables, write_raw_csv
+from storecast.sources.csv import FILES, load_raw_tables, write_raw_csv
 
-SMALL = QualityConfig(min_stores=2, min_rows=6)
+SMALL = qa.Limits(min_stores=2, min_rows=6)
 
 
 def failed(checks):
@@ -21,19 +20,19 @@ def failed(checks):
 def test_all_pass(sales, stores, features):
     checks = qa.validate_raw_tables(sales, stores, features, SMALL)
     assert failed(checks) == set()
-    assert "sales: schema OK (6 rows)" in qa.raise_if_failed(checks)
+    assert "sales has all its columns; rows: 6" in qa.raise_if_failed(checks)
 
 
 def test_missing_column_is_named_and_nothing_crashes(sales, stores, features):
     checks = qa.validate_raw_tables(sales.drop("Weekly_Sales", "Dept"), stores.drop("Store"),
                                     features, SMALL)
     assert failed(checks) == {("sales", "schema"), ("stores", "schema")}
-    with pytest.raises(qa.DataQualityError, match="missing columns .*Weekly_Sales"):
+    with pytest.raises(qa.DataQualityError, match="lacks the columns .*Weekly_Sales"):
         qa.raise_if_failed(checks)
 
 
 def test_row_floors(sales, stores, features):
-    checks = qa.validate_raw_tables(sales, stores, features, QualityConfig())
+    checks = qa.validate_raw_tables(sales, stores, features, qa.Limits())
     assert failed(checks) == {("sales", "min_rows"), ("stores", "min_rows")}
 
 
@@ -72,11 +71,11 @@ def test_empty_sales(spark, sales, stores, features):
 
 
 def test_dedupe_is_order_free(sales, spark):
-    extra = spark.createDataFrame([(1, 1, W1, 50.0, True), (1, 1, W1, 100.0, True)], schemas.SALES)
+    extra = spark.createDataFrame([(1, 1, W1, 50.0, True), (1, 1, W1, 64.0, True)], schemas.SALES)
     a, b = qa.dedupe(sales.unionByName(extra)), qa.dedupe(extra.unionByName(sales))
     key = ["Store", "Dept", "Date"]
     assert rows(a, *key) == rows(b, *key)
-    assert a.count() == 6 and rows(a, *key)[0] == (1, 1, W1, 100.0, True)
+    assert a.count() == 6 and rows(a, *key)[0] == (1, 1, W1, 64.0, True)
 
 
 def test_freshness(sales, features):
@@ -86,9 +85,7 @@ def test_freshness(sales, features):
 
 
 def test_csv_round_trip(spark, sales, stores, features, tmp_path):
-    cfg = DataConfig()
-    for df, name in ((sales, cfg.sales_file), (stores, cfg.stores_file),
-                     (features, cfg.features_file)):
+    for df, name in zip((sales, stores, features), FILES.values()):
         write_raw_csv(df, f"{tmp_path}/{name}")
     for got, want in zip(load_raw_tables(spark, str(tmp_path)), (sales, stores, features)):
         assert got.schema.simpleString() == want.schema.simpleString()
