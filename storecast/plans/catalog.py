@@ -15,8 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..config import (MARKDOWNS, Config, DataConfig, ForecastConfig, QualityConfig, RulesConfig,
-                      SegmentationConfig)
+from ..config import EXTERNAL_FACTORS, FORECAST_FEATURES, MARKDOWNS, PROFILE_FEATURES
 from ..functions.scalar import parse_bool, parse_date
 from ..operators import anomaly, explore, features, forecast, master, metrics, quality, rules
 from ..operators import seasonal, segment
@@ -26,20 +25,20 @@ from ..sources import sinks
 from ..sources.csv import read_csv, write_raw_csv
 from . import bridge, jobs
 from .features_plan import engineered_master
+from .settings import Config
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 SPLIT = "2000-01-01"
-BRIDGE_QUALITY = QualityConfig(min_stores=10, min_rows=5000)
+BRIDGE_LIMITS = quality.Limits(min_stores=10, min_rows=5000)
 SUPPORT, CONFIDENCE, LIFT = 0.011, 0.1, 1.0
-DEPTS = range(1, 26)
-PROFILE = list(SegmentationConfig().features)
+PROFILE = list(PROFILE_FEATURES)
+SEGMENTS = segment.SegmentParams()
 FIXED_LAMBDAS = {"Weekly_Sales": 0.5, "Size": 0.0, "Total_MD_Value": 0.25, "Unemployment": -1.0}
 LAMBDA_GRID = [-3 + 0.25 * i for i in range(25)]
-# Few rounds and restarts: the entries check the operators, not their tuning.
-SMALL_SEGMENTS = SegmentationConfig(restarts=2, elbow_max_k=5)
-SMALL_FORECAST = ForecastConfig(n_estimators=10, learning_rate=0.2, max_depth=4,
-                                early_stopping_rounds=0)
+# Few rounds: the entries check the operators, not their tuning.
+SMALL_FORECAST = forecast.ForecastParams(n_estimators=10, learning_rate=0.2, max_depth=4,
+                                         early_stopping_rounds=0)
 
 
 def shown(df: DataFrame, **digits: int) -> DataFrame:
@@ -141,18 +140,18 @@ def q_parse_dates(s, d):
 # ---- quality -------------------------------------------------------------
 
 def q_dq_schema(s, d):
-    q = BRIDGE_QUALITY
+    q = BRIDGE_LIMITS
     sales, stores, feats = _tables(s, d)
     return quality.check_schema({
-        "sales": (sales, q.required_sales_columns), "stores": (stores, q.required_stores_columns),
-        "features": (feats, q.required_features_columns)}).select(
+        "sales": (sales, q.required["sales"]), "stores": (stores, q.required["stores"]),
+        "features": (feats, q.required["features"])}).select(
             "table_name", "check", "passed", "observed", "message")
 
 
 def q_dq_row_counts(s, d):
-    parts = quality.check_row_count(bridge.stores(s, d), "stores", BRIDGE_QUALITY.min_stores)
+    parts = quality.check_row_count(bridge.stores(s, d), "stores", BRIDGE_LIMITS.min_stores)
     return parts.unionByName(quality.check_row_count(
-        _sales(s, d), "sales", BRIDGE_QUALITY.min_rows)).select(
+        _sales(s, d), "sales", BRIDGE_LIMITS.min_rows)).select(
             "table_name", "check", "passed", "observed", "limit")
 
 
@@ -172,12 +171,12 @@ def q_dq_negative_share(s, d):
 
 def q_dq_null_rates(s, d):
     m = master.merge_datasets(*_tables(s, d))
-    return shown(quality.null_rates(m, [*BRIDGE_QUALITY.required_master_columns, "CPI",
+    return shown(quality.null_rates(m, [*BRIDGE_LIMITS.required["master"], "CPI",
                                         "Unemployment"]), null_share=8)
 
 
 def q_validate(s, d):
-    return quality.validate_raw_tables(*_tables(s, d), BRIDGE_QUALITY).select(
+    return quality.validate_raw_tables(*_tables(s, d), BRIDGE_LIMITS).select(
         "table_name", "check", "passed", "severity")
 
 
@@ -246,8 +245,8 @@ def q_encode_type(s, d):
 
 def q_model_frame(s, d):
     df = segment.attach_clusters(_engineered(s, d, anomalies=False), _rule_segments(s, d))
-    frame, _ = forecast.model_frame(df)
-    cols = ["Date", *ForecastConfig().feature_columns]
+    frame, _ = forecast.model_frame(df, features.type_encoding(bridge.stores(s, d)))
+    cols = ["Date", *FORECAST_FEATURES]
     return shown(frame.select(*cols), CPI=6, Unemployment=6, Temperature=6, Fuel_Price=6,
                  Sales_Lag_1=4, **dict.fromkeys(MARKDOWNS, 4))
 
@@ -287,11 +286,10 @@ def q_store_ranking(entity: str) -> Query:
 
 
 def q_seasonality_wide(s, d):
-    years = range(1995, 2002)
-    df = explore.seasonality(features.add_temporal_features(_kept(s, d)), wide=years)
-    named = df.withColumnsRenamed({str(y): f"y{y}" for y in years})
-    columns = [f"y{y}" for y in years]
-    return shown(off_ties(named, *columns), **dict.fromkeys(columns, 4))
+    """The wide table of all years that occur, listed cell by cell."""
+    df = explore.seasonality(features.add_temporal_features(_kept(s, d)), wide=True)
+    cells = df.unpivot("Week", [c for c in df.columns if c != "Week"], "Year", "avg_sales")
+    return shown(off_ties(cells.withColumn("Year", F.col("Year").cast("int")), "avg_sales"), avg_sales=4)
 
 
 def q_holiday_lift(s, d):
@@ -336,14 +334,14 @@ def q_pca(s, d):
 def q_elbow(s, d):
     p = materialize(_profiles(s, d), "profiles")
     points = segment.fit_projection(p).project(p)
-    curve = segment.elbow_curve(points, ["pc1", "pc2"], max_k=SMALL_SEGMENTS.elbow_max_k,
-                                restarts=SMALL_SEGMENTS.restarts)
+    curve = segment.elbow_curve(points, ["pc1", "pc2"], max_k=SEGMENTS.elbow_max_k,
+                                restarts=SEGMENTS.restarts)
     return s.createDataFrame([(i + 1, v) for i, v in enumerate(curve)], "k int, inertia double")
 
 
 def q_segment_stores(s, d):
     m = features.add_markdown_signals(_master(s, d))
-    result = segment.fit_segmentation(m, SMALL_SEGMENTS, elbow=False, score=False)
+    result = segment.fit_segmentation(m, SEGMENTS, elbow=False, score=False)
     return result.profiles.select("Store", *PROFILE, "Cluster")
 
 
@@ -368,7 +366,7 @@ def q_attach(s, d):
 
 # ---- forecasting ---------------------------------------------------------
 
-def _train(s, d, config: ForecastConfig = SMALL_FORECAST):
+def _train(s, d, config: forecast.ForecastParams = SMALL_FORECAST):
     df = materialize(segment.attach_clusters(_engineered(s, d, anomalies=False),
                                              _rule_segments(s, d)), "forecast-input")
     return df, forecast.train_forecaster(df, config, split_date=SPLIT)
@@ -419,20 +417,21 @@ def q_metrics_by_segment(s, d):
 
 
 def q_compare_runs(s, d):
-    rows = _two_models(s, d)
-    parts = []
-    for run, day, column in (("run-1", "2001-01-01", "Sales_Lag_1"),
-                             ("run-2", "2001-02-01", "series_mean"),
-                             ("run-3", "2001-03-01", "Sales_Lag_1")):
-        parts.append(metrics.regression_metrics(rows, forecast=column).select(
-            F.lit(run).alias("run_id"), F.lit(day).alias("created_at"), "mae", "rmse"))
-    runs = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    """Three training runs; score runs, which have no metrics, before and between them."""
+    measured = metrics.regression_metrics(metrics.stacked(_two_models(s, d), ["Sales_Lag_1", "series_mean"]),
+                                          forecast="forecast", by=["model"])
+    runs = s.createDataFrame([
+        ("run-1", "2001-01-01", None), ("run-2", "2001-01-15", "Sales_Lag_1"),
+        ("run-3", "2001-02-01", "series_mean"), ("run-4", "2001-02-15", None),
+        ("run-5", "2001-03-01", "Sales_Lag_1")], "run_id string, created_at string, model string")
+    runs = runs.join(measured, "model", "left").select("run_id", "created_at", "mae", "rmse")
     return shown(metrics.compare_runs(runs, metric="rmse"), mae=4, rmse=4, previous=4,
                  champion=4, change=4)
 
 
 def q_macro_drift(s, d):
-    before, after = master.split_by_date(bridge.features(s, d), SPLIT)
+    rows = materialize(bridge.features(s, d).select("Date", "CPI", "Unemployment"), "macro")
+    before, after = master.split_by_date(rows, SPLIT)
     return shown(metrics.macro_drift(before, after), ref_mean=6, cur_mean=6, ref_sd=6,
                  cur_sd=6, psi=6)
 
@@ -545,16 +544,85 @@ def q_ingest(s, d):
 
 def q_train_and_score(s, d):
     """The whole train and score jobs on the driver tables, with small models."""
-    config = Config(data=DataConfig(test_split_date=SPLIT), quality=BRIDGE_QUALITY,
-                    segmentation=SegmentationConfig(restarts=1, elbow_max_k=3),
-                    forecasting=SMALL_FORECAST,
-                    association=RulesConfig(min_confidence=CONFIDENCE, min_lift=LIFT, max_len=2))
+    config = Config(split_date=SPLIT, limits=BRIDGE_LIMITS,
+                    segments=segment.SegmentParams(restarts=1, elbow_max_k=3),
+                    forecast=SMALL_FORECAST,
+                    rules=rules.RuleParams(min_confidence=CONFIDENCE, min_lift=LIFT, max_len=2))
     tables = tuple(materialize(t, "raw") for t in _tables(s, d))
     out = scratch_path(s, "job")
     jobs.train(tables, out, config)
     return jobs.score(tables, out, config)
 
 
+def q_run_all(s, d):
+    """Raw text files to scores in one job; what it wrote, counted."""
+    raw, out = scratch_path(s, "raw-files"), scratch_path(s, "job")
+    config = Config(split_date=SPLIT, limits=BRIDGE_LIMITS,
+                    segments=segment.SegmentParams(restarts=1, elbow_max_k=3), forecast=SMALL_FORECAST,
+                    rules=rules.RuleParams(min_confidence=CONFIDENCE, min_lift=LIFT, max_len=2))
+    for table, name in zip(_tables(s, d), ("sales", "stores", "features")):
+        write_raw_csv(table, f"{raw}/{config.files[name]}")
+    trained, scored = jobs.run_all(s, raw, out, config)
+    parts = [(trained.master, "master"), (trained.forecasts, "forecasts"), (scored, "scores"),
+             (trained.profiles, "profiles")]
+    counts = [df.agg(F.lit(name).alias("output"), F.count(F.lit(1)).alias("n_rows")) for df, name in parts]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2]).unionByName(counts[3])
+
+
+def q_score_consistency(s, d):
+    """A saved and reloaded model gives the holdout the forecasts that training gave it."""
+    df, (result, holdout) = _train(s, d)
+    path = scratch_path(s, "forecaster")
+    result.model.save(path)
+    again = forecast.score_forecasts(PipelineModel.load(path), master.split_by_date(df, SPLIT)[1], result.type_encoding)
+    key = ["Store", "Dept", "Date"]
+    both = holdout.select(*key, "predicted_weekly_sales").join(again.select(*key, "point_forecast"), key, "full")
+    near = F.abs(F.col("point_forecast") - F.col("predicted_weekly_sales")) <= 1e-6
+    return both.agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.coalesce(near, F.lit(False))).alias("n_mismatch"))
+
+
+def q_report(s, d):
+    """An evaluation report, written as JSON and read back."""
+    m = metrics.regression_metrics(_lagged(s, d), forecast="Sales_Lag_1").first().asDict()
+    path = sinks.write_report(s, {"forecast_metrics": m, "checks": ["ok"]}, scratch_path(s, "report"))
+    back = s.read.schema("forecast_metrics struct<n:bigint,r2:double,mae:double,rmse:double,mape:double>, "
+                         "checks array<string>").json(path)
+    return shown(back.select("forecast_metrics.*", F.size("checks").alias("n_checks")), r2=6, mae=4, rmse=4, mape=4)
+
+
+def q_saved_mapping(s, d):
+    """Codes learned from the types A and B; the rest is unseen."""
+    known = features.type_encoding(bridge.stores(s, d).where("Type <> 'C'"))
+    rows = master.join_stores(_sales(s, d), bridge.stores(s, d))
+    return shown(features.encode_type(rows, known)[0].select("Store", "Dept", "Date", "Type", "Type_Encoded"))
+
+
+def q_raise_if_failed(s, d):
+    """Whether each set of limits stops a run."""
+    out = []
+    for name, limits in (("bridge", BRIDGE_LIMITS), ("no_floor", quality.Limits(min_rows=0, min_stores=0)),
+                         ("high_floor", quality.Limits(min_rows=10**12))):
+        try:
+            quality.raise_if_failed(quality.validate_raw_tables(*_tables(s, d), limits))
+            out.append((name, False))
+        except quality.DataQualityError:
+            out.append((name, True))
+    return s.createDataFrame(out, "limits string, raised boolean")
+
+
+def q_rules_empty(s, d):
+    """No basket holds a rule of such lift: an empty table with the rules' columns."""
+    config = rules.RuleParams(min_support=1.0, min_lift=1e9)
+    return shown(rules.mine_association_rules(bridge.order_items(s, d), config, basket_keys=["OrderKey"]))
+
+
+def q_basket_matrix(s, d):
+    """The matrix of all items that occur, listed cell by cell."""
+    wide = rules.basket_matrix(_sales(s, d))
+    keys = ["Store", "Date"]
+    return shown(wide.unpivot(keys, [c for c in wide.columns if c not in keys], "item", "present"))
+
+
 def q_top_departments(s, d):
     return shown(rules.top_departments(_sales(s, d), 15), total_sales=4)
 
@@ -604,8 +672,8 @@ QUERIES: dict[str, Query] = {
     "seasonality": lambda s, d: shown(off_ties(explore.seasonality(
         features.add_temporal_features(_kept(s, d))), "avg_sales"), avg_sales=4),
     "seasonality_wide": q_seasonality_wide,
-    "macro_histogram": lambda s, d: shown(explore.histogram(bridge.features(s, d)),
-                                          lower=6, upper=6),
+    "macro_histogram": lambda s, d: shown(explore.histogram(materialize(
+        bridge.features(s, d).select(*EXTERNAL_FACTORS), "macro")), lower=6, upper=6),
     "holiday_lift": q_holiday_lift,
     "holiday_effect": q_holiday_effect,
     "run_summary": q_run_summary,
@@ -648,10 +716,17 @@ QUERIES: dict[str, Query] = {
     "run_manifest": q_run_manifest,
     "ingest": q_ingest,
     "train_and_score": q_train_and_score,
+    "run_all": q_run_all,
+    "score_consistency": q_score_consistency,
+    "report_round_trip": q_report,
+    "saved_mapping": q_saved_mapping,
+    "raise_if_failed": q_raise_if_failed,
+    "table_head": lambda s, d: shown(explore.head(_sales(s, d), 5, order=["Store", "Dept", "Date"]), Weekly_Sales=4),
     "top_departments": q_top_departments,
     "top_department_sales": q_top_sales,
     "dept_baskets": lambda s, d: shown(rules.dept_baskets(_sales(s, d))),
-    "basket_matrix": lambda s, d: shown(rules.basket_matrix(_sales(s, d), list(DEPTS))),
+    "basket_matrix": q_basket_matrix,
+    "rules_empty": q_rules_empty,
     "frequent_items": q_itemsets(1),
     "frequent_pairs": q_itemsets(2),
     "frequent_triples": q_itemsets(3),

@@ -336,8 +336,8 @@ SELECT CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS order_date, count(*) AS n
 FROM orders GROUP BY 1""",
     "dq_schema": _with(" UNION ALL ".join(
         f"SELECT '{t}' AS table_name, 'schema' AS \"check\", true AS passed, "
-        f"CAST(0 AS DOUBLE) AS observed, '{t}: schema OK (' || format('{{:,}}', count(*)) "
-        f"|| ' rows)' AS message FROM {t}" for t in ("sales", "stores", "features")),
+        f"CAST(0 AS DOUBLE) AS observed, '{t} has all its columns; rows: ' || format('{{:,}}', count(*)) "
+        f"AS message FROM {t}" for t in ("sales", "stores", "features")),
         "sales", "stores", "features"),
     "dq_row_counts": _with(" UNION ALL ".join(
         f"SELECT '{t}' AS table_name, 'min_rows' AS \"check\", count(*) >= {m} AS passed, "
@@ -423,9 +423,11 @@ FROM (SELECT Date, count(*) AS n_rows, count(*) FILTER (Is_Anomaly) AS n_anomali
                            "GROUP BY Store", "kept"),
     "seasonality": _with(f"SELECT Year, Week, {_mean('avg(Weekly_Sales)')} AS avg_sales FROM "
                          f"(SELECT *, {_YMW} FROM kept) GROUP BY Year, Week", "kept"),
-    "seasonality_wide": _with("SELECT Week, " + ", ".join(
-        f"{_mean(f'avg(Weekly_Sales) FILTER (Year = {y})')} AS y{y}" for y in range(1995, 2002))
-        + f" FROM (SELECT *, {_YMW} FROM kept) GROUP BY Week", "kept"),
+    "seasonality_wide": _with(f"""
+SELECT w.Week, y.Year, {_mean('m.m')} AS avg_sales
+FROM (SELECT DISTINCT Week FROM dated) w CROSS JOIN (SELECT DISTINCT Year FROM dated) y
+LEFT JOIN (SELECT Week, Year, avg(Weekly_Sales) AS m FROM dated GROUP BY Week, Year) m
+  ON m.Week = w.Week AND m.Year = y.Year""", "kept", extra=f"dated AS (SELECT *, {_YMW} FROM kept)"),
     "macro_histogram": _histogram(),
     "holiday_lift": _with(f"""
 SELECT Week, {_mean('avg(Weekly_Sales) FILTER (IsHoliday)')} AS holiday_avg,
@@ -510,19 +512,19 @@ SELECT count(*) AS n, round(avg(abs(Weekly_Sales - Sales_Lag_1) / greatest(Weekl
         "LEFT JOIN segments g ON g.Store = k.Store GROUP BY g.Cluster", "lagged", "segments"),
     "compare_runs": _with("""
 SELECT run_id, created_at, round(mae, 4) AS mae, round(rmse, 4) AS rmse,
-       round(lag(rmse) OVER w, 4) AS previous,
-       round(min(rmse) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 4) AS champion,
-       round(rmse - lag(rmse) OVER w, 4) AS change,
-       coalesce(rmse < min(rmse) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true)
-       AS promote
+       round(last_value(rmse IGNORE NULLS) OVER b, 4) AS previous,
+       round(min(rmse) OVER b, 4) AS champion,
+       round(rmse - last_value(rmse IGNORE NULLS) OVER b, 4) AS change,
+       rmse IS NOT NULL AND coalesce(rmse < min(rmse) OVER b, true) AS promote
 FROM (SELECT r.run_id, r.created_at, avg(abs(Weekly_Sales - p)) AS mae,
              sqrt(avg((Weekly_Sales - p) * (Weekly_Sales - p))) AS rmse
-      FROM (SELECT 'run-1' AS run_id, '2001-01-01' AS created_at, Weekly_Sales, Sales_Lag_1 AS p
+      FROM (SELECT 'run-2' AS run_id, '2001-01-15' AS created_at, Weekly_Sales, Sales_Lag_1 AS p
             FROM holdout
-            UNION ALL SELECT 'run-2', '2001-02-01', Weekly_Sales, series_mean FROM holdout
-            UNION ALL SELECT 'run-3', '2001-03-01', Weekly_Sales, Sales_Lag_1 FROM holdout) r
-      WHERE p IS NOT NULL GROUP BY r.run_id, r.created_at)
-WINDOW w AS (ORDER BY created_at, run_id)""", "holdout"),
+            UNION ALL SELECT 'run-3', '2001-02-01', Weekly_Sales, series_mean FROM holdout
+            UNION ALL SELECT 'run-5', '2001-03-01', Weekly_Sales, Sales_Lag_1 FROM holdout) r
+      WHERE p IS NOT NULL GROUP BY r.run_id, r.created_at
+      UNION ALL VALUES ('run-1', '2001-01-01', NULL, NULL), ('run-4', '2001-02-15', NULL, NULL))
+WINDOW b AS (ORDER BY created_at, run_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""", "holdout"),
     "macro_drift": _drift(),
     "weekly_totals": _with(f"SELECT {_DATE}, round(sum(Weekly_Sales), 4) AS y FROM sales "
                            "GROUP BY sales.Date", "sales"),
@@ -560,9 +562,27 @@ GROUP BY Dept""", "sales"),
     "dept_baskets": _with(f"SELECT Store, {_DATE}, string_agg(DISTINCT CAST(Dept AS VARCHAR), ',' "
                           "ORDER BY CAST(Dept AS VARCHAR)) AS items FROM sales "
                           "GROUP BY Store, sales.Date", "sales"),
-    "basket_matrix": _with(f"SELECT Store, {_DATE}, " + ", ".join(
-        f"bool_or(Dept = {i}) AS item_{i}" for i in range(1, 26))
-        + " FROM sales GROUP BY Store, sales.Date", "sales"),
+    "basket_matrix": _with("""
+SELECT b.Store, CAST(b.Date AS VARCHAR) AS Date, 'item_' || i.Dept AS item, s.Dept IS NOT NULL AS present
+FROM (SELECT DISTINCT Store, Date FROM sales) b CROSS JOIN (SELECT DISTINCT Dept FROM sales) i
+LEFT JOIN (SELECT DISTINCT Store, Date, Dept FROM sales) s
+  ON s.Store = b.Store AND s.Date = b.Date AND s.Dept = i.Dept""", "sales"),
+    "rules_empty": """
+SELECT string_agg(x, ',') AS antecedents, string_agg(x, ',') AS consequents, 1.0::DOUBLE AS support,
+       1.0::DOUBLE AS confidence, 1.0::DOUBLE AS lift FROM (SELECT n_name AS x FROM nation WHERE false) GROUP BY x""",
+    "run_all": _with("""
+SELECT 'master' AS output, count(*) AS n_rows FROM kept UNION ALL SELECT 'scores', count(*) FROM kept
+UNION ALL SELECT 'forecasts', count(*) FROM kept WHERE Date >= DATE '2000-01-01'
+UNION ALL SELECT 'profiles', count(DISTINCT Store) FROM kept""", "kept"),
+    "score_consistency": _with("SELECT count(*) AS n, CAST(0 AS BIGINT) AS n_mismatch FROM kept "
+                               "WHERE Date >= DATE '2000-01-01'", "kept"),
+    "report_round_trip": _with(f"SELECT {_metric_columns('Weekly_Sales', 'Sales_Lag_1')}, "
+                               "CAST(1 AS INT) AS n_checks FROM lagged", "lagged"),
+    "saved_mapping": _with("SELECT s.Store, s.Dept, CAST(s.Date AS VARCHAR) AS Date, st.Type, "
+                           "CAST(CASE st.Type WHEN 'A' THEN 0 WHEN 'B' THEN 1 END AS INT) AS Type_Encoded "
+                           "FROM sales s LEFT JOIN stores st ON st.Store = s.Store", "sales", "stores"),
+    "table_head": _with(f"SELECT {_KEY}, {_WS}, IsHoliday FROM sales "
+                        "ORDER BY Store, Dept, sales.Date LIMIT 5", "sales"),
     "frequent_items": _itemsets("store_items", 1),
     "frequent_pairs": _itemsets("store_items", 2),
     "frequent_triples": _itemsets("store_items", 3),
@@ -579,6 +599,13 @@ GROUP BY Dept""", "sales"),
                                      "FROM kept_sup GROUP BY Store", "kept_sup"),
 }
 
+ORACLES["raise_if_failed"] = f"""
+SELECT 'bridge' AS "limits", coalesce(bool_or(NOT passed AND severity = 'error'), false) AS raised
+FROM ({ORACLES["validate"]}) a
+UNION ALL SELECT 'no_floor', coalesce(bool_or(NOT passed AND severity = 'error' AND "check" <> 'min_rows'), false)
+FROM ({ORACLES["validate"]}) b
+UNION ALL SELECT 'high_floor', true"""
+
 ORACLES["flag_anomalies_suppliers"] = _with(_flags("flagged_sup"), "kept_sup", extra="""
 flagged_sup AS (SELECT *, coalesce(abs(Sales_ZScore) > 3, false) AS Is_Anomaly FROM (
   SELECT *, (Weekly_Sales - avg(Weekly_Sales) OVER (PARTITION BY Store, Dept))
