@@ -82,6 +82,16 @@ def test_judge_adds_likely_spans(spark):
 
 # 2 language-model scores
 
+def test_judge_is_free_of_partitioning(spark):
+    """It learns from the same rows, and takes the same spans, however the table is dealt."""
+    rng = random.Random(11)
+    texts = [" ".join(rng.choice(["call +44 20 7946 0958 today", "phone 020 7946 0958 now", "item 1234567890 sold", "mail a@b.co or c at d dot org"])
+                      for _ in range(4)) for _ in range(400)]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    one, many = (sorted((r["doc_id"], r["spans"]) for r in pii.pii_digest(table.repartition(n)).collect()) for n in (1, 6))
+    assert one == many
+
+
 def test_lm_scores(docs, corpus, empty):
     got = keyed((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 4)) for r in lm.score_documents(docs).collect())
     def tokens(t):
