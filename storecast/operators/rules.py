@@ -1,33 +1,29 @@
 """Association rules over baskets.
 
-Itemsets of any size come from Spark's FP-growth and stay distributed. Where the
-caller limits the size, as for dense baskets, the items become bits of one 64-bit
-mask, equal baskets collapse before the shuffle, and each task counts a whole
-level of candidate itemsets. Both give the same itemsets.
+Itemsets of any size come from Spark's FP-growth. Where the caller limits the
+size, as for dense baskets, itemsets grow by one item a level, and only the
+frequent ones grow on. Both give the same itemsets, and in both they stay
+distributed.
 """
 
 from __future__ import annotations
 
-import itertools
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-import numpy as np
-import pandas as pd
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import Keys
-from ..session import materialize
+from ..session import materialize, remove_path, scratch_path
 
 
 ITEMSET_SCHEMA = "items array<string>, size int, n bigint, support double"
 RULE_SCHEMA = ("antecedents array<string>, consequents array<string>, support double, "
                "confidence double, lift double")
-MASK_BITS = 62
-CANDIDATES_PER_PASS = 20_000
 
 
 @dataclass(frozen=True)
@@ -86,61 +82,6 @@ def _present_rows(sales: DataFrame, basket_keys: Sequence[str], item: str) -> Da
     return rows
 
 
-def _masks(rows: DataFrame, items: Sequence[str], basket_keys: Sequence[str], item: str
-           ) -> DataFrame:
-    """(mask, weight): the distinct baskets as bit masks, and how often each
-    occurs; other items set no bit. Bits and counts are combined per task before
-    each shuffle. The item table has at most 62 rows."""
-    bits = rows.sparkSession.createDataFrame(
-        [(name, 1 << i) for i, name in enumerate(items)], f"`{item}` string, bit bigint")
-    baskets = (rows.join(F.broadcast(bits), item, "left").groupBy(*basket_keys)
-               .agg(F.bit_or(F.coalesce("bit", F.lit(0))).alias("mask")))
-    return baskets.groupBy("mask").agg(F.count(F.lit(1)).alias("weight"))
-
-
-def _count_level(masks: DataFrame, candidates: np.ndarray, n_items: int) -> DataFrame:
-    """(candidate, n): baskets that hold each candidate mask. A task adds up all
-    its batches and emits at most one row per candidate."""
-    by_prefix: dict[int, list[tuple[int, int]]] = {}
-    for at, mask in enumerate(candidates.tolist()):
-        last = mask.bit_length() - 1
-        by_prefix.setdefault(mask ^ (1 << last), []).append((last, at))
-
-    def count(batches):
-        total = np.zeros(len(candidates), dtype=np.int64)
-        for pdf in batches:
-            masks = pdf["mask"].to_numpy(dtype=np.int64)
-            weight = pdf["weight"].to_numpy(dtype=np.int64)
-            bits = (masks[:, None] >> np.arange(n_items)) & 1
-            for prefix, ends in by_prefix.items():
-                holds = (masks & prefix) == prefix
-                if holds.any():
-                    found = weight[holds] @ bits[holds]
-                    for last, at in ends:
-                        total[at] += found[last]
-        hit = np.nonzero(total)[0]
-        yield pd.DataFrame({"at": hit.astype(np.int32), "n": total[hit]})
-
-    return (masks.mapInPandas(count, "at int, n bigint").groupBy("at")
-            .agg(F.sum("n").alias("n")))
-
-
-def _join_level(frequent: set[int]) -> list[int]:
-    """Candidates one item larger whose every one-smaller subset is frequent."""
-    by_prefix: dict[int, list[int]] = {}
-    for mask in frequent:
-        last = mask.bit_length() - 1
-        by_prefix.setdefault(mask ^ (1 << last), []).append(last)
-    out = []
-    for prefix, ends in by_prefix.items():
-        for a, b in itertools.combinations(sorted(ends), 2):
-            mask = prefix | (1 << a) | (1 << b)
-            inner = [i for i in range(mask.bit_length()) if prefix >> i & 1]
-            if all(mask ^ (1 << i) in frequent for i in inner):
-                out.append(mask)
-    return sorted(out)
-
-
 def _least_count(min_support: float, n_baskets: int) -> int:
     """The smallest count whose share of the baskets reaches min_support."""
     return max(1, math.ceil(min_support * n_baskets - 1e-9))
@@ -153,11 +94,12 @@ def frequent_itemsets(sales: DataFrame, *, min_support: float = 0.011,
     """(items, size, n, support) of all itemsets with support >= min_support, of
     at most `max_len` items where that is given.
 
-    `engine` decides how, never what: 'fpgrowth' keeps its itemsets distributed;
-    'masks' counts level by level and ends at `max_len`, for dense baskets of at
-    most 62 frequent items, whose larger itemsets nobody asks for; 'auto' takes
-    masks where a `max_len` is given and the items fit, FP-growth otherwise.
+    `engine` decides how, never what: 'fpgrowth' finds all sizes and then keeps the
+    asked ones; 'levels' ends its work at `max_len`, for dense baskets whose larger
+    itemsets nobody asks for; 'auto' takes levels where a `max_len` is given.
     """
+    if engine not in ("auto", "levels", "fpgrowth"):
+        raise ValueError(f"unknown engine {engine!r}")
     rows = _present_rows(sales, basket_keys, item)
     distinct = rows.distinct().persist()
     try:
@@ -165,44 +107,48 @@ def frequent_itemsets(sales: DataFrame, *, min_support: float = 0.011,
         if n_baskets == 0:
             return sales.sparkSession.createDataFrame([], ITEMSET_SCHEMA)
         least = _least_count(min_support, n_baskets)
-        if engine == "masks" or (engine == "auto" and max_len is not None):
-            frequent = [r[0] for r in distinct.groupBy(item).agg(F.count(F.lit(1)).alias("n"))
-                        .where(F.col("n") >= least).select(item).limit(MASK_BITS + 1).collect()]
-            if len(frequent) <= MASK_BITS:
-                return _mine_masks(distinct, sorted(frequent), least, n_baskets, max_len,
-                                   basket_keys, item)
-            if engine == "masks":
-                raise ValueError("too many frequent items for the masks engine")
+        if engine == "levels" or (engine == "auto" and max_len is not None):
+            return _levels(distinct, least, max_len, basket_keys, item, n_baskets)
         return _fpgrowth(distinct, least, max_len, basket_keys, item, n_baskets)
     finally:
         distinct.unpersist()
 
 
-def _mine_masks(rows: DataFrame, names: Sequence[str], least: int, n_baskets: int,
-                max_len: int | None, basket_keys: Sequence[str], item: str) -> DataFrame:
-    """Level by level over the bit masks."""
-    masks = _masks(rows, names, basket_keys, item).persist()
-    try:
-        counts: dict[int, int] = {}
-        candidates, size = [1 << i for i in range(len(names))], 1
-        while candidates:
-            level = set()
-            for start in range(0, len(candidates), CANDIDATES_PER_PASS):
-                part = np.array(candidates[start:start + CANDIDATES_PER_PASS], dtype=np.int64)
-                for r in (_count_level(masks, part, len(names))
-                          .where(F.col("n") >= least).collect()):
-                    counts[int(part[r["at"]])] = r["n"]
-                    level.add(int(part[r["at"]]))
-            if size == max_len:
-                break
-            candidates, size = _join_level(level), size + 1
-    finally:
-        masks.unpersist()
-    out = []
-    for mask, n in counts.items():
-        members = [name for i, name in enumerate(names) if mask >> i & 1]
-        out.append((members, len(members), n, n / n_baskets))
-    return rows.sparkSession.createDataFrame(out, ITEMSET_SCHEMA)
+def _levels(distinct: DataFrame, least: int, max_len: int | None, basket_keys: Sequence[str],
+            item: str, n_baskets: int) -> DataFrame:
+    """Level by level: a row per frequent itemset and basket that holds it, with the
+    items of the basket behind the itemset's last one; each of those makes a row of
+    the next level. Baskets that end alike are one row with a weight. Per level only
+    the answer whether an itemset was found reaches the driver."""
+    spark = distinct.sparkSession
+    level = materialize(distinct.groupBy(F.array(item).alias("items")).agg(F.count(F.lit(1)).alias("n"))
+                        .where(F.col("n") >= least), "itemsets")
+    usual = distinct.join(level.select(F.col("items")[0].alias(item)), item, "left_semi")
+    held = (dept_baskets(usual, basket_keys=basket_keys, item=item)
+            .groupBy(F.col("items").alias("rest")).agg(F.count(F.lit(1)).alias("w"))
+            .withColumn("items", F.expr("cast(array() as array<string>)")))
+
+    def grown() -> DataFrame:
+        return (held.select("w", "items", "rest", F.posexplode("rest").alias("at", "next"))
+                .select(F.concat("items", F.array("next")).alias("items"),
+                        F.expr("slice(rest, at + 2, size(rest))").alias("rest"), "w"))
+
+    paths, found = [], [level]
+    while len(found) != max_len and not level.isEmpty():
+        path = scratch_path(spark, "itemset-rows")
+        rows = (grown().where(F.size("rest") > 0).groupBy("items", "rest").agg(F.sum("w").alias("w"))
+                .join(level.select("items"), "items", "left_semi"))
+        rows.write.parquet(path)
+        for old in paths:
+            remove_path(spark, old)
+        held, paths = spark.read.schema(rows.schema).parquet(path), [path]
+        level = materialize(grown().groupBy("items").agg(F.sum("w").alias("n"))
+                            .where(F.col("n") >= least), "itemsets")
+        found.append(level)
+    for old in paths:
+        remove_path(spark, old)
+    return reduce(DataFrame.unionByName, found).select(
+        "items", F.size("items").alias("size"), "n", (F.col("n") / n_baskets).alias("support"))
 
 
 def _fpgrowth(distinct: DataFrame, least: int, max_len: int | None,

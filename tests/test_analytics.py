@@ -313,7 +313,7 @@ def random_baskets(seed=2, n=120, items=9):
     return [sorted(set(rng.integers(1, items + 1, size=rng.integers(1, 6)).tolist())) for _ in range(n)]
 
 
-@pytest.mark.parametrize("engine", ["masks", "fpgrowth"])
+@pytest.mark.parametrize("engine", ["levels", "fpgrowth"])
 @pytest.mark.parametrize("max_len", [None, 2])
 def test_itemsets_against_brute_force(spark, engine, max_len):
     baskets = random_baskets()
@@ -322,29 +322,30 @@ def test_itemsets_against_brute_force(spark, engine, max_len):
     assert {tuple(r["items"]): r["n"] for r in got.collect()} == brute(baskets, 0.05, max_len)
 
 
-def test_many_passes_count_the_same(spark, monkeypatch):
+def test_deep_levels(spark):
     baskets = random_baskets(4)
-    monkeypatch.setattr(rules, "CANDIDATES_PER_PASS", 7)
-    got = rules.frequent_itemsets(basket_sales(spark, baskets), min_support=0.02,
-                                  basket_keys=["Store"])
-    assert {tuple(r["items"]): r["n"] for r in got.collect()} == brute(baskets, 0.02)
+    got = rules.frequent_itemsets(basket_sales(spark, baskets), min_support=0.005,
+                                  basket_keys=["Store"], engine="levels")
+    want = brute(baskets, 0.005)
+    assert {tuple(r["items"]): r["n"] for r in got.collect()} == want
+    assert max(map(len, want)) >= 4
 
 
-def test_full_width_masks(spark):
+def test_sixty_two_items(spark):
     baskets = [list(range(1, 63))] * 3 + [[1, 62]]
     got = rules.frequent_itemsets(basket_sales(spark, baskets), min_support=0.9, max_len=2,
                                   basket_keys=["Store"])
     assert {tuple(r["items"]): r["n"] for r in got.collect()} == {("1",): 4, ("62",): 4, ("1", "62"): 4}
 
 
-def test_more_items_than_mask_bits(spark):
+def test_more_than_sixty_two_items(spark):
     baskets = [[i, i + 100] for i in range(70) for _ in range(2)]
     got = rules.frequent_itemsets(basket_sales(spark, baskets), min_support=0.01,
                                   basket_keys=["Store"])
     assert got.count() == 210 and got.where("size = 2").count() == 70
 
 
-@pytest.mark.parametrize("engine", ["masks", "fpgrowth"])
+@pytest.mark.parametrize("engine", ["levels", "fpgrowth"])
 def test_itemset_on_the_threshold(spark, engine):
     baskets = [[1]] * 7 + [[2]] * 93
     got = rules.frequent_itemsets(basket_sales(spark, baskets), min_support=0.07,
@@ -352,10 +353,11 @@ def test_itemset_on_the_threshold(spark, engine):
     assert {tuple(r["items"]): r["n"] for r in got.collect()} == {("1",): 7, ("2",): 93}
 
 
-def test_seventy_items_lose_nothing(spark):
+@pytest.mark.parametrize("max_len", [None, 2])
+def test_seventy_items_lose_nothing(spark, max_len):
     baskets = [[i, 70] for i in range(70) for _ in range(1 + (i < 30))]
     got = rules.frequent_itemsets(basket_sales(spark, baskets), min_support=0.02,
-                                  basket_keys=["Store"])
+                                  basket_keys=["Store"], max_len=max_len)
     assert {tuple(r["items"]): r["n"] for r in got.collect()} == brute(baskets, 0.02, 2)
 
 
