@@ -1,72 +1,39 @@
-"""Benchmark decontamination: rare n-gram seeds, then local alignment."""
+"""Benchmark decontamination: n-gram seeds, then local alignment."""
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .tables import staged
-from .text import ALNUM, bit_table, grams, hashed_words, marked, slices
+from .text import ALNUM, bit_table, grams, hashed_words, marked, mix, slices
 
 def item_words(items: DataFrame) -> DataFrame:
-    """(item_id, words): the names of each item's words, 8 bytes each."""
+    """(item, item_id, words): a hash of each distinct row, and the names of its words, 8 bytes each."""
     def read(batches):
         for batch in batches:
             out = []
-            for i, j, data, offs in slices(batch.column(1)):
+            for i, j, data, offs in slices(batch.column(2)):
                 doc, name = hashed_words(data, offs, ALNUM)
                 out += [x.tobytes() for x in np.split(name, np.searchsorted(doc, np.arange(1, j - i)))]
-            yield pa.RecordBatch.from_pydict({"item_id": batch.column(0), "words": pa.array(out, pa.binary())})
+            yield pa.RecordBatch.from_pydict({"item": batch.column(0), "item_id": batch.column(1), "words": pa.array(out, pa.binary())})
     kind = dict(items.dtypes)["item_id"]
-    return items.select("item_id", "text").mapInArrow(read, f"item_id {kind}, words binary")
+    own = F.xxhash64(F.col("item_id").isNull(), "item_id", "text").alias("item")
+    return items.select(own, "item_id", "text").dropDuplicates(["item"]).mapInArrow(read, f"item long, item_id {kind}, words binary")
 
 
 def item_grams(words: DataFrame, n: int) -> DataFrame:
-    """(item_id, gram): each item's distinct runs of n words."""
+    """(item, gram): each item's distinct runs of n words. All of them are seeds: one
+    that is common in the corpus may be the only one that an edited copy still holds."""
     def read(batches):
         for batch in batches:
             names = [np.frombuffer(x.as_py(), np.uint64) for x in batch.column(1)]
             doc = np.repeat(np.arange(len(names)), [len(x) for x in names])
             doc, _, gram = grams(doc, np.concatenate(names) if names else np.zeros(0, np.uint64), n)
-            yield pa.RecordBatch.from_pydict({"item_id": batch.column(0).take(pa.array(doc)), "gram": gram.view(np.int64)})
-    kind = dict(words.dtypes)["item_id"]
-    return words.mapInArrow(read, f"item_id {kind}, gram long").distinct()
-
-
-def gram_frequency(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """(gram, df): in how many documents of the whole corpus each wanted gram occurs, where any."""
-    known = bit_table(wanted, "gram")
-
-    def count(batches):
-        held = []
-        for batch in batches:
-            for _, _, data, offs in slices(batch.column(0)):
-                doc, _, gram = grams(*hashed_words(data, offs, ALNUM), n)
-                on = marked(known.value, gram)
-                if on.any():
-                    held.append(np.unique(np.stack([gram[on], doc[on].astype(np.uint64)]), axis=1)[0])
-            if sum(map(len, held)) > 1 << 20:
-                gram, n_docs = np.unique(np.concatenate(held), return_counts=True)
-                held = []
-                yield pa.RecordBatch.from_pydict({"gram": gram.view(np.int64), "df": n_docs.astype(np.int64)})
-        if held:
-            gram, n_docs = np.unique(np.concatenate(held), return_counts=True)
-            yield pa.RecordBatch.from_pydict({"gram": gram.view(np.int64), "df": n_docs.astype(np.int64)})
-
-    return (docs.select("text").mapInArrow(count, "gram long, df long").groupBy("gram").agg(F.sum("df").alias("df"))
-            .join(wanted.select("gram").distinct(), "gram", "left_semi"))
-
-
-def rare_seeds(wanted: DataFrame, frequency: DataFrame, least: int) -> DataFrame:
-    """(item_id, gram): of each item's grams that occur in the corpus the rarer
-    half, and at least `least` of them. Rarity is relative to the item, so an item
-    that leaked into very many documents keeps its seeds."""
-    order = Window.partitionBy("item_id").orderBy("df", "gram")
-    every = Window.partitionBy("item_id")
-    return (wanted.join(frequency, "gram").withColumn("r", F.row_number().over(order)).withColumn("n", F.count(F.lit(1)).over(every))
-            .where((F.col("r") <= least) | (F.col("r") * 2 <= F.col("n"))).select("item_id", "gram"))
+            yield pa.RecordBatch.from_pydict({"item": batch.column(0).take(pa.array(doc)), "gram": gram.view(np.int64)})
+    return words.select("item", "words").mapInArrow(read, "item long, gram long").distinct()
 
 
 def seeded_passages(docs: DataFrame, seeds: DataFrame, n: int, reach: int) -> DataFrame:
@@ -125,33 +92,49 @@ def align(passages: list[np.ndarray], items: list[np.ndarray], match: int = 2, m
     return best
 
 
-def contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.5, n: int = 3, least_seeds: int = 8) -> DataFrame:
+def likely(passages, items, threshold: float) -> np.ndarray:
+    """Marks of pairs that can reach the threshold: an alignment matches at most those
+    words of the item that occur in the passage."""
+    def joined(column):
+        size = column.str.len().to_numpy() // 8
+        pair = np.repeat(np.arange(len(column)), size)
+        return pair, np.frombuffer(b"".join(column), np.uint64) ^ mix(pair.astype(np.uint64) + np.uint64(1)), size
+
+    _, held, _ = joined(passages)
+    pair, name, size = joined(items)
+    return np.bincount(pair[np.isin(name, held)], minlength=len(size)) >= threshold * size
+
+
+def contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.5, n: int = 3) -> DataFrame:
     """(k, doc_id, item_id, score, n_seeds) of documents that hold a copy, whole,
     edited or in part, of a test item. score: the alignment's score over that of an
     exact copy; rows reach `threshold`.
 
-    Two passes over the corpus: how often the items' n-grams occur in it, then the
-    passages around the rarest of them. Workers hold a bit table of 2 MB; exact
-    joins on the gram follow it, so a benchmark of any size gives the same rows.
+    One pass over the corpus finds the passages around the items' n-grams: every one,
+    rare or not, so a copy is aligned if it shares a single run of n words with the
+    item; an edited copy that has no such run left is not found. Workers hold a bit
+    table of 2 MB; exact joins on the gram follow it, so a benchmark of any size gives
+    the same rows. Pairs with too few words in common are not aligned.
 
     Words are runs of letters and digits in small letters. Null or empty texts and
     items with fewer than n words match nothing. Null doc_id: kept; `k` tells rows
-    apart, equal rows share it. Empty tables: no rows. Other columns are not read.
+    apart, equal rows share it. Items are told apart by id and text; a null item_id is
+    kept, and of items with one id the best counts. Empty tables: no rows. Other columns are not read.
     """
     base = docs.select("doc_id", F.lower("text").alias("text"), F.xxhash64(F.col("doc_id").isNull(), "doc_id", "text").alias("k"))
     words = staged(item_words(items.select("item_id", F.lower("text").alias("text"))), "item-words")
     longest = int(words.agg(F.max(F.length("words"))).first()[0] or 0) // 8
-    wanted = staged(item_grams(words, n), "item-grams")
-    seeds = staged(rare_seeds(wanted, gram_frequency(base, wanted, n), least_seeds), "seeds")
+    seeds = staged(item_grams(words, n), "seeds")
     passages = staged(seeded_passages(base, seeds, n, longest + longest // 4 + 1)
                       .withColumn("pid", F.xxhash64("k", "at")), "passages")
     pairs = (passages.select("pid", F.explode("found").alias("gram")).join(seeds, "gram")
-             .groupBy("pid", "item_id").agg(F.count_distinct("gram").alias("n_seeds")))
+             .groupBy("pid", "item").agg(F.count_distinct("gram").alias("n_seeds")))
     both = (pairs.join(passages.select("pid", "k", "doc_id", F.col("words").alias("passage")).dropDuplicates(["pid"]), "pid")
-            .join(words, "item_id").select("k", "doc_id", "item_id", "n_seeds", "passage", "words"))
+            .join(words, "item").select("k", "doc_id", "item", "n_seeds", "passage", "words"))
 
     def score(frames):
         for frame in frames:
+            frame = frame[likely(frame["passage"], frame["words"], threshold)]
             size = frame["passage"].str.len().to_numpy() // 8
             order = np.argsort(size, kind="stable")
             out = np.zeros(len(frame))
@@ -165,12 +148,13 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.5, n: i
                 b = [np.frombuffer(x, np.uint64) for x in frame["words"].iloc[rows]]
                 out[rows] = align(a, b) / np.array([max(1, 2 * len(x)) for x in b])
                 at = end
-            res = frame[["k", "doc_id", "item_id", "n_seeds"]].copy()
+            res = frame[["k", "doc_id", "item", "n_seeds"]].copy()
             res["score"] = out
             yield res[out >= threshold]
 
-    kinds = dict(both.dtypes)
-    scored = both.mapInPandas(score, f"k long, doc_id {kinds['doc_id']}, item_id {kinds['item_id']}, n_seeds long, score double")
+    kind = dict(both.dtypes)["doc_id"]
+    scored = (both.mapInPandas(score, f"k long, doc_id {kind}, item long, n_seeds long, score double")
+              .join(words.select("item", "item_id"), "item"))
     return scored.groupBy("k", "doc_id", "item_id").agg(F.max("score").alias("score"), F.max("n_seeds").alias("n_seeds"))
 
 

@@ -258,6 +258,37 @@ def test_decontamination(spark, docs, corpus):
     assert decontaminate.contaminated(docs.limit(0), items).count() == 0 and decontaminate.contaminated(docs, items.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("copies", [1, 30])
+def test_edited_copies_beside_a_whole_one(spark, copies):
+    """A whole copy makes the trigrams that the edited ones lost the rarest of their item."""
+    rng = random.Random(11)
+    cuts = [set(range(step - 1, 40, step)) for step in (4, 5, 6)]
+    cuts += [set(rng.sample(range(40), 40 * share // 100)) for share in (15, 20, 25) for _ in range(5)]
+    items, rows, want = [], [], {}
+    for e, cut in enumerate(cuts):
+        words = [f"e{e}w{i}" for i in range(40)]
+        edited = ["changed" if i in cut else w for i, w in enumerate(words)]
+        items.append((e, " ".join(words)))
+        held = any(not cut & {i, i + 1, i + 2} for i in range(38))
+        for text in [words] + [edited] * copies:
+            score = plain_alignment(text, words) / 80
+            if held and score >= 0.5:
+                want[len(rows), e] = score
+            rows.append((len(rows), " ".join(text)))
+    assert sum(v < 1 for v in want.values()) >= 12 * copies
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = decontaminate.contaminated(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id): r.score for r in got} == want and len(got) == len(want)
+
+
+def test_items_without_or_with_one_id(spark):
+    one, two = " ".join(f"u{i}" for i in range(40)), " ".join(f"v{i}" for i in range(40))
+    items = spark.createDataFrame([(7, one), (None, two), (7, "x y z v0 v1 v2 v3 v4"), (7, one)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, one), (2, two), (3, one + " " + two)], "doc_id long, text string")
+    got = [(r.doc_id, r.item_id, r.score) for r in decontaminate.contaminated(docs, items).collect()]
+    assert keyed(got) == keyed([(1, 7, 1.0), (2, None, 1.0), (2, 7, 0.625), (3, 7, 1.0), (3, None, 1.0)])
+
+
 # 8 repeats
 
 def plain_repeats(texts, least=400):
