@@ -72,13 +72,14 @@ def sliced_scores(slices: np.ndarray, query: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def select_rows(score: list[np.ndarray], rows: int, k: int) -> np.ndarray:
-    """[queries, rows] marks: every row above the boundary and every row on it,
-    found from the most significant slice downward."""
-    n_queries, n_words = score[0].shape
-    all_rows = np.zeros(n_words * 8, np.uint8)
-    all_rows[:-(-rows // 8)] = np.packbits(np.ones(rows, bool), bitorder="little")
-    equal = np.repeat(all_rows.view(np.uint64)[None, :], n_queries, axis=0)
+def select_rows(score: list[np.ndarray], allowed: np.ndarray, k: int) -> np.ndarray:
+    """[queries, rows] marks: of each query's allowed rows every one above the boundary
+    and every one on it, found from the most significant slice downward; all where
+    there are no more than k."""
+    n_queries, rows = allowed.shape
+    packed = np.zeros((n_queries, score[0].shape[1] * 8), np.uint8)
+    packed[:, :-(-rows // 8)] = np.packbits(allowed, axis=1, bitorder="little")
+    equal = packed.view(np.uint64)
     sure = np.zeros_like(equal)
     for bits in reversed(score):
         ones = equal & bits
@@ -91,13 +92,11 @@ def select_rows(score: list[np.ndarray], rows: int, k: int) -> np.ndarray:
 
 def top_rows(ids: np.ndarray, values: np.ndarray, slices: np.ndarray, query_ids: np.ndarray,
              queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query id, row id, exact score) of each query's k best rows in a block and of
-    all rows that tie with the last; one more is selected, as the query may be among them."""
-    marks = select_rows(sliced_scores(slices, queries), len(ids), k + 1)
+    """(query id, row id, exact score) of each query's k best rows in a block; rows
+    with the query's own id are masked out before the selection."""
+    marks = select_rows(sliced_scores(slices, queries), query_ids[:, None] != ids[None, :], k)
     q, r = np.nonzero(marks)
     exact = np.einsum("ij,ij->i", queries[q], values[r])
-    apart = ids[r] != query_ids[q]
-    q, r, exact = q[apart], r[apart], exact[apart]
     order = np.lexsort((ids[r], -exact, q))
     q, r, exact = q[order], r[order], exact[order]
     first = np.searchsorted(q, q, "left")

@@ -159,6 +159,17 @@ def test_top_k(spark):
     assert bitslices.top_k(df.limit(0), df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("copies", [2, 30])
+def test_repeated_query_in_one_block(spark, copies):
+    rng = np.random.default_rng(14)
+    rows = [(i, [float(x) for x in rng.normal(size=6).round(1)]) for i in range(1, 200)]
+    rows += [(0, [9.0] * 6)] * copies + [(500 + i, [9.0] * 6) for i in range(5)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").coalesce(1)
+    near = sorted((-sum(math.floor(64 * 9.0) * math.floor(64 * float(np.float32(x))) for x in v), i) for i, v in rows if i)[:20]
+    got = bitslices.top_k(df, df.where("vec_id = 0")).collect()
+    assert sorted(map(tuple, got)) == [(0, n + 1, i, -s) for n, (s, i) in enumerate(near)]
+
+
 # 5 language
 
 def test_language(docs, corpus, empty):
