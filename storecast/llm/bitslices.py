@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from .tables import staged
 
-#: Quantised components are held to this size, so that a sum of 2**14 products fits 64 bits.
-LIMIT = 1 << 24
+#: Vectors with a quantised component of this size or more are wide: they are held
+#: in 8 bytes instead of 4 and lie in blocks of their own, which have more slices.
+WIDE = 1 << 24
 
 
 def slice_block(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -90,13 +91,25 @@ def select_rows(score: list[np.ndarray], allowed: np.ndarray, k: int) -> np.ndar
     return marked[:, :rows].astype(bool)
 
 
+def inner(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Exact inner products of pairs of rows. Sums wrap around at 64 bits, so one that
+    fits is right whatever its addends; one that does not is an error, as in SQL."""
+    out = np.einsum("ij,ij->i", left, right)
+    if left.size and np.abs(left.astype(float)).max() * np.abs(right.astype(float)).max() * left.shape[1] >= 2.0**62:
+        rough = np.einsum("ij,ij->i", np.abs(left.astype(float)), np.abs(right.astype(float)))
+        for i in np.flatnonzero(rough >= 2.0**62):
+            if sum(a * b for a, b in zip(left[i].tolist(), right[i].tolist(), strict=True)) != int(out[i]):
+                raise OverflowError("an inner product does not fit 64 bits")
+    return out
+
+
 def top_rows(ids: np.ndarray, values: np.ndarray, slices: np.ndarray, query_ids: np.ndarray,
              queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query id, row id, exact score) of each query's k best rows in a block; rows
     with the query's own id are masked out before the selection."""
     marks = select_rows(sliced_scores(slices, queries), query_ids[:, None] != ids[None, :], k)
     q, r = np.nonzero(marks)
-    exact = np.einsum("ij,ij->i", queries[q], values[r])
+    exact = inner(queries[q], values[r])
     order = np.lexsort((ids[r], -exact, q))
     q, r, exact = q[order], r[order], exact[order]
     first = np.searchsorted(q, q, "left")
@@ -105,31 +118,36 @@ def top_rows(ids: np.ndarray, values: np.ndarray, slices: np.ndarray, query_ids:
 
 
 def _blocks(size: int, sliced: bool):
-    """Packs the vectors of a task into blocks of at most `size` rows of one length."""
+    """Packs the vectors of a task into blocks of at most `size` rows of one length, wide or not."""
     def pack(frames):
         import numpy as np
-        held: dict[int, list] = {}
+        held: dict[tuple[int, bool], list] = {}
 
-        def block(dims):
-            part = held.pop(dims)
+        def block(kind):
+            part, (dims, wide) = held.pop(kind), kind
             ids = np.array([i for i, _ in part], np.int64)
             values = np.array([v for _, v in part], np.int64).reshape(len(part), dims)
             order = np.argsort(ids, kind="stable")
             ids, values = ids[order], values[order]
             slices, _ = slice_block(values) if sliced and dims else (np.zeros(0, np.uint64), None)
             return pd.DataFrame({"dims": [dims], "n": [len(ids)], "ids": [ids.tobytes()],
-                                 "vals": [values.astype(np.int32).tobytes()], "bits": [slices.tobytes()]})
+                                 "vals": [values.astype(np.int64 if wide else np.int32).tobytes()], "bits": [slices.tobytes()]})
 
         for frame in frames:
             for i, v in zip(frame["vec_id"], frame["q"], strict=True):
-                held.setdefault(len(v), []).append((i, v))
-                if len(held[len(v)]) == size:
-                    yield block(len(v))
-        for dims in list(held):
-            yield block(dims)
+                kind = len(v), any(x >= WIDE or x <= -WIDE for x in v)
+                held.setdefault(kind, []).append((i, v))
+                if len(held[kind]) == size:
+                    yield block(kind)
+        for kind in list(held):
+            yield block(kind)
     return pack
 
 
+def _unpacked(vals: bytes, n: int, dims: int) -> np.ndarray:
+    return np.frombuffer(vals, np.int64 if len(vals) == 8 * n * dims else np.int32).astype(np.int64).reshape(n, dims)
+
+
 BLOCK = "dims int, n int, ids binary, vals binary, bits binary"
 
 
@@ -143,14 +161,15 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, rows_per_block: i
     rows of a query leave a block. Work is queries x rows by contract; memory of
     a task is one block of each side.
 
-    Null vectors, null or non-finite components, components of 2**24 or more
-    after scaling, and null ids take no part. Vectors of different lengths are
+    Null vectors, null or non-finite components, components that are no 64-bit integer
+    after scaling, and null ids take no part. A score among a block's best that does
+    not fit 64 bits is an error. Vectors of different lengths are
     not compared; empty ones score 0. A repeated row is a candidate each time and one query.
     """
 
     def quantised(df):
         whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * F.lit(scale)))
-        bad = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double") * F.lit(scale)) >= F.lit(float(LIMIT))))
+        bad = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double") * F.lit(scale)) >= F.lit(2.0**63)))
         return df.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & ~bad).select(
             F.col("vec_id").cast("long").alias("vec_id"), whole.alias("q"))
 
@@ -171,8 +190,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, rows_per_block: i
         for frame in frames:
             for r in frame.itertuples():
                 ids, qids = np.frombuffer(r.ids, np.int64), np.frombuffer(r.qids, np.int64)
-                values = np.frombuffer(r.vals, np.int32).astype(np.int64).reshape(r.n, r.dims)
-                query = np.frombuffer(r.qvals, np.int32).astype(np.int64).reshape(r.qn, r.dims)
+                values, query = _unpacked(r.vals, r.n, r.dims), _unpacked(r.qvals, r.qn, r.dims)
                 words = -(-r.n // 64)
                 bits = np.frombuffer(r.bits, np.uint64)
                 slices = bits.reshape(r.dims, -1, words) if r.dims else np.zeros((0, 1, words), np.uint64)

@@ -170,6 +170,26 @@ def test_repeated_query_in_one_block(spark, copies):
     assert sorted(map(tuple, got)) == [(0, n + 1, i, -s) for n, (s, i) in enumerate(near)]
 
 
+def test_top_k_of_wide_vectors(spark):
+    """Components of 2**24 and more after scaling, beside small ones."""
+    rng = np.random.default_rng(24)
+    rows = [(i, [float(x) for x in rng.normal(size=4) * size]) for i, size in enumerate([1.0] * 60 + [3e5] * 60 + [4e6] * 20)]
+    rows += [(200, [2.0**24, 0.0, 0.0, 0.0]), (220, [-(2.0**24), 1.0, 0.0, 0.0]), (240, [2.0**26, 0.0, 0.0, 0.0]), (241, [0.0, 0.0, 2.0**58, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(2)
+    asked = [r for r in rows if r[0] % 20 == 0] + [(300, [0.0, 1.0, 0.0, 0.0])]
+    good = [(i, [math.floor(64 * x) for x in v]) for i, v in rows[:-1]]
+    want = []
+    for q, v in [(i, [math.floor(64 * x) for x in v]) for i, v in asked]:
+        near = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), i) for i, w in good if i != q)[:20]
+        want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(near)]
+    got = bitslices.top_k(df, spark.createDataFrame(asked, df.schema), rows_per_block=1024, queries_per_block=3)
+    assert keyed(map(tuple, got.collect())) == keyed(want)
+    with pytest.raises(OverflowError):
+        bitslices.inner(np.full((1, 2), 1 << 40), np.full((1, 2), 1 << 40))
+    big = np.array([[-(1 << 62), 1 << 62, 1]])
+    assert bitslices.inner(big, np.array([[2, 2, 5]])).tolist() == [5]
+
+
 # 5 language
 
 def test_language(docs, corpus, empty):
