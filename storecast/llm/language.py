@@ -67,13 +67,17 @@ def gram_counts(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 def ranked(doc: np.ndarray, gram: np.ndarray, count: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(document, gram, rank from 0) of each document's `depth` most frequent grams; ties by gram."""
-    key = (doc.astype(np.uint64) << np.uint64(48)) | ((np.uint64(0xFFFF) - np.minimum(count, 0xFFFF).astype(np.uint64)) << np.uint64(32)) | gram
-    key.sort()
-    doc = (key >> np.uint64(48)).astype(np.int64)
+    if len(count) and count.max() > 0xFFFF:  # a very long text
+        order = np.lexsort((gram, -count, doc))
+        doc, gram = doc[order], gram[order]
+    else:
+        key = (doc.astype(np.uint64) << np.uint64(48)) | ((np.uint64(0xFFFF) - count.astype(np.uint64)) << np.uint64(32)) | gram
+        key.sort()
+        doc, gram = (key >> np.uint64(48)).astype(np.int64), key & np.uint64(0xFFFFFFFF)
     first, length = runs(doc)
     rank = np.arange(len(doc)) - np.repeat(first, length)
     keep = rank < depth
-    return doc[keep], key[keep] & np.uint64(0xFFFFFFFF), rank[keep]
+    return doc[keep], gram[keep], rank[keep]
 
 
 def learn_profiles(labelled: DataFrame, depth: int = 400) -> pd.DataFrame:

@@ -202,6 +202,13 @@ def test_language(docs, corpus, empty):
     assert language.keep_identified(docs).columns == docs.columns
 
 
+def test_ranks_of_very_long_texts():
+    doc, gram = np.array([0, 0, 0, 0, 1, 1]), np.array([1, 2, 3, 4, 1, 2], np.uint64)
+    for count in ([70_000, 200_000, 100_000, 5, 1, 2], [70, 200, 100, 5, 1, 2]):
+        own, names, rank = language.ranked(doc, gram, np.array(count), 3)
+        assert own.tolist() == [0, 0, 0, 1, 1] and names.tolist() == [2, 3, 1, 2, 1] and rank.tolist() == [0, 1, 2, 0, 1]
+
+
 def test_languages_are_told_apart(spark):
     rng = random.Random(0)
     bank = {"aa": "the and ing tion ould whi".split(), "bb": "sch ung ein der keit über".split()}
