@@ -82,6 +82,23 @@ def test_judge_adds_likely_spans(spark):
 
 # 2 language-model scores
 
+def test_numbers_within_a_run_are_proposed():
+    for text, kind, spans in (("call 555-123-4567, 555-987-6543, 555-222-1111", pii.PHONE, ["555-123-4567", "555-987-6543", "555-222-1111"]),
+                              ("2023-05-01 020 7946 0958", pii.PHONE, ["020 7946 0958"]), ("on 3 (319) 555-5132", pii.PHONE, ["(319) 555-5132"]),
+                              ("10.0.0.1:8080", pii.IP, ["10.0.0.1"]), ("12 4111 1111 1111 1111 9999", pii.CARD, ["4111 1111 1111 1111"])):
+        assert set(spans) <= {text[a:b] for k, a, b in pii.candidate_spans(text) if k == kind}
+    assert len(pii.candidate_spans("1 " * 20_000)) < 20_000 * 40
+
+
+def test_judge_keeps_a_rare_kind_open(spark):
+    """One kind of 600 proposals beside another of 60,000."""
+    x = "array_repeat(cast({} as double), 24)"
+    rare = spark.range(600).selectExpr("id as h", "3 as kind", "0 as start", "9 as end", "int(id % 2) as label", x.format("id % 2") + " as x")
+    other = spark.range(60_000).selectExpr("id as h", "2 as kind", "5 as start", "9 as end", "0 as label", x.format("0") + " as x")
+    judge = pii.fit_judge(rare.unionByName(other), rows=2_000)
+    assert judge.thresholds[3] <= 1 < judge.thresholds[2]
+
+
 def test_judge_is_free_of_partitioning(spark):
     """It learns from the same rows, and takes the same spans, however the table is dealt."""
     rng = random.Random(11)
