@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bitslices, decontaminate, jaccard, language, lm, packing, pii, secrets, shards, suffixes
+from . import alignment, bitslices, decontaminate, jaccard, language, lm, packing, pii, secrets, shards, suffixes, toxicity, trie
 from .tables import read
 
 
@@ -50,8 +50,20 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard_documents(read(spark, sf_dir, "documents"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(read(spark, sf_dir, "documents"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.trie(read(spark, sf_dir, "conversations"))
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 QUERIES = {f.__name__: f for f in (op1_pii, op2_lm_score, op3_secrets, op4_bit_sliced_top_k, op5_language, op6_jaccard,
-                                   op7_decontaminate, op8_suffix_dedup, op9_packing, op10_sharding)}
+                                   op7_decontaminate, op8_suffix_dedup, op9_packing, op10_sharding, op11_alignment, op12_prefix_trie, op13_toxicity)}
 
 ORACLES = {
     "op4_bit_sliced_top_k": """

@@ -31,6 +31,14 @@ def dropped(*tables: DataFrame) -> None:
             remove_path(df.sparkSession, files[0].rsplit("/", 1)[0])
 
 
+def join_hot(many: DataFrame, one: DataFrame, hot: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """`many` joined to `one`, which has unique keys. `hot` holds the rows of `one` that very
+    many rows of `many` belong to, few enough to broadcast by the caller's proof; the
+    others meet in a shuffle, without a hot key."""
+    rest = many.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(one, keys, how)
+    return many.join(F.broadcast(hot), keys).unionByName(rest)
+
+
 def text_bytes(df: DataFrame, text: str = "text") -> int:
     """Bytes of all texts, one narrow aggregate; sizes partitions, never results."""
     return int(df.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0)

@@ -48,6 +48,19 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, in
         i = j
 
 
+def code_points(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(code points, offsets in code points) of UTF-8 texts; bytes that are not UTF-8
+    become U+FFFD."""
+    try:
+        text = data.tobytes().decode("utf-8")
+    except UnicodeDecodeError:  # one text after another
+        parts = [data[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(offs[:-1], offs[1:], strict=True)]
+        return (np.frombuffer("".join(parts).encode("utf-32-le"), np.uint32),
+                np.concatenate(([0], np.cumsum([len(p) for p in parts]))).astype(np.int64))
+    leads = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))
+    return np.frombuffer(text.encode("utf-32-le"), np.uint32), leads[offs]
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread 64-bit values evenly."""
     x = x ^ (x >> np.uint64(30))
