@@ -158,6 +158,8 @@ def learn(sample: DataFrame, **settings) -> tuple[np.ndarray, float]:
         yield pd.DataFrame({"weight": [weight.tobytes()], "bias": [bias]})
 
     row = sample.repartition(1).mapInPandas(train, "weight binary, bias double").first()
+    if row is None:  # no row, no task
+        return fit([], np.zeros(0), **settings)
     return np.frombuffer(row["weight"], np.float32), row["bias"]
 
 
