@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import fold
+from .tables import fold, staged
 from .text import code_points, slices
 
 SIZES = (3, 4, 5, 6)
@@ -91,12 +91,19 @@ def fit(texts: list[str], toxic: np.ndarray, *, bits: int = 18, dim: int = 16, w
     embed = rng.uniform(-1 / dim, 1 / dim, (1 << bits, dim))
     rows, bias = rng.normal(0, 0.1, (2, dim)), np.zeros(2)
     seen, seen_rows, seen_bias = np.full(1 << bits, 1e-8), np.full((2, dim), 1e-8), np.full(2, 1e-8)
-    data = np.frombuffer("".join(texts).encode("utf-32-le", "replace"), np.uint32)
-    offs = np.concatenate(([0], np.cumsum([len(t) for t in texts]))).astype(np.int64)
-    doc, bucket = subwords(data, offs, bits)
-    owner, start, end = windows(doc, len(texts), width)
-    held = np.unique(doc * (1 << bits) + bucket) % (1 << bits)
-    common = np.bincount(held, minlength=1 << bits) >= least
+    parts, held = [], np.zeros(1 << bits, np.int64)
+    for i in range(0, len(texts), 128):
+        some = texts[i:i + 128]
+        doc, grams = subwords(np.frombuffer("".join(some).encode("utf-32-le", "replace"), np.uint32),
+                              np.concatenate(([0], np.cumsum([len(t) for t in some]))).astype(np.int64), bits)
+        held += np.bincount(np.unique(doc * (1 << bits) + grams) % (1 << bits), minlength=1 << bits)
+        parts.append((grams.astype(np.int32), *windows(doc, len(some), width)))
+    bucket = np.concatenate([p[0] for p in parts] or [np.zeros(0, np.int32)])
+    shift = np.cumsum([0, *[len(p[0]) for p in parts]])
+    owner = np.concatenate([p[1] + 128 * k for k, p in enumerate(parts)] or [np.zeros(0, np.int64)])
+    start = np.concatenate([p[2] + shift[k] for k, p in enumerate(parts)] or [np.zeros(0, np.int64)])
+    end = np.concatenate([p[3] + shift[k] for k, p in enumerate(parts)] or [np.zeros(0, np.int64)])
+    common = held >= least
     embed[~common] = 0
     some = np.unique(owner)
     if not len(some):
@@ -105,7 +112,8 @@ def fit(texts: list[str], toxic: np.ndarray, *, bits: int = 18, dim: int = 16, w
     first = np.searchsorted(owner, some)
     for epoch in range(epochs):
         lead = rows[1] - rows[0]
-        far = means(embed @ lead, bucket, start, end)
+        weight = embed @ lead
+        far = np.concatenate([means(weight, p[0], p[2], p[3]) for p in parts])
         if epoch:  # the first window of the largest logit
             top = np.maximum.reduceat(far, first)
             at = np.flatnonzero(far == np.repeat(top, np.diff(np.append(first, len(owner)))))
@@ -134,19 +142,21 @@ def fit(texts: list[str], toxic: np.ndarray, *, bits: int = 18, dim: int = 16, w
     return (embed @ (rows[1] - rows[0])).astype(np.float32), float(bias[1] - bias[0])
 
 
-def sample_of(docs: DataFrame, labels: DataFrame, *, most: int = 4096, longest: int = 16384) -> DataFrame:
+def sample_of(docs: DataFrame, labels: DataFrame, *, most: int = 2048, longest: int = 8192) -> DataFrame:
     """(text, toxic): at most `most` distinct texts of each label, of at most `longest`
     bytes, from rows whose crc32(doc_id) modulo 5 is not 0; the bound on what is learned
-    from. Texts come in the order of a fingerprint of theirs, so copies count once and
-    the choice does not depend on how the tables are split. A text is toxic if any
-    of its labels says so."""
+    from. Texts are chosen in the order of a fingerprint of theirs, so copies count
+    once and the choice does not depend on how the tables are split. A text is toxic
+    if any of its labels says so. Fingerprints are shuffled, texts only when chosen."""
     marks = (labels.where((fold("doc_id", 5) != 0) & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
              .groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("__toxic")))
     rows = (docs.where((fold("doc_id", 5) != 0) & F.col("text").isNotNull() & (F.octet_length("text") <= longest))
             .select("doc_id", F.xxhash64("text").alias("__print"), "text"))
-    known = rows.join(marks, "doc_id").groupBy("__print", "text").agg(F.max("__toxic").alias("toxic"))
-    parts = [known.where(F.col("toxic") == t).orderBy("__print", "text").limit(most) for t in (0, 1)]
-    return parts[0].unionByName(parts[1]).select("text", "toxic")
+    known = rows.select("doc_id", "__print").join(marks, "doc_id").groupBy("__print").agg(F.max("__toxic").alias("toxic"))
+    known = staged(known, "toxic-prints")
+    parts = [known.where(F.col("toxic") == t).orderBy("__print").limit(most) for t in (0, 1)]
+    chosen = F.broadcast(staged(parts[0].unionByName(parts[1]), "toxic-chosen"))  # 2 * `most` rows
+    return rows.join(chosen, "__print").groupBy("__print").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")).drop("__print")
 
 
 def learn(sample: DataFrame, **settings) -> tuple[np.ndarray, float]:
@@ -196,7 +206,7 @@ def score(docs: DataFrame, weight: np.ndarray, bias: float, *, width: int = 48,
     return docs.select(key, "text").mapInArrow(predict, f"{key} {kind}, score double")
 
 
-def score_documents(docs: DataFrame, labels: DataFrame, *, most: int = 4096, longest: int = 16384,
+def score_documents(docs: DataFrame, labels: DataFrame, *, most: int = 2048, longest: int = 8192,
                     width: int = 48, **settings) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row, whole texts. Labels are learned
     only from rows whose crc32(doc_id) modulo 5 is not 0; text alone decides a score.
