@@ -8,12 +8,12 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, SQLTransformer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import FORECAST_FEATURES, MARKDOWNS
-from ..session import shared_dir
+from ..session import scratch_path
+from .boosting import LABEL, VALID, BoostParams, boost
 from .features import encode_type
 from .master import impute_markdowns, split_by_date
 from .metrics import regression_metrics
@@ -23,8 +23,8 @@ _MODEL_VECTOR = "__features"
 
 @dataclass(frozen=True)
 class ForecastParams:
-    """The boosted trees: shares are of rows per tree and of columns per node. Patience
-    counts rounds without a better validation error; 0 grows all trees."""
+    """The boosted trees: shares are of rows and of columns per tree. Patience counts
+    rounds without a better validation error; 0 grows all trees."""
 
     feature_columns: tuple[str, ...] = FORECAST_FEATURES
     max_depth: int = 7
@@ -53,6 +53,7 @@ class ForecastResult:
     n_trees: int
     metrics: dict[str, float]
     imputed: list[str] = field(default_factory=list)
+    rounds: DataFrame | None = None
 
 
 def _nullable(df: DataFrame, features: Sequence[str]) -> list[str]:
@@ -81,18 +82,6 @@ def _preparation(features: Sequence[str], impute: Sequence[str]) -> list:
     return stages
 
 
-def first_stall(errors: Sequence[float], patience: int) -> tuple[int, bool]:
-    """(number of trees at the best error, whether `patience` rounds followed it
-    without a better one). Rounds after the first such stall do not count."""
-    best, at = float("inf"), 0
-    for i, e in enumerate(errors):
-        if e < best:
-            best, at = e, i
-        elif i - at >= patience:
-            return at + 1, True
-    return at + 1, False
-
-
 def _tail_cutoff(train: DataFrame, time: str, share: float) -> dt.date | None:
     """Date from which the last `share` of the training period's dates starts."""
     row = train.agg(F.min(time).alias("lo"), F.max(time).alias("hi")).first()
@@ -104,18 +93,18 @@ def _tail_cutoff(train: DataFrame, time: str, share: float) -> dt.date | None:
 
 def train_forecaster(master: DataFrame, config: ForecastParams = ForecastParams(), *,
                      split_date: str = "2012-01-01", label: str = "Weekly_Sales",
-                     time: str = "Date", tail_share: float = 0.1
+                     time: str = "Date", tail_share: float = 0.1, state: str | None = None
                      ) -> tuple[ForecastResult, DataFrame]:
     """Train on rows before `split_date`, predict the rows from it on.
 
     The number of trees stops growing once the validation error has not improved
-    for `early_stopping_rounds` rounds. Validation rows are the last part of the
-    training period (`config.validation='train_tail'`), or the holdout itself
-    ('holdout'). Trees are the same for the same seed and data, so the model is
-    refitted with the chosen number of trees on all training rows.
+    for `early_stopping_rounds` rounds; the model is the trees up to the best round,
+    none is fitted again. Validation rows, which no tree learns from, are the last
+    part of the training period (`config.validation='train_tail'`), or the holdout
+    itself ('holdout'). Rounds are saved below `state`; a run that finds some there,
+    of the same rows and parameters, goes on after them.
     """
-    shared_dir(master.sparkSession)  # boosting checkpoints its growing lineage there
-    features = list(config.feature_columns)
+    spark, features = master.sparkSession, list(config.feature_columns)
     frame, mapping = model_frame(master)
     train, test = split_by_date(frame, split_date, time=time)
     train = train.where(F.col(label).isNotNull())
@@ -126,53 +115,26 @@ def train_forecaster(master: DataFrame, config: ForecastParams = ForecastParams(
               ("Size", "Type_Encoded", "CPI", "Unemployment", "Temperature", "Fuel_Price",
                "Cluster")]
     prepare = Pipeline(stages=_preparation(features, impute)).fit(train)
-    ready = prepare.transform(train).select(time, label, _MODEL_VECTOR).persist()
-    try:
-        def fit(rows: DataFrame, trees: int):
-            return GBTRegressor(
-                featuresCol=_MODEL_VECTOR, labelCol=label, predictionCol="point_forecast",
-                maxIter=trees, stepSize=config.learning_rate, maxDepth=config.max_depth,
-                subsamplingRate=config.subsample, featureSubsetStrategy=str(config.colsample),
-                seed=config.random_state).fit(rows)
-
-        def grow(rows: DataFrame, valid: DataFrame):
-            """Twice as many trees each time until the error stalls. The first
-            trees of a longer run are those of a shorter one, so nothing is
-            missed, and a model that stalls early never trains all its rounds."""
-            size = min(config.n_estimators, 2 * config.early_stopping_rounds)
-            while True:
-                model = fit(rows, size)
-                best, stalled = first_stall(model.evaluateEachIteration(valid, "squared"),
-                                            config.early_stopping_rounds)
-                if stalled or size == config.n_estimators:
-                    return model, best
-                size = min(config.n_estimators, 2 * size)
-
-        trees = config.n_estimators
-        if config.early_stopping_rounds and config.early_stopping_rounds < trees:
-            if config.validation == "holdout":
-                fit_rows = ready
-                valid = prepare.transform(test).where(F.col(label).isNotNull())
-            else:
-                at = _tail_cutoff(train, time, tail_share)
-                fit_rows, valid = ((ready, None) if at is None
-                                   else split_by_date(ready, at, time=time))
-            if valid is not None and not valid.isEmpty():
-                booster, trees = grow(fit_rows, valid)
-                if fit_rows is not ready or booster.getNumTrees != trees:
-                    booster = fit(ready, trees)
-            else:
-                booster = fit(ready, trees)
-        else:
-            booster = fit(ready, trees)
-    finally:
-        ready.unpersist()
+    patience = config.early_stopping_rounds if config.early_stopping_rounds < config.n_estimators else 0
+    valid = F.lit(False)
+    if patience and config.validation == "holdout":
+        valid = F.col(time) >= F.lit(split_date).cast("date")
+        train = train.unionByName(test.where(F.col(label).isNotNull()))
+    elif patience and (at := _tail_cutoff(train, time, tail_share)) is not None:
+        valid = F.col(time) >= F.lit(at)
+    rows = prepare.transform(train).select(
+        _MODEL_VECTOR, F.col(label).cast("double").alias(LABEL), F.coalesce(valid, F.lit(False)).alias(VALID))
+    booster, errors = boost(rows, state or scratch_path(spark, "boosting"), BoostParams(
+        rounds=config.n_estimators, depth=config.max_depth, rate=config.learning_rate, rows=config.subsample,
+        columns=config.colsample, patience=patience, seed=config.random_state),
+        features=_MODEL_VECTOR, prediction="point_forecast", size=len(features) + len(impute))
 
     model = PipelineModel(stages=[*prepare.stages, booster])
     scored = _predict(model, test).withColumnRenamed("point_forecast", "predicted_weekly_sales")
     measured = regression_metrics(scored, actual=label).first()
     metrics = {m: measured[m] for m in ("r2", "mae", "rmse", "mape")}
-    return ForecastResult(model, features, mapping, str(split_date), trees, metrics, impute), scored
+    return ForecastResult(model, features, mapping, str(split_date), booster.getNumTrees - 1,
+                          metrics, impute, errors), scored
 
 
 def _predict(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -193,8 +155,9 @@ def feature_importance(spark: SparkSession, model_path: str, features: Sequence[
     model = PipelineModel.load(model_path)
     booster = model.stages[-1]
     names = [*features, *[f"{c}_missing" for c in imputed]]
-    gains = booster.featureImportances.toArray()
-    table = spark.createDataFrame([(i, n, float(gains[i])) for i, n in enumerate(names)],
+    gains = booster.featureImportances.toArray()  # ends at the last feature that a split uses
+    table = spark.createDataFrame([(i, n, float(gains[i]) if i < len(gains) else 0.0)
+                                   for i, n in enumerate(names)],
                                   "idx int, feature string, gain_share double")
     stage = len(model.stages) - 1
     folder = f"{model_path}/stages/{stage:0{len(str(len(model.stages)))}d}_{booster.uid}"

@@ -36,6 +36,12 @@ def remove_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write a table that several steps read to the shared folder, once, and read
     it back. This also ends its lineage: a lost executor costs a re-read, not a
