@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from ..config import EXTERNAL_FACTORS, FORECAST_FEATURES, MARKDOWNS, PROFILE_FEATURES
 from ..functions.scalar import parse_bool, parse_date
-from ..operators import anomaly, explore, features, forecast, master, metrics, quality, rules
+from ..operators import anomaly, boosting, closed, explore, features, forecast, master, metrics, quality, rules
 from ..operators import seasonal, segment
 from ..schemas import BY_NAME
 from ..session import materialize, scratch_path
@@ -32,6 +32,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 SPLIT = "2000-01-01"
 BRIDGE_LIMITS = quality.Limits(min_stores=10, min_rows=5000)
 SUPPORT, CONFIDENCE, LIFT = 0.011, 0.1, 1.0
+CLOSED_SUPPORT = SUPPORT
 PROFILE = list(PROFILE_FEATURES)
 SEGMENTS = segment.SegmentParams()
 FIXED_LAMBDAS = {"Weekly_Sales": 0.5, "Size": 0.0, "Total_MD_Value": 0.25, "Unemployment": -1.0}
@@ -397,6 +398,15 @@ def q_importance(s, d):
     return forecast.feature_importance(s, path, result.feature_columns, result.imputed)
 
 
+def q_boosting_state(s, d):
+    """Ten rounds with validation on the end of the training period: the predictions carried
+    from round to round against those of the saved trees."""
+    df = materialize(segment.attach_clusters(_engineered(s, d, anomalies=False), _rule_segments(s, d)), "forecast-input")
+    path = scratch_path(s, "boosting")
+    forecast.train_forecaster(df, dataclasses.replace(SMALL_FORECAST, early_stopping_rounds=9), split_date=SPLIT, state=path)
+    return boosting.carried_difference(boosting.BoostState(s, path), SMALL_FORECAST.n_estimators, forecast._MODEL_VECTOR)
+
+
 def _two_models(s, d):
     """Holdout rows with two forecasts: the previous week's sales, and the
     series' mean over the training period."""
@@ -455,6 +465,10 @@ def q_fitted(s, d):
     return shown(seasonal.fit_series(_store_weeks(s, d), by=_BY))
 
 
+def q_unit_roots(s, d):
+    return shown(seasonal.unit_root_statistics(_store_weeks(s, d), by=_BY), strength=6, kpss=6, kpss_diff=6)
+
+
 def q_naive(entity: str) -> Query:
     return lambda s, d: shown(seasonal.seasonal_naive(_store_weeks(s, d, entity), by=_BY),
                               y=4, seasonal_naive=4, seasonal_diff=4)
@@ -476,6 +490,22 @@ def _order_itemsets(s, d, max_len=None):
                                    max_len=max_len, basket_keys=["OrderKey"])
 
 
+def _closed(s, d):
+    """Closed itemsets of the store-weeks, of any size."""
+    return materialize(closed.closed_itemsets(_sales(s, d).select("Store", "Date", "Dept"), min_support=CLOSED_SUPPORT), "closed-itemsets")
+
+
+def q_closed_rules(s, d):
+    return shown(closed.closed_rules(_closed(s, d), min_confidence=CONFIDENCE, min_lift=LIFT),
+                 support=8, confidence=8, lift=8)
+
+
+def q_closed_supports(s, d):
+    """The counts of the frequent itemsets of up to three items, from the closed ones alone."""
+    asked = _itemsets(s, d, 3).select("items", "size")
+    return shown(closed.supports_of(asked, _closed(s, d)), support=8)
+
+
 def q_itemsets(size: int) -> Query:
     return lambda s, d: shown(_itemsets(s, d, size).where(F.col("size") == size), support=8)
 
@@ -695,6 +725,7 @@ QUERIES: dict[str, Query] = {
     "train_forecast": q_train_forecast,
     "score_forecast": q_score_forecast,
     "feature_importance": q_importance,
+    "boosting_state": q_boosting_state,
     "forecast_errors": q_forecast_errors,
     "mean_abs_pct_error": q_mean_error,
     "regression_metrics": q_metrics,
@@ -708,6 +739,7 @@ QUERIES: dict[str, Query] = {
     "seasonal_naive": q_naive("nation"),
     "seasonal_naive_suppliers": q_naive("supplier"),
     "ar1_fit": q_ar1,
+    "unit_root_statistics": q_unit_roots,
     "sink_master": q_sink_master,
     "sink_forecasts": q_sink_forecasts,
     "sink_scores": q_sink_scores,
@@ -733,6 +765,9 @@ QUERIES: dict[str, Query] = {
     "frequent_itemsets_orders": lambda s, d: shown(_order_itemsets(s, d), support=8),
     "association_rules": lambda s, d: _rules(_itemsets(s, d, 2)),
     "association_rules_k3": lambda s, d: _rules(_itemsets(s, d, 3)),
+    "closed_itemsets": lambda s, d: shown(_closed(s, d), support=8),
+    "closed_rules": q_closed_rules,
+    "closed_supports": q_closed_supports,
     "association_rules_orders": lambda s, d: _rules(_order_itemsets(s, d)),
     "flag_anomalies_suppliers": lambda s, d: _flag_columns(_flagged(s, d, "supplier")),
     "sales_lag_suppliers": lambda s, d: shown(_lagged(s, d, "supplier"), Weekly_Sales=4,

@@ -222,6 +222,69 @@ def _rules(source: str, splits: str) -> str:
 WHERE confidence >= 0.1 AND lift >= 1.0""", source, extra=extra)
 
 
+_CLOSED_SIZES = range(2, 9)
+
+
+def _closed(body: str) -> str:
+    """Itemsets up to eight items, level by level over the rows that hold them; closed are those
+    that none of one more item matches in count."""
+    levels = ["""total AS (SELECT count(DISTINCT basket) AS n FROM store_items),
+  f1 AS (SELECT [item] AS items, item AS last, count(*) AS n FROM store_items GROUP BY item
+         HAVING count(*) >= 0.011 * (SELECT n FROM total)),
+  live AS (SELECT * FROM store_items WHERE item IN (SELECT last FROM f1)),
+  r1 AS (SELECT basket, [item] AS items, item AS last FROM live)"""]
+    for k in _CLOSED_SIZES:
+        levels.append(f"""
+  g{k} AS (SELECT r.basket, list_append(r.items, l.item) AS items, l.item AS last
+           FROM r{k - 1} r JOIN live l ON l.basket = r.basket AND l.item > r.last),
+  f{k} AS (SELECT items, count(*) AS n FROM g{k} GROUP BY items
+           HAVING count(*) >= 0.011 * (SELECT n FROM total)),
+  r{k} AS (SELECT g.* FROM g{k} g JOIN f{k} f ON f.items = g.items)""")
+    every = " UNION ALL ".join([f"SELECT items, n, {k} AS size FROM f{k}" for k in (1, *_CLOSED_SIZES)])
+    levels.append(f"""
+  every_set AS ({every}),
+  smaller AS (SELECT list_filter(e.items, lambda y: y <> u.x) AS items, e.n
+              FROM every_set e, unnest(e.items) AS u(x) WHERE e.size > 1),
+  shut AS (SELECT e.items, e.size, e.n, CAST(e.n AS DOUBLE) / (SELECT n FROM total) AS support
+           FROM every_set e WHERE NOT EXISTS (SELECT 1 FROM smaller s WHERE s.items = e.items AND s.n = e.n))""")
+    return _with(body, "store_items", extra=",".join(levels))
+
+
+def _kpss(levels: str) -> str:
+    """CTEs of the KPSS statistic of each (Store, kind) of `levels`, which has t and v."""
+    return f"""dev AS (SELECT Store, kind, t, v - avg(v) OVER g AS e, count(*) OVER g AS n,
+         least(floor(4 * pow(count(*) OVER g / 100.0, 0.25)), count(*) OVER g - 1) AS lags
+         FROM {levels} WINDOW g AS (PARTITION BY Store, kind)),
+  partial AS (SELECT *, sum(e) OVER (PARTITION BY Store, kind ORDER BY t) AS s FROM dev),
+  near AS (SELECT a.Store, a.kind, sum((1 - (a.t - b.t) / (a.lags + 1)) * a.e * b.e) AS c
+           FROM dev a JOIN dev b ON b.Store = a.Store AND b.kind = a.kind AND b.t BETWEEN a.t - a.lags AND a.t - 1
+           GROUP BY a.Store, a.kind),
+  stat AS (SELECT p.Store, p.kind, sum(s * s) / (max(n) * (sum(e * e) + 2 * max(c))) AS kpss
+           FROM partial p JOIN near USING (Store, kind) GROUP BY p.Store, p.kind)"""
+
+
+def _unit_roots() -> str:
+    return _with("""
+SELECT c.Store, c.n, round(c.strength, 6) AS strength, round(x.kpss, 6) AS kpss, round(y.kpss, 6) AS kpss_diff,
+       c.sd, CAST(CASE WHEN x.kpss <= 0.463 THEN 0 WHEN y.kpss <= 0.463 THEN 1 ELSE 2 END AS INT) AS d
+FROM chosen c JOIN stat x ON x.Store = c.Store AND x.kind = 0 JOIN stat y ON y.Store = c.Store AND y.kind = 1""",
+                 "store_weeks", extra="""
+  base AS (SELECT Store, y, row_number() OVER w - 1 AS t, count(*) OVER (PARTITION BY Store) AS n,
+           lag(y, 52) OVER w AS back, y - (sum(y) OVER (PARTITION BY Store ORDER BY Date ROWS BETWEEN 25 PRECEDING AND 25 FOLLOWING)
+                + (lag(y, 26) OVER w + lead(y, 26) OVER w) / 2) / 52 AS x
+           FROM store_weeks WINDOW w AS (PARTITION BY Store ORDER BY Date)),
+  rest AS (SELECT Store, x, x - avg(x) OVER (PARTITION BY Store, t % 52) AS r FROM base WHERE x IS NOT NULL),
+  strong AS (SELECT Store, greatest(0, 1 - (sum(r * r) / (count(*) - 52)) / var_samp(x)) AS strength FROM rest GROUP BY Store),
+  chosen AS (SELECT Store, n, CASE WHEN n >= 156 THEN coalesce(strength, 0) ELSE 0 END AS strength,
+             CAST(CASE WHEN n >= 156 AND strength > 0.64 THEN 1 ELSE 0 END AS INT) AS sd
+             FROM (SELECT Store, count(*) AS n FROM base GROUP BY Store) LEFT JOIN strong USING (Store)),
+  level AS (SELECT b.Store, b.t, CASE WHEN sd = 1 THEN b.y - b.back ELSE b.y END AS v FROM base b JOIN chosen USING (Store)),
+  levels AS (SELECT Store, 0 AS kind, t, v FROM level WHERE v IS NOT NULL UNION ALL
+             SELECT Store, 1, t, v FROM (SELECT Store, t, v - lag(v) OVER (PARTITION BY Store ORDER BY t) AS v FROM level)
+             WHERE v IS NOT NULL),
+  """ + _kpss("levels"))
+
+
 def _histogram() -> str:
     parts = []
     for c in ("Temperature", "Fuel_Price", "CPI", "Unemployment"):
@@ -576,6 +639,23 @@ UNION ALL SELECT 'forecasts', count(*) FROM kept WHERE Date >= DATE '2000-01-01'
 UNION ALL SELECT 'profiles', count(DISTINCT Store) FROM kept""", "kept"),
     "score_consistency": _with("SELECT count(*) AS n, CAST(0 AS BIGINT) AS n_mismatch FROM kept "
                                "WHERE Date >= DATE '2000-01-01'", "kept"),
+    "boosting_state": _with("""
+SELECT count(*) AS n_rows, count(*) FILTER (WHERE Date < hi - CAST(greatest(floor((hi - lo) * 0.1) - 1, 0) AS INT)) AS n_train,
+       10 AS n_rounds, CAST(0 AS BIGINT) AS n_apart
+FROM kept, (SELECT min(Date) AS lo, max(Date) AS hi FROM kept WHERE Date < DATE '2000-01-01' AND Weekly_Sales IS NOT NULL)
+WHERE Date < DATE '2000-01-01' AND Weekly_Sales IS NOT NULL""", "kept"),
+    "unit_root_statistics": _unit_roots(),
+    "closed_itemsets": _closed("SELECT array_to_string(items, ',') AS items, CAST(size AS INT) AS size, n, "
+                               "round(support, 8) AS support FROM shut"),
+    "closed_supports": _closed("SELECT array_to_string(items, ',') AS items, CAST(size AS INT) AS size, n, "
+                               "round(CAST(n AS DOUBLE) / (SELECT n FROM total), 8) AS support FROM every_set WHERE size <= 3"),
+    "closed_rules": _closed("""SELECT antecedents, consequents, round(support, 8) AS support, round(confidence, 8) AS confidence,
+       round(lift, 8) AS lift FROM (
+  SELECT array_to_string(a.items, ',') AS antecedents, u.c AS consequents, w.support,
+         CAST(w.n AS DOUBLE) / a.n AS confidence, CAST(w.n AS DOUBLE) / a.n / (c.n / (SELECT CAST(n AS DOUBLE) FROM total)) AS lift
+  FROM shut w, unnest(w.items) AS u(c) JOIN every_set a ON a.items = list_filter(w.items, lambda y: y <> u.c)
+  JOIN f1 c ON c.last = u.c WHERE w.size >= 2)
+WHERE confidence >= 0.1 AND lift >= 1.0"""),
     "report_round_trip": _with(f"SELECT {_metric_columns('Weekly_Sales', 'Sales_Lag_1')}, "
                                "CAST(1 AS INT) AS n_checks FROM lagged", "lagged"),
     "saved_mapping": _with("SELECT s.Store, s.Dept, CAST(s.Date AS VARCHAR) AS Date, st.Type, "
