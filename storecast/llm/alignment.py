@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 from functools import cached_property
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +17,11 @@ from .tables import dropped, join_hot, staged
 
 TOKENIZERS = "/opt/tokenizers"
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
+#: A blank between two plain letters: both tokenizers start a token there, whatever stands around.
+_BLANK = re.compile("(?<=[A-Za-z]) (?=[A-Za-z])")
+_PLAIN = re.compile("[A-Za-z](.*[A-Za-z])?", re.DOTALL)
+#: Words kept with their tokens in each worker, and the longest of them.
+CACHE, WORD = 1 << 18, 64
 #: Bytes of text encoded together, links listed at a time, and pairs a task holds before it lets them go.
 SLICE_BYTES, LINKS, HELD = 1 << 19, 1 << 22, 1 << 20
 NUMBERS = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
@@ -86,19 +93,26 @@ class Tokenizers:
         most = max(len(self.a_bytes.size), len(self.b_bytes.size))
         return _Bytes([f"{i}{sign}".encode() for sign in (",", "|", ";", "") for i in range(most)])
 
+    @cached_property
+    def words(self) -> dict[str, tuple | None]:
+        """What `_aligned` says of the words met so far."""
+        return {}
+
+    @cached_property
+    def splits(self) -> bool:
+        """B has no piece with a blank behind another character. A's pattern starts a token at
+        a blank before a letter anyway."""
+        return not any(re.search("[^▁]▁", self.b.id_to_piece(i)) for i in range(self.b.get_piece_size()))
+
     def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        a = self.a.encode_batch([" " + t for t in texts], add_special_tokens=False)
+        """Ids of each text with a blank before it."""
+        a = self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
         return [e.ids for e in a], self.b.encode(texts, num_threads=1)
 
 
 def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     size = np.array([len(x) for x in lists], np.int64)
-    out = np.empty(size.sum(), np.int64)
-    at = 0
-    for x in lists:
-        out[at:at + len(x)] = x
-        at += len(x)
-    return out, size
+    return np.fromiter(chain.from_iterable(lists), np.int64, int(size.sum())), size
 
 
 def _whole(ids: np.ndarray, size: np.ndarray, strings: _Bytes, spaced: list[bytes]) -> np.ndarray:
@@ -134,36 +148,39 @@ def _pairs(doc, a, b, group_a, group_b, n_groups: int, n_a: int, n_b: int) -> tu
     return keys, sums
 
 
-def align(texts: list[str | None], tools: Tokenizers) -> list[tuple]:
-    """(n_a, n_b, n_groups, n_links, groups_sha256, id pairs, links of each) of each text."""
-    nothing = (0, 0, 0, 0, "", np.zeros(0, np.int64), np.zeros(0, np.int64))
-    out = [nothing] * len(texts)
-    full = [i for i, t in enumerate(texts) if t]
-    if not full:
-        return out
-    spaced = [(" " + texts[i]).encode() for i in full]
-    (a, size_a), (b, size_b) = map(_flat, tools.encode([texts[i] for i in full]))
+def _aligned(lines: list[list[str]], tools: Tokenizers) -> list[tuple | None]:
+    """(n_a, n_b, n_groups, n_links, groups as text, id pairs, links of each) of each word of
+    each line. Lines are encoded whole, with blanks between their words. None where
+    the tokens of a line do not give it back."""
+    texts = [" ".join(words) for words in lines]
+    (a, size_a), (b, size_b) = map(_flat, tools.encode(texts))
+    spaced = [(" " + t).encode() for t in texts]
     good = _whole(a, size_a, tools.a_bytes, spaced) & _whole(b, size_b, tools.b_bytes, spaced)
-    a, b = a[np.repeat(good, size_a)], b[np.repeat(good, size_b)]
-    size_a, size_b = size_a[good], size_b[good]
-    full = [i for i, g in zip(full, good, strict=True) if g]
-    if not full:
+    n_words = np.array([len(words) for words in lines])
+    out: list[tuple | None] = [None] * int(n_words.sum())
+    if not good.any():
         return out
+    a, b = a[np.repeat(good, size_a)], b[np.repeat(good, size_b)]
+    full = np.flatnonzero(np.repeat(good, n_words))
     end_a, end_b = np.cumsum(tools.a_bytes.size[a]), np.cumsum(tools.b_bytes.size[b])
-    cuts = np.intersect1d(end_a, end_b)  # ends of texts are among them
-    group_a, group_b = np.searchsorted(cuts, end_a), np.searchsorted(cuts, end_b)
-    ends = end_a[np.cumsum(size_a) - 1]
-    doc = np.searchsorted(ends, cuts)
+    both = np.zeros((2, end_a[-1] + 1), bool)
+    both[0, end_a], both[1, end_b] = True, True
+    last_a, last_b = both[1, end_a], both[0, end_b]  # last tokens of groups; ends of words are among them
+    cuts = end_a[last_a]
+    group_a, group_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
+    every = list(chain.from_iterable(lines))
+    doc = np.searchsorted(np.cumsum([1 + len(every[i].encode()) for i in full]), cuts)
     in_a, in_b = np.bincount(group_a, minlength=len(cuts)), np.bincount(group_b, minlength=len(cuts))
+    n = len(full)
+    size_a, size_b = np.bincount(doc[group_a], minlength=n), np.bincount(doc[group_b], minlength=n)
 
     # The tokens of both sides in the order of groups, A before B, each with the sign behind it.
     place_a = np.arange(len(a)) + (np.cumsum(in_b) - in_b)[group_a]
     place_b = np.arange(len(b)) + np.cumsum(in_a)[group_b]
     sign_a, sign_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
     sign_a[np.cumsum(in_a) - 1] = 1
-    last = np.flatnonzero(np.diff(doc, append=len(full)))
     sign_b[np.cumsum(in_b) - 1] = 2
-    sign_b[np.cumsum(in_b)[last] - 1] = 3
+    sign_b[np.cumsum(in_b)[np.flatnonzero(np.diff(doc, append=n))] - 1] = 3
     most = len(tools.numbers.size) // 4
     written = np.empty(len(a) + len(b), np.int64)
     written[place_a], written[place_b] = sign_a * most + a, sign_b * most + b
@@ -172,14 +189,52 @@ def align(texts: list[str | None], tools: Tokenizers) -> list[tuple]:
 
     n_a, n_b = len(tools.a_bytes.size), len(tools.b_bytes.size)
     keys, links = _pairs(doc, a, b, group_a, group_b, len(cuts), n_a, n_b)
-    at = np.searchsorted(keys, np.arange(len(full) + 1) * (n_a * n_b))
-    groups, total = np.bincount(doc, minlength=len(full)), np.bincount(doc, in_a * in_b, len(full)).astype(np.int64)
-    start = 0
-    for k, i in enumerate(full):
-        out[i] = (int(size_a[k]), int(size_b[k]), int(groups[k]), int(total[k]),
-                  hashlib.sha256(text[start:chars[k]]).hexdigest(),
-                  keys[at[k]:at[k + 1]] - k * n_a * n_b, links[at[k]:at[k + 1]])
-        start = int(chars[k])
+    at = np.searchsorted(keys, np.arange(n + 1) * (n_a * n_b))
+    pair = (keys % (n_a * n_b)).tolist()
+    links, at = links.tolist(), at.tolist()
+    rows = zip(size_a.tolist(), size_b.tolist(), np.bincount(doc, minlength=n).tolist(),
+               np.bincount(doc, in_a * in_b, n).astype(np.int64).tolist(), [0, *chars[:-1].tolist()], chars.tolist(), strict=True)
+    for k, (x, y, groups, total, start, end) in enumerate(rows):
+        out[full[k]] = x, y, groups, total, text[start:end], pair[at[k]:at[k + 1]], links[at[k]:at[k + 1]]
+    return out
+
+
+def _looked_up(words: list[str], tools: Tokenizers) -> dict[str, tuple | None]:
+    """What `_aligned` says of each word. New words between plain letters are encoded many to a
+    line, others alone."""
+    known = tools.words
+    if len(known) > CACHE:
+        known.clear()
+    new = [w for w in words if w not in known]
+    plain = [w for w in new if _PLAIN.fullmatch(w)] if tools.splits else []
+    lines = [plain[i:i + 4096] for i in range(0, len(plain), 4096)]
+    got = dict(zip(plain, _aligned(lines, tools), strict=True)) if lines else {}
+    # A line with a word that is not given back says nothing of the others.
+    alone = [w for w in new if got.get(w) is None]
+    got |= dict(zip(alone, _aligned([[w] for w in alone], tools), strict=True)) if alone else {}
+    known.update((w, found) for w, found in got.items() if len(w) <= WORD)
+    return {w: got[w] if w in got else known[w] for w in words}
+
+
+def align(texts: list[str | None], tools: Tokenizers) -> list[tuple]:
+    """(n_a, n_b, n_groups, n_links, groups_sha256, id pairs, links of each) of each text, from
+    those of its words: groups end wherever a word does."""
+    parts = [(_BLANK.split(t) if tools.splits else [t]) if t else [] for t in texts]
+    found = _looked_up(list(dict.fromkeys(chain.from_iterable(parts))), tools)
+    nothing = (0, 0, 0, 0, "", np.zeros(0, np.int64), np.zeros(0, np.int64))
+    out = []
+    for words in parts:
+        rows = [found[w] for w in words]
+        if not rows or None in rows:
+            out.append(nothing)
+            continue
+        n_a, n_b, groups, total, text, pairs, links = zip(*rows, strict=True)
+        pair = np.fromiter(chain.from_iterable(pairs), np.int64)
+        order = np.argsort(pair, kind="stable")
+        pair = pair[order]
+        first = np.flatnonzero(np.concatenate(([True], pair[1:] != pair[:-1])))
+        times = np.add.reduceat(np.fromiter(chain.from_iterable(links), np.int64)[order], first)
+        out.append((sum(n_a), sum(n_b), sum(groups), sum(total), hashlib.sha256(b";".join(text)).hexdigest(), pair[first], times))
     return out
 
 
