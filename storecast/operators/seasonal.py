@@ -23,13 +23,21 @@ from ..config import Keys
 
 @dataclass(frozen=True)
 class SeasonalParams:
-    """Season length in weeks, and the largest orders that the search tries."""
+    """Season length in weeks, and the largest orders that the search tries. `stepwise`
+    goes from order to neighbouring order, else all are tried. A level is stationary
+    where its KPSS statistic stays below `kpss_limit` (its 5 % point); a season is
+    differenced where its strength exceeds `strength_limit`."""
 
     seasonal_period: int = 52
     max_p: int = 2
     max_P: int = 1
     max_q: int = 2
     max_Q: int = 1
+    max_d: int = 2
+    max_D: int = 1
+    stepwise: bool = True
+    kpss_limit: float = 0.463
+    strength_limit: float = 0.64
 
 
 def weekly_totals(sales: DataFrame, *, by: Sequence[str] = (), keys: Keys = Keys()) -> DataFrame:
@@ -89,12 +97,51 @@ def _difference(y: np.ndarray, d: int, D: int, m: int) -> np.ndarray:
     return y
 
 
-def _choose_differences(y: np.ndarray, m: int) -> tuple[int, int]:
-    """Difference (seasonally, then plainly) where that lowers the variance, and
-    only where enough points stay."""
-    D = int(len(y) >= 2 * m + 10 and np.var(_difference(y, 0, 1, m)) < np.var(y))
-    w = _difference(y, 0, D, m)
-    d = int(len(w) > 10 and np.var(np.diff(w)) < np.var(w))
+def kpss_level(y: np.ndarray) -> float:
+    """The KPSS statistic of level stationarity: the squared partial sums of the deviations
+    from the mean, over a long-run variance with Bartlett weights up to the lag
+    4 (n / 100)^(1/4). 0 for a constant or empty series."""
+    n = len(y)
+    e = y - y.mean() if n else y
+    if not n or not np.ptp(y):
+        return 0.0
+    lags = min(int(4 * (n / 100) ** 0.25), n - 1)
+    spread = float(e @ e) + 2 * sum((1 - j / (lags + 1)) * float(e[j:] @ e[:-j]) for j in range(1, lags + 1))
+    return float((np.cumsum(e) ** 2).sum()) / (n * spread) if spread > 0 else 0.0
+
+
+def seasonal_strength(y: np.ndarray, m: int) -> float:
+    """Share of the variance around a centred moving average of one season that the means of
+    the season's phases explain, adjusted for their number: about 0 without a season
+    however few seasons there are, 1 for an exact one. 0 below two seasons of such points."""
+    half = m // 2
+    weights = np.ones(2 * half + 1) / m
+    if m % 2 == 0:
+        weights[[0, -1]] /= 2
+    if m < 2 or len(y) < 2 * m + 2 * half:
+        return 0.0
+    x = y[half:len(y) - half] - np.convolve(y, weights, "valid")
+    phase = np.arange(half, len(y) - half) % m
+    count = np.bincount(phase, minlength=m)
+    rest = x - (np.bincount(phase, x, m) / np.maximum(count, 1))[phase]
+    total = float(((x - x.mean()) ** 2).sum())
+    if total <= 1e-12 * max(float(y @ y), 1e-300):
+        return 0.0
+    return max(0.0, 1 - (float(rest @ rest) / (len(x) - m)) / (total / (len(x) - 1)))
+
+
+def _choose_differences(y: np.ndarray, cfg: SeasonalParams) -> tuple[int, int]:
+    """(d, D): a seasonal difference for a strong season, then plain ones until the level is
+    stationary, while enough points stay."""
+    m = cfg.seasonal_period
+    D = 0
+    while D < cfg.max_D and len(_difference(y, 0, D, m)) >= 2 * m + 10 and (
+            seasonal_strength(_difference(y, 0, D, m), m) > cfg.strength_limit):
+        D += 1
+    d = 0
+    while d < cfg.max_d and len(_difference(y, d, D, m)) > 10 and (
+            kpss_level(_difference(y, d, D, m)) > cfg.kpss_limit):
+        d += 1
     return d, D
 
 
@@ -144,23 +191,50 @@ def _candidates(cfg: SeasonalParams, n: int) -> list[tuple[int, ...]]:
     return list(grid)
 
 
+def _steps(order: tuple[int, ...]) -> list[tuple[int, ...]]:
+    """The neighbours of an order: one of its numbers, both plain or both seasonal ones, up or down by one."""
+    moves = [(1, 0, 0, 0), (0, 1, 0, 0), (0, 0, 1, 0), (0, 0, 0, 1), (1, 1, 0, 0), (0, 0, 1, 1)]
+    return [tuple(o + s * x for o, x in zip(order, move)) for move in moves for s in (1, -1)]
+
+
 def _rank_orders(y: np.ndarray, cfg: SeasonalParams):
-    """[(order, d, D, aicc, fitted w)], all on the same points, plus their start."""
+    """[(order, d, D, aicc, fitted w)] of the orders tried, all on the same points, plus their start.
+
+    Stepwise, four orders are tried at first and then the neighbours of the best so far,
+    until none of them is better. Otherwise all are tried."""
     m = cfg.seasonal_period
-    d, D = _choose_differences(y, m)
+    d, D = _choose_differences(y, cfg)
     w = _difference(y, d, D, m)
     orders = _candidates(cfg, len(w))
     start = max((max([0, *ar, *ma]) for ar, ma in (_lags(o, m) for o in orders)), default=0)
     if len(w) - start < 8:
         orders = [o for o in orders if o[2] == 0 and o[3] == 0]
         start = max(cfg.max_p, cfg.max_q)
+    if len(w) <= start:
+        return [], start
     e = _innovations(w, m)
-    out = []
-    for o in orders:
-        fit = _fit_order(w, e, o, m, start) if len(w) > start else None
-        if fit is not None:
-            out.append((o, d, D, float(fit[0]), fit[1]))
-    return out, start
+    tried: dict[tuple[int, ...], tuple | None] = {}
+
+    def attempt(some):
+        for o in some:
+            if o in allowed and o not in tried:
+                fit = _fit_order(w, e, o, m, start)
+                tried[o] = None if fit is None else (o, d, D, float(fit[0]), fit[1])
+
+    def ranked():
+        return [t for t in tried.values() if t is not None]
+
+    allowed = set(orders)
+    if not cfg.stepwise:
+        attempt(orders)
+        return ranked(), start
+    top = tuple(max(o[i] for o in orders) for i in range(4))
+    attempt([tuple(min(x, t) for x, t in zip(o, top)) for o in ((2, 2, 1, 1), (0, 0, 0, 0), (1, 0, 1, 0), (0, 1, 0, 1))])
+    best = None
+    while ranked() and best != (now := min(ranked(), key=lambda r: (r[3], r[0]))[0]):
+        best = now
+        attempt(_steps(best))
+    return ranked(), start
 
 
 _ORDER_FIELDS = [T.StructField(c, T.IntegerType()) for c in ("p", "d", "q", "sp", "sd", "sq", "m")]
@@ -176,8 +250,8 @@ def _grouped(series: DataFrame, by: Sequence[str]):
 
 def search_orders(series: DataFrame, *, by: Sequence[str] = (), time: str = "Date", y: str = "y",
                   config: SeasonalParams = SeasonalParams()) -> DataFrame:
-    """(by..., p, d, q, sp, sd, sq, m, n, aicc): every candidate order of every
-    series; a series too short for any has one row of zeros without an AICc. One
+    """(by..., p, d, q, sp, sd, sq, m, n, aicc): every order that the search tried on
+    every series; a series too short for any has one row of zeros without an AICc. One
     task call holds one series, whose length is its number of
     weeks; the candidates share its differenced values."""
     by = list(by)
@@ -197,6 +271,28 @@ def search_orders(series: DataFrame, *, by: Sequence[str] = (), time: str = "Dat
     return _grouped(series.select(*by, time, y), by).applyInPandas(fit, schema)
 
 
+def unit_root_statistics(series: DataFrame, *, by: Sequence[str] = (), time: str = "Date", y: str = "y",
+                         config: SeasonalParams = SeasonalParams()) -> DataFrame:
+    """(by..., n, strength, kpss, kpss_diff, sd, d): what decides the differences of each series:
+    its seasonal strength, and the KPSS statistics of it, seasonally differenced where
+    `sd` says so, and of its first difference."""
+    by = list(by)
+
+    def measure(pdf: pd.DataFrame) -> pd.DataFrame:
+        values = pdf.sort_values(time)[y].to_numpy(dtype=float)
+        m = config.seasonal_period
+        d, D = _choose_differences(values, config)
+        w = _difference(values, 0, D, m)
+        return pd.DataFrame([(*(pdf[c].iloc[0] for c in by), len(values), seasonal_strength(values, m),
+                              kpss_level(w), kpss_level(np.diff(w)), D, d)],
+                            columns=[*by, "n", "strength", "kpss", "kpss_diff", "sd", "d"])
+
+    schema = T.StructType([*_by_fields(series, by), T.StructField("n", T.LongType()),
+                           *[T.StructField(c, T.DoubleType()) for c in ("strength", "kpss", "kpss_diff")],
+                           *[T.StructField(c, T.IntegerType()) for c in ("sd", "d")]])
+    return _grouped(series.select(*by, time, y), by).applyInPandas(measure, schema)
+
+
 def best_orders(candidates: DataFrame, *, by: Sequence[str] = ()) -> DataFrame:
     """The order of lowest AICc per series; ties go to the smaller order."""
     rank = ["aicc", "p", "q", "sp", "sq", "d", "sd", "m", "n"]
