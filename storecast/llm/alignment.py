@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 from functools import cached_property
@@ -17,9 +18,11 @@ from .tables import dropped, join_hot, staged
 
 TOKENIZERS = "/opt/tokenizers"
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
-#: A blank between two plain letters: both tokenizers start a token there, whatever stands around.
-_BLANK = re.compile("(?<=[A-Za-z]) (?=[A-Za-z])")
-_PLAIN = re.compile("[A-Za-z](.*[A-Za-z])?", re.DOTALL)
+#: Letters by any version of the tables behind A's pattern.
+_LETTER = "[A-Za-zÀ-ÖØ-öø-ÿ]"
+#: A single blank before a letter: both tokenizers start a token there, whatever stands around.
+_BLANK = re.compile(rf"(?<=\S) (?={_LETTER})")
+_LETTERS, _INNER = re.compile(f"{_LETTER}+"), re.compile(rf"{_LETTER}(.*\S)?", re.DOTALL)
 #: Words kept with their tokens in each worker, and the longest of them.
 CACHE, WORD = 1 << 18, 64
 #: Bytes of text encoded together, links listed at a time, and pairs a task holds before it lets them go.
@@ -52,13 +55,51 @@ class _Bytes:
 
 
 class Tokenizers:
-    """The two tokenizers, loaded where they are first used. Only the folder's path travels."""
+    """The two tokenizers, loaded where they are first used. What travels is the folder's path
+    and the ids that A never gives.
 
-    def __init__(self, folder: str = TOKENIZERS):
-        self.folder = folder
+    Plain words of letters are encoded by A's merges in another library, faster. Both take
+    the least-ranked pair first, but that one merges any two neighbours that join to a
+    known token, A only listed pairs. Where they could differ, A leaves the token
+    itself in two: without such tokens both give the same ids.
+    """
+
+    def __init__(self, folder: str = TOKENIZERS, never: frozenset[int] | None = None):
+        self.folder, self.never = folder, never
 
     def __reduce__(self):
-        return Tokenizers, (self.folder,)
+        return Tokenizers, (self.folder, self.never)
+
+    def checked(self) -> Tokenizers:
+        """With `never` worked out, once on the driver; the ids that do not encode to themselves.
+        None, and no second library, where ids do not rise in the order of merges."""
+        vocab = self.vocab
+        with open(f"{self.folder}/{A_FILE}", encoding="utf-8") as file:
+            merges = json.load(file)["model"]["merges"]
+        order = [vocab["".join(m if isinstance(m, list) else m.split(" "))] for m in merges]
+        if order != sorted(order):
+            return self
+        letters, texts = _byte_letters(), {}
+        for token, i in vocab.items():
+            try:
+                texts[i] = bytes(letters[c] for c in token).decode()
+            except (KeyError, UnicodeDecodeError):
+                continue
+        words = [i for i, t in texts.items() if _LETTERS.fullmatch(t.removeprefix(" "))]
+        got = self.a.encode_batch([texts[i] for i in words], add_special_tokens=False)
+        return Tokenizers(self.folder, frozenset(i for i, e in zip(words, got, strict=True) if e.ids != [i]))
+
+    @cached_property
+    def vocab(self) -> dict[str, int]:
+        return self.a.get_vocab(with_added_tokens=False)
+
+    @cached_property
+    def merged(self):
+        """A's merges on words of letters, in the other library."""
+        import tiktoken
+        letters = _byte_letters()
+        ranks = {bytes(letters[c] for c in t): i for t, i in self.vocab.items() if i not in self.never}
+        return tiktoken.Encoding("words", pat_str=f" ?{_LETTER}+", mergeable_ranks=ranks, special_tokens={})
 
     @cached_property
     def a(self):
@@ -104,10 +145,14 @@ class Tokenizers:
         a blank before a letter anyway."""
         return not any(re.search("[^▁]▁", self.b.id_to_piece(i)) for i in range(self.b.get_piece_size()))
 
-    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of each text with a blank before it."""
-        a = self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
-        return [e.ids for e in a], self.b.encode(texts, num_threads=1)
+    def encode(self, texts: list[str], letters: bool) -> tuple[list[list[int]], list[list[int]]]:
+        """Ids of each text with a blank before it. `letters`: words of letters only."""
+        spaced = [" " + t for t in texts]
+        if letters:
+            a = [self.merged.encode_ordinary(t) for t in spaced]
+        else:
+            a = [e.ids for e in self.a.encode_batch_fast(spaced, add_special_tokens=False)]
+        return a, self.b.encode(texts, num_threads=1)
 
 
 def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
@@ -148,12 +193,12 @@ def _pairs(doc, a, b, group_a, group_b, n_groups: int, n_a: int, n_b: int) -> tu
     return keys, sums
 
 
-def _aligned(lines: list[list[str]], tools: Tokenizers) -> list[tuple | None]:
+def _aligned(lines: list[list[str]], tools: Tokenizers, letters: bool = False) -> list[tuple | None]:
     """(n_a, n_b, n_groups, n_links, groups as text, id pairs, links of each) of each word of
     each line. Lines are encoded whole, with blanks between their words. None where
     the tokens of a line do not give it back."""
     texts = [" ".join(words) for words in lines]
-    (a, size_a), (b, size_b) = map(_flat, tools.encode(texts))
+    (a, size_a), (b, size_b) = map(_flat, tools.encode(texts, letters))
     spaced = [(" " + t).encode() for t in texts]
     good = _whole(a, size_a, tools.a_bytes, spaced) & _whole(b, size_b, tools.b_bytes, spaced)
     n_words = np.array([len(words) for words in lines])
@@ -200,15 +245,19 @@ def _aligned(lines: list[list[str]], tools: Tokenizers) -> list[tuple | None]:
 
 
 def _looked_up(words: list[str], tools: Tokenizers) -> dict[str, tuple | None]:
-    """What `_aligned` says of each word. New words between plain letters are encoded many to a
-    line, others alone."""
+    """What `_aligned` says of each word. New words that start with a letter are encoded many to
+    a line, others alone."""
     known = tools.words
     if len(known) > CACHE:
         known.clear()
     new = [w for w in words if w not in known]
-    plain = [w for w in new if _PLAIN.fullmatch(w)] if tools.splits else []
-    lines = [plain[i:i + 4096] for i in range(0, len(plain), 4096)]
-    got = dict(zip(plain, _aligned(lines, tools), strict=True)) if lines else {}
+    got: dict[str, tuple | None] = {}
+    if tools.splits:
+        pure = [w for w in new if tools.never is not None and _LETTERS.fullmatch(w)]
+        inner = [w for w in new if _INNER.fullmatch(w) and (tools.never is None or not _LETTERS.fullmatch(w))]
+        for some, letters in ((pure, True), (inner, False)):
+            lines = [some[i:i + 4096] for i in range(0, len(some), 4096)]
+            got |= dict(zip(some, _aligned(lines, tools, letters), strict=True)) if lines else {}
     # A line with a word that is not given back says nothing of the others.
     alone = [w for w in new if got.get(w) is None]
     got |= dict(zip(alone, _aligned([[w] for w in alone], tools), strict=True)) if alone else {}
@@ -373,7 +422,7 @@ def align_documents(docs: DataFrame, *, folder: str = TOKENIZERS, most: int = 1
     and aligned once, each counts as a document. Null doc_id: a row like others. Ties of
     the highest count: all of them. Empty table: no rows. Other columns are not read.
     """
-    tools = Tokenizers(folder)
+    tools = Tokenizers(folder).checked()
     aligned = staged(align_texts(docs, tools), "aligned")
     counts = pair_counts(aligned, len(tools.b_bytes.size))
     measures = staged(weigh(aligned, counts, most), "measures")

@@ -11,7 +11,7 @@ import pytest
 
 from storecast.llm import alignment
 
-TOOLS = alignment.Tokenizers()
+TOOLS = alignment.Tokenizers().checked()
 
 
 def plain_groups(text):
@@ -93,6 +93,24 @@ def test_one_group_of_many_tokens():
     assert dict(zip(keys.tolist(), links.tolist(), strict=True)) == want
 
 
+def test_words_by_themselves_are_the_whole_text():
+    """Every split, and the second library, against whole texts through the first one."""
+    rng = random.Random(11)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZéüßñçÀÿ"
+    joints = [" "] * 12 + [", ", ". ", "\n", "  ", "'s ", " - ", "\u00a0", "\t ", " (", ") ", "' ", "…", " 12 ", "\x1c ", "\u2003 ", "×"]
+    common = [t.removeprefix(" ") for t in (TOOLS.a.decode([i]) for i in range(300, 50000, 7)) if t.strip().isalpha()]
+    texts = []
+    for _ in range(400):
+        words = [rng.choice(common) + rng.choice(["", rng.choice(common)]) if rng.random() < 0.6 else
+                 "".join(rng.choice(letters) for _ in range(rng.randint(1, 14))) for _ in range(rng.randint(1, 120))]
+        texts.append("".join(w + rng.choice(joints) for w in words))
+    assert TOOLS.splits and TOOLS.never is not None
+    for text, row in zip(texts, alignment.align(texts, TOOLS), strict=True):
+        groups = plain_groups(text)
+        want = ";".join(",".join(map(str, ga)) + "|" + ",".join(map(str, gb)) for ga, gb in groups)
+        assert row[4] == hashlib.sha256(want.encode()).hexdigest() and row[2] == len(groups)
+
+
 def test_nothing_to_align(spark):
     rows = rows_of(spark, [(1, None), (2, ""), (None, "")])
     assert got(alignment.align_documents(rows)) == sorted([(i, 0, 0, 0, 0, 0, 0, "") for i in (1, 2, None)], key=repr)
