@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..config import MACRO_COLUMNS, MARKDOWNS, MASTER_REQUIRED, Keys
@@ -208,34 +208,52 @@ def null_rates(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return one.select(F.inline(pairs))
 
 
+def _master_checks(master: DataFrame, rates: DataFrame, required: Sequence[str], max_null_share: float
+                   ) -> DataFrame:
+    return _union([check_schema({"master": (master, required)}), rates.select(
+        F.lit("master").alias("table_name"),
+        F.concat(F.lit("null_share:"), "column_name").alias("check"),
+        (F.col("null_share") <= max_null_share).alias("passed"),
+        F.lit("error").alias("severity"), F.col("null_share").alias("observed"),
+        F.lit(float(max_null_share)).alias("limit"),
+        F.format_string("master: %s is %.2f%% null", F.col("column_name"),
+                        F.col("null_share") * 100).alias("message"))])
+
+
 def validate_master(master: DataFrame, *, required: Sequence[str] = MASTER_REQUIRED,
                     max_null_share: float = 0.05) -> DataFrame:
     """Required columns, and their null shares, which must not exceed the limit."""
-    parts = [check_schema({"master": (master, required)})]
     present = [c for c in required if c in master.columns]
-    if present:
-        rates = null_rates(master, present)
-        parts.append(rates.select(
-            F.lit("master").alias("table_name"),
-            F.concat(F.lit("null_share:"), "column_name").alias("check"),
-            (F.col("null_share") <= max_null_share).alias("passed"),
-            F.lit("error").alias("severity"), F.col("null_share").alias("observed"),
-            F.lit(float(max_null_share)).alias("limit"),
-            F.format_string("master: %s is %.2f%% null", F.col("column_name"),
-                            F.col("null_share") * 100).alias("message")))
-    return _union(parts)
+    return _master_checks(master, null_rates(master, present), required, max_null_share)
+
+
+def observe_nulls(master: DataFrame, required: Sequence[str] = MASTER_REQUIRED) -> tuple[DataFrame, Observation]:
+    """The table, and what the action that reads it will have counted on the way: its rows and
+    the nulls of each required column. No pass of its own."""
+    seen = Observation()
+    counts = [F.count_if(F.col(c).isNull()).alias(c) for c in required if c in master.columns]
+    return master.observe(seen, F.count(F.lit(1)).alias("__n"), *counts), seen
+
+
+def validate_observed(master: DataFrame, seen: Observation, *, required: Sequence[str] = MASTER_REQUIRED,
+                      max_null_share: float = 0.05) -> DataFrame:
+    """The check table of `validate_master` from what was observed while the table was written."""
+    got = seen.get
+    rates = [(c, got[c] / got["__n"] if got["__n"] else 0.0) for c in required if c in master.columns]
+    table = master.sparkSession.createDataFrame(rates, "column_name string, null_share double")
+    return _master_checks(master, table, required, max_null_share)
 
 
 class DataQualityError(ValueError):
     pass
 
 
-def raise_if_failed(checks: DataFrame) -> list[str]:
-    """Action: raises with the messages of all failed error checks; otherwise
-    returns the messages of all checks. A check table has a fixed few rows."""
-    rows = checks.select("message", (~F.col("passed") & (F.col("severity") == "error"))
-                         .alias("fatal")).collect()
-    fatal = [r["message"] for r in rows if r["fatal"]]
+def raise_if_failed(checks: DataFrame, also: Sequence[str] = ()) -> list[str]:
+    """Action: raises with the messages of all failed error checks, and of failed checks
+    named in `also`; otherwise returns the messages of all checks. A check table has
+    a fixed few rows, collected once."""
+    rows = checks.select("message", "passed", "severity", "check").collect()
+    fatal = [r["message"] for r in rows if not r["passed"] and (r["severity"] == "error" or r["check"] in also)]
     if fatal:
         raise DataQualityError(f"{len(fatal)} data quality check(s) failed: " + "; ".join(fatal))
     return [r["message"] for r in rows]

@@ -12,6 +12,7 @@ import json
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
@@ -246,86 +247,153 @@ def silhouette(points: DataFrame, columns: Sequence[str], *, cluster: str = "Clu
     """One row: (silhouette, n_points, n_clusters, metric) of the labelled points.
 
     The caller names the metric; no size changes it. 'squared_euclidean' is exact
-    from per-cluster sums, for any number of points. 'euclidean' compares all pairs:
-    the point table (a few numbers per point) goes to every task, for small inputs.
-    Null with one cluster only, or with no more points than clusters. Points
-    without a label are left out.
+    from per-cluster sums. 'euclidean' sums the distances between blocks of points;
+    bounds from the cluster centres leave out clusters that cannot be the nearest to
+    any point of a block. Points stay distributed, and clusters may be of any number.
+    Null with one cluster only, or with no more points than clusters. Points without
+    a label are left out.
     """
-    spark = points.sparkSession
-    data = points.where(F.col(cluster).isNotNull()).select(
-        F.col(cluster).alias("c"), *[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(columns)])
-    if metric == "euclidean":
-        head = data.toPandas()
-        n, k = len(head), head["c"].nunique()
-        per_point = _euclidean(spark, head, len(columns)) if 1 < k < n else None
-    elif metric == "squared_euclidean":
-        per_point, n, k = _squared_euclidean(data, len(columns))
-    else:
+    if metric not in ("euclidean", "squared_euclidean"):
         raise ValueError(f"unknown metric {metric}")
-    described = [F.lit(n).cast("bigint").alias("n_points"), F.lit(k).alias("n_clusters"),
+    spark, axes = points.sparkSession, [f"x{i}" for i in range(len(columns))]
+    data = materialize(points.where(F.col(cluster).isNotNull()).select(
+        F.col(cluster).alias("c"), *[F.col(c).cast("double").alias(x) for c, x in zip(columns, axes)]), "silhouette-points")
+    spread = F.lit(0.0)
+    for x in axes:
+        spread = spread + F.var_pop(x)
+    stats = materialize(data.groupBy("c").agg(F.count(F.lit(1)).alias("n"), spread.alias("v"),
+                                              *[F.avg(x).alias(f"m_{x}") for x in axes]), "silhouette-clusters")
+    n, k = stats.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    described = [F.lit(n).cast("bigint").alias("n_points"), F.lit(k).cast("int").alias("n_clusters"),
                  F.lit(metric).alias("metric")]
     if k < 2 or n <= k:
         return spark.range(1).select(F.lit(None).cast("double").alias("silhouette"), *described)
+    per_point = (_euclidean if metric == "euclidean" else _squared_euclidean)(data, stats, axes)
     return per_point.agg(F.avg("s").alias("silhouette")).select("silhouette", *described)
 
 
-def _euclidean(spark: SparkSession, everyone: pd.DataFrame, dims: int) -> DataFrame:
-    labels, code = np.unique(everyone["c"].to_numpy(), return_inverse=True)
-    xs = everyone[[f"x{i}" for i in range(dims)]].to_numpy()
-    shared = spark.sparkContext.broadcast((xs, np.eye(len(labels))[code], code))
-
-    def score(batches):
-        xs, onehot, code = shared.value
-        size = onehot.sum(axis=0)
-        block = max(1, 2_000_000 // len(xs))
-        for pdf in batches:
-            for start in range(0, len(pdf), block):
-                at = pdf["id"].to_numpy()[start:start + block]
-                squared = np.zeros((len(at), len(xs)))
-                for i in range(xs.shape[1]):
-                    squared += np.subtract.outer(xs[at, i], xs[:, i]) ** 2
-                total = np.sqrt(squared) @ onehot
-                own, rows = code[at], np.arange(len(at))
-                a = total[rows, own] / np.maximum(size[own] - 1, 1)
-                mean = total / size
-                mean[rows, own] = np.inf
-                b = mean.min(axis=1)
-                top = np.maximum(a, b)
-                s = np.where(top > 0, (b - a) / np.where(top > 0, top, 1.0), 0.0)
-                yield pd.DataFrame({"s": np.where(size[own] == 1, 0.0, s)})
-
-    return spark.range(len(xs)).mapInPandas(score, "s double")
-
-
-def _squared_euclidean(data: DataFrame, dims: int) -> tuple[DataFrame, int, int]:
-    """(scores, points, clusters). Mean squared distance to a cluster =
-    |x - centre|^2 + the cluster's variance, so per-cluster sums suffice."""
-    axes = [f"x{i}" for i in range(dims)]
-    spread = F.lit(0.0)
-    for x in axes:
-        spread = spread + F.var_pop(x)
-    stats = data.groupBy("c").agg(F.count(F.lit(1)).alias("n"), spread.alias("v"),
-                                  *[F.avg(x).alias(x) for x in axes]).limit(10_001).collect()
-    if len(stats) > 10_000:
-        raise ValueError("more than 10000 clusters")
-
-    def mean_distance(r) -> Column:
-        d = F.lit(float(r["v"]))
-        for x in axes:
-            d = d + F.pow(F.col(x) - F.lit(r[x]), 2)
-        return d
-
-    own = [F.col("c") == F.lit(r["c"]) for r in stats]
-    a, n_own = F.lit(None).cast("double"), F.lit(None).cast("long")
-    for is_own, r in zip(own, stats):
-        a = F.when(is_own, mean_distance(r) * F.lit(r["n"] / max(r["n"] - 1, 1))).otherwise(a)
-        n_own = F.when(is_own, F.lit(r["n"])).otherwise(n_own)
-    b = F.array_min(F.array(*[F.when(~is_own, mean_distance(r))
-                              for is_own, r in zip(own, stats)]))
+#: Points of a block, and clusters that are broadcast at once.
+BLOCK, CLUSTERS = 2048, 1 << 15
+
+
+def _cluster_parts(stats: DataFrame, axes: Sequence[str]):
+    """Broadcasts of (labels, sizes, variances, centres), of CLUSTERS clusters at most each."""
+    held: list = []
+
+    def sent():
+        return stats.sparkSession.sparkContext.broadcast((
+            [r["c"] for r in held], np.array([r["n"] for r in held], float), np.array([r["v"] for r in held], float),
+            np.array([[r[f"m_{x}"] for x in axes] for r in held], float).reshape(len(held), len(axes))))
+
+    for r in stats.toLocalIterator():
+        held.append(r)
+        if len(held) == CLUSTERS:
+            yield sent()
+            held = []
+    if held:
+        yield sent()
+
+
+def _score(a: Column, b: Column, n_own: Column) -> Column:
     top = F.greatest(a, b)
-    scores = data.select(F.when((n_own == 1) | (top == 0), F.lit(0.0))
-                         .otherwise((b - a) / top).alias("s"))
-    return scores, sum(r["n"] for r in stats), len(stats)
+    return F.when((n_own == 1) | (top == 0), F.lit(0.0)).otherwise((b - a) / top)
+
+
+def _squared_euclidean(data: DataFrame, stats: DataFrame, axes: Sequence[str]) -> DataFrame:
+    """A score per point. Mean squared distance to a cluster = |x - centre|^2 + the cluster's
+    variance, so per-cluster sums suffice; a pass over the points for each broadcast."""
+    rows = data.select("*", F.lit(None).cast("double").alias("a"), F.lit(float("inf")).alias("b"))
+    for part in _cluster_parts(stats, axes):
+        def nearest(frames, part=part):
+            labels, sizes, spreads, centres = part.value
+            code = {c: i for i, c in enumerate(labels)}
+            block = max(1, (1 << 20) // len(labels))
+            for frame in frames:
+                for start in range(0, len(frame), block):
+                    out = frame.iloc[start:start + block].copy()
+                    far = np.zeros((len(out), len(labels))) + spreads
+                    for i, x in enumerate(axes):
+                        far += np.subtract.outer(out[x].to_numpy(), centres[:, i]) ** 2
+                    own = out["c"].map(code).to_numpy(dtype=float)
+                    mine = np.flatnonzero(~np.isnan(own))
+                    at = own[mine].astype(int)
+                    a = out["a"].to_numpy(dtype=float).copy()
+                    a[mine] = far[mine, at] * sizes[at] / np.maximum(sizes[at] - 1, 1)
+                    far[mine, at] = np.inf
+                    yield out.assign(a=a, b=np.minimum(out["b"].to_numpy(), far.min(axis=1)))
+
+        rows = rows.mapInPandas(nearest, rows.schema)
+    return rows.join(stats.select("c", "n"), "c").select(_score(F.col("a"), F.col("b"), F.col("n")).alias("s"))
+
+
+def _euclidean(data: DataFrame, stats: DataFrame, axes: Sequence[str]) -> DataFrame:
+    """A score per point, from sums of distances between blocks of at most BLOCK points.
+
+    A block's mean distance to a cluster is at least that of its points to the centre,
+    and at most the root of that squared plus the variance. A cluster whose least
+    exceeds another one's most for the whole block is no candidate.
+    """
+    kind = dict(data.dtypes)["c"]
+    sizes = stats.select("c", "n", F.ceil(F.col("n") / BLOCK).cast("long").alias("parts"))
+    numbered = data.withColumn("id", F.monotonically_increasing_id()).join(sizes, "c")
+    blocks = materialize(numbered.groupBy("c", F.expr("pmod(id, parts)").alias("b")).agg(
+        F.collect_list(F.array(*axes)).alias("xs")), "silhouette-blocks")
+
+    def bounds(frame, part):
+        """(label, block, lower bounds, upper bounds) of each block against the clusters of a part."""
+        labels, _, spreads, centres = part
+        for c, b, xs in zip(frame["c"], frame["b"], frame["xs"], strict=True):
+            points = np.stack(xs)
+            middle = points.mean(axis=0)
+            radius = float(np.sqrt(((points - middle) ** 2).sum(axis=1).max()))
+            far = np.sqrt(((centres - middle) ** 2).sum(axis=1))
+            other = np.array([x != c for x in labels])
+            yield c, b, np.maximum(far - radius, 0), np.where(other, np.sqrt((far + radius) ** 2 + spreads), np.inf), other
+
+    parts = list(_cluster_parts(stats, axes))
+    limits = blocks.select("c", "b", "xs", F.lit(float("inf")).alias("most"))
+    for part in parts:
+        def least(frames, part=part):
+            for frame in frames:
+                top = [up.min() for _, _, _, up, _ in bounds(frame, part.value)]
+                yield frame.assign(most=np.minimum(frame["most"], top))
+        limits = limits.mapInPandas(least, limits.schema)
+    if len(parts) > 1:
+        limits = materialize(limits, "silhouette-limits")
+    found = []
+    for part in parts:
+        def near(frames, part=part):
+            labels = part.value[0]
+            for frame in frames:
+                rows = [(c, b, labels[i]) for (c, b, low, _, other), most in zip(bounds(frame, part.value), frame["most"])
+                        for i in np.flatnonzero((low <= most * (1 + 1e-9)) | ~other)]
+                yield pd.DataFrame(rows, columns=["c", "b", "other"])
+        found.append(limits.mapInPandas(near, f"c {kind}, b long, other {kind}"))
+    candidates = reduce(DataFrame.unionByName, found)
+    pairs = (candidates.join(sizes.select(F.col("c").alias("other"), "parts"), "other")
+             .withColumn("b2", F.explode(F.expr("sequence(0L, parts - 1)"))).drop("parts"))
+    right = blocks.select(F.col("c").alias("other"), F.col("b").alias("b2"), F.col("xs").alias("ys"))
+
+    def summed(frames):
+        for frame in frames:
+            rows = []
+            for xs, ys in zip(frame["xs"], frame["ys"], strict=True):
+                x, y = np.stack(xs), np.stack(ys)
+                far = np.zeros((len(x), len(y)))
+                for i in range(x.shape[1]):
+                    far += np.subtract.outer(x[:, i], y[:, i]) ** 2
+                rows.append(np.sqrt(far).sum(axis=1))
+            yield frame[["c", "b", "other"]].assign(sums=rows)
+
+    sums = (pairs.join(right, ["other", "b2"]).join(blocks, ["c", "b"])
+            .select("c", "b", "other", "xs", "ys").mapInPandas(summed, f"c {kind}, b long, other {kind}, sums array<double>")
+            .select("c", "b", "other", F.posexplode("sums").alias("at", "d"))
+            .groupBy("c", "b", "at", "other").agg(F.sum("d").alias("d")))
+    own = F.col("c") == F.col("other")
+    each = (sums.join(stats.select(F.col("c").alias("other"), "n"), "other").groupBy("c", "b", "at").agg(
+        F.max(F.when(own, F.col("d") / F.greatest(F.col("n") - 1, F.lit(1)))).alias("a"),
+        F.min(F.when(~own, F.col("d") / F.col("n"))).alias("b_mean"), F.max(F.when(own, F.col("n"))).alias("n_own")))
+    return each.select(_score(F.col("a"), F.col("b_mean"), F.col("n_own")).alias("s"))
 
 
 @dataclass

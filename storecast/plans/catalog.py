@@ -17,11 +17,12 @@ from pyspark.sql import types as T
 
 from ..config import EXTERNAL_FACTORS, FORECAST_FEATURES, MARKDOWNS, PROFILE_FEATURES
 from ..functions.scalar import parse_bool, parse_date
-from ..operators import anomaly, boosting, closed, explore, features, forecast, master, metrics, quality, rules
+from ..operators import anomaly, boosting, closed, explore, features, forecast, late, master, metrics, quality, rules
 from ..operators import seasonal, segment
 from ..schemas import BY_NAME
 from ..session import materialize, scratch_path
 from ..sources import sinks
+from ..sources.bundle import champion, load_bundle, save_bundle
 from ..sources.csv import read_csv, write_raw_csv
 from . import bridge, jobs
 from .features_plan import engineered_master
@@ -270,6 +271,19 @@ def _flag_columns(df):
                  Weekly_Sales=4, Sales_ZScore=4)
 
 
+def q_late_weeks(s, d):
+    """The last weeks and some scattered rows come late, over wrong values for some of them."""
+    sales = materialize(_kept(s, d), "late-sales")
+    coming = F.expr("Date >= DATE'1998-06-01' OR pmod(datediff(Date, DATE'1992-01-01') div 7 * 31 + Store * 7 + Dept, 19) = 0")
+    wrong = F.when(coming & (F.col("Dept") % 2 == 0), 1.0).otherwise(F.col("Weekly_Sales"))
+    before = sales.where(~coming | (F.col("Dept") % 2 == 0)).withColumn("Weekly_Sales", wrong)
+    rows, states = (materialize(t, "late-state") for t in late.start(before))
+    changed, replaced, now = (materialize(t, "late-new") for t in late.absorb(rows, states, sales.where(coming)))
+    out = late.flagged(late.replace_chunks(rows, changed, replaced), now)
+    return shown(out.select("Store", "Dept", "Date", "Weekly_Sales", "Sales_Lag_1", "Sales_ZScore", "Is_Anomaly"),
+                 Weekly_Sales=4, Sales_Lag_1=4, Sales_ZScore=4)
+
+
 def q_drilldown(s, d):
     return shown(anomaly.anomaly_drilldown(_flagged(s, d), entity=1, item=1),
                  Weekly_Sales=4, Sales_ZScore=4)
@@ -367,9 +381,12 @@ def q_attach(s, d):
 
 # ---- forecasting ---------------------------------------------------------
 
+def _train_input(s, d):
+    return materialize(segment.attach_clusters(_engineered(s, d, anomalies=False), _rule_segments(s, d)), "forecast-input")
+
+
 def _train(s, d, config: forecast.ForecastParams = SMALL_FORECAST):
-    df = materialize(segment.attach_clusters(_engineered(s, d, anomalies=False),
-                                             _rule_segments(s, d)), "forecast-input")
+    df = _train_input(s, d)
     return df, forecast.train_forecaster(df, config, split_date=SPLIT)
 
 
@@ -401,8 +418,7 @@ def q_importance(s, d):
 def q_boosting_state(s, d):
     """Ten rounds with validation on the end of the training period: the predictions carried
     from round to round against those of the saved trees."""
-    df = materialize(segment.attach_clusters(_engineered(s, d, anomalies=False), _rule_segments(s, d)), "forecast-input")
-    path = scratch_path(s, "boosting")
+    df, path = _train_input(s, d), scratch_path(s, "boosting")
     forecast.train_forecaster(df, dataclasses.replace(SMALL_FORECAST, early_stopping_rounds=9), split_date=SPLIT, state=path)
     return boosting.carried_difference(boosting.BoostState(s, path), SMALL_FORECAST.n_estimators, forecast._MODEL_VECTOR)
 
@@ -605,12 +621,39 @@ def q_score_consistency(s, d):
     path = scratch_path(s, "forecaster")
     result.model.save(path)
     again = forecast.score_forecasts(PipelineModel.load(path), master.split_by_date(df, SPLIT)[1], result.type_encoding)
+    return _mismatches(holdout, again)
+
+
+def q_guarded_promotion(s, d):
+    """A champion, a worse challenger, and what is scored then: the champion's holdout again."""
+    df, base, kept = _train_input(s, d), scratch_path(s, "job"), None
+    for n, run in ((4, "run-1"), (1, "run-2")):
+        result, holdout = forecast.train_forecaster(
+            df, dataclasses.replace(SMALL_FORECAST, n_estimators=n), split_date=SPLIT)
+        path = save_bundle(s, f"{base}/artifacts/models/{run}", result, segment.SegmentModel([], [], {}, {}, [], [], []),
+                           df.select("Store", "Cluster").distinct())
+        runs = sinks.append_run(s, f"{base}/artifacts/runs", run_id=run, stage="train", paths={"model_path": path}, metrics=result.metrics)
+        promoted = jobs.promote_if_better(s, base, run, path, runs)
+        kept = holdout if promoted else kept
+    bundle = load_bundle(s, champion(s, jobs.champion_log(base)))
+    again = forecast.score_forecasts(bundle.model, master.split_by_date(df, SPLIT)[1], bundle.type_encoding)
+    return _mismatches(kept, again).select("n", "n_mismatch", F.lit(promoted).alias("challenger_promoted"))
+
+
+def _mismatches(holdout: DataFrame, again: DataFrame) -> DataFrame:
     key = ["Store", "Dept", "Date"]
     both = holdout.select(*key, "predicted_weekly_sales").join(again.select(*key, "point_forecast"), key, "full")
     near = F.abs(F.col("point_forecast") - F.col("predicted_weekly_sales")) <= 1e-6
     return both.agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.coalesce(near, F.lit(False))).alias("n_mismatch"))
 
 
+def q_master_checks(s, d):
+    """The checks of the engineered master, from what its write observed."""
+    df, seen = quality.observe_nulls(_engineered(s, d))
+    written = materialize(df, "observed-master")
+    return shown(quality.validate_observed(written, seen).select("table_name", "check", "passed", "observed", "limit"), observed=8)
+
+
 def q_report(s, d):
     """An evaluation report, written as JSON and read back."""
     m = metrics.regression_metrics(_lagged(s, d), forecast="Sales_Lag_1").first().asDict()
@@ -696,6 +739,7 @@ QUERIES: dict[str, Query] = {
     "flag_anomalies": lambda s, d: _flag_columns(_flagged(s, d)),
     "anomaly_summary": lambda s, d: shown(anomaly.anomaly_summary(_flagged(s, d)),
                                           anomaly_rate=8, holiday_share_among_anomalies=8),
+    "late_weeks": q_late_weeks,
     "anomaly_drilldown": q_drilldown,
     "anomaly_triage": q_triage,
     "store_ranking": q_store_ranking("nation"),
@@ -750,6 +794,8 @@ QUERIES: dict[str, Query] = {
     "train_and_score": q_train_and_score,
     "run_all": q_run_all,
     "score_consistency": q_score_consistency,
+    "guarded_promotion": q_guarded_promotion,
+    "master_checks": q_master_checks,
     "report_round_trip": q_report,
     "saved_mapping": q_saved_mapping,
     "raise_if_failed": q_raise_if_failed,

@@ -13,12 +13,13 @@ from ..operators.anomaly import anomaly_summary
 from ..operators.explore import run_summary
 from ..operators.forecast import score_forecasts, train_forecaster
 from ..operators.master import build_master
-from ..operators.quality import raise_if_failed, validate_master, validate_raw_tables
+from ..operators.metrics import compare_runs
+from ..operators.quality import observe_nulls, raise_if_failed, validate_observed, validate_raw_tables
 from ..operators.rules import mine_association_rules
 from ..operators.seasonal import best_orders, densify, search_orders, weekly_totals
 from ..operators.segment import attach_clusters, cluster_summary, fit_segmentation
 from ..session import remove_path, scratch_path
-from ..sources.bundle import load_bundle, save_bundle
+from ..sources.bundle import champion, load_bundle, promote, save_bundle
 from ..sources.csv import load_raw_tables
 from ..sources.sinks import (append_run, new_run_id, write_forecasts, write_master, write_report,
                              write_rules, write_scores)
@@ -62,24 +63,27 @@ class TrainResult:
     profiles: DataFrame
     rules: DataFrame
     model_path: str
+    promoted: bool = False
     reports: dict[str, Any] = field(default_factory=dict)
 
 
 def train(tables: Tables, out_dir: str, config: Config = Config(), *, keys: Keys = Keys()
           ) -> TrainResult:
     """Gates, master table, segments, forecaster, seasonal baseline, rules, and
-    all their outputs below `out_dir`."""
+    all their outputs below `out_dir`. The raw tables are checked in one pass each,
+    the master table while it is written. The run's bundle becomes the champion if
+    its holdout error is below that of all runs before, or if there is none yet."""
     sales, stores, features = tables
     spark, run_id, base = sales.sparkSession, new_run_id(), out_dir.rstrip("/")
-    checks = raise_if_failed(validate(tables, config, keys=keys))
+    checks = raise_if_failed(validate(tables, config, keys=keys), also=["negative_share"])
 
-    staged = scratch_path(spark, "engineered")
-    engineered_master(sales, stores, features, config, keys=keys,
-                      unique=True).write.parquet(staged)
+    staged, required = scratch_path(spark, "engineered"), config.limits.required["master"]
+    master, seen = observe_nulls(engineered_master(sales, stores, features, config, keys=keys,
+                                                   gate=False, unique=True), required)
+    master.write.parquet(staged)
     engineered = spark.read.parquet(staged)
-    checks += raise_if_failed(validate_master(
-        engineered, required=config.limits.required["master"],
-        max_null_share=config.limits.max_null_share))
+    checks += raise_if_failed(validate_observed(engineered, seen, required=required,
+                                                max_null_share=config.limits.max_null_share))
 
     segments = fit_segmentation(engineered, config.segments, keys=keys)
     processed = write_master(attach_clusters(engineered, segments.profiles, keys=keys),
@@ -97,7 +101,7 @@ def train(tables: Tables, out_dir: str, config: Config = Config(), *, keys: Keys
     rules_path = write_rules(rules, f"{base}/outputs/association_rules_{run_id}")
     rules = spark.read.parquet(rules_path)
 
-    model_path = save_bundle(spark, f"{base}/artifacts/models/champion", forecast,
+    model_path = save_bundle(spark, f"{base}/artifacts/models/{run_id}", forecast,
                              segments.model, segments.profiles)
     summary = run_summary(master, rules=rules, keys=keys).first().asDict()
     reports = {
@@ -117,28 +121,48 @@ def train(tables: Tables, out_dir: str, config: Config = Config(), *, keys: Keys
         "checks": checks,
     }
     report_path = write_report(spark, reports, f"{base}/artifacts/reports/evaluation_{run_id}")
-    append_run(spark, f"{base}/artifacts/runs", run_id=run_id, stage="train",
-               paths={"processed_path": processed, "forecasts_path": forecasts_path,
-                      "model_path": model_path, "report_path": report_path},
-               metrics=forecast.metrics, reports=reports)
+    runs = append_run(spark, f"{base}/artifacts/runs", run_id=run_id, stage="train",
+                      paths={"processed_path": processed, "forecasts_path": forecasts_path,
+                             "model_path": model_path, "report_path": report_path},
+                      metrics=forecast.metrics, reports=reports)
+    promoted = promote_if_better(spark, base, run_id, model_path, runs)
     return TrainResult(run_id, master, spark.read.parquet(forecasts_path),
-                       segments.profiles, rules, model_path, reports)
+                       segments.profiles, rules, model_path, promoted, reports)
+
+
+def champion_log(out_dir: str) -> str:
+    return f"{out_dir.rstrip('/')}/artifacts/champions"
+
+
+def promote_if_better(spark: SparkSession, out_dir: str, run_id: str, model_path: str, runs: DataFrame, *,
+                      metric: str = "rmse") -> bool:
+    """Make the run's bundle the champion if its metric is below that of all runs before it, or
+    if there is no champion. A worse run's bundle stays on disk and scores nothing."""
+    log = champion_log(out_dir)
+    better = (compare_runs(runs.select("run_id", "created_at", metric), metric=metric)
+              .where(F.col("run_id") == run_id).first()["promote"])
+    if not better and champion(spark, log) is not None:
+        return False
+    promote(spark, log, run_id, model_path)
+    return True
 
 
 def score(tables: Tables, out_dir: str, config: Config = Config(), *,
           model_path: str | None = None, keys: Keys = Keys()) -> DataFrame:
-    """Score all rows with a saved bundle. Segments come from the saved profiles;
-    no anomaly flags are made."""
+    """Score all rows with a saved bundle, the champion by default. Segments come from the
+    saved profiles; no anomaly flags are made."""
     sales, stores, features = tables
     spark, run_id, base = sales.sparkSession, new_run_id(), out_dir.rstrip("/")
-    bundle = load_bundle(spark, model_path or f"{base}/artifacts/models/champion")
+    model_path = model_path or champion(spark, champion_log(base))
+    if model_path is None:
+        raise ValueError(f"no champion below {base}; train first or name a model")
+    bundle = load_bundle(spark, model_path)
     master = engineered_master(sales, stores, features, config, keys=keys, anomalies=False)
     scored = score_forecasts(bundle.model, attach_clusters(master, bundle.profiles, keys=keys),
                              bundle.type_encoding)
     path = write_scores(scored, f"{base}/outputs/batch_scores_{run_id}")
     append_run(spark, f"{base}/artifacts/runs", run_id=run_id, stage="score",
-               paths={"forecasts_path": path, "model_path": model_path or
-                      f"{base}/artifacts/models/champion"})
+               paths={"forecasts_path": path, "model_path": model_path})
     return spark.read.parquet(path)
 
 

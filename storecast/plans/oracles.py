@@ -6,6 +6,8 @@ table expressions it needs, since only the raw tables are views there.
 
 from __future__ import annotations
 
+from ..config import MASTER_REQUIRED
+
 _FRIDAY = "CAST(date_trunc('week', l.l_shipdate) AS DATE) + 4"
 _HOLIDAY = f"weekofyear({_FRIDAY}) IN (6, 36, 47, 52)"
 _MD = [f"MarkDown{i}" for i in range(1, 6)]
@@ -639,6 +641,8 @@ UNION ALL SELECT 'forecasts', count(*) FROM kept WHERE Date >= DATE '2000-01-01'
 UNION ALL SELECT 'profiles', count(DISTINCT Store) FROM kept""", "kept"),
     "score_consistency": _with("SELECT count(*) AS n, CAST(0 AS BIGINT) AS n_mismatch FROM kept "
                                "WHERE Date >= DATE '2000-01-01'", "kept"),
+    "late_weeks": _with(f"SELECT {_KEY}, {_WS}, round(Sales_Lag_1, 4) AS Sales_Lag_1, "
+                        "round(Sales_ZScore, 4) AS Sales_ZScore, Is_Anomaly FROM flagged", "flagged"),
     "boosting_state": _with("""
 SELECT count(*) AS n_rows, count(*) FILTER (WHERE Date < hi - CAST(greatest(floor((hi - lo) * 0.1) - 1, 0) AS INT)) AS n_train,
        10 AS n_rounds, CAST(0 AS BIGINT) AS n_apart
@@ -656,6 +660,13 @@ WHERE Date < DATE '2000-01-01' AND Weekly_Sales IS NOT NULL""", "kept"),
   FROM shut w, unnest(w.items) AS u(c) JOIN every_set a ON a.items = list_filter(w.items, lambda y: y <> u.c)
   JOIN f1 c ON c.last = u.c WHERE w.size >= 2)
 WHERE confidence >= 0.1 AND lift >= 1.0"""),
+    "guarded_promotion": _with("SELECT count(*) AS n, CAST(0 AS BIGINT) AS n_mismatch, false AS challenger_promoted "
+                               "FROM kept WHERE Date >= DATE '2000-01-01'", "kept"),
+    "master_checks": _with("SELECT 'master' AS table_name, 'schema' AS \"check\", true AS passed, CAST(0 AS DOUBLE) AS observed, "
+                           "CAST(0 AS DOUBLE) AS \"limit\" UNION ALL " + " UNION ALL ".join(
+                               f"SELECT 'master', 'null_share:{c}', share <= 0.05, round(share, 8), CAST(0.05 AS DOUBLE) FROM "
+                               f"(SELECT CAST(count(*) - count({c}) AS DOUBLE) / count(*) AS share FROM engineered)"
+                               for c in MASTER_REQUIRED), "engineered"),
     "report_round_trip": _with(f"SELECT {_metric_columns('Weekly_Sales', 'Sales_Lag_1')}, "
                                "CAST(1 AS INT) AS n_checks FROM lagged", "lagged"),
     "saved_mapping": _with("SELECT s.Store, s.Dept, CAST(s.Date AS VARCHAR) AS Date, st.Type, "

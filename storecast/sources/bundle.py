@@ -1,8 +1,14 @@
 """The model bundle: forecaster, segmentation, profiles and lookups, saved with
-Spark's own persistence."""
+Spark's own persistence, and the log that says which bundle is the champion.
+
+Every run saves a bundle of its own. A bundle counts once its path is appended to
+the log, in one commit of a small table: a run that dies while it saves leaves the
+old champion as it was.
+"""
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 from dataclasses import dataclass
 
@@ -11,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.forecast import ForecastResult
 from ..operators.segment import SegmentModel
+from ..session import path_exists
 
 
 @dataclass
@@ -46,3 +53,22 @@ def load_bundle(spark: SparkSession, path: str) -> Bundle:
         type_encoding=meta["type_encoding"], train_end_date=meta["train_end_date"],
         segmentation=SegmentModel.from_json(json.dumps(meta["segmentation"])),
         profiles=spark.read.parquet(f"{path}/profiles"))
+
+
+CHAMPION_SCHEMA = "run_id string, model_path string, promoted_at timestamp"
+
+
+def promote(spark: SparkSession, log: str, run_id: str, model_path: str) -> None:
+    """Make a saved bundle the champion."""
+    if not path_exists(spark, f"{model_path}/meta/_SUCCESS"):
+        raise ValueError(f"no whole bundle at {model_path}")
+    row = (run_id, model_path, dt.datetime.now(dt.timezone.utc))
+    spark.createDataFrame([row], CHAMPION_SCHEMA).coalesce(1).write.mode("append").parquet(log)
+
+
+def champion(spark: SparkSession, log: str) -> str | None:
+    """Path of the bundle that was promoted last; None before the first."""
+    if not path_exists(spark, log):
+        return None
+    last = spark.read.schema(CHAMPION_SCHEMA).parquet(log).selectExpr("max_by(model_path, struct(promoted_at, run_id))")
+    return last.first()[0]

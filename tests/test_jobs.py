@@ -16,7 +16,7 @@ from storecast.operators import forecast, metrics, quality, rules, segment
 from storecast.plans import jobs
 from storecast.plans.features_plan import engineered_master
 from storecast.sources import sinks
-from storecast.sources.bundle import load_bundle
+from storecast.sources.bundle import champion, load_bundle, promote, save_bundle
 from storecast.sources.csv import write_raw_csv
 
 CONFIG = Config(
@@ -134,10 +134,40 @@ def test_run_all(spark, tables, tmp_path):
     assert bundle.type_encoding == {"A": 0, "B": 1, "C": 2}
     assert bundle.profiles.count() == 6
     assert trained.profiles.count() == 6 and trained.master.where("Is_Anomaly IS NULL").count() == 0
-    # A second training run replaces the champion and adds a row.
+    # A second training run adds a row and a bundle; no better, it leaves the champion.
+    assert trained.promoted
     tables2 = jobs.load_staged(spark, data, f"{tmp_path}/staged", CONFIG)
-    jobs.train(tables2, out, CONFIG)
+    second = jobs.train(tables2, out, dataclasses.replace(CONFIG, forecast=dataclasses.replace(
+        CONFIG.forecast, n_estimators=1)))
     assert spark.read.parquet(f"{out}/artifacts/runs").count() == 3
+    assert not second.promoted and second.model_path != trained.model_path
+    assert champion(spark, jobs.champion_log(out)) == trained.model_path
+
+
+def test_a_save_that_dies_keeps_the_champion(spark, master, tmp_path, monkeypatch):
+    result, _ = forecast.train_forecaster(
+        master, forecast.ForecastParams(n_estimators=1, max_depth=2, early_stopping_rounds=0), split_date=CONFIG.split_date)
+    plain, profiles = segment.SegmentModel([], [], {}, {}, [], [], []), master.select("Store").distinct()
+    log = f"{tmp_path}/champions"
+    assert champion(spark, log) is None
+    first = save_bundle(spark, f"{tmp_path}/models/a", result, plain, profiles)
+    promote(spark, log, "a", first)
+
+    def dies(_):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(segment.SegmentModel, "to_json", dies)  # after forecaster and profiles are written
+    with pytest.raises(RuntimeError, match="lost"):
+        save_bundle(spark, f"{tmp_path}/models/b", result, plain, profiles)
+    monkeypatch.undo()
+    with pytest.raises(ValueError, match="no whole bundle"):
+        promote(spark, log, "b", f"{tmp_path}/models/b")
+    assert champion(spark, log) == first and load_bundle(spark, champion(spark, log)).feature_columns
+    second = save_bundle(spark, f"{tmp_path}/models/b", result, plain, profiles)
+    promote(spark, log, "b", second)
+    assert champion(spark, log) == second
+    with pytest.raises(ValueError, match="train first"):
+        jobs.score((master, master, master), f"{tmp_path}/empty")
 
 
 def test_validate_job_stops_a_bad_run(spark, tables, tmp_path):
