@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import alignment, bitslices, decontaminate, jaccard, language, lm, packing, pii, secrets, shards, suffixes, toxicity, trie
 from .tables import read
@@ -39,7 +40,10 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffixes.remove_repeats(read(spark, sf_dir, "documents"))
+    out = suffixes.remove_repeats(read(spark, sf_dir, "documents"), with_text=True)
+    # A removed run may end within a character; what is left of that becomes U+FFFD.
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256",
+                      F.make_valid_utf8(F.col("kept").cast("string")).alias("text"))
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
