@@ -131,7 +131,8 @@ def boost(rows: DataFrame, path: str, params: BoostParams = BoostParams(), *, fe
         return bool(params.patience) and None not in errors and first_stall(errors, params.patience)[1]
 
     while done < params.rounds and not stalled():
-        start, names = state.rows(done), []
+        # Kept in memory for the passes of the block; what is lost is read again from the table.
+        start, names = state.rows(done).persist(), []
         block = min(params.block, params.rounds - done)
         fresh: list[DecisionTreeRegressionModel] = []
         for k in range(block):
@@ -143,6 +144,7 @@ def boost(rows: DataFrame, path: str, params: BoostParams = BoostParams(), *, fe
             grown, names = grown.withColumn(f"__p{k}", step), [*names, f"__p{k}"]
         trees += fresh
         _finish(state, done + block, trees, params, features, prediction, grown, known, names)
+        start.unpersist()
         remove_path(spark, f"{state.folder(done)}/rows")
         done += block
         known = [tuple(r) for r in state.rounds(done).orderBy("round").collect()]
