@@ -1,9 +1,9 @@
 """Association rules over baskets.
 
 Itemsets of any size come from Spark's FP-growth. Where the caller limits the
-size, as for dense baskets, itemsets grow by one item a level, and only the
-frequent ones grow on. Both give the same itemsets, and in both they stay
-distributed.
+size, as for dense baskets, tasks walk over basket bitmaps; baskets too many for
+that grow their itemsets by one item a level, and only the frequent ones grow on. All
+give the same itemsets, and in all they stay distributed.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..config import Keys
 from ..session import materialize, remove_path, scratch_path
-
+from . import itemwalk
 
 ITEMSET_SCHEMA = "items array<string>, size int, n bigint, support double"
 RULE_SCHEMA = ("antecedents array<string>, consequents array<string>, support double, "
@@ -95,10 +95,11 @@ def frequent_itemsets(sales: DataFrame, *, min_support: float = 0.011,
     at most `max_len` items where that is given.
 
     `engine` decides how, never what: 'fpgrowth' finds all sizes and then keeps the
-    asked ones; 'levels' ends its work at `max_len`, for dense baskets whose larger
-    itemsets nobody asks for; 'auto' takes levels where a `max_len` is given.
+    asked ones; 'bitmaps' and 'levels' end their work at `max_len`, for dense baskets whose
+    larger itemsets nobody asks for; 'auto' takes bitmaps where a `max_len` is given, or
+    levels where the bitmaps would be too large to broadcast.
     """
-    if engine not in ("auto", "levels", "fpgrowth"):
+    if engine not in ("auto", "bitmaps", "levels", "fpgrowth"):
         raise ValueError(f"unknown engine {engine!r}")
     rows = _present_rows(sales, basket_keys, item)
     distinct = rows.distinct().persist()
@@ -107,6 +108,10 @@ def frequent_itemsets(sales: DataFrame, *, min_support: float = 0.011,
         if n_baskets == 0:
             return sales.sparkSession.createDataFrame([], ITEMSET_SCHEMA)
         least = _least_count(min_support, n_baskets)
+        if engine == "bitmaps" or (engine == "auto" and max_len is not None):
+            weighted = weighted_baskets(distinct, least, basket_keys, item)
+            if engine == "bitmaps" or itemwalk.fits(weighted):
+                return itemwalk.walked(weighted, least, n_baskets, closed=False, most=max_len)
         if engine == "levels" or (engine == "auto" and max_len is not None):
             return _levels(distinct, least, max_len, basket_keys, item, n_baskets)
         return _fpgrowth(distinct, least, max_len, basket_keys, item, n_baskets)
@@ -114,6 +119,14 @@ def frequent_itemsets(sales: DataFrame, *, min_support: float = 0.011,
         distinct.unpersist()
 
 
+def weighted_baskets(distinct: DataFrame, least: int, basket_keys: Sequence[str], item: str) -> DataFrame:
+    """(items, w): the distinct baskets of frequent items and how often each occurs."""
+    usual = distinct.groupBy(item).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
+    kept = distinct.join(usual.select(item), item, "left_semi")
+    return materialize(dept_baskets(kept, basket_keys=basket_keys, item=item)
+                       .groupBy("items").agg(F.count(F.lit(1)).alias("w")), "distinct-baskets")
+
+
 def _levels(distinct: DataFrame, least: int, max_len: int | None, basket_keys: Sequence[str],
             item: str, n_baskets: int) -> DataFrame:
     """Level by level: a row per frequent itemset and basket that holds it, with the

@@ -315,7 +315,7 @@ def random_baskets(seed=2, n=120, items=9):
     return [sorted(set(rng.integers(1, items + 1, size=rng.integers(1, 6)).tolist())) for _ in range(n)]
 
 
-@pytest.mark.parametrize("engine", ["levels", "fpgrowth"])
+@pytest.mark.parametrize("engine", ["bitmaps", "levels", "fpgrowth"])
 @pytest.mark.parametrize("max_len", [None, 2])
 def test_itemsets_against_brute_force(spark, engine, max_len):
     baskets = random_baskets()
@@ -347,7 +347,7 @@ def test_more_than_sixty_two_items(spark):
     assert got.count() == 210 and got.where("size = 2").count() == 70
 
 
-@pytest.mark.parametrize("engine", ["levels", "fpgrowth"])
+@pytest.mark.parametrize("engine", ["bitmaps", "levels", "fpgrowth"])
 def test_itemset_on_the_threshold(spark, engine):
     baskets = [[1]] * 7 + [[2]] * 93
     got = rules.frequent_itemsets(basket_sales(spark, baskets), min_support=0.07,

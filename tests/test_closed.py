@@ -7,7 +7,7 @@ import random
 
 import pytest
 
-from storecast.operators import closed, rules
+from storecast.operators import closed, itemwalk, rules
 
 SCHEMA = "Store int, Date int, Dept int"
 
@@ -43,7 +43,7 @@ def dense(seed, n_items, n):
 @pytest.mark.parametrize("baskets,share", [(dense(1, 8, 30), 0.1), (dense(2, 6, 7), 0.011), ([[1, 2, 3]] * 4, 0.5),
                                            ([[1], [2], [3]], 0.9), ([[7]], 1.0)])
 def test_closed_itemsets(spark, baskets, share, engine, monkeypatch):
-    monkeypatch.setattr(closed, "BUDGET", 5)  # several rounds
+    monkeypatch.setattr(itemwalk, "BUDGET", 5)  # several rounds
     got = closed.closed_itemsets(frame(spark, baskets), min_support=share, engine=engine).collect()
     _, shut, n = plain(baskets, share)
     assert {tuple(r["items"]): r["n"] for r in got} == shut and len(got) == len(shut)
@@ -68,6 +68,16 @@ def test_all_counts_and_rules_follow(spark):
     assert {(tuple(r[0]), tuple(r[1])): pytest.approx(tuple(r[2:])) for r in rows} == want and want
 
 
+@pytest.mark.parametrize("most", [1, 3, None])
+def test_walked_itemsets_are_all_frequent_ones(spark, most, monkeypatch):
+    monkeypatch.setattr(itemwalk, "BUDGET", 7)
+    baskets = dense(5, 7, 20)
+    counts, _, _ = plain(baskets, 0.2)
+    got = rules.frequent_itemsets(frame(spark, baskets), min_support=0.2, max_len=most, engine="bitmaps").collect()
+    assert {tuple(r["items"]): r["n"] for r in got} == {s: n for s, n in counts.items() if most is None or len(s) <= most}
+    assert len(got) == len({tuple(r["items"]) for r in got})
+
+
 def test_no_baskets(spark):
     assert closed.closed_itemsets(frame(spark, [[1]]).limit(0)).count() == 0
     with pytest.raises(ValueError, match="engine"):
