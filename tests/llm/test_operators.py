@@ -47,7 +47,7 @@ def test_base_spans_on_random_texts():
 def test_long_runs_stay_linear():
     for text in ("a" * 300_000, "1" * 300_000, "1." * 150_000, "+1 " * 100_000, "a@" * 100_000):
         pii.base_spans(text)
-        pii.candidate_spans(text)
+        list(pii.candidate_spans(text))
 
 
 def test_pii_digest(docs, corpus, empty):
@@ -69,25 +69,70 @@ def test_redaction_keeps_columns(docs):
 
 
 def test_judge_adds_likely_spans(spark):
-    """Numbers written like the base phones, but without the plus, in a phone's context."""
+    """The base form takes the address behind a phone into one run of too many digits, and
+    drops it; the judge knows such a phone by its format. Other numbers stay."""
     rng = random.Random(2)
-    def phone(plus):
-        return f"call {plus}{rng.randint(1, 9)} ({rng.randint(200, 999)}) {rng.randint(200, 999)}-{rng.randint(1000, 9999)} now"
-    rows = [(i, phone("+")) for i in range(600)] + [(1000 + i, f"item {rng.randint(10**7, 10**9)} sold") for i in range(600)]
-    rows += [(5000 + i, phone("")) for i in range(10)]
+    def phone():
+        return f"+{rng.randint(1, 9)} ({rng.randint(200, 999)}) {rng.randint(200, 999)}-{rng.randint(1000, 9999)}"
+    def address():
+        return ".".join(str(rng.randint(1, 255)) for _ in range(4))
+    rows = [(i, f"reach {phone()} now or {address()}") for i in range(400)] + [(1000 + i, f"item {rng.randint(10**7, 10**9)} sold") for i in range(400)]
+    hidden = {5000 + i: (phone(), address()) for i in range(20)}
+    rows += [(i, f"reach {a} {b} now") for i, (a, b) in hidden.items()]
     got = {r.doc_id: r for r in pii.pii_digest(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert all(got[i].n_phone == 1 for i in range(600)) and all(got[1000 + i].spans == "" for i in range(600))
-    assert all(got[5000 + i].n_phone == 0 for i in range(10))
+    assert all(got[i].n_phone == 1 and got[1000 + i].spans == "" for i in range(400))
+    for i, (a, b) in hidden.items():
+        assert got[i].n_phone == 0 and got[i].n_ip == 1
+        assert got[i].spans == f"ip:{7 + len(a)}:{7 + len(a) + len(b)},phone:6:{6 + len(a)}"
 
 
-# 2 language-model scores
+def test_thresholds_equal_a_plain_search():
+    """Every p as a limit, counted anew."""
+    rng = np.random.default_rng(4)
+    for n in (1, 5, 60, 400):
+        for clear in (False, True):
+            label = rng.choice([pii.YES, pii.NO, pii.OPEN], n, p=[0.6, 0.2, 0.2])
+            p = np.round(np.clip((label == pii.YES) * (0.8 if clear else 0.5) + rng.random(n) * (0.15 if clear else 0.5), 0, 1), 2)
+            calibrated = p ** 2
+            best = 2.0
+            if (label == pii.YES).any():
+                real = np.minimum(1, calibrated / calibrated[label == pii.YES].mean())
+                for limit in sorted(set(p)):
+                    taken = p >= limit
+                    hits = sum(r if y == pii.OPEN else y == pii.YES for r, y in zip(real[taken], label[taken], strict=True))
+                    if real[p == limit][0] >= 0.5 and pii.lower_bound(hits, taken.sum()) >= 0.9:
+                        best = (limit + max(p[p < limit], default=0.0)) / 2
+                        break
+            assert pii.threshold(p, calibrated, label, 0.9) == pytest.approx(best)
+
+
+def test_copies_do_not_fill_the_sample(spark):
+    """A text that is there 500 times is learned from once; the others all are."""
+    rng = random.Random(8)
+    texts = [f"reach +1 ({rng.randint(200, 999)}) 555-{rng.randint(1000, 9999)} or 10.{i % 250}.{rng.randint(1, 250)}.7 for {rng.randint(10**7, 10**8)}" for i in range(200)]
+    few = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    many = spark.createDataFrame(list(enumerate(texts + texts[:1] * 500)), "doc_id long, text string")
+    one, two = (pii.fit_judge(pii.find(t).where("base is null")) for t in (few, many))
+    assert one.thresholds == two.thresholds and one.thresholds[pii.IP] <= 1
+
+
+def test_a_long_text_of_numbers_leaves_in_batches(spark):
+    """A megabyte of numbers in one text: at most eleven proposals a start, none held as a
+    whole; one-digit numbers give none."""
+    assert list(pii.candidate_spans("1 " * 500_000)) == []
+    text = "12 3456 789 " * 85_000
+    found = pii.find(spark.createDataFrame([(1, text), (2, None), (3, "")], "doc_id long, text string"))
+    rows = found.selectExpr("base is not null as whole", "start").groupBy("whole").agg({"*": "count", "start": "max"}).collect()
+    got = {r["whole"]: (r["count(1)"], r["max(start)"]) for r in rows}
+    assert got[True][0] == 3 and 255_000 < got[False][0] <= 255_000 * 11 and got[False][1] > 1_000_000
+
 
 def test_numbers_within_a_run_are_proposed():
     for text, kind, spans in (("call 555-123-4567, 555-987-6543, 555-222-1111", pii.PHONE, ["555-123-4567", "555-987-6543", "555-222-1111"]),
                               ("2023-05-01 020 7946 0958", pii.PHONE, ["020 7946 0958"]), ("on 3 (319) 555-5132", pii.PHONE, ["(319) 555-5132"]),
-                              ("10.0.0.1:8080", pii.IP, ["10.0.0.1"]), ("12 4111 1111 1111 1111 9999", pii.CARD, ["4111 1111 1111 1111"])):
+                              ("10.0.0.1:8080", pii.IP, ["10.0.0.1"]), ("12 4111 1111 1111 1111 9999", pii.CARD, ["4111 1111 1111 1111"]),
+                              ("+33 6 12 34 56 78 9", pii.PHONE, ["+33 6 12 34 56 78"])):
         assert set(spans) <= {text[a:b] for k, a, b in pii.candidate_spans(text) if k == kind}
-    assert len(pii.candidate_spans("1 " * 20_000)) < 20_000 * 40
 
 
 def test_judge_keeps_a_rare_kind_open(spark):
@@ -109,6 +154,8 @@ def test_judge_is_free_of_partitioning(spark):
     assert one == many
 
 
+# 2 language-model scores
+
 def test_lm_scores(docs, corpus, empty):
     got = keyed((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 4)) for r in lm.score_documents(docs).collect())
     def tokens(t):
