@@ -102,9 +102,11 @@ class Filter:
 
 
 def _emit_counts(blocks: int, chunk_tokens: int):
-    """For each block of n-gram keys and chunk of documents: how often each token is
+    """For each block of n-gram keys and chunk of documents: how often each word is
     in each document, and how often each bigram is in the training documents. The
-    row of block 0 also names the chunk's documents."""
+    upper bit of a posting's document marks the training ones; `starts` counts those.
+    The end token, which every document has once, takes no posting. The row of block
+    0 also names the chunk's documents."""
     def emit(batches):
         from pyspark import TaskContext
         held, size, chunk = [], 0, TaskContext.get().partitionId() << 32
@@ -121,8 +123,10 @@ def _emit_counts(blocks: int, chunk_tokens: int):
             taught = learn[doc]
             pair = bigram_key(np.concatenate([h[5] for h in held])[taught], token[taught])
             held.clear()
-            name, at = np.unique(unigram_key(token), return_inverse=True)
-            del token, taught
+            word = token != _END
+            name, at = np.unique(unigram_key(token[word]), return_inverse=True)
+            doc = doc[word]
+            del token, taught, word
             pair, pairs = np.unique(pair, return_counts=True)
 
             def by_block(key):
@@ -139,6 +143,8 @@ def _emit_counts(blocks: int, chunk_tokens: int):
             first, n = runs(post)
             post = post[first]
             at, doc_of = (post >> np.uint64(32)).astype(np.int64), post.astype(np.uint32)
+            doc_of |= learn[doc_of].astype(np.uint32) << np.uint32(31)
+            starts = int(learn.sum())
             name, post_cut = name[order], np.searchsorted(at, cut)
             order, pair_cut = by_block(pair)
             pair, pairs = pair[order], pairs[order]
@@ -147,7 +153,7 @@ def _emit_counts(blocks: int, chunk_tokens: int):
                 yield pa.RecordBatch.from_pydict({
                     "block": pa.array([b], pa.int32()), "chunk": pa.array([chunk], pa.int64()),
                     "doc_id": pa.array([None if b else doc_id.tobytes() + empty.tobytes()], pa.binary()), "fp": pa.array([None if b else fp.tobytes()], pa.binary()),
-                    "learn": pa.array([learn.tobytes()]), "name": pa.array([name[own].tobytes()]),
+                    "starts": pa.array([starts], pa.int64()), "name": pa.array([name[own].tobytes()]),
                     "post_name": pa.array([(at[posts] - cut[b]).astype(np.uint32).tobytes()]), "post_doc": pa.array([doc_of[posts].tobytes()]),
                     "post_n": pa.array([n[posts].astype(np.uint32).tobytes()]), "pair": pa.array([pair[two].tobytes()]),
                     "pairs": pa.array([pairs[two].astype(np.uint32).tobytes()])})
@@ -167,48 +173,50 @@ def _emit_counts(blocks: int, chunk_tokens: int):
     return emit
 
 
-COUNTS = ("block int, chunk long, doc_id binary, fp binary, learn binary, name binary, post_name binary, post_doc binary, "
+COUNTS = ("block int, chunk long, doc_id binary, fp binary, starts long, name binary, post_name binary, post_doc binary, "
           "post_n binary, pair binary, pairs binary")
-BLOCK = "block int, chunk long, doc_id binary, fp binary, part binary, known binary, bits binary, n long, v long"
+BLOCK = "block int, chunk long, doc_id binary, fp binary, doc binary, part binary, known binary, bits binary, n long, v long, ends long"
 
 
 def _close_block(bits: int, blocks: int):
-    """Of one block: for each chunk its documents' parts of the base score, and once
-    its filter bitmap and token totals."""
+    """Of one block: for each chunk the parts of the base score of the documents that
+    hold a word of the block, and once its filter bitmap and token totals."""
     def close(frame: pd.DataFrame) -> pd.DataFrame:
         block = int(frame["block"].iloc[0])
         names = [np.frombuffer(x, np.uint64) for x in frame["name"]]
         every, at = np.unique(np.concatenate(names), return_inverse=True)
         cut = np.cumsum([0] + [len(x) for x in names])
-        count, starts, out = np.zeros(len(every)), 0, []
+        count, starts, out = np.zeros(len(every)), int(frame["starts"].sum()), []
 
         def postings(k):
             row = frame.iloc[k]
             name, doc, n = (np.frombuffer(row[c], np.uint32) for c in ("post_name", "post_doc", "post_n"))
-            return at[cut[k]:cut[k + 1]][name], doc, n, np.frombuffer(row["learn"], bool)
+            return at[cut[k]:cut[k + 1]][name], doc & np.uint32(0x7FFFFFFF), n, doc >> np.uint32(31) == 1
 
         for k in range(len(frame)):
-            place, doc, n, learn = postings(k)
-            taught = learn[doc]
+            place, _, n, taught = postings(k)
             count += np.bincount(place[taught], n[taught], len(every))
-            starts += int(learn.sum())
         worth, seen = np.log10(count + 1), count > 0
         for k in range(len(frame)):
-            place, doc, n, learn = postings(k)
+            place, doc, n, _ = postings(k)
+            held, where = np.unique(doc, return_inverse=True)
             out.append({"block": block, "chunk": frame["chunk"].iloc[k], "doc_id": frame["doc_id"].iloc[k], "fp": frame["fp"].iloc[k],
-                        "part": np.bincount(doc, n * worth[place], len(learn)).tobytes(),
-                        "known": np.bincount(doc, n * seen[place], len(learn)).astype(np.int64).tobytes()})
+                        "doc": held.tobytes(), "part": np.bincount(where, n * worth[place], len(held)).tobytes(),
+                        "known": np.bincount(where, n * seen[place], len(held)).astype(np.int64).tobytes()})
         pair, where = np.unique(np.concatenate([np.frombuffer(x, np.uint64) for x in frame["pair"]]), return_inverse=True)
         pairs = np.bincount(where, np.concatenate([np.frombuffer(x, np.uint32) for x in frame["pairs"]]), len(pair))
         key, n = np.concatenate((every[seen], pair)), np.concatenate((count[seen], pairs))
-        start = unigram_key(np.array([_START]))
-        if block_of(start, blocks)[0] == block and starts:
-            key, n = np.append(key, start), np.append(n, starts)
-        out.append({"block": block, "bits": filter_block(key, n, bits).tobytes(), "n": int(count.sum()), "v": int(seen.sum())})
-        res = pd.DataFrame(out, columns=["block", "chunk", "doc_id", "fp", "part", "known", "bits", "n", "v"])
-        binary = ["doc_id", "fp", "part", "known", "bits"]
+        tokens, distinct = int(count.sum()), int(seen.sum())
+        for border in unigram_key(np.array([_START, _END])):  # one of each in every training document
+            if starts and block_of(border, blocks) == block:
+                key, n = np.append(key, border), np.append(n, starts)
+        if starts and block == 0:
+            tokens, distinct = tokens + starts, distinct + 1
+        out.append({"block": block, "bits": filter_block(key, n, bits).tobytes(), "n": tokens, "v": distinct, "ends": starts})
+        res = pd.DataFrame(out, columns=["block", "chunk", "doc_id", "fp", "doc", "part", "known", "bits", "n", "v", "ends"])
+        binary = ["doc_id", "fp", "doc", "part", "known", "bits"]
         res[binary] = res[binary].astype(object).where(res[binary].notna(), None)
-        return res.astype({"chunk": "Int64", "n": "Int64", "v": "Int64"})
+        return res.astype({c: "Int64" for c in ("chunk", "n", "v", "ends")})
     return close
 
 
@@ -217,11 +225,13 @@ def _close_chunk(frame: pd.DataFrame) -> pd.DataFrame:
     head = frame[frame["fp"].notna()].iloc[0]
     fp = np.frombuffer(head["fp"], np.int64)
     ids, empty = np.frombuffer(head["doc_id"], np.int64, len(fp)), np.frombuffer(head["doc_id"], bool, offset=8 * len(fp))
+    doc = np.concatenate([np.frombuffer(x, np.uint32) for x in frame["doc"]])
+    part, known = (np.concatenate([np.frombuffer(x, t) for x in frame[c]]) for c, t in (("part", np.float64), ("known", np.int64)))
     return pd.DataFrame({
         "doc_id": pd.array(np.where(empty, 0, ids), "Int64").copy() if not empty.any() else pd.array([None if e else i for i, e in zip(ids, empty, strict=True)], "Int64"),
         "fp": fp,
-        "part": np.sum([np.frombuffer(x, np.float64) for x in frame["part"]], axis=0),
-        "known": np.sum([np.frombuffer(x, np.int64) for x in frame["known"]], axis=0)})
+        "part": np.bincount(doc, part, len(fp)),
+        "known": np.bincount(doc, known, len(fp)).astype(np.int64)})
 
 
 def score_documents(docs: DataFrame, held_mod: int = 7, held: int = 2, bits: int = 10, prior: float = 60.0,
@@ -236,12 +246,15 @@ def score_documents(docs: DataFrame, held_mod: int = 7, held: int = 2, bits: int
     ratio held to 1.
 
     All counts are taken in blocks of n-gram keys, their number in proportion to
-    the text (`block_bytes` of text each), so no task grows with the corpus. The
-    base score is summed from exact counts in the same blocks. The filter has
+    the text (`block_bytes` of text each). A block gives parts of the base score, from
+    exact counts, only for the documents that hold one of its words, so all parts
+    together grow with the text; the block of a very common word holds a posting for
+    each document with it. The filter has
     `bits` bits for each entry; it is broadcast in parts of at most
     `broadcast_bytes`, with a pass over the documents for each, so what a worker
     holds is bounded at any size.
 
+    Very long texts: whole; a task holds `chunk_tokens` tokens and the longest text.
     Null text: as empty, one end token. Null doc_id: kept, trains by the crc32 of
     an empty text. Repeated rows: each trains and each has its row. Empty table:
     no rows. Other columns are not read. doc_id must be an integer.
@@ -252,8 +265,8 @@ def score_documents(docs: DataFrame, held_mod: int = 7, held: int = 2, bits: int
     blocks = max(12, math.ceil(text_bytes(base) / block_bytes))
     table = staged(base.mapInArrow(_emit_counts(blocks, chunk_tokens), COUNTS).groupBy("block")
                    .applyInPandas(_close_block(bits, blocks), BLOCK), "lm-blocks")
-    total = table.agg(F.sum("n"), F.sum("v")).first()
-    n_all, v_all = int(total[0] or 0), int(total[1] or 0)
+    total = table.agg(F.sum("n"), F.sum("v"), F.max("ends")).first()
+    n_all, v_all, ends = (int(x or 0) for x in total)
 
     sizes = table.where("bits is not null").select("block", F.length("bits").alias("size")).orderBy("block").collect()
     parts: list[list] = [[]]
@@ -270,10 +283,11 @@ def score_documents(docs: DataFrame, held_mod: int = 7, held: int = 2, bits: int
         if k < len(parts) - 1:
             now = staged(now, "lm-levels")
     rows = now.withColumn("rows", F.lit(1)).withColumn("part", F.lit(0.0)).withColumn("known", F.lit(0).cast("long"))
-    sums = table.where("chunk is not null").select("chunk", "doc_id", "fp", "part", "known").groupBy("chunk").applyInPandas(
+    sums = table.where("chunk is not null").select("chunk", "doc_id", "fp", "doc", "part", "known").groupBy("chunk").applyInPandas(
         _close_chunk, "doc_id long, fp long, part double, known long")
     parts_of = sums.select(
-        "doc_id", "fp", F.lit(0).cast("long").alias("n_tokens"), F.lit(0.0).alias("score"), F.lit(0).alias("rows"), "part", "known")
+        "doc_id", "fp", F.lit(0).cast("long").alias("n_tokens"), F.lit(0.0).alias("score"), F.lit(0).alias("rows"),
+        (F.col("part") + math.log10(ends + 1)).alias("part"), (F.col("known") + int(ends > 0)).alias("known"))  # with the end token's
     per = F.sum("rows")  # equal rows give equal sums; each takes its share
     whole = rows.unionByName(parts_of).groupBy("doc_id", "fp").agg(
         per.alias("rows"), (F.sum("n_tokens") / per).cast("long").alias("n_tokens"), (F.sum("known") / per).cast("long").alias("n_known"),

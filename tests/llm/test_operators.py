@@ -168,6 +168,39 @@ def test_lm_scores(docs, corpus, empty):
     assert lm.score_documents(empty).count() == 0
 
 
+def test_model_scores_equal_a_plain_model(spark):
+    """With a wide filter no probe goes wrong, and the score is that of the quantised counts."""
+    rng = random.Random(6)
+    texts = [" ".join(rng.choice("abcdefghij") for _ in range(rng.randint(0, 30))) for _ in range(150)]
+    got = {r.doc_id: r.score for r in lm.score_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), bits=64).collect()}
+    one, two = collections.Counter(), collections.Counter()
+    for i, t in enumerate(texts):
+        if fold(i, 7) != 2:
+            line = ["<s>", *t.split(), "</s>"]
+            one.update(line)
+            two.update(zip(line, line[1:], strict=False))
+    n, v = sum(one.values()) - one["<s>"], len(one) - 1
+    def about(c):
+        return 0 if not c else (2 ** (math.floor(math.log2(c))) + 2 ** (math.floor(math.log2(c)) + 1) - 1) / 2
+    for i, t in enumerate(texts):
+        line = ["<s>", *t.split(), "</s>"]
+        want = sum(math.log10(min(1, (min(about(two[h, w]), about(one[h])) + 60 * (about(one[w]) + 1) / (n + v + 1)) / (about(one[h]) + 60)))
+                   for h, w in zip(line, line[1:], strict=False))
+        assert got[i] == pytest.approx(want, abs=1e-6)
+
+
+def test_parts_grow_with_the_text(spark):
+    """Twice the documents, twice the blocks: the parts of the base score double and do not quadruple."""
+    rng = random.Random(7)
+    texts = [" ".join(str(rng.randrange(10**6)) for _ in range(12)) for _ in range(4000)]
+    def entries(rows, blocks):
+        table = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").selectExpr("doc_id", "xxhash64(text) fp", "true learn", "text")
+        closed = table.coalesce(1).mapInArrow(lm._emit_counts(blocks, 20_000), lm.COUNTS).groupBy("block").applyInPandas(lm._close_block(10, blocks), lm.BLOCK)
+        return closed.selectExpr("sum(octet_length(doc) / 4)").first()[0]
+    half, whole = entries(texts[:2000], 40), entries(texts, 80)
+    assert whole <= 2.2 * half and whole <= 12 * 4000
+
+
 def test_filter_passes_agree(docs):
     one = keyed((r.doc_id, r.n_tokens, round(r.score, 6)) for r in lm.score_documents(docs).collect())
     many = keyed((r.doc_id, r.n_tokens, round(r.score, 6)) for r in lm.score_documents(docs, broadcast_bytes=8000).collect())
