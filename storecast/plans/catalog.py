@@ -540,6 +540,20 @@ def q_sink_master(s, d):
         F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("Weekly_Sales"), 0).alias("total"))
 
 
+def _bucketed(s, d):
+    path = scratch_path(s, "bucketed")
+    return sinks.write_bucketed_master(_kept(s, d), path.rsplit("/", 1)[1].replace("-", "_"), path, buckets=16)
+
+
+def q_bucketed_flags(s, d):
+    return _flag_columns(anomaly.lag_and_flags(_bucketed(s, d), chunk=F.col(sinks.CHUNK_COLUMN), unique=True))
+
+
+def q_bucketed_lag(s, d):
+    lagged = features.add_sales_lag(_bucketed(s, d), chunk=F.col(sinks.CHUNK_COLUMN), unique=True)
+    return shown(lagged.drop(sinks.CHUNK_COLUMN), Weekly_Sales=4, Sales_Lag_1=4)
+
+
 def q_sink_forecasts(s, d):
     df = _lagged(s, d).withColumn("predicted_weekly_sales", F.col("Sales_Lag_1"))
     path = sinks.write_forecasts(df, scratch_path(s, "forecasts"))
@@ -785,6 +799,8 @@ QUERIES: dict[str, Query] = {
     "ar1_fit": q_ar1,
     "unit_root_statistics": q_unit_roots,
     "sink_master": q_sink_master,
+    "bucketed_flags": q_bucketed_flags,
+    "bucketed_lag": q_bucketed_lag,
     "sink_forecasts": q_sink_forecasts,
     "sink_scores": q_sink_scores,
     "sink_export": q_sink_export,

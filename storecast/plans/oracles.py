@@ -702,3 +702,6 @@ flagged_sup AS (SELECT *, coalesce(abs(Sales_ZScore) > 3, false) AS Is_Anomaly F
   SELECT *, (Weekly_Sales - avg(Weekly_Sales) OVER (PARTITION BY Store, Dept))
             / (stddev_samp(Weekly_Sales) OVER (PARTITION BY Store, Dept) + 1e-9) AS Sales_ZScore
   FROM kept_sup))""")
+
+ORACLES["bucketed_flags"] = ORACLES["flag_anomalies"]
+ORACLES["bucketed_lag"] = ORACLES["sales_lag"]

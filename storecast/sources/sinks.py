@@ -10,6 +10,9 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..config import Keys
+from ..operators.ordered import year_chunk
+
 FORECAST_COLUMNS = ("Store", "Dept", "Date", "Weekly_Sales", "predicted_weekly_sales")
 SCORE_COLUMNS = ("Store", "Dept", "Date", "Weekly_Sales", "point_forecast")
 EXPORT_COLUMNS = (*SCORE_COLUMNS, "forecast_error", "Cluster")
@@ -30,6 +33,24 @@ def write_master(df: DataFrame, path: str) -> str:
     return path
 
 
+#: The column of a bucketed master that cuts each series into years.
+CHUNK_COLUMN = "Series_Year"
+
+
+def write_bucketed_master(df: DataFrame, table: str, path: str, *, buckets: int,
+                          keys: Keys = Keys()) -> DataFrame:
+    """The master as a bucketed table: rows of a series and year lie in one bucket, one
+    sorted file each. Ordered scans over (series, year), with
+    `chunk=F.col(CHUNK_COLUMN)`, then need no exchange of the rows, however often they
+    run. The year is among the bucket keys, so a series of any length is spread.
+    `buckets` is the number of tasks of such a scan: choose it so that a bucket fits one."""
+    by = [*keys.series, CHUNK_COLUMN]
+    rows = df.withColumn(CHUNK_COLUMN, year_chunk(keys.time))
+    (rows.repartition(buckets, *by).write.mode("overwrite").option("path", path)
+     .bucketBy(buckets, *by).sortBy(*by, keys.time).saveAsTable(table))
+    return df.sparkSession.table(table)
+
+
 def write_forecasts(df: DataFrame, path: str) -> str:
     df.select(*FORECAST_COLUMNS).write.mode("overwrite").parquet(path)
     return path

@@ -14,6 +14,7 @@ from storecast.operators import anomaly, seasonal
 from storecast.operators.features import add_sales_lag
 from storecast.operators.quality import dedupe, validate_raw_tables
 from storecast.plans.features_plan import engineered_master
+from storecast.sources.sinks import CHUNK_COLUMN, write_bucketed_master
 
 
 @pytest.fixture(scope="module")
@@ -54,6 +55,49 @@ def test_lag_and_flags_shuffle_the_rows_once(tables, shuffled):
     assert "Cartesian" not in text and "NestedLoop" not in text
 
 
+def moved_rows(df) -> list[str]:
+    """The exchanges of the executed plan whose input still holds all rows: neither an
+    aggregate nor another exchange lies between them and the scan."""
+    out, lines = [], plan(df).splitlines()
+    depth = [len(re.match(r"[\s:|+\-]*", line).group()) for line in lines]
+    for i, line in enumerate(lines):
+        if "Exchange " in line:
+            below = []
+            for j in range(i + 1, len(lines)):
+                if depth[j] <= depth[i]:
+                    break
+                below.append(lines[j])
+            if not any("Aggregate(" in x or "Exchange " in x for x in below):
+                out.append(line)
+    return out
+
+
+def test_bucketed_rows_are_not_exchanged(spark, tables, shuffled, tmp_path):
+    sales, by_year = tables[0], F.col(CHUNK_COLUMN)
+    table = write_bucketed_master(sales, "bucketed_master_test", f"{tmp_path}/master", buckets=8)
+    try:
+        for run in (lambda df, **kw: add_sales_lag(df, unique=True, **kw), lambda df, **kw: anomaly.lag_and_flags(df, unique=True, **kw)):
+            stored, loose = run(table, chunk=by_year), run(sales)
+            assert moved_rows(loose) and not moved_rows(stored)
+            assert "Bucketed: true" in plan(stored)
+            columns = [c for c in loose.columns if c not in ("Sales_ZScore",)]
+            assert sorted(map(str, stored.select(columns).collect())) == sorted(map(str, loose.select(columns).collect()))
+    finally:
+        spark.sql("DROP TABLE bucketed_master_test")
+
+
+def test_bucketed_master_keeps_rows_without_a_date(spark, tmp_path):
+    rows = [(1, 1, "2010-02-05", 5.0), (1, 1, None, 6.0), (None, 1, "2010-02-05", 7.0), (1, 1, "2011-02-05", 8.0)]
+    df = spark.createDataFrame(rows, "Store int, Dept int, Date string, Weekly_Sales double").withColumn("Date", F.col("Date").cast("date"))
+    table = write_bucketed_master(df, "bucketed_null_test", f"{tmp_path}/master", buckets=4)
+    try:
+        want = sorted(map(str, add_sales_lag(df).collect()))
+        assert sorted(map(str, add_sales_lag(table, chunk=F.col(CHUNK_COLUMN)).drop(CHUNK_COLUMN).collect())) == want
+        assert write_bucketed_master(df.limit(0), "bucketed_null_test", f"{tmp_path}/none", buckets=4).count() == 0
+    finally:
+        spark.sql("DROP TABLE bucketed_null_test")
+
+
 def test_statistics_join_is_salted(tables, shuffled):
     text = plan(anomaly.flag_anomalies(tables[0]))
     # Rows and statistics meet by (series, salt); the statistics are made by series.
