@@ -102,5 +102,49 @@ def macro_drift(reference: DataFrame, current: DataFrame,
     return reference.sparkSession.createDataFrame(rows, _DRIFT)
 
 
+def value_sketches(df: DataFrame, columns: Sequence[str], *, by: Sequence[str], k: int = 4096
+                   ) -> DataFrame:
+    """(by, column_name, n, total, sketch): per group and column the rows that have a
+    value, their sum and a KLL quantile sketch. The table is small and mergeable: a new
+    period adds its rows and no old value is read again. A sketch is exact up to `k`
+    values; beyond that ranks are off by about 1.33 / k of the rows at 99 % confidence."""
+    cells = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("x")) for c in columns]
+    return (df.select(*by, F.inline(F.array(*cells))).where("x IS NOT NULL AND NOT isnan(x)")
+            .groupBy(*by, "column_name")
+            .agg(F.count("x").alias("n"), F.sum("x").alias("total"), F.kll_sketch_agg_double("x", k).alias("sketch")))
+
+
+def quantile_drift(sketches: DataFrame, reference: Column, current: Column, *, bins: int = 10,
+                   floor: float = 1e-6, k: int = 4096) -> DataFrame:
+    """(column_name, n and mean of both periods, n_bins, psi) from a table of sketches; the
+    two conditions choose the groups of each period. Bins lie between the quantiles of
+    the reference, so each holds about the same share of it, however skewed the column;
+    equal borders become one. Empty bins count as `floor`. A column without values in one
+    of the periods has no row."""
+    def merged(where: Column, name: str) -> DataFrame:
+        return sketches.where(where).groupBy("column_name").agg(
+            F.sum("n").alias(f"{name}_n"), (F.sum("total") / F.sum("n")).alias(f"{name}_mean"),
+            F.kll_merge_agg_double("sketch", k).alias(name))
+
+    at = [F.kll_sketch_get_quantile_double("ref", F.lit(i / bins)) for i in range(1, bins)]
+    borders = {r["column_name"]: sorted(set(r["at"])) for r in  # bins - 1 numbers a column
+               merged(reference, "ref").select("column_name", F.array(*at).alias("at")).collect()}
+    both = merged(reference, "ref").join(merged(current, "cur"), "column_name")
+
+    def ranks(side: str) -> Column:
+        known = [F.when(F.col("column_name") == c, F.array(*[F.kll_sketch_get_rank_double(side, F.lit(x)) for x in own]))
+                 for c, own in borders.items()]
+        return F.coalesce(F.lit(None).cast("array<double>"), *known)
+
+    def shares(side: str) -> Column:
+        """Bin i lies above border i - 1 and reaches to border i; the last has no upper one."""
+        upper, lower = F.concat(side, F.array(F.lit(1.0))), F.concat(F.array(F.lit(0.0)), side)
+        return F.zip_with(upper, lower, lambda hi, lo: F.greatest(hi - lo, F.lit(floor)))
+
+    psi = F.aggregate(F.zip_with(shares("ref"), shares("cur"), lambda p, q: (q - p) * F.ln(q / p)), F.lit(0.0), lambda acc, x: acc + x)
+    return (both.withColumns({"ref": ranks("ref"), "cur": ranks("cur")})
+            .select("column_name", "ref_n", "cur_n", "ref_mean", "cur_mean", (F.size("ref") + 1).alias("n_bins"), psi.alias("psi")))
+
+
 _DRIFT = ("column_name string, ref_mean double, cur_mean double, ref_sd double, "
           "cur_sd double, psi double")

@@ -462,6 +462,14 @@ def q_macro_drift(s, d):
                  cur_sd=6, psi=6)
 
 
+def q_quantile_drift(s, d):
+    """Sketches per year, kept as a table; the years before and from 2000 are compared."""
+    yearly = materialize(metrics.value_sketches(
+        bridge.features(s, d).withColumn("Year", F.year("Date")), ["CPI", "Unemployment"], by=["Year"], k=65535), "sketches")
+    return shown(metrics.quantile_drift(yearly, F.col("Year") < 2000, F.col("Year") >= 2000, k=65535),
+                 ref_mean=6, cur_mean=6, psi=6)
+
+
 # ---- seasonal ------------------------------------------------------------
 
 _BY = ["Store"]
@@ -790,6 +798,7 @@ QUERIES: dict[str, Query] = {
     "metrics_by_segment": q_metrics_by_segment,
     "compare_runs": q_compare_runs,
     "macro_drift": q_macro_drift,
+    "quantile_drift": q_quantile_drift,
     "weekly_totals": lambda s, d: shown(seasonal.weekly_totals(_sales(s, d)), y=4),
     "seasonal_order_search": q_orders("nation"),
     "seasonal_order_search_suppliers": q_orders("supplier"),

@@ -705,3 +705,21 @@ flagged_sup AS (SELECT *, coalesce(abs(Sales_ZScore) > 3, false) AS Is_Anomaly F
 
 ORACLES["bucketed_flags"] = ORACLES["flag_anomalies"]
 ORACLES["bucketed_lag"] = ORACLES["sales_lag"]
+
+
+def _quantile_drift() -> str:
+    parts = [f"""
+SELECT '{c}' AS column_name, (SELECT count({c}) FROM ref) AS ref_n, (SELECT count({c}) FROM cur) AS cur_n,
+       round((SELECT avg({c}) FROM ref), 6) AS ref_mean, round((SELECT avg({c}) FROM cur), 6) AS cur_mean,
+       CAST(count(*) AS INT) AS n_bins, round(sum((q - p) * ln(q / p)), 6) AS psi
+FROM (SELECT greatest((SELECT count(*) FROM ref WHERE {c} > lo AND {c} <= hi) / (SELECT CAST(count({c}) AS DOUBLE) FROM ref), 1e-6) AS p,
+             greatest((SELECT count(*) FROM cur WHERE {c} > lo AND {c} <= hi) / (SELECT CAST(count({c}) AS DOUBLE) FROM cur), 1e-6) AS q
+      FROM (SELECT lag(hi, 1, '-inf'::DOUBLE) OVER (ORDER BY hi) AS lo, hi FROM (
+        SELECT DISTINCT unnest(quantile_disc({c}, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9])) AS hi FROM ref
+        UNION ALL SELECT 'inf'::DOUBLE)))""" for c in ("CPI", "Unemployment")]
+    return _with(" UNION ALL ".join(parts), "features", extra="""ref AS (
+  SELECT * FROM features WHERE Date < DATE '2000-01-01'), cur AS (
+  SELECT * FROM features WHERE Date >= DATE '2000-01-01')""")
+
+
+ORACLES["quantile_drift"] = _quantile_drift()

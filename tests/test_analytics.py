@@ -122,6 +122,29 @@ def test_macro_drift(spark):
     assert moved["psi"] > 1
 
 
+def test_quantile_drift(spark):
+    """Against quantiles and shares counted one by one; merged sketches beyond k stay close."""
+    rng = np.random.default_rng(5)
+    old, new = rng.lognormal(0, 2, 3000), rng.lognormal(0.4, 2, 2000)
+    data = [(int(i % 4), float(v)) for i, v in enumerate(old)] + [(4, float(v)) for v in new] + [(0, None), (4, float("nan"))]
+    df = spark.createDataFrame(data, "period int, x double").withColumn("flat", F.lit(1.0))
+
+    def got(k):
+        table = metrics.value_sketches(df, ["x", "flat"], by=["period"], k=k)
+        return {r["column_name"]: r for r in metrics.quantile_drift(table, F.col("period") < 4, F.col("period") == 4, k=k).collect()}
+
+    borders = np.sort(old)[np.ceil(np.arange(1, 10) / 10 * len(old)).astype(int) - 1]
+    p, q = (np.bincount(np.searchsorted(borders, v), minlength=10) / len(v) for v in (old, new))
+    want = float(((q - p) * np.log(q / p)).sum())
+    exact = got(8000)
+    assert exact["x"]["psi"] == pytest.approx(want) and exact["x"]["n_bins"] == 10
+    assert (exact["x"]["ref_n"], exact["x"]["cur_n"]) == (3000, 2000) and exact["x"]["ref_mean"] == pytest.approx(old.mean())
+    assert exact["flat"]["n_bins"] == 2 and exact["flat"]["psi"] == pytest.approx(0.0)
+    assert got(400)["x"]["psi"] == pytest.approx(want, abs=0.05)
+    none = metrics.value_sketches(df.limit(0), ["x"], by=["period"])
+    assert metrics.quantile_drift(none, F.col("period") < 4, F.col("period") == 4).count() == 0
+
+
 # ---- segmentation --------------------------------------------------------
 
 def profiles(spark, n=24):
