@@ -144,6 +144,15 @@ def test_judge_keeps_a_rare_kind_open(spark):
     assert judge.thresholds[3] <= 1 < judge.thresholds[2]
 
 
+def test_judge_learns_from_all_proposals(spark):
+    """A kind with 120 base spans among 60,000 other proposals of it: a third of the base
+    spans would be too few for the confidence bound."""
+    x = "array_repeat(cast({} as double), 24)"
+    table = spark.range(60_120).selectExpr("id as h", "3 as kind", "0 as start", "9 as end", "int(id < 120) as label", x.format("int(id < 120)") + " as x")
+    judge = pii.fit_judge(table)
+    assert judge.thresholds[pii.PHONE] <= 1
+
+
 def test_judge_is_free_of_partitioning(spark):
     """It learns from the same rows, and takes the same spans, however the table is dealt."""
     rng = random.Random(11)
