@@ -15,6 +15,8 @@ from .tables import components, staged
 from .text import SPACE, bit_table, grams, hashed_words, marked, mix, slices
 
 HASHES, BAND_ROWS = 128, 4
+#: Bytes of texts whose shingles are made at once.
+SLICE = 1 << 18
 #: Hash values compared before each pruning step.
 STEPS = (16, 32, 64, 128)
 _rng = np.random.default_rng(5)
@@ -73,7 +75,7 @@ def _read_sets(n: int, known=None):
             rid = np.zeros((len(batch), 2), np.uint64)
             some, size = np.zeros(len(batch), bool), np.zeros(len(batch), np.int32)
             sketch, sets = [], []
-            for i, j, data, offs in slices(batch.column(2)):
+            for i, j, data, offs in slices(batch.column(2), SLICE):
                 doc, shingle = shingle_sets(data, offs, n)
                 own, first = np.unique(doc, return_index=True)
                 if not len(own):

@@ -5,13 +5,17 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .tables import fold
 from .text import mix, runs, slices
 
 _UNSEEN = 0xFFFFFFFF
+#: Bytes of texts whose n-grams are counted at once; a byte takes about a hundred while they are.
+SLICE = 1 << 17
+#: Rows of a batch that are filtered and returned at once.
+ROWS = 1024
 _folded = np.zeros(0, np.uint32)
 
 
@@ -88,7 +92,7 @@ def learn_profiles(labelled: DataFrame, depth: int = 400) -> pd.DataFrame:
         held: dict[str, tuple[np.ndarray, np.ndarray]] = {}
         for batch in batches:
             langs = pd.Series(batch.column(1).to_pylist(), dtype=object)
-            for i, j, data, offs in slices(batch.column(0)):
+            for i, j, data, offs in slices(batch.column(0), SLICE):
                 doc, gram, n = gram_counts(data, offs)
                 code, names = pd.factorize(langs[i:j])
                 key = (code[doc].astype(np.uint64) << np.uint64(32)) | gram
@@ -109,41 +113,52 @@ def learn_profiles(labelled: DataFrame, depth: int = 400) -> pd.DataFrame:
             .select("lang", "gram", "rank").toPandas())
 
 
-def identify(docs: DataFrame, profiles: pd.DataFrame, depth: int = 400, key: str = "doc_id") -> DataFrame:
-    """The key column, lang_pred, score: the label whose profile is least out of place with
-    the text's own most frequent n-grams; 1 - distance / largest distance. Ties go
-    to the first label in order. `und` with score 0: null text, no letter, or no
-    profile. Only the key and text are read; the text alone decides."""
+def _predictor(spark: SparkSession, profiles: pd.DataFrame, depth: int):
+    """A function of a column of texts that runs in tasks: the label of each, `und` with
+    score 0 where it has none, and its score."""
     langs = sorted(profiles["lang"].unique())
     grams = np.unique(profiles["gram"].to_numpy().astype(np.uint64))
     places = np.full((len(langs), len(grams) + 1), -1, np.int32)
     for k, lang in enumerate(langs):
         own = profiles[profiles["lang"] == lang]
         places[k, np.searchsorted(grams, own["gram"].to_numpy().astype(np.uint64))] = own["rank"]
-    known = docs.sparkSession.sparkContext.broadcast((langs, grams, places))
+    known = spark.sparkContext.broadcast((langs, grams, places))
 
-    def predict(batches):
+    def predict(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         langs, grams, places = known.value
-        names = np.array([*langs, "und"], object)
+        pred, scores = np.full(len(texts), len(langs)), np.zeros(len(texts))
+        for i, j, data, offs in slices(texts, SLICE):
+            if not len(langs):
+                break
+            doc, gram, rank = ranked(*gram_counts(data, offs), depth)
+            at = np.searchsorted(grams, gram)
+            at[grams[np.minimum(at, len(grams) - 1)] != gram] = len(grams)
+            far = np.stack([np.bincount(doc, np.where(places[k][at] < 0, depth, np.abs(places[k][at] - rank)), j - i)
+                            for k in range(len(langs))])
+            n = np.bincount(doc, minlength=j - i)
+            best = far.argmin(axis=0)
+            some = n > 0
+            pred[i:j][some] = best[some]
+            scores[i:j][some] = 1 - far.min(axis=0)[some] / (n[some] * depth)
+        return np.array([*langs, "und"], object)[pred], scores
+
+    return predict
+
+
+def identify(docs: DataFrame, profiles: pd.DataFrame, depth: int = 400, key: str = "doc_id") -> DataFrame:
+    """The key column, lang_pred, score: the label whose profile is least out of place with
+    the text's own most frequent n-grams; 1 - distance / largest distance. Ties go
+    to the first label in order. `und` with score 0: null text, no letter, or no
+    profile. Only the key and text are read; the text alone decides."""
+    predict = _predictor(docs.sparkSession, profiles, depth)
+
+    def run(batches):
         for batch in batches:
-            pred, scores = np.full(len(batch), len(langs)), np.zeros(len(batch))
-            for i, j, data, offs in slices(batch.column(1)):
-                if not len(langs):
-                    break
-                doc, gram, rank = ranked(*gram_counts(data, offs), depth)
-                at = np.searchsorted(grams, gram)
-                at[grams[np.minimum(at, len(grams) - 1)] != gram] = len(grams)
-                far = np.stack([np.bincount(doc, np.where(places[k][at] < 0, depth, np.abs(places[k][at] - rank)), j - i)
-                                for k in range(len(langs))])
-                n = np.bincount(doc, minlength=j - i)
-                best = far.argmin(axis=0)
-                some = n > 0
-                pred[i:j][some] = best[some]
-                scores[i:j][some] = 1 - far.min(axis=0)[some] / (n[some] * depth)
-            yield pa.RecordBatch.from_pydict({key: batch.column(0), "lang_pred": pa.array(names[pred], pa.string()), "score": scores})
+            pred, scores = predict(batch.column(1))
+            yield pa.RecordBatch.from_pydict({key: batch.column(0), "lang_pred": pa.array(pred, pa.string()), "score": scores})
 
     kind = dict(docs.dtypes)[key]
-    return docs.select(key, "text").mapInArrow(predict, f"{key} {kind}, lang_pred string, score double")
+    return docs.select(key, "text").mapInArrow(run, f"{key} {kind}, lang_pred string, score double")
 
 
 def identify_documents(docs: DataFrame, depth: int = 400) -> DataFrame:
@@ -161,8 +176,17 @@ def identify_documents(docs: DataFrame, depth: int = 400) -> DataFrame:
 
 def keep_identified(docs: DataFrame, least: float = 0.2, depth: int = 400) -> DataFrame:
     """The documents, all columns, whose text has a language: prediction is not
-    `und` and the score reaches `least`. Keeps repeated rows."""
+    `und` and the score reaches `least`. Keeps repeated rows. Rows pass through a
+    task once, and leave it some at a time."""
     profiles = learn_profiles(docs.where(fold("doc_id", 5) != 0), depth)
-    named = docs.select(F.struct(*docs.columns).alias("__row"), "text")
-    good = identify(named, profiles, depth, "__row").where((F.col("lang_pred") != "und") & (F.col("score") >= least))
-    return good.select("__row.*")
+    predict = _predictor(docs.sparkSession, profiles, depth)
+    at = docs.columns.index("text")
+
+    def run(batches):
+        for batch in batches:
+            for i in range(0, len(batch), ROWS):
+                part = batch.slice(i, ROWS)
+                pred, scores = predict(part.column(at))
+                yield part.filter(pa.array((pred != "und") & (scores >= least)))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -7,13 +7,17 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from storecast.llm import bitslices, decontaminate, jaccard, language, lm, packing, pii, secrets, shards, suffixes
 
+from .conftest import prose
+
 
 def fold(doc_id, n):
     return zlib.crc32(("" if doc_id is None else str(doc_id)).encode()) % n
@@ -315,6 +319,25 @@ def test_ranks_of_very_long_texts():
         assert own.tolist() == [0, 0, 0, 1, 1] and names.tolist() == [2, 3, 1, 2, 1] and rank.tolist() == [0, 1, 2, 0, 1]
 
 
+def test_language_filter_memory(spark, docs):
+    """Rows reach the filter once, their n-grams are counted in small slices, and the rows
+    that stay are those of the predictions."""
+    kept = language.keep_identified(docs)
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and "named_struct" not in plan
+    profiles = language.learn_profiles(docs.where(language.fold("doc_id", 5) != 0))
+    good = {r.doc_id for r in language.identify(docs, profiles).where("lang_pred != 'und' and score >= 0.2").collect()}
+    assert good and sorted(kept.collect(), key=repr) == sorted((r for r in docs.collect() if r.doc_id in good and r.text), key=repr)
+    texts = pa.array([prose(random.Random(5), 2000)] * 300)
+    predict = language._predictor(spark, profiles, 400)
+    predict(texts[:1])
+    tracemalloc.start()
+    predict(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40_000_000
+
+
 def test_languages_are_told_apart(spark):
     rng = random.Random(0)
     bank = {"aa": "the and ing tion ould whi".split(), "bb": "sch ung ein der keit über".split()}
