@@ -6,7 +6,7 @@ import hashlib
 import json
 import os
 import re
-from functools import cached_property
+from functools import cached_property, lru_cache
 from itertools import chain
 
 import numpy as np
@@ -23,7 +23,7 @@ _LETTER = "[A-Za-zÀ-ÖØ-öø-ÿ]"
 #: A single blank before a letter: both tokenizers start a token there, whatever stands around.
 _BLANK = re.compile(rf"(?<=\S) (?={_LETTER})")
 _LETTERS, _INNER = re.compile(f"{_LETTER}+"), re.compile(rf"{_LETTER}(.*\S)?", re.DOTALL)
-#: Words kept with their tokens in each worker, and the longest of them.
+#: About how many words each worker keeps with their tokens, and the longest of them.
 CACHE, WORD = 1 << 18, 64
 #: Bytes of text encoded together, links listed at a time, and pairs a task holds before it lets them go.
 SLICE_BYTES, LINKS, HELD = 1 << 19, 1 << 22, 1 << 20
@@ -68,7 +68,7 @@ class Tokenizers:
         self.folder, self.never = folder, never
 
     def __reduce__(self):
-        return Tokenizers, (self.folder, self.never)
+        return _loaded, (self.folder, self.never)
 
     def checked(self) -> Tokenizers:
         """With `never` worked out, once on the driver; the ids that do not encode to themselves.
@@ -135,9 +135,9 @@ class Tokenizers:
         return _Bytes([f"{i}{sign}".encode() for sign in (",", "|", ";", "") for i in range(most)])
 
     @cached_property
-    def words(self) -> dict[str, tuple | None]:
-        """What `_aligned` says of the words met so far."""
-        return {}
+    def words(self) -> list[dict[str, tuple | None]]:
+        """What `_aligned` says of the words met of late, and of those met before these."""
+        return [{}, {}]
 
     @cached_property
     def splits(self) -> bool:
@@ -155,6 +155,12 @@ class Tokenizers:
         return a, self.b.encode(texts, num_threads=1)
 
 
+@lru_cache(maxsize=1)
+def _loaded(folder: str, never: frozenset[int] | None) -> Tokenizers:
+    """A worker loads its tokenizers once, and the words it has met serve its later tasks too."""
+    return Tokenizers(folder, never)
+
+
 def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     size = np.array([len(x) for x in lists], np.int64)
     return np.fromiter(chain.from_iterable(lists), np.int64, int(size.sum())), size
@@ -195,8 +201,8 @@ def _pairs(doc, a, b, group_a, group_b, n_groups: int, n_a: int, n_b: int) -> tu
 
 def _aligned(lines: list[list[str]], tools: Tokenizers, letters: bool = False) -> list[tuple | None]:
     """(n_a, n_b, n_groups, n_links, groups as text, id pairs, links of each) of each word of
-    each line. Lines are encoded whole, with blanks between their words. None where
-    the tokens of a line do not give it back."""
+    each line; the last two are packed 64-bit numbers. Lines are encoded whole, with blanks
+    between their words. None where the tokens of a line do not give it back."""
     texts = [" ".join(words) for words in lines]
     (a, size_a), (b, size_b) = map(_flat, tools.encode(texts, letters))
     spaced = [(" " + t).encode() for t in texts]
@@ -234,9 +240,8 @@ def _aligned(lines: list[list[str]], tools: Tokenizers, letters: bool = False) -
 
     n_a, n_b = len(tools.a_bytes.size), len(tools.b_bytes.size)
     keys, links = _pairs(doc, a, b, group_a, group_b, len(cuts), n_a, n_b)
-    at = np.searchsorted(keys, np.arange(n + 1) * (n_a * n_b))
-    pair = (keys % (n_a * n_b)).tolist()
-    links, at = links.tolist(), at.tolist()
+    at = (8 * np.searchsorted(keys, np.arange(n + 1) * (n_a * n_b))).tolist()
+    pair, links = (keys % (n_a * n_b)).tobytes(), links.tobytes()
     rows = zip(size_a.tolist(), size_b.tolist(), np.bincount(doc, minlength=n).tolist(),
                np.bincount(doc, in_a * in_b, n).astype(np.int64).tolist(), [0, *chars[:-1].tolist()], chars.tolist(), strict=True)
     for k, (x, y, groups, total, start, end) in enumerate(rows):
@@ -244,32 +249,39 @@ def _aligned(lines: list[list[str]], tools: Tokenizers, letters: bool = False) -
     return out
 
 
-def _looked_up(words: list[str], tools: Tokenizers) -> dict[str, tuple | None]:
-    """What `_aligned` says of each word. New words that start with a letter are encoded many to
-    a line, others alone."""
-    known = tools.words
-    if len(known) > CACHE:
-        known.clear()
-    new = [w for w in words if w not in known]
+def _looked_up(words: list[str], tools: Tokenizers) -> tuple[dict[str, tuple | None], list[str]]:
+    """What `_aligned` says of words, these among them, and those of these that are too long
+    to be kept. New words that start with a letter are encoded many to a line, others alone.
+    Words stay while they are met again: of two halves the older one goes when the other is full."""
+    if len(tools.words[0]) > CACHE // 2:
+        tools.words[:] = {}, tools.words[0]
+    known, before = tools.words
+    unseen = [w for w in words if w not in known]
+    known.update((w, before[w]) for w in unseen if w in before)
+    new = [w for w in unseen if w not in before]
     got: dict[str, tuple | None] = {}
     if tools.splits:
-        pure = [w for w in new if tools.never is not None and _LETTERS.fullmatch(w)]
-        inner = [w for w in new if _INNER.fullmatch(w) and (tools.never is None or not _LETTERS.fullmatch(w))]
+        pure, inner = [], []
+        for w in new:
+            if tools.never is not None and _LETTERS.fullmatch(w):
+                pure.append(w)
+            elif _INNER.fullmatch(w):
+                inner.append(w)
         for some, letters in ((pure, True), (inner, False)):
             lines = [some[i:i + 4096] for i in range(0, len(some), 4096)]
             got |= dict(zip(some, _aligned(lines, tools, letters), strict=True)) if lines else {}
     # A line with a word that is not given back says nothing of the others.
     alone = [w for w in new if got.get(w) is None]
     got |= dict(zip(alone, _aligned([[w] for w in alone], tools), strict=True)) if alone else {}
-    known.update((w, found) for w, found in got.items() if len(w) <= WORD)
-    return {w: got[w] if w in got else known[w] for w in words}
+    known.update(got)
+    return known, [w for w in new if len(w) > WORD]
 
 
 def align(texts: list[str | None], tools: Tokenizers) -> list[tuple]:
     """(n_a, n_b, n_groups, n_links, groups_sha256, id pairs, links of each) of each text, from
     those of its words: groups end wherever a word does."""
     parts = [(_BLANK.split(t) if tools.splits else [t]) if t else [] for t in texts]
-    found = _looked_up(list(dict.fromkeys(chain.from_iterable(parts))), tools)
+    found, passing = _looked_up(list(dict.fromkeys(chain.from_iterable(parts))), tools)
     nothing = (0, 0, 0, 0, "", np.zeros(0, np.int64), np.zeros(0, np.int64))
     out = []
     for words in parts:
@@ -278,12 +290,14 @@ def align(texts: list[str | None], tools: Tokenizers) -> list[tuple]:
             out.append(nothing)
             continue
         n_a, n_b, groups, total, text, pairs, links = zip(*rows, strict=True)
-        pair = np.fromiter(chain.from_iterable(pairs), np.int64)
+        pair = np.frombuffer(b"".join(pairs), np.int64)
         order = np.argsort(pair, kind="stable")
         pair = pair[order]
         first = np.flatnonzero(np.concatenate(([True], pair[1:] != pair[:-1])))
-        times = np.add.reduceat(np.fromiter(chain.from_iterable(links), np.int64)[order], first)
+        times = np.add.reduceat(np.frombuffer(b"".join(links), np.int64)[order], first)
         out.append((sum(n_a), sum(n_b), sum(groups), sum(total), hashlib.sha256(b";".join(text)).hexdigest(), pair[first], times))
+    for w in passing:
+        del found[w]
     return out
 
 

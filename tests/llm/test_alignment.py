@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import pickle
 import random
 
 import numpy as np
@@ -117,3 +118,25 @@ def test_nothing_to_align(spark):
     assert alignment.align_documents(rows.limit(0)).count() == 0
 
 
+
+
+def test_words_met_again_are_not_encoded_again(monkeypatch):
+    """Also where new words overflow the cache each time, and in a worker's next task."""
+    monkeypatch.setattr(alignment, "CACHE", 64)
+    encoded = collections.Counter()
+    aligned = alignment._aligned
+    monkeypatch.setattr(alignment, "_aligned", lambda lines, *more: (encoded.update(w for x in lines for w in x), aligned(lines, *more))[1])
+    again, long = ["common", "words", "stay."], "long" * alignment.WORD
+    rng = random.Random(3)
+    first = pickle.loads(pickle.dumps(TOOLS))
+    first.words[:] = {}, {}
+    for _ in range(10):
+        tools = pickle.loads(pickle.dumps(TOOLS))
+        fresh = ["".join(rng.choices("abcdefgh", k=9)) for _ in range(40)]
+        text = " ".join([*again, *fresh, long])
+        (row,), groups = alignment.align([text], tools), plain_groups(text)
+        assert row[:3] == (sum(len(g[0]) for g in groups), sum(len(g[1]) for g in groups), len(groups))
+        links = collections.Counter(x * len(tools.b_bytes.size) + y for ga, gb in groups for x in ga for y in gb)
+        assert dict(zip(row[5].tolist(), row[6].tolist(), strict=True)) == links
+        assert sum(map(len, tools.words)) <= 128 and long not in tools.words[0]
+    assert [encoded[w] for w in again] == [1, 1, 1] and encoded[long] == 10
