@@ -13,6 +13,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.ml.functions import vector_to_array
 
 from storecast.llm import bitslices, decontaminate, jaccard, language, lm, packing, pii, secrets, shards, suffixes
 
@@ -157,6 +158,27 @@ def test_judge_learns_from_all_proposals(spark):
     assert judge.thresholds[pii.PHONE] <= 1
 
 
+def test_judge_splits_where_all_proposals_say(spark):
+    """64,000 proposals of 640 values, right from an exact border on: borders of some of the
+    rows lie beside it, and a bin then holds right and wrong ones."""
+    table = spark.range(64_000).selectExpr("id as h", "3 as kind", "0 as start", "9 as end", "int(id % 640 >= 480) as label",
+                                           "array(cast(id % 640 as float), cast(7 as float)) as x")
+    judge = pii.fit_judge(table)
+    assert [b for c, b in judge.borders if c == 0] == [20 * k - 0.5 for k in range(1, 32)] and {c for c, _ in judge.borders} == {0}
+    features = table.select("label", pii.beyond(judge.borders))
+    p = judge.model.transform(features)
+    least, most = (p.where(f"label = {y}").select(vector_to_array("probability")[1].alias("p")).selectExpr("min(p)", "max(p)").first() for y in (1, 0))
+    assert least[0] > most[1]
+
+
+def test_cuts():
+    """Few values: a border between any two. Many: runs of nearly equal weight; a very common value takes none from the others."""
+    assert pii.cuts([0.0, 1.0, 5.0], [9, 1, 1], 32) == [0.5, 3.0]
+    assert pii.cuts([4.0], [9], 32) == []
+    common = pii.cuts([float(v) for v in range(100)], [10_000] + [1] * 99, 12)
+    assert common[0] == 0.5 and len(common) == 11 and set(np.diff(common)) <= {8.0, 9.0, 10.0}
+
+
 def test_judge_is_free_of_partitioning(spark):
     """It learns from the same rows, and takes the same spans, however the table is dealt."""
     rng = random.Random(11)
