@@ -15,7 +15,7 @@ import pyarrow as pa
 import pytest
 from pyspark.ml.functions import vector_to_array
 
-from storecast.llm import bitslices, decontaminate, jaccard, language, lm, packing, pii, secrets, shards, suffixes
+from storecast.llm import bitslices, decontaminate, jaccard, language, lm, packing, pii, queries, secrets, shards, suffixes
 
 from .conftest import prose
 
@@ -518,6 +518,51 @@ def test_repeats(spark, corpus, seed):
 
 def test_repeats_of_nothing(empty):
     assert suffixes.remove_repeats(empty).count() == 0
+    assert suffixes.remove_repeats(empty, passage=51).count() == 0
+
+
+def plain_shared(rows, least):
+    texts = {(i, t): re.split("[ \\t-\\r]+", (t or "").strip(" \t\n\x0b\x0c\r")) for i, t in rows}
+    homes = collections.defaultdict(set)
+    for k, w in texts.items():
+        for p in range(len(w) - least + 1):
+            homes[tuple(w[p:p + least])].add(k)
+    out = {}
+    for k, w in texts.items():
+        on = np.zeros(len(w), bool)
+        for p in range(len(w) - least + 1):
+            if len(homes[tuple(w[p:p + least])]) > 1:
+                on[p:p + least] = True
+        out[k] = int(on.sum())
+    return [(i, out[i, t]) for i, t in rows]
+
+
+@pytest.mark.parametrize("seed", [0, 1])
+def test_shared_words(spark, corpus, seed):
+    rng = random.Random(seed)
+    bank = prose(rng, 400).split()
+    rows = list(corpus)
+    for i in range(80):
+        words = []
+        for _ in range(rng.randint(1, 4)):
+            at = rng.randint(0, 330)
+            words += bank[at:at + rng.choice([20, 50, 51, 52, 60, 70])] + prose(rng, rng.randint(0, 60)).split()
+        rows.append((3000 + i, "".join(w + rng.choice(["  ", "\n", "\t ", " "]) for w in words) + rng.choice(["", "\u00a0x"])))
+    rows += [(4000 + i, " ".join([w] * n)) for i, (w, n) in enumerate([("na", 300), ("so", 50), ("so", 60), ("la", 51), ("la", 120)])]
+    rows += [(4100, prose(rng, 70) + " " + " ".join(bank)), (4100, " ".join(["alone"] * 200)), (4101, " ".join(bank[:60] + bank[:60]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = [(r.doc_id, r.n_shared_words) for r in suffixes.remove_repeats(df, passage=51).collect()]
+    assert keyed(got) == keyed(plain_shared(rows, 51))
+
+
+def test_short_passages_show(spark, tmp_path):
+    """Passages of over 50 words and under 400 bytes: too short to go, counted in each document that holds them."""
+    rng = random.Random(4)
+    passage = " ".join(f"w{i}" for i in range(55))
+    texts = [prose(rng, 80) + " " + passage + " " + prose(rng, 40), passage + " " + prose(rng, 90), prose(rng, 200), prose(rng, 30) + " here " * 70]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: (r.n_removed, r.n_shared_words) for r in queries.op8_suffix_dedup(spark, str(tmp_path)).collect()}
+    assert len(passage) < 400 and got == {0: (0, 55), 1: (0, 55), 2: (0, 0), 3: (420, 0)}
 
 
 # 9 packing
